@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from meridian.functions.common import round_doubles
-from meridian.operators import rdd
+from meridian.operators import cac, cohort, cuped, rdd, segmentation, switchback
 from meridian.plans import bindings as B
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,7 @@ def query(name: str):
             return round_doubles(fn(spark, sf_dir))
         run.__name__ = name
         run.__doc__ = fn.__doc__
+        run.__wrapped__ = fn
         QUERIES[name] = run
         return run
     return deco
@@ -64,4 +65,163 @@ def q_rdd_bandwidth_sensitivity(spark, sf_dir):
                                      bandwidths=(250, 500, 1000, 1500, 2000), cutoff=RDD_CUTOFF)
 
 
+# --------------------------------------------------------------------------- CAC (B8, B9)
+@query("nominal_cac")
+def q_nominal_cac(spark, sf_dir):
+    return cac.nominal_cac(B.cac_spend(spark, sf_dir))
+
+
+@query("ramp_curve")
+def q_ramp_curve(spark, sf_dir):
+    return cac.ramp_curve(B.host_ramp(spark, sf_dir))
+
+
+@query("ramp_shortfall")
+def q_ramp_shortfall(spark, sf_dir):
+    return cac.ramp_shortfall(B.host_ramp(spark, sf_dir))
+
+
+@query("effective_cac")
+def q_effective_cac(spark, sf_dir):
+    return cac.effective_cac(B.cac_spend(spark, sf_dir), B.host_ramp(spark, sf_dir))
+
+
+@query("churn_replacement_cost")
+def q_churn_replacement_cost(spark, sf_dir):
+    return cac.churn_replacement_cost(B.cac_spend(spark, sf_dir), B.host_ramp(spark, sf_dir))
+
+
+@query("ramp_compression_projection")
+def q_ramp_compression_projection(spark, sf_dir):
+    return cac.ramp_compression(B.host_ramp(spark, sf_dir), compression=0.5)
+
+
+# --------------------------------------------------------------------------- segmentation (B10-B12)
+RFM_CUTS = dict(recency_cuts=(100, 260), frequency_cuts=(11, 8), monetary_cuts=(2.8e6, 2.05e6))
+
+
+@query("segment_rules")
+def q_segment_rules(spark, sf_dir):
+    return segmentation.rule_segments(B.rule_customers(spark, sf_dir), young_below=30,
+                                      high_value_from=5000)
+
+
+@query("segment_rules_counts")
+def q_segment_rules_counts(spark, sf_dir):
+    return segmentation.segment_counts(q_segment_rules.__wrapped__(spark, sf_dir))
+
+
+@query("segment_rfm")
+def q_segment_rfm(spark, sf_dir):
+    return segmentation.rfm_segments(B.rfm_customers(spark, sf_dir), **RFM_CUTS)
+
+
+@query("segment_rfm_counts")
+def q_segment_rfm_counts(spark, sf_dir):
+    return segmentation.segment_counts(q_segment_rfm.__wrapped__(spark, sf_dir))
+
+
+@query("segment_kmeans")
+def q_segment_kmeans(spark, sf_dir):
+    return segmentation.kmeans_segments(B.kmeans_customers(spark, sf_dir)).select(
+        "customer_id", "annual_spend", "purchase_frequency", "segment")
+
+
+# --------------------------------------------------------------------------- CUPED (B5)
+@query("cuped_theta")
+def q_cuped_theta(spark, sf_dir):
+    return cuped.cuped_theta(B.cuped_users(spark, sf_dir))
+
+
+@query("cuped_adjusted")
+def q_cuped_adjusted(spark, sf_dir):
+    return cuped.cuped_adjusted(B.cuped_users(spark, sf_dir))
+
+
+@query("cuped_ttest")
+def q_cuped_ttest(spark, sf_dir):
+    return cuped.cuped_ttest(B.cuped_users(spark, sf_dir), with_p=False)
+
+
+@query("cuped_ttest_pvalue")
+def q_cuped_ttest_pvalue(spark, sf_dir):
+    return cuped.cuped_ttest(B.cuped_users(spark, sf_dir), with_p=True)
+
+
+# --------------------------------------------------------------------------- switchback (B6)
+SB = dict(head_minutes=240, tail_minutes=240, block_minutes=1440)
+SB_WASHOUT = 240
+
+
+def _sb(spark, sf_dir):
+    return B.switchback_intervals(spark, sf_dir).drop("ts")
+
+
+@query("switchback_naive")
+def q_switchback_naive(spark, sf_dir):
+    return switchback.naive_pooled_lift(_sb(spark, sf_dir))
+
+
+@query("switchback_washout")
+def q_switchback_washout(spark, sf_dir):
+    return switchback.washout_summary(_sb(spark, sf_dir), SB_WASHOUT)
+
+
+@query("interval_preagg")
+def q_interval_preagg(spark, sf_dir):
+    return switchback.interval_preagg(_sb(spark, sf_dir), interval_minutes=5)
+
+
+@query("switchback_block_lift")
+def q_switchback_block_lift(spark, sf_dir):
+    return switchback.block_level_lift(switchback.apply_washout(_sb(spark, sf_dir), SB_WASHOUT))
+
+
+@query("switchback_zone_lift")
+def q_switchback_zone_lift(spark, sf_dir):
+    return switchback.zone_level_lift(switchback.apply_washout(_sb(spark, sf_dir), SB_WASHOUT))
+
+
+@query("carryover_diagnostic")
+def q_carryover_diagnostic(spark, sf_dir):
+    return switchback.carryover_diagnostic(_sb(spark, sf_dir), **SB)
+
+
+@query("carryover_curve")
+def q_carryover_curve(spark, sf_dir):
+    return switchback.carryover_curve(_sb(spark, sf_dir), interval_minutes=60)
+
+
+# --------------------------------------------------------------------------- cohort (B4)
+COHORT = dict(first_cohort="1995-01", last_cohort="1995-12")
+AS_OF = "1996-01"
+
+
+@query("retention_matrix")
+def q_retention_matrix(spark, sf_dir):
+    return cohort.retention_matrix(B.host_cohort_events(spark, sf_dir), AS_OF, max_tenure=12, **COHORT)
+
+
+@query("retention_at_tenure")
+def q_retention_at_tenure(spark, sf_dir):
+    return cohort.retention_at_tenure(B.host_cohort_events(spark, sf_dir), AS_OF, tenure=1, **COHORT)
+
+
+@query("blended_active_rate")
+def q_blended_active_rate(spark, sf_dir):
+    return cohort.blended_active_rate(B.host_cohort_events(spark, sf_dir), as_of=AS_OF, **COHORT)
+
+
+@query("vintage_decline")
+def q_vintage_decline(spark, sf_dir):
+    return cohort.vintage_decline(B.host_cohort_events(spark, sf_dir), AS_OF, tenure=1,
+                                  min_consecutive=3, drop_threshold=1.0, **COHORT)
+
+
+@query("mix_shift_projection")
+def q_mix_shift_projection(spark, sf_dir):
+    return cohort.mix_shift_projection(B.host_cohort_events(spark, sf_dir), AS_OF,
+                                       recovered_rate=96, new_cohort_size=800, **COHORT)
+
+
 FLAGSHIP = "rdd_estimate"
