@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from meridian.functions.common import round_doubles
-from meridian.operators import cac, cohort, cuped, rdd, segmentation, switchback
+from meridian.operators import cac, cohort, cuped, identity, rdd, segmentation, switchback
 from meridian.plans import bindings as B
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -224,4 +224,71 @@ def q_mix_shift_projection(spark, sf_dir):
                                        recovered_rate=96, new_cohort_size=800, **COHORT)
 
 
-FLAGSHIP = "rdd_estimate"
+# --------------------------------------------------------------------------- identity (B1-B3)
+def _staged(spark, sf_dir):
+    return identity.stage(B.crm(spark, sf_dir), B.online(spark, sf_dir), B.pos(spark, sf_dir))
+
+
+def _resolved(spark, sf_dir):
+    return identity.resolve(B.crm(spark, sf_dir), B.online(spark, sf_dir), B.pos(spark, sf_dir))
+
+
+@query("identity_normalise")
+def q_identity_normalise(spark, sf_dir):
+    return identity.all_records(_staged(spark, sf_dir))
+
+
+@query("identity_edges")
+def q_identity_edges(spark, sf_dir):
+    return identity.star_edges(identity.all_records(_staged(spark, sf_dir)))
+
+
+@query("identity_components")
+def q_identity_components(spark, sf_dir):
+    return identity.components(identity.all_records(_staged(spark, sf_dir)))
+
+
+@query("identity_ids")
+def q_identity_ids(spark, sf_dir):
+    return _resolved(spark, sf_dir)[1]
+
+
+@query("match_quality")
+def q_match_quality(spark, sf_dir):
+    st, ids = _resolved(spark, sf_dir)
+    return identity.match_quality(identity.all_records(st), ids)
+
+
+@query("best_identity")
+def q_best_identity(spark, sf_dir):
+    st, ids = _resolved(spark, sf_dir)
+    return identity.best_identity(st, ids)
+
+
+@query("channel_activity")
+def q_channel_activity(spark, sf_dir):
+    st, ids = _resolved(spark, sf_dir)
+    return identity.channel_activity(st, ids)
+
+
+@query("customer_360")
+def q_customer_360(spark, sf_dir):
+    st, ids = _resolved(spark, sf_dir)
+    return identity.customer_360(st, ids)
+
+
+@query("id_crosswalk")
+def q_id_crosswalk(spark, sf_dir):
+    st, ids = _resolved(spark, sf_dir)
+    c360 = identity.customer_360(st, ids).select("omni_lookup_id").checkpoint(eager=True)
+    return identity.id_crosswalk(ids, c360)
+
+
+@query("identity_completeness")
+def q_identity_completeness(spark, sf_dir):
+    st, ids = _resolved(spark, sf_dir)
+    c360 = identity.customer_360(st, ids).select("omni_lookup_id").checkpoint(eager=True)
+    return identity.completeness(st, ids, c360)
+
+
+FLAGSHIP = "customer_360"
