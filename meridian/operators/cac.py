@@ -53,7 +53,9 @@ def ramp_curve(ramp_df: DataFrame, steady_months: Sequence[int] = STEADY_STATE_M
 
 def _shortfall(bm: DataFrame, ss: DataFrame, ramp_months: int) -> DataFrame:
     in_ramp = F.col("month").between(1, ramp_months)
-    gap = F.greatest(F.col("steady_state") - F.col("avg_revenue"), F.lit(0.0))
+    # greatest() skips NULLs, so guard the missing-steady-state case explicitly
+    gap = F.when(F.col("steady_state").isNotNull(),
+                 F.greatest(F.col("steady_state") - F.col("avg_revenue"), F.lit(0.0)))
     return const_key_join(bm, ss).agg(
         # every ramp month must be present, as in the month-indexed lookup it restates
         F.when(F.count(F.when(in_ramp, F.lit(1))) == ramp_months,
@@ -114,6 +116,7 @@ def ramp_compression(ramp_df: DataFrame, compression: float = 0.5, ramp_months:
     looked = (grid.join(F.broadcast(bm), "month", "left"))
     looked = const_key_join(looked, ss)
     rev = F.coalesce(F.col("avg_revenue"), F.col("steady_state"))
-    comp = looked.agg(F.sum(F.greatest(F.col("steady_state") - rev, F.lit(0.0))).alias("compressed_shortfall"))
+    gap = F.when(F.col("steady_state").isNotNull(), F.greatest(F.col("steady_state") - rev, F.lit(0.0)))
+    comp = looked.agg(F.sum(gap).alias("compressed_shortfall"))
     out = const_key_join(original, comp)
     return out.withColumn("value_unlocked", F.col("original_shortfall") - F.col("compressed_shortfall"))

@@ -311,18 +311,19 @@ def channel_activity(st: Staged, ids: DataFrame) -> DataFrame:
 def id_crosswalk(ids: DataFrame, customers: DataFrame) -> DataFrame:
     """Q9: ``(omni_lookup_id, loyalty_id, online_customer_id,
     pos_transaction_id)``: one row per POS record of a customer, or one row
-    with a NULL transaction when the customer has none. Built from the
+    with a NULL transaction when the customer has none. The native id is
+    everything after the source prefix. Built from the
     materialised record -> id map, restricted to customers present in
     ``customers`` (the stored customer_360)."""
     rid = F.col("record_id")
+    system, native = None, None
+    for src, pre in PREFIX.items():
+        hit = rid.startswith(pre)
+        rest = F.expr(f"substring(record_id, {len(pre) + 1})")
+        system = F.when(hit, src) if system is None else system.when(hit, src)
+        native = F.when(hit, rest) if native is None else native.when(hit, rest)
     tagged = (ids.join(customers.select("omni_lookup_id"), "omni_lookup_id", "left_semi")
-              .select("omni_lookup_id",
-                      F.when(rid.startswith(PREFIX["crm"]), "crm")
-                      .when(rid.startswith(PREFIX["online"]), "online")
-                      .when(rid.startswith(PREFIX["pos"]), "pos").alias("source_system"),
-                      F.when(rid.startswith(PREFIX["crm"]), F.substring(rid, 5, 50))
-                      .when(rid.startswith(PREFIX["online"]), F.substring(rid, 9, 50))
-                      .when(rid.startswith(PREFIX["pos"]), F.substring(rid, 5, 50)).alias("native_id")))
+              .select("omni_lookup_id", system.alias("source_system"), native.alias("native_id")))
     scalars = tagged.groupBy("omni_lookup_id").agg(
         F.max(F.when(F.col("source_system") == "crm", F.col("native_id"))).alias("loyalty_id"),
         F.max(F.when(F.col("source_system") == "online", F.col("native_id"))).alias("online_customer_id"))

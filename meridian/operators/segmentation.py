@@ -70,7 +70,7 @@ def segment_counts(df: DataFrame, segment: str = "segment") -> DataFrame:
 
 
 def kmeans_segments(df: DataFrame, features: Sequence[str] = ("annual_spend", "purchase_frequency"),
-                    k: int = 3, labels: Sequence[str] = KMEANS_LABELS, seeds: Sequence[int] = (42, 43, 44, 45, 46),
+                    k: int = 3, labels: Sequence[str] = KMEANS_LABELS, seeds: Sequence[int] = (42, 43, 44),
                     order_by: str | None = None, max_iter: int = 50) -> DataFrame:
     """Q39: standardise features, fit K-means with several seeds (keeping the
     lowest training cost), and name clusters by ascending mean of
@@ -84,7 +84,9 @@ def kmeans_segments(df: DataFrame, features: Sequence[str] = ("annual_spend", "p
     assembled = VectorAssembler(inputCols=list(features), outputCol="_raw",
                                 handleInvalid="skip").transform(df)
     scaler = StandardScaler(inputCol="_raw", outputCol="_features", withMean=True, withStd=True)
-    scaled = scaler.fit(assembled).transform(assembled)
+    # every restart iterates over the same scaled features: keep them cached
+    # (recomputable from lineage if an executor is lost)
+    scaled = scaler.fit(assembled).transform(assembled).persist()
     best = None
     for seed in seeds:
         model = KMeans(k=k, seed=seed, featuresCol="_features", predictionCol="_cluster",
@@ -93,6 +95,7 @@ def kmeans_segments(df: DataFrame, features: Sequence[str] = ("annual_spend", "p
         if best is None or cost < best[0]:
             best = (cost, model)
     pred = best[1].transform(scaled)
+    scaled.unpersist()
     # k rows: rank clusters by the mean of the ordering column
     means = pred.groupBy("_cluster").agg(F.avg(order_by).alias("_m"))
     ranked = means.select("_cluster", F.row_number().over(Window.orderBy("_m", "_cluster")).alias("_r"))

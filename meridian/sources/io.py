@@ -13,8 +13,9 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """CSV scan with a header and an explicit schema; empty cells read as NULL."""
-    if isinstance(schema, str):
+    """CSV scan with a header and an explicit schema (a fixture name, a DDL
+    string or a StructType); empty cells read as NULL."""
+    if isinstance(schema, str) and schema in schemas.BY_NAME:
         schema = schemas.BY_NAME[schema]
     return (spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")
             .csv(path))

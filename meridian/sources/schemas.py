@@ -1,14 +1,15 @@
 """Explicit schemas for the CSV inputs the operators were designed around.
 
-Schema inference is never used: it turns phone numbers and numeric customer
+Schemas are DDL strings accepted by ``DataFrameReader.schema``. Schema
+inference is never used: it turns phone numbers and numeric customer
 ids into ``bigint`` and loses the leading ``+`` / ``0``.
 """
 
-from pyspark.sql import types as T
 
 
-def _schema(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+def _schema(spec: str) -> str:
+    """DDL text; Spark parses it at read time (no session needed at import)."""
+    return spec
 
 
 CRM = _schema(
