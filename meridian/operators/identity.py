@@ -92,27 +92,37 @@ POS_COLS = ["record_id", "source_system", "email_norm", "phone_norm", "loyalty_i
 
 
 def stage_pos(pos: DataFrame) -> DataFrame:
-    """POS records; a return inherits the normalised keys and the name of the
-    sale with the same order reference (raw contact fields stay as they are;
-    an order reference with several sales yields one row per sale)."""
+    """POS records; a return inherits the normalised keys and the name of a
+    sale with the same order reference (raw contact fields stay as they are).
+
+    When several sales share a reference, the return inherits from the one
+    with the smallest record id: one row per return, so the return amount is
+    counted once and a hot reference cannot fan out into sales x returns
+    rows. ``completeness`` reports how many returns had several candidates.
+    """
     raw = pos.select(
         F.concat(F.lit(PREFIX["pos"]), F.col("transaction_id")).alias("record_id"),
         F.lit("pos").alias("source_system"), *_keys(), "first_name", "last_name", *_raw(),
         "transaction_type", "staff_discount", "amount_gbp", "order_reference")
-    sales = raw.where(F.col("transaction_type") == "Sale").select(
-        "order_reference", *[F.col(c).alias(f"s_{c}") for c in
-                             ("email_norm", "phone_norm", "loyalty_id_norm", "first_name", "last_name")])
+    inherit = ("email_norm", "phone_norm", "loyalty_id_norm", "first_name", "last_name")
+    # one row per order reference (partial aggregation, skew-safe)
+    sales = (raw.where(F.col("transaction_type") == "Sale")
+             .groupBy("order_reference")
+             .agg(F.min(F.struct("record_id", *inherit)).alias("s"),
+                  F.count(F.lit(1)).alias("n_sales")))
     ret = raw.where(F.col("transaction_type") == "Return").join(sales, "order_reference", "left")
     fixed = ret.select(
         "record_id", "source_system",
-        F.coalesce("email_norm", "s_email_norm").alias("email_norm"),
-        F.coalesce("phone_norm", "s_phone_norm").alias("phone_norm"),
-        F.coalesce("loyalty_id_norm", "s_loyalty_id_norm").alias("loyalty_id_norm"),
-        F.coalesce(F.nullif("first_name", F.lit("")), "s_first_name").alias("first_name"),
-        F.coalesce(F.nullif("last_name", F.lit("")), "s_last_name").alias("last_name"),
+        F.coalesce("email_norm", "s.email_norm").alias("email_norm"),
+        F.coalesce("phone_norm", "s.phone_norm").alias("phone_norm"),
+        F.coalesce("loyalty_id_norm", "s.loyalty_id_norm").alias("loyalty_id_norm"),
+        F.coalesce(F.nullif("first_name", F.lit("")), "s.first_name").alias("first_name"),
+        F.coalesce(F.nullif("last_name", F.lit("")), "s.last_name").alias("last_name"),
         "raw_email", "raw_phone", "raw_loyalty_id", "transaction_type", "staff_discount",
-        "amount_gbp", "order_reference")
-    return raw.where(F.col("transaction_type") != "Return").select(*POS_COLS).unionByName(fixed)
+        "amount_gbp", "order_reference", F.coalesce("n_sales", F.lit(0)).alias("matched_sales"))
+    return (raw.where(F.col("transaction_type") != "Return").select(*POS_COLS)
+            .withColumn("matched_sales", F.lit(None).cast("long"))
+            .unionByName(fixed))
 
 
 @dataclass
@@ -335,14 +345,16 @@ def id_crosswalk(ids: DataFrame, customers: DataFrame) -> DataFrame:
 def completeness(st: Staged, ids: DataFrame, customers: DataFrame) -> DataFrame:
     """Q10: row counts per source and of the customer table, plus invariant
     checks: records without an id, records with more than one id, records
-    whose customer has no customer_360 row (return-only customers), and
-    return records that matched more than one sale."""
+    whose customer has no customer_360 row (return-only customers), returns
+    that matched no sale and returns whose reference had several sales."""
     records = all_records(st)
     per_record = records.join(ids, "record_id", "left").groupBy("record_id").agg(
-        F.countDistinct("omni_lookup_id").alias("k"), F.count(F.lit(1)).alias("rows"))
+        F.countDistinct("omni_lookup_id").alias("k"))
     counts = per_record.agg(F.count(F.when(F.col("k") == 0, 1)).alias("records_without_id"),
-                            F.count(F.when(F.col("k") > 1, 1)).alias("records_with_multiple_ids"),
-                            F.count(F.when(F.col("rows") > 1, 1)).alias("records_fanned_out"))
+                            F.count(F.when(F.col("k") > 1, 1)).alias("records_with_multiple_ids"))
+    rets = st.pos.where(F.col("transaction_type") == "Return").agg(
+        F.count(F.when(F.col("matched_sales") == 0, 1)).alias("returns_without_sale"),
+        F.count(F.when(F.col("matched_sales") > 1, 1)).alias("returns_with_several_sales"))
     orphan = (ids.join(customers.select("omni_lookup_id"), "omni_lookup_id", "left_anti")
               .agg(F.count(F.lit(1)).alias("records_without_customer_row")))
     srcs = records.agg(
@@ -352,7 +364,7 @@ def completeness(st: Staged, ids: DataFrame, customers: DataFrame) -> DataFrame:
     sales = st.pos.agg(F.count(F.when(F.col("transaction_type") == "Sale", 1)).alias("pos_sale_rows"))
     cust = customers.agg(F.count(F.lit(1)).alias("customer_360_rows"))
     out = srcs
-    for t in (sales, cust, counts, orphan):
+    for t in (sales, cust, counts, orphan, rets):
         out = const_key_join(out, t)
     return out
 
