@@ -76,8 +76,10 @@ def star_edges_to_labels(edges: DataFrame, max_rounds: int = MAX_ROUNDS,
     e = _orient(edges).checkpoint(eager=True)
     sig = _signature(e)
     for _ in range(max_rounds):
-        ls = _large_star(e, hot_rows, sig[0]).checkpoint(eager=True)
-        e2 = _small_star(ls, hot_rows, ls.count()).checkpoint(eager=True)
+        # large-star output has at most 2n edges; both steps run as one plan
+        # (the shared large-star exchange is reused) and one checkpoint
+        ls = _large_star(e, hot_rows, sig[0])
+        e2 = _small_star(ls, hot_rows, 2 * sig[0]).checkpoint(eager=True)
         sig2 = _signature(e2)
         e = e2
         if sig2 == sig:
