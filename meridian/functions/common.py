@@ -39,3 +39,8 @@ def const_key_join(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return (df.withColumn(k, F.lit(1))
             .join(F.broadcast(one_row.withColumn(k, F.lit(1))), k)
             .drop(k))
+
+
+def top_rows(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
+    """Preview: the first ``n`` rows in an explicit order (a top-n sort)."""
+    return df.orderBy(*order).limit(n)

@@ -376,3 +376,27 @@ def resolve(crm: DataFrame, online: DataFrame, pos: DataFrame,
     st = stage(crm, online, pos)
     ids = lookup_ids(components(all_records(st), hot_rows=hot_rows)).checkpoint(eager=True)
     return st, ids
+
+
+def materialise_customer_views(st: Staged, ids: DataFrame, path: str,
+                               list_limit: int = DEFAULT_LIST_LIMIT) -> tuple[DataFrame, DataFrame]:
+    """Write ``customer_360`` and the record -> id map as Parquet under
+    ``path`` (shared storage), then build the crosswalk from the stored
+    tables instead of re-running the matching. Returns ``(customer_360,
+    crosswalk)`` read back from storage."""
+    from meridian.sources.io import materialise
+    c360 = materialise(customer_360(st, ids, list_limit), f"{path}/customer_360")
+    stored_ids = materialise(ids, f"{path}/record_to_customer")
+    cw = materialise(id_crosswalk(stored_ids, c360), f"{path}/id_crosswalk")
+    return c360, cw
+
+
+def crosswalk_from_lists(c360: DataFrame) -> DataFrame:
+    """Crosswalk from a stored customer table alone: split the audit list
+    into one row per record id (lateral split + explode + trim), tag each by
+    its prefix, pivot CRM/online ids by conditional max and left-join the POS
+    ids. Equals ``id_crosswalk`` for customers whose list was built."""
+    exploded = (c360.where(F.col("matched_source_record_ids").isNotNull())
+                .select("omni_lookup_id", F.explode(F.split("matched_source_record_ids", ";")).alias("_id"))
+                .select("omni_lookup_id", F.trim("_id").alias("record_id")))
+    return id_crosswalk(exploded, c360)

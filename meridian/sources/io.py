@@ -34,6 +34,11 @@ def read_cohort_events(spark: SparkSession, path: str) -> DataFrame:
                           "churned_month_offset")
 
 
+def read_cac_inputs(spark: SparkSession, spend_path: str, ramp_path: str) -> tuple[DataFrame, DataFrame]:
+    """Two-table load: (marketing spend by month and side, host ramp panel)."""
+    return read_csv(spark, spend_path, schemas.CAC_SPEND), read_csv(spark, ramp_path, schemas.HOST_RAMP)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan of one driver table; Catalyst prunes columns and pushes filters."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

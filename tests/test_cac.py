@@ -32,3 +32,12 @@ def test_missing_steady_month_is_null(fx):
     from pyspark.sql import functions as F
     df = fx("host_ramp").where(F.col("month_since_signup") != 5)
     assert one(cac.ramp_shortfall(df)).shortfall is None
+
+
+def test_two_table_load(spark):
+    import os
+    from conftest import FIX
+    from meridian.sources.io import read_cac_inputs
+    spend, ramp = read_cac_inputs(spark, os.path.join(FIX, "marketing_spend_acquisitions.csv"),
+                                  os.path.join(FIX, "host_ramp_productivity.csv"))
+    assert (spend.count(), ramp.count()) == (12, 300)
