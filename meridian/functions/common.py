@@ -32,13 +32,11 @@ def ratio_pct_half_up(active: Column, total: Column, digits: int = 1) -> Column:
     return F.when(t > 0, num / F.lit(float(scale)))
 
 
-def const_key_join(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row result (a fitted scalar such as a mean
-    or a coefficient) to every row: broadcast equi-join on a constant key."""
-    k = "__one"
-    return (df.withColumn(k, F.lit(1))
-            .join(F.broadcast(one_row.withColumn(k, F.lit(1))), k)
-            .drop(k))
+def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Attach the columns of a one-row result (a fitted mean, a coefficient,
+    a global count) to every row as uncorrelated scalar subqueries: no join;
+    Spark merges the subqueries into one aggregate and runs it once."""
+    return df.select("*", *[one_row.select(c).scalar().alias(c) for c in one_row.columns])
 
 
 def top_rows(df: DataFrame, n: int, *order: str | Column) -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.functions.common import const_key_join, safe_div
+from meridian.functions.common import attach_scalars, safe_div
 
 RAMP_MONTHS = 4
 STEADY_STATE_MONTHS = (4, 5, 6)
@@ -46,7 +46,7 @@ def ramp_curve(ramp_df: DataFrame, steady_months: Sequence[int] = STEADY_STATE_M
                month: str = "month_since_signup", revenue: str = "monthly_revenue") -> DataFrame:
     """Q32: ``(month, avg_revenue, steady_state, pct_of_steady_state)``."""
     bm = by_month(ramp_df, month, revenue)
-    out = const_key_join(bm, steady_state(bm, steady_months))
+    out = attach_scalars(bm, steady_state(bm, steady_months))
     return out.withColumn("pct_of_steady_state",
                           F.round(safe_div(F.col("avg_revenue"), F.col("steady_state")) * 100, 1))
 
@@ -56,7 +56,7 @@ def _shortfall(bm: DataFrame, ss: DataFrame, ramp_months: int) -> DataFrame:
     # greatest() skips NULLs, so guard the missing-steady-state case explicitly
     gap = F.when(F.col("steady_state").isNotNull(),
                  F.greatest(F.col("steady_state") - F.col("avg_revenue"), F.lit(0.0)))
-    return const_key_join(bm, ss).agg(
+    return attach_scalars(bm, ss).agg(
         # every ramp month must be present, as in the month-indexed lookup it restates
         F.when(F.count(F.when(in_ramp, F.lit(1))) == ramp_months,
                F.sum(F.when(in_ramp, gap))).alias("shortfall"),
@@ -80,7 +80,7 @@ def effective_cac(spend_df: DataFrame, ramp_df: DataFrame, supply_side: str = "h
     effective = round(rounded nominal + unrounded shortfall, 2)."""
     nom = nominal_cac(spend_df).select("side", "nominal_cac")
     sf = ramp_shortfall(ramp_df, ramp_months, steady_months).select("shortfall")
-    eff = const_key_join(nom, sf).select(
+    eff = attach_scalars(nom, sf).select(
         "side", "nominal_cac",
         F.when(F.col("side") == supply_side,
                F.round(F.col("nominal_cac") + F.col("shortfall"), 2))
@@ -90,7 +90,7 @@ def effective_cac(spend_df: DataFrame, ramp_df: DataFrame, supply_side: str = "h
     ratios = eff.agg(
         safe_div(pick("nominal_cac", supply_side), pick("nominal_cac", demand_side)).alias("nominal_ratio"),
         safe_div(pick("effective_cac", supply_side), pick("effective_cac", demand_side)).alias("effective_ratio"))
-    return const_key_join(eff, ratios)
+    return attach_scalars(eff, ratios)
 
 
 def churn_replacement_cost(spend_df: DataFrame, ramp_df: DataFrame, supply_side: str = "host",
@@ -114,9 +114,9 @@ def ramp_compression(ramp_df: DataFrame, compression: float = 0.5, ramp_months:
     src = F.bround(F.least(F.col("m") / F.lit(compression), F.lit(float(max_month))), 0).cast("long")
     grid = spark.range(1, ramp_months + 1).select(F.col("id").alias("m")).select("m", src.alias("month"))
     looked = (grid.join(F.broadcast(bm), "month", "left"))
-    looked = const_key_join(looked, ss)
+    looked = attach_scalars(looked, ss)
     rev = F.coalesce(F.col("avg_revenue"), F.col("steady_state"))
     gap = F.when(F.col("steady_state").isNotNull(), F.greatest(F.col("steady_state") - rev, F.lit(0.0)))
     comp = looked.agg(F.sum(gap).alias("compressed_shortfall"))
-    out = const_key_join(original, comp)
+    out = attach_scalars(original, comp)
     return out.withColumn("value_unlocked", F.col("original_shortfall") - F.col("compressed_shortfall"))

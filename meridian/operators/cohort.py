@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meridian.functions.common import const_key_join, ratio_pct_half_up
+from meridian.functions.common import attach_scalars, ratio_pct_half_up
 
 
 def _month_date(c: Column) -> Column:
@@ -67,7 +67,7 @@ def retention_at_tenure(df: DataFrame, as_of: str, tenure: int = 1, **kw) -> Dat
     """Q12: ``(cohort, pct, decline_first_to_last)`` for cohorts old enough."""
     r = retention_long(df, as_of, tenure, **kw).where(F.col("tenure") == tenure).select("cohort", "pct")
     ends = r.agg((F.min_by("pct", "cohort") - F.max_by("pct", "cohort")).alias("_d"))
-    return const_key_join(r, ends.select(F.round("_d", 1).alias("decline_first_to_last")))
+    return attach_scalars(r, ends.select(F.round("_d", 1).alias("decline_first_to_last")))
 
 
 def calendar_months(first: str, as_of: str) -> list[str]:
@@ -128,7 +128,7 @@ def mix_shift_projection(df: DataFrame, as_of: str, recovered_rate: float = 96,
     r = retention_at_tenure(df, as_of, tenure, **kw)
     before = r.agg(F.avg("pct").alias("before"))
     cc = cohort_counts(df, 0, **kw).agg(F.sum("n").alias("_total"))
-    t = const_key_join(before, cc)
+    t = attach_scalars(before, cc)
     after = ((F.col("before") * F.col("_total") + F.lit(float(recovered_rate * new_cohort_size)))
              / (F.col("_total") + F.lit(new_cohort_size)))
     return t.select("before", after.alias("after"), (after - F.col("before")).alias("movement"))

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meridian.functions.common import const_key_join, safe_div
+from meridian.functions.common import attach_scalars, safe_div
 from meridian.functions.stats import pooled_t, t_pvalue
 
 MISSING_X_MODES = ("drop", "no_adjust")
@@ -56,7 +56,7 @@ def cuped_adjusted(df: DataFrame, x: str = "x_pre_sessions", y: str = "y_post_se
     fit = cuped_theta(df, x, y, missing_x).select(F.col("theta").alias("_theta"),
                                                    F.col("x_mean").alias("_xm"))
     adj = F.coalesce(F.col("_theta") * (F.col(x) - F.col("_xm")), F.lit(0.0))
-    return (const_key_join(base, fit)
+    return (attach_scalars(base, fit)
             .withColumn("adjustment", adj)
             .withColumn("y_adjusted", F.col(y) - F.col("adjustment"))
             .drop("_theta", "_xm"))
@@ -67,6 +67,9 @@ def cuped_ttest(df: DataFrame, x: str = "x_pre_sessions", y: str = "y_post_sessi
                 missing_x: str = "drop", with_p: bool = True) -> DataFrame:
     """Q18: rows ``variant in (raw, adjusted)`` with control/treatment mean,
     effect, sample variances, pooled t and (optionally) the two-sided p."""
+    if missing_x == "no_adjust":
+        # the one-scan shortcut needs complete rows; rows without x keep y there
+        raise NotImplementedError("cuped_ttest supports missing_x='drop'; use cuped_adjusted + arm_ttest")
     base = _complete(df, x, y, missing_x)
     xc, yc = F.col(x).cast("double"), F.col(y).cast("double")
     aggs = [F.avg(xc).alias("xbar"), safe_div(F.covar_pop(xc, yc), F.var_pop(xc)).alias("theta")]
@@ -78,9 +81,6 @@ def cuped_ttest(df: DataFrame, x: str = "x_pre_sessions", y: str = "y_post_sessi
                  F.var_samp(xa).alias(f"vx_{tag}"), F.covar_samp(xa, ya).alias(f"cxy_{tag}")]
     m = base.agg(*aggs)
     th = F.coalesce(F.col("theta"), F.lit(0.0))
-    if missing_x == "no_adjust":
-        # rows without x keep y; the linear shortcut needs complete rows
-        raise NotImplementedError("cuped_ttest supports missing_x='drop'; use cuped_adjusted + arm_ttest")
 
     def stats(variant: str, mean_c, mean_t, var_c, var_t) -> Column:
         t = pooled_t(F.col("n_c"), mean_c, var_c, F.col("n_t"), mean_t, var_t)

@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meridian.functions.common import const_key_join
+from meridian.functions.common import attach_scalars
 from meridian.functions.joins import DEFAULT_HOT_ROWS, hot_split_join
 from meridian.functions.ranking import dense_rank_values
 from meridian.operators.graph import connected_components
@@ -365,7 +365,7 @@ def completeness(st: Staged, ids: DataFrame, customers: DataFrame) -> DataFrame:
     cust = customers.agg(F.count(F.lit(1)).alias("customer_360_rows"))
     out = srcs
     for t in (sales, cust, counts, orphan, rets):
-        out = const_key_join(out, t)
+        out = attach_scalars(out, t)
     return out
 
 
