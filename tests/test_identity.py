@@ -133,3 +133,43 @@ def test_save_table_sink(spark, resolved):
         assert t.count() == 16
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _union_find(records):
+    parent = {}
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for r in records:
+        parent.setdefault(r[0], r[0])
+    first = {}
+    for rid, *keys in records:
+        for kind, v in enumerate(keys):
+            if v is None:
+                continue
+            if (kind, v) in first:
+                a, b = find(first[(kind, v)]), find(rid)
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+            else:
+                first[(kind, v)] = rid
+    return {r: find(r) for r in parent}
+
+
+def test_hot_key_components_match_brute_force(spark):
+    # a third of the records share one placeholder phone (hot key path forced)
+    rows = []
+    for i in range(30_000):
+        phone = "0000" if i % 3 == 0 else None
+        email = f"e{i // 2}" if i % 3 else None
+        loyalty = f"L{i // 7}" if i % 5 == 0 else None
+        rows.append((f"R{i:06d}", email, phone, loyalty))
+    rec = spark.createDataFrame([(r, "pos", e, p, l) for r, e, p, l in rows],
+                                "record_id string, source_system string, email_norm string, "
+                                "phone_norm string, loyalty_id_norm string")
+    got = {r.record_id: r.component_root for r in idn.components(rec, hot_rows=1_000).collect()}
+    assert got == _union_find(rows)
