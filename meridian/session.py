@@ -23,6 +23,24 @@ RECOMMENDED_CONF = {
 }
 
 
+# Starting point for a large cluster (hundreds of executors, ~100 TB input).
+# Partition sizes are what matters: scan splits and post-shuffle partitions of
+# a few hundred MB fit in executor memory, AQE coalesces small ones and splits
+# skewed ones, and the initial shuffle width is high enough that no
+# pre-coalesce partition is huge.
+CLUSTER_CONF = {
+    **RECOMMENDED_CONF,
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    # broadcast only what is provably small; larger sides use shuffled joins
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+}
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "meridian", extra: dict | None = None) -> SparkSession:
     """Local session for tests and the bench (the UI is kept off)."""
