@@ -37,3 +37,38 @@ def test_hot_hub_uses_split_join(spark):
     e = spark.range(1, 5001).select(F.lit("S00000").alias("a"), F.format_string("S%05d", "id").alias("b"))
     out = connected_components(n, e, hot_rows=100)
     assert out.where(F.col("root") != "S00000").count() == 0
+
+
+def _uf(nodes, edges):
+    parent = {n: n for n in nodes}
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        ra, rb = find(a), find(b)
+        if ra != rb:
+            parent[max(ra, rb)] = min(ra, rb)
+    return {n: find(n) for n in nodes}
+
+
+def test_random_graphs_match_union_find(spark):
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    names = [f"n{i:02d}" for i in range(25)]
+
+    @settings(max_examples=8, deadline=None, derandomize=True)
+    @given(st.lists(st.tuples(st.sampled_from(names), st.sampled_from(names)), max_size=40),
+           st.randoms(use_true_random=False))
+    def check(edges, rnd):
+        expected = _uf(names, edges)
+        shuffled = [(b, a) if rnd.random() < 0.5 else (a, b) for a, b in edges]
+        rnd.shuffle(shuffled)
+        assert _cc(spark, names, edges) == expected
+        assert _cc(spark, list(reversed(names)), shuffled) == expected
+
+    check()
