@@ -374,6 +374,9 @@ def resolve(crm: DataFrame, online: DataFrame, pos: DataFrame,
     """Stage the channels and build the materialised ``record -> customer
     id`` map (checkpointed: it feeds every roll-up)."""
     st = stage(crm, online, pos)
+    # the repaired POS table (a join) feeds the graph and every roll-up:
+    # write it once instead of recomputing the repair for each consumer
+    st = Staged(st.crm, st.online, st.pos.checkpoint(eager=True))
     ids = lookup_ids(components(all_records(st), hot_rows=hot_rows)).checkpoint(eager=True)
     return st, ids
 
