@@ -222,9 +222,10 @@ IDENTITY_FIELDS = ["first_name", "last_name", "email", "phone", "loyalty_id", "a
                    "postcode", "country", "signup_channel", "email_consent", "sms_consent"]
 
 
-def match_quality(records: DataFrame, ids: DataFrame) -> DataFrame:
-    """Q5: distinct normalised e-mails / phones per customer and the flag."""
-    j = records.select("record_id", "email_norm", "phone_norm").join(ids, "record_id")
+def match_quality(records: DataFrame, ids: DataFrame | None = None) -> DataFrame:
+    """Q5: distinct normalised e-mails / phones per customer and the flag.
+    ``records`` already carrying ``omni_lookup_id`` are used as they are."""
+    j = records if ids is None else records.select("record_id", "email_norm", "phone_norm").join(ids, "record_id")
     q = j.groupBy("omni_lookup_id").agg(F.countDistinct("email_norm").alias("distinct_emails"),
                                         F.countDistinct("phone_norm").alias("distinct_phones"))
     flag = F.when((F.col("distinct_emails") > 1) | (F.col("distinct_phones") > 1), F.lit(REVIEW_FLAG)) \
@@ -253,6 +254,7 @@ def _rollup(detail_ids: DataFrame) -> DataFrame:
 
 
 def _record_lists(ids: DataFrame, counts: DataFrame, list_limit: int) -> DataFrame:
+    # ids: any (omni_lookup_id, record_id) rows, one per record
     """Sorted ``'; '``-joined record ids for customers with at most
     ``list_limit`` records (bounded per-group collection)."""
     small = counts.where(F.col("n_source_records") <= list_limit).select("omni_lookup_id")
@@ -267,11 +269,13 @@ def customer_360(st: Staged, ids: DataFrame, list_limit: int = DEFAULT_LIST_LIMI
     record, with the highest-priority source's identity fields (whole row of
     the best record, ties broken by record id), channel activity, spend,
     flags, match confidence and the audit list of merged record ids."""
-    records = all_records(st)
+    # one join of the records with their customer id feeds every roll-up
+    # (the shuffle is shared by the three aggregates below)
     detail_ids = record_detail(st).join(ids, "record_id")
     r = _rollup(detail_ids).where(F.col("best").isNotNull())
-    q = match_quality(records, ids).select("omni_lookup_id", "match_confidence")
-    lists = _record_lists(ids, r.select("omni_lookup_id", "n_source_records"), list_limit)
+    q = match_quality(detail_ids).select("omni_lookup_id", "match_confidence")
+    lists = _record_lists(detail_ids.select("omni_lookup_id", "record_id"),
+                          r.select("omni_lookup_id", "n_source_records"), list_limit)
     has_onl = F.coalesce(F.col("has_online"), F.lit(0))
     has_pos = F.coalesce(F.col("has_instore"), F.lit(0))
     out = r.join(q, "omni_lookup_id", "left").join(lists, "omni_lookup_id", "left")
