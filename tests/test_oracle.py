@@ -20,7 +20,7 @@ def test_all_queries_match_oracle(spark):
 def test_every_query_but_nonsql_has_oracle():
     import __spark_entry__ as E
     missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing == {"segment_kmeans", "cuped_ttest_pvalue"}
+    assert missing == {"segment_kmeans"}
 
 
 def test_entry_smoke(spark):
