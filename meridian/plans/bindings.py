@@ -79,15 +79,20 @@ def online(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order is a till transaction: every 40th order is the return of
+    the previous order's receipt (blank identity, negated amount), all others
+    are sales. Which identity fields a sale captured depends on the order key
+    (phone, loyalty id, or neither); every 25th loyalty capture is mistyped as
+    the next customer's id, which joins neighbouring customers."""
     o = _t(spark, sf_dir, "orders")
     k, ck = F.col("o_orderkey"), F.col("o_custkey")
-    sale, ret = (k % 10 == 5), (k % 40 == 0)
+    ret = k % 40 == 0
+    sale = ~ret
     blank = F.lit("")
-    phone = F.when(sale & (k % 3 == 1), F.concat(F.lit("07"), ck.cast("string"))).when(ret, blank)
-    loyalty = (F.when(sale & (k % 3 != 1) & (k % 7 != 0),
-                      loyalty_code(F.when(k % 25 == 0, ck + 1).otherwise(ck)))
-               .when(ret, blank))
-    return o.where(sale | ret).select(
+    phone = F.when(ret, blank).when(k % 3 == 1, F.concat(F.lit("07"), ck.cast("string")))
+    loyalty = (F.when(ret, blank)
+               .when((k % 3 != 1) & (k % 7 != 0), loyalty_code(F.when(k % 25 == 0, ck + 1).otherwise(ck))))
+    return o.select(
         k.cast("string").alias("transaction_id"),
         F.concat(F.lit("S"), (k % 7).cast("string")).alias("store_location"),
         F.to_date("o_orderdate").alias("transaction_date"),
@@ -99,7 +104,7 @@ def pos(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 60 == 5, F.lit("Yes")).otherwise(F.lit("No")).alias("staff_discount"),
         F.when(sale, F.lit("Sale")).otherwise(F.lit("Return")).alias("transaction_type"),
         F.when(sale, F.col("o_totalprice")).otherwise(-F.col("o_totalprice")).alias("amount_gbp"),
-        F.concat(F.lit("RCT-"), F.expr("o_orderkey div 10").cast("string")).alias("order_reference"))
+        F.concat(F.lit("RCT-"), F.when(ret, k - 1).otherwise(k).cast("string")).alias("order_reference"))
 
 
 # --------------------------------------------------------------------------- cohort (B4)

@@ -193,8 +193,10 @@ def q_carryover_curve(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------- cohort (B4)
-COHORT = dict(first_cohort="1995-01", last_cohort="1995-12")
-AS_OF = "1996-01"
+# every signup cohort in the data; observation ends at the last data month
+COHORT: dict = {}
+AS_OF = "2001-08"
+DATA_START = "1995-01"
 
 
 @query("retention_matrix")
@@ -209,7 +211,8 @@ def q_retention_at_tenure(spark, sf_dir):
 
 @query("blended_active_rate")
 def q_blended_active_rate(spark, sf_dir):
-    return cohort.blended_active_rate(B.host_cohort_events(spark, sf_dir), as_of=AS_OF, **COHORT)
+    return cohort.blended_active_rate(B.host_cohort_events(spark, sf_dir), first_cohort=DATA_START,
+                                      as_of=AS_OF, **COHORT)
 
 
 @query("vintage_decline")
