@@ -8,7 +8,9 @@ dozen rounds where plain min-label propagation needs 10^4.
 
 Edges are kept as ``(child, parent)`` with ``parent < child``. At the fixed
 point every component is a star around its smallest node, so each node's
-label is its parent (or itself when it has no parent). Labels are the
+label is its parent (or itself when it has no parent). The loop stops as soon
+as the edge set is such a star forest (checked by one aggregate), so an input
+that is already star-shaped needs no round at all. Labels are the
 minimum node id of the component, which is what the identity operators need
 (string ids compare in binary order).
 
@@ -60,11 +62,16 @@ def _small_star(e: DataFrame, hot_rows: int, n_edges: int) -> DataFrame:
     return _orient(moved)
 
 
-def _signature(e: DataFrame) -> tuple:
-    h = F.xxhash64("child", "parent")
-    r = e.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("x"),
-              F.sum((h % 1000003).cast("long")).alias("s")).collect()[0]
-    return (r["n"], r["x"], r["s"])
+def _is_star_forest(e: DataFrame) -> bool:
+    """True when every child has exactly one parent and no parent is also a
+    child: each component is then a star around its smallest node, which is
+    exactly the fixed point of the iteration. One aggregate keyed by node."""
+    roles = (e.select(F.col("child").alias("node"), F.lit(1).alias("as_child"), F.lit(0).alias("as_parent"))
+             .unionByName(e.select(F.col("parent").alias("node"), F.lit(0).alias("as_child"),
+                                   F.lit(1).alias("as_parent"))))
+    per = roles.groupBy("node").agg(F.sum("as_child").alias("c"), F.max("as_parent").alias("p"))
+    bad = per.where((F.col("c") > 1) | ((F.col("c") >= 1) & (F.col("p") == 1))).limit(1)
+    return bad.count() == 0
 
 
 def star_edges_to_labels(edges: DataFrame, max_rounds: int = MAX_ROUNDS,
@@ -74,20 +81,18 @@ def star_edges_to_labels(edges: DataFrame, max_rounds: int = MAX_ROUNDS,
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
     e = _orient(edges).checkpoint(eager=True)
-    sig = _signature(e)
-    for _ in range(max_rounds):
+    rounds = 0
+    while not _is_star_forest(e):
+        if rounds == max_rounds:
+            raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
         # large-star output has at most 2n edges; both steps run as one plan
         # (the shared large-star exchange is reused) and one checkpoint
-        ls = _large_star(e, hot_rows, sig[0])
-        e2 = _small_star(ls, hot_rows, 2 * sig[0]).checkpoint(eager=True)
-        sig2 = _signature(e2)
-        e = e2
-        if sig2 == sig:
-            nodes = e.select(F.col("parent").alias("node")).distinct()
-            return (e.select(F.col("child").alias("node"), F.col("parent").alias("root"))
-                    .unionByName(nodes.select("node", F.col("node").alias("root"))))
-        sig = sig2
-    raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
+        n = e.count()
+        e = _small_star(_large_star(e, hot_rows, n), hot_rows, 2 * n).checkpoint(eager=True)
+        rounds += 1
+    roots = e.select(F.col("parent").alias("node")).distinct()
+    return (e.select(F.col("child").alias("node"), F.col("parent").alias("root"))
+            .unionByName(roots.select("node", F.col("node").alias("root"))))
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node",
