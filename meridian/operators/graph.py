@@ -62,16 +62,19 @@ def _small_star(e: DataFrame, hot_rows: int, n_edges: int) -> DataFrame:
     return _orient(moved)
 
 
-def _is_star_forest(e: DataFrame) -> bool:
-    """True when every child has exactly one parent and no parent is also a
-    child: each component is then a star around its smallest node, which is
-    exactly the fixed point of the iteration. One aggregate keyed by node."""
+def _star_check(e: DataFrame) -> tuple[bool, int]:
+    """``(is_star_forest, n_edges)``. A star forest: every child has exactly
+    one parent and no parent is also a child, so each component is a star
+    around its smallest node (the fixed point of the iteration). One
+    aggregate keyed by node, then one global sum."""
     roles = (e.select(F.col("child").alias("node"), F.lit(1).alias("as_child"), F.lit(0).alias("as_parent"))
              .unionByName(e.select(F.col("parent").alias("node"), F.lit(0).alias("as_child"),
                                    F.lit(1).alias("as_parent"))))
     per = roles.groupBy("node").agg(F.sum("as_child").alias("c"), F.max("as_parent").alias("p"))
-    bad = per.where((F.col("c") > 1) | ((F.col("c") >= 1) & (F.col("p") == 1))).limit(1)
-    return bad.count() == 0
+    bad = (F.col("c") > 1) | ((F.col("c") >= 1) & (F.col("p") == 1))
+    r = per.agg(F.count(F.when(bad, F.lit(1))).alias("bad"),
+                F.coalesce(F.sum("c"), F.lit(0)).alias("n")).collect()[0]
+    return r["bad"] == 0, int(r["n"])
 
 
 def star_edges_to_labels(edges: DataFrame, max_rounds: int = MAX_ROUNDS,
@@ -82,14 +85,15 @@ def star_edges_to_labels(edges: DataFrame, max_rounds: int = MAX_ROUNDS,
     ensure_checkpoint_dir(spark)
     e = _orient(edges).checkpoint(eager=True)
     rounds = 0
-    while not _is_star_forest(e):
+    done, n = _star_check(e)
+    while not done:
         if rounds == max_rounds:
             raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
         # large-star output has at most 2n edges; both steps run as one plan
         # (the shared large-star exchange is reused) and one checkpoint
-        n = e.count()
         e = _small_star(_large_star(e, hot_rows, n), hot_rows, 2 * n).checkpoint(eager=True)
         rounds += 1
+        done, n = _star_check(e)
     roots = e.select(F.col("parent").alias("node")).distinct()
     return (e.select(F.col("child").alias("node"), F.col("parent").alias("root"))
             .unionByName(roots.select("node", F.col("node").alias("root"))))
