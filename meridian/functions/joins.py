@@ -31,7 +31,9 @@ def hot_split_join(big: DataFrame, dim: DataFrame, on: Sequence[str], weight: st
 
     ``weight`` is a column of ``dim`` holding how many ``big`` rows carry the
     key (typically the ``count`` computed while building ``dim``). It is
-    dropped from the result. ``how`` is ``inner`` or ``left``.
+    dropped from the result. ``how`` is ``inner`` or ``left``. When the row
+    count of ``big`` is already known (``big_rows``) and no key can exceed
+    ``hot_rows``, the check is skipped.
     """
     on = list(on)
     dim_cols = dim.drop(weight)
