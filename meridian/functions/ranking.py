@@ -18,24 +18,29 @@ from meridian.session import ensure_checkpoint_dir
 
 
 def dense_rank_values(df: DataFrame, col: str, rank_col: str = "rank",
-                      num_partitions: int | None = None) -> tuple[DataFrame, int]:
-    """Return ``(distinct values of col with a 1-based dense rank, n)``."""
+                      num_partitions: int | None = None,
+                      count_col: str | None = None) -> tuple[DataFrame, int]:
+    """Return ``(distinct values of col with a 1-based dense rank, n)``; with
+    ``count_col`` each value also carries how many rows of ``df`` hold it."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    vals = (df.select(col).where(F.col(col).isNotNull()).distinct()
+    # map-side de-duplication first: a value held by a third of the rows
+    # collapses before the shuffle
+    vals = (df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_cnt"))
             .repartitionByRange(n_parts, col).sortWithinPartitions(col)
-            .select(col, F.spark_partition_id().alias("_pid"),
+            .select(col, "_cnt", F.spark_partition_id().alias("_pid"),
                     F.monotonically_increasing_id().alias("_mid"))
             .checkpoint(eager=True))
     sizes = {r["_pid"]: r["n"] for r in vals.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect()}
     pids = sorted(sizes)
     starts = [0, *accumulate(sizes[p] for p in pids)][:-1]
     total = sum(sizes.values())
+    extra = [F.col("_cnt").alias(count_col)] if count_col else []
     if not pids:
-        return vals.select(col, F.lit(None).cast("long").alias(rank_col)).limit(0), 0
+        return vals.select(col, F.lit(None).cast("long").alias(rank_col), *extra).limit(0), 0
     offsets = spark.createDataFrame(list(zip(pids, starts)), "_pid int, _off long")
     pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     ranked = (vals.join(F.broadcast(offsets), "_pid")
-              .select(col, (F.col("_off") + pos + 1).alias(rank_col)))
+              .select(col, (F.col("_off") + pos + 1).alias(rank_col), *extra))
     return ranked, total

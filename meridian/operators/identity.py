@@ -178,18 +178,21 @@ def components(records: DataFrame, edges: DataFrame | None = None,
     return cc.select(F.col("node").alias("record_id"), F.col("root").alias("component_root"))
 
 
-def lookup_ids(canonical: DataFrame, width: int | None = None) -> DataFrame:
+def lookup_ids(canonical: DataFrame, width: int | None = None,
+               hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Q4: ``(record_id, omni_lookup_id)``: ``OID-`` + zero-padded dense rank
     of the component root. The width grows past 5 digits instead of
     truncating (which would silently merge customers)."""
-    ranked, n = dense_rank_values(canonical, "component_root", "_rank")
+    ranked, n = dense_rank_values(canonical, "component_root", "_rank", count_col="_size")
     w = width or max(MIN_ID_WIDTH, len(str(n)))
     if len(str(n)) > w:
         raise ValueError(f"{n} customers do not fit in {w} digits")
-    ids = ranked.select("component_root",
+    ids = ranked.select("component_root", "_size",
                         F.concat(F.lit(ID_PREFIX), F.lpad(F.col("_rank").cast("string"), w, "0"))
                         .alias("omni_lookup_id"))
-    return canonical.join(ids, "component_root").select("record_id", "omni_lookup_id")
+    # a giant component's records all carry one root: split that key off
+    return (hot_split_join(canonical, ids, ["component_root"], "_size", hot_rows)
+            .select("record_id", "omni_lookup_id"))
 
 
 # --------------------------------------------------------------------------- per-customer roll-ups
@@ -235,7 +238,7 @@ def match_quality(records: DataFrame, ids: DataFrame | None = None) -> DataFrame
 
 def _rollup(detail_ids: DataFrame) -> DataFrame:
     """One aggregate per customer: best identity row, channel activity and
-    the record count (plus the sorted record list for small customers)."""
+    the record count."""
     is_onl = F.col("source_system") == "online"
     is_pos = F.col("source_system") == "pos"
     best = F.min(F.when(F.col("source_priority").isNotNull(),
@@ -254,9 +257,9 @@ def _rollup(detail_ids: DataFrame) -> DataFrame:
 
 
 def _record_lists(ids: DataFrame, counts: DataFrame, list_limit: int) -> DataFrame:
-    # ids: any (omni_lookup_id, record_id) rows, one per record
-    """Sorted ``'; '``-joined record ids for customers with at most
-    ``list_limit`` records (bounded per-group collection)."""
+    """Sorted ``'; '``-joined record ids (from ``(omni_lookup_id, record_id)``
+    rows) for customers with at most ``list_limit`` records: a bounded
+    per-group collection."""
     small = counts.where(F.col("n_source_records") <= list_limit).select("omni_lookup_id")
     return (ids.join(small, "omni_lookup_id", "left_semi")
             .groupBy("omni_lookup_id")
@@ -322,7 +325,7 @@ def channel_activity(st: Staged, ids: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- Q9, Q10
-def id_crosswalk(ids: DataFrame, customers: DataFrame) -> DataFrame:
+def id_crosswalk(ids: DataFrame, customers: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Q9: ``(omni_lookup_id, loyalty_id, online_customer_id,
     pos_transaction_id)``: one row per POS record of a customer, or one row
     with a NULL transaction when the customer has none. The native id is
@@ -338,12 +341,21 @@ def id_crosswalk(ids: DataFrame, customers: DataFrame) -> DataFrame:
         native = F.when(hit, rest) if native is None else native.when(hit, rest)
     tagged = (ids.join(customers.select("omni_lookup_id"), "omni_lookup_id", "left_semi")
               .select("omni_lookup_id", system.alias("source_system"), native.alias("native_id")))
+    is_pos = F.col("source_system") == "pos"
     scalars = tagged.groupBy("omni_lookup_id").agg(
         F.max(F.when(F.col("source_system") == "crm", F.col("native_id"))).alias("loyalty_id"),
-        F.max(F.when(F.col("source_system") == "online", F.col("native_id"))).alias("online_customer_id"))
-    pos = tagged.where(F.col("source_system") == "pos").select(
-        "omni_lookup_id", F.col("native_id").alias("pos_transaction_id"))
-    return scalars.join(pos, "omni_lookup_id", "left")
+        F.max(F.when(F.col("source_system") == "online", F.col("native_id"))).alias("online_customer_id"),
+        F.count(F.when(is_pos, F.lit(1))).alias("_n_pos"))
+    pos = tagged.where(is_pos).select("omni_lookup_id", F.col("native_id").alias("pos_transaction_id"))
+    # POS rows carry the customer's scalars (many-to-one; a customer with a
+    # huge number of transactions is joined map-side), customers without POS
+    # keep one row with a NULL transaction
+    with_pos = hot_split_join(pos, scalars, ["omni_lookup_id"], "_n_pos", hot_rows)
+    without = scalars.where(F.col("_n_pos") == 0).select(
+        "omni_lookup_id", "loyalty_id", "online_customer_id",
+        F.lit(None).cast("string").alias("pos_transaction_id"))
+    cols = ["omni_lookup_id", "loyalty_id", "online_customer_id", "pos_transaction_id"]
+    return with_pos.select(cols).unionByName(without.select(cols))
 
 
 def completeness(st: Staged, ids: DataFrame, customers: DataFrame) -> DataFrame:
@@ -381,7 +393,7 @@ def resolve(crm: DataFrame, online: DataFrame, pos: DataFrame,
     # the repaired POS table (a join) feeds the graph and every roll-up:
     # write it once instead of recomputing the repair for each consumer
     st = Staged(st.crm, st.online, st.pos.checkpoint(eager=True))
-    ids = lookup_ids(components(all_records(st), hot_rows=hot_rows)).checkpoint(eager=True)
+    ids = lookup_ids(components(all_records(st), hot_rows=hot_rows), hot_rows=hot_rows).checkpoint(eager=True)
     return st, ids
 
 

@@ -173,3 +173,12 @@ def test_hot_key_components_match_brute_force(spark):
                                 "phone_norm string, loyalty_id_norm string")
     got = {r.record_id: r.component_root for r in idn.components(rec, hot_rows=1_000).collect()}
     assert got == _union_find(rows)
+
+
+def test_hot_paths_give_same_ids_and_crosswalk(fx, resolved):
+    st, ids, c360 = resolved
+    st2, ids2 = idn.resolve(fx("crm"), fx("online"), fx("pos"), hot_rows=1)
+    assert {tuple(r) for r in ids2.collect()} == {tuple(r) for r in ids.collect()}
+    a = {tuple(r) for r in idn.id_crosswalk(ids, c360, hot_rows=1).collect()}
+    b = {tuple(r) for r in idn.id_crosswalk(ids, c360).collect()}
+    assert a == b
