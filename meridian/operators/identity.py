@@ -297,12 +297,31 @@ def customer_360(st: Staged, ids: DataFrame, list_limit: int = DEFAULT_LIST_LIMI
         "match_confidence", "matched_source_record_ids", "n_source_records")
 
 
-def best_identity(st: Staged, ids: DataFrame) -> DataFrame:
-    """Q6: ``(omni_lookup_id, source_priority, record_id, identity fields)``."""
-    b = (record_detail(st).join(ids, "record_id").where(F.col("source_priority").isNotNull())
-         .groupBy("omni_lookup_id")
-         .agg(F.min(F.struct("source_priority", "record_id", *IDENTITY_FIELDS)).alias("best")))
-    return b.select("omni_lookup_id", "best.*")
+def best_identity(st: Staged, ids: DataFrame, field_level: bool = False) -> DataFrame:
+    """Q6: ``(omni_lookup_id, source_priority, record_id, identity fields)``.
+
+    Default: the whole row of the best record (lowest priority, then record
+    id), so a missing CRM e-mail stays missing. ``field_level=True`` fills
+    each field from the best record that has it instead (``source_priority``
+    and ``record_id`` then describe the best record overall)."""
+    d = record_detail(st).join(ids, "record_id").where(F.col("source_priority").isNotNull())
+    if not field_level:
+        b = (d.groupBy("omni_lookup_id")
+             .agg(F.min(F.struct("source_priority", "record_id", *IDENTITY_FIELDS)).alias("best")))
+        return b.select("omni_lookup_id", "best.*")
+    per_field = [F.min(F.when(F.col(c).isNotNull(), F.struct("source_priority", "record_id", c)))
+                 .getField(c).alias(c) for c in IDENTITY_FIELDS]
+    best = F.min(F.struct("source_priority", "record_id")).alias("best")
+    b = d.groupBy("omni_lookup_id").agg(best, *per_field)
+    return b.select("omni_lookup_id", "best.source_priority", "best.record_id", *IDENTITY_FIELDS)
+
+
+def hot_key_report(records: DataFrame, min_records: int = 1000) -> DataFrame:
+    """Data-quality output: key values shared by at least ``min_records``
+    records (placeholder phones, shared mailboxes). Nothing is dropped; the
+    report is one partially aggregated ``groupBy(kind, value)``."""
+    return (key_rows(records).groupBy("kind", "value").agg(F.count(F.lit(1)).alias("n_records"))
+            .where(F.col("n_records") >= min_records))
 
 
 def channel_activity(st: Staged, ids: DataFrame) -> DataFrame:

@@ -182,3 +182,29 @@ def test_hot_paths_give_same_ids_and_crosswalk(fx, resolved):
     a = {tuple(r) for r in idn.id_crosswalk(ids, c360, hot_rows=1).collect()}
     b = {tuple(r) for r in idn.id_crosswalk(ids, c360).collect()}
     assert a == b
+
+
+def test_field_level_best_identity(spark):
+    from meridian.sources.schemas import CRM, ONLINE
+    crm = spark.createDataFrame([("L1", "Ann", "Lee", None, None, None, None, None, None, None, "Online",
+                                  None, "Yes", "No")], CRM)
+    online = spark.createDataFrame(
+        [("77", "Ann", "Lee", "ann@x.com", None, "1 Road", None, None, None, "Yes", "L1", 1, 10.0, None, None)],
+        ONLINE.replace("total_spent_gbp decimal(12,2)", "total_spent_gbp double"))
+    pos = spark.createDataFrame([], "transaction_id string, store_location string, transaction_date date, "
+                                    "first_name string, last_name string, email string, phone string, "
+                                    "loyalty_id string, staff_discount string, transaction_type string, "
+                                    "amount_gbp double, order_reference string")
+    st, ids = idn.resolve(crm, online, pos)
+    row = one(idn.best_identity(st, ids))
+    assert (row.record_id, row.email, row.address) == ("CRM-L1", None, None)
+    f = one(idn.best_identity(st, ids, field_level=True))
+    assert (f.record_id, f.email, f.address, f.first_name) == ("CRM-L1", "ann@x.com", "1 Road", "Ann")
+
+
+def test_hot_key_report(spark):
+    rec = spark.createDataFrame([(f"R{i}", "pos", None, "0000" if i < 5 else f"07{i}", None) for i in range(8)],
+                                "record_id string, source_system string, email_norm string, "
+                                "phone_norm string, loyalty_id_norm string")
+    rows = [tuple(r) for r in idn.hot_key_report(rec, min_records=3).collect()]
+    assert rows == [("phone_norm", "0000", 5)]
