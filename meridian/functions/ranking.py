@@ -9,6 +9,7 @@ preceding partitions' sizes. Only one count per partition reaches the driver.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from itertools import accumulate
 
 from pyspark.sql import DataFrame
@@ -17,11 +18,18 @@ from pyspark.sql import functions as F
 from meridian.session import ensure_checkpoint_dir
 
 
+@dataclass
+class Ranked:
+    df: DataFrame       # distinct values with a 1-based dense rank
+    n_values: int       # number of distinct values
+    n_rows: int         # number of non-null input rows
+
+
 def dense_rank_values(df: DataFrame, col: str, rank_col: str = "rank",
                       num_partitions: int | None = None,
-                      count_col: str | None = None) -> tuple[DataFrame, int]:
-    """Return ``(distinct values of col with a 1-based dense rank, n)``; with
-    ``count_col`` each value also carries how many rows of ``df`` hold it."""
+                      count_col: str | None = None) -> Ranked:
+    """Dense rank of the distinct values of ``col``; with ``count_col`` each
+    value also carries how many rows of ``df`` hold it."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -32,15 +40,17 @@ def dense_rank_values(df: DataFrame, col: str, rank_col: str = "rank",
             .select(col, "_cnt", F.spark_partition_id().alias("_pid"),
                     F.monotonically_increasing_id().alias("_mid"))
             .checkpoint(eager=True))
-    sizes = {r["_pid"]: r["n"] for r in vals.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect()}
+    per_part = vals.groupBy("_pid").agg(F.count(F.lit(1)).alias("n"), F.sum("_cnt").alias("rows")).collect()
+    sizes = {r["_pid"]: r["n"] for r in per_part}
+    n_rows = sum(int(r["rows"]) for r in per_part)
     pids = sorted(sizes)
     starts = [0, *accumulate(sizes[p] for p in pids)][:-1]
     total = sum(sizes.values())
     extra = [F.col("_cnt").alias(count_col)] if count_col else []
     if not pids:
-        return vals.select(col, F.lit(None).cast("long").alias(rank_col), *extra).limit(0), 0
+        return Ranked(vals.select(col, F.lit(None).cast("long").alias(rank_col), *extra).limit(0), 0, 0)
     offsets = spark.createDataFrame(list(zip(pids, starts)), "_pid int, _off long")
     pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     ranked = (vals.join(F.broadcast(offsets), "_pid")
               .select(col, (F.col("_off") + pos + 1).alias(rank_col), *extra))
-    return ranked, total
+    return Ranked(ranked, total, n_rows)

@@ -183,7 +183,8 @@ def lookup_ids(canonical: DataFrame, width: int | None = None,
     """Q4: ``(record_id, omni_lookup_id)``: ``OID-`` + zero-padded dense rank
     of the component root. The width grows past 5 digits instead of
     truncating (which would silently merge customers)."""
-    ranked, n = dense_rank_values(canonical, "component_root", "_rank", count_col="_size")
+    rk = dense_rank_values(canonical, "component_root", "_rank", count_col="_size")
+    ranked, n = rk.df, rk.n_values
     w = width or max(MIN_ID_WIDTH, len(str(n)))
     if len(str(n)) > w:
         raise ValueError(f"{n} customers do not fit in {w} digits")
@@ -191,7 +192,7 @@ def lookup_ids(canonical: DataFrame, width: int | None = None,
                         F.concat(F.lit(ID_PREFIX), F.lpad(F.col("_rank").cast("string"), w, "0"))
                         .alias("omni_lookup_id"))
     # a giant component's records all carry one root: split that key off
-    return (hot_split_join(canonical, ids, ["component_root"], "_size", hot_rows)
+    return (hot_split_join(canonical, ids, ["component_root"], "_size", hot_rows, big_rows=rk.n_rows)
             .select("record_id", "omni_lookup_id"))
 
 

@@ -17,8 +17,9 @@ def test_hot_split_join_inner_and_left(spark):
 
 def test_dense_rank_matches_window(spark):
     df = spark.createDataFrame([(f"r{i % 37:03d}",) for i in range(500)], "x string")
-    ranked, n = dense_rank_values(df, "x", num_partitions=5)
-    assert n == 37
+    rk = dense_rank_values(df, "x", num_partitions=5)
+    ranked, n = rk.df, rk.n_values
+    assert n == 37 and rk.n_rows == 500
     got = {r.x: r["rank"] for r in ranked.collect()}
     assert got == {f"r{i:03d}": i + 1 for i in range(37)}
 
