@@ -6,10 +6,19 @@ rows into one shuffle partition. ``hot_split_join`` joins those rows
 map-side against a broadcast of the (few) hot dimension rows and sends only
 the remaining cold rows through the shuffle.
 
-The hot set is bounded by construction: at most ``rows / hot_rows`` keys can
-exceed ``hot_rows`` rows. It is still counted before it is broadcast, and
-when it is larger than ``max_broadcast_keys`` the plain shuffle join is used
-(with AQE's skew-join splitting as the safety net).
+Finding the hot keys never costs a second pass over a large aggregate:
+
+* with ``weight`` (a per-key row count already present on a materialised
+  ``dim``) the hot keys are read off ``dim`` exactly;
+* otherwise they are estimated from a seeded sample of ``big`` (a key with
+  ``hot_rows`` rows shows up about ``hot_rows * fraction`` times). The
+  estimate only decides the routing; every row is joined either way, so a
+  missed borderline key just stays on the shuffled path.
+
+The hot set is bounded by construction (at most ``rows / hot_rows`` keys
+can be hot). It is materialised (so a recomputed task sees the same set)
+and counted before it is broadcast; above ``max_broadcast_keys`` the plain
+shuffle join is used, with AQE's skew-join splitting as the safety net.
 """
 
 from __future__ import annotations
@@ -21,31 +30,46 @@ from pyspark.sql import functions as F
 
 DEFAULT_HOT_ROWS = 1_000_000
 DEFAULT_MAX_BROADCAST_KEYS = 200_000
+DEFAULT_SAMPLE_ROWS = 200_000
+DEFAULT_SAMPLE_FRACTION = 0.01
+SAMPLE_SEED = 20141
+
+
+def _hot_keys(big: DataFrame, dim: DataFrame, on: list[str], weight: str | None, hot_rows: int,
+              big_rows: int | None) -> DataFrame:
+    if weight is not None:
+        return dim.where(F.col(weight) > hot_rows).select(*on)
+    frac = min(1.0, DEFAULT_SAMPLE_ROWS / big_rows) if big_rows else DEFAULT_SAMPLE_FRACTION
+    floor = max(2.0, 0.5 * hot_rows * frac)
+    return (big.select(*on).sample(fraction=frac, seed=SAMPLE_SEED)
+            .groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") >= floor).select(*on))
 
 
-def hot_split_join(big: DataFrame, dim: DataFrame, on: Sequence[str], weight: str,
+def hot_split_join(big: DataFrame, dim: DataFrame, on: Sequence[str], weight: str | None = None,
                    hot_rows: int = DEFAULT_HOT_ROWS,
                    max_broadcast_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
                    how: str = "inner", big_rows: int | None = None) -> DataFrame:
-    """Join ``big`` to ``dim`` (one row per key) on ``on``.
+    """Join ``big`` to ``dim`` (one row per key) on ``on``; ``how`` is
+    ``inner`` or ``left``.
 
-    ``weight`` is a column of ``dim`` holding how many ``big`` rows carry the
-    key (typically the ``count`` computed while building ``dim``). It is
-    dropped from the result. ``how`` is ``inner`` or ``left``. When the row
-    count of ``big`` is already known (``big_rows``) and no key can exceed
-    ``hot_rows``, the check is skipped.
+    ``weight``, when given, is a column of ``dim`` holding how many ``big``
+    rows carry the key; it is dropped from the result. When the row count of
+    ``big`` is known (``big_rows``) and no key can exceed ``hot_rows``, no
+    detection runs at all.
     """
     on = list(on)
-    dim_cols = dim.drop(weight)
+    dim_cols = dim.drop(weight) if weight else dim
     if hot_rows is None or (big_rows is not None and big_rows <= hot_rows):
         return big.join(dim_cols, on, how)
-    hot = dim.where(F.col(weight) > hot_rows)
+    hot = _hot_keys(big, dim, on, weight, hot_rows, big_rows).checkpoint(eager=True)
     n_hot = hot.count()
     if n_hot == 0 or n_hot > max_broadcast_keys:
         return big.join(dim_cols, on, how)
-    hot_keys = F.broadcast(hot.select(*on))
+    hot_keys = F.broadcast(hot)
+    hot_dim = dim_cols.join(hot_keys, on, "left_semi")          # <= n_hot rows
     big_hot = big.join(hot_keys, on, "left_semi")
     big_cold = big.join(hot_keys, on, "left_anti")
-    hot_part = big_hot.join(F.broadcast(hot.drop(weight)), on, how)
+    hot_part = big_hot.join(F.broadcast(hot_dim), on, how)
     cold_part = big_cold.join(dim_cols.join(hot_keys, on, "left_anti"), on, how)
     return hot_part.unionByName(cold_part)

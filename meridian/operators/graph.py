@@ -42,20 +42,18 @@ def _large_star(e: DataFrame, hot_rows: int, n_edges: int) -> DataFrame:
     # both directions: (u, v) for every neighbour v of u
     both = (e.select(F.col("child").alias("u"), F.col("parent").alias("v"))
             .unionByName(e.select(F.col("parent").alias("u"), F.col("child").alias("v"))))
-    mins = (both.groupBy("u").agg(F.min("v").alias("mv"), F.count(F.lit(1)).alias("deg"))
-            .select("u", F.least("mv", "u").alias("m"), "deg"))
+    mins = both.groupBy("u").agg(F.min("v").alias("mv")).select("u", F.least("mv", "u").alias("m"))
     # every larger neighbour v of u is re-pointed to m(u)
     larger = both.where(F.col("v") > F.col("u"))
-    out = hot_split_join(larger, mins, ["u"], "deg", hot_rows, big_rows=2 * n_edges)
+    out = hot_split_join(larger, mins, ["u"], hot_rows=hot_rows, big_rows=2 * n_edges)
     return _orient(out.select(F.col("v").alias("a"), F.col("m").alias("b")))
 
 
 def _small_star(e: DataFrame, hot_rows: int, n_edges: int) -> DataFrame:
     # u = child, v = smaller neighbour; m(u) = smallest neighbour of u
-    mins = e.groupBy(F.col("child").alias("u")).agg(F.min("parent").alias("m"),
-                                                   F.count(F.lit(1)).alias("deg"))
+    mins = e.groupBy(F.col("child").alias("u")).agg(F.min("parent").alias("m"))
     j = hot_split_join(e.select(F.col("child").alias("u"), F.col("parent").alias("v")),
-                       mins, ["u"], "deg", hot_rows, big_rows=n_edges)
+                       mins, ["u"], hot_rows=hot_rows, big_rows=n_edges)
     # all of N(u) and u itself are re-pointed to m(u)
     moved = j.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(
         j.select(F.col("u").alias("a"), F.col("m").alias("b")))

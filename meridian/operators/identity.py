@@ -158,9 +158,9 @@ def star_edges(records: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFram
     so an e-mail never matches a phone). Linear in the number of records,
     and it yields the same components as linking every pair."""
     kr = key_rows(records)
-    hubs = kr.groupBy("kind", "value").agg(F.min("record_id").alias("hub"),
-                                           F.count(F.lit(1)).alias("n"))
-    linked = hot_split_join(kr, hubs, ["kind", "value"], "n", hot_rows)
+    hubs = kr.groupBy("kind", "value").agg(F.min("record_id").alias("hub"))
+    # hot key values (hot hubs) are found from a sample of the key rows
+    linked = hot_split_join(kr, hubs, ["kind", "value"], hot_rows=hot_rows)
     return (linked.where(F.col("record_id") != F.col("hub"))
             .select(F.col("hub").alias("record_id_a"), F.col("record_id").alias("record_id_b"))
             .distinct())
@@ -192,7 +192,7 @@ def lookup_ids(canonical: DataFrame, width: int | None = None,
                         F.concat(F.lit(ID_PREFIX), F.lpad(F.col("_rank").cast("string"), w, "0"))
                         .alias("omni_lookup_id"))
     # a giant component's records all carry one root: split that key off
-    return (hot_split_join(canonical, ids, ["component_root"], "_size", hot_rows, big_rows=rk.n_rows)
+    return (hot_split_join(canonical, ids, ["component_root"], "_size", hot_rows=hot_rows, big_rows=rk.n_rows)
             .select("record_id", "omni_lookup_id"))
 
 
@@ -370,7 +370,7 @@ def id_crosswalk(ids: DataFrame, customers: DataFrame, hot_rows: int = DEFAULT_H
     # POS rows carry the customer's scalars (many-to-one; a customer with a
     # huge number of transactions is joined map-side), customers without POS
     # keep one row with a NULL transaction
-    with_pos = hot_split_join(pos, scalars, ["omni_lookup_id"], "_n_pos", hot_rows)
+    with_pos = hot_split_join(pos, scalars, ["omni_lookup_id"], hot_rows=hot_rows)
     without = scalars.where(F.col("_n_pos") == 0).select(
         "omni_lookup_id", "loyalty_id", "online_customer_id",
         F.lit(None).cast("string").alias("pos_transaction_id"))

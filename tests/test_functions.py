@@ -9,12 +9,21 @@ def test_hot_split_join_inner_and_left(spark):
     big = spark.createDataFrame([("h", i) for i in range(50)] + [("c", 1), ("x", 2)], "k string, v long")
     dim = spark.createDataFrame([("h", "H", 50), ("c", "C", 1)], "k string, name string, n long")
     for how in ("inner", "left"):
-        split = {tuple(r) for r in hot_split_join(big, dim, ["k"], "n", hot_rows=10, how=how).collect()}
         plain = {tuple(r) for r in big.join(dim.drop("n"), "k", how).collect()}
-        assert split == plain
+        exact = {tuple(r) for r in hot_split_join(big, dim, ["k"], "n", hot_rows=10, how=how).collect()}
+        sampled = {tuple(r) for r in hot_split_join(big, dim.drop("n"), ["k"], hot_rows=10, how=how,
+                                                    big_rows=52).collect()}
+        assert exact == plain and sampled == plain
     assert hot_split_join(big, dim, ["k"], "n", hot_rows=10).count() == 51
 
 
+def test_sampled_hot_key_detection(spark):
+    from meridian.functions.joins import _hot_keys
+    big = spark.range(300_000).select((F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id"))).alias("k"))
+    hot = [r.k for r in _hot_keys(big, None, ["k"], None, hot_rows=50_000, big_rows=300_000).collect()]
+    assert hot == [-1]
+
+
 def test_dense_rank_matches_window(spark):
     df = spark.createDataFrame([(f"r{i % 37:03d}",) for i in range(500)], "x string")
     rk = dense_rank_values(df, "x", num_partitions=5)
