@@ -257,6 +257,25 @@ def _rollup(detail_ids: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_source_records"))
 
 
+def _activity_columns() -> list[Column]:
+    """Channel flags, segment, totals and the segment flag from ``_rollup``
+    columns. Wholesale wins over staff; CRM-only customers are Unknown."""
+    has_onl = F.coalesce(F.col("has_online"), F.lit(0))
+    has_pos = F.coalesce(F.col("has_instore"), F.lit(0))
+    return [
+        has_onl.alias("has_online_activity"), has_pos.alias("has_instore_activity"),
+        F.when((has_onl == 1) & (has_pos == 1), "Omnichannel").when(has_onl == 1, "Online only")
+        .when(has_pos == 1, "In-store only").otherwise("Unknown").alias("channel_segment"),
+        F.col("total_online_orders"), F.col("total_online_spent_gbp"),
+        F.when(F.col("has_instore") == 1, F.col("_n_sales")).alias("total_instore_transactions"),
+        F.col("total_instore_spent_gbp"),
+        (F.coalesce("total_online_spent_gbp", F.lit(0)) + F.coalesce("total_instore_spent_gbp", F.lit(0)))
+        .alias("total_lifetime_spent_gbp"),
+        F.when(F.col("online_tags").like("%wholesale%"), F.lit(WHOLESALE_FLAG))
+        .when(F.col("is_staff") == 1, F.lit(STAFF_FLAG)).alias("segment_flag"),
+    ]
+
+
 def _record_lists(ids: DataFrame, counts: DataFrame, list_limit: int) -> DataFrame:
     """Sorted ``'; '``-joined record ids (from ``(omni_lookup_id, record_id)``
     rows) for customers with at most ``list_limit`` records: a bounded
@@ -280,22 +299,10 @@ def customer_360(st: Staged, ids: DataFrame, list_limit: int = DEFAULT_LIST_LIMI
     q = match_quality(detail_ids).select("omni_lookup_id", "match_confidence")
     lists = _record_lists(detail_ids.select("omni_lookup_id", "record_id"),
                           r.select("omni_lookup_id", "n_source_records"), list_limit)
-    has_onl = F.coalesce(F.col("has_online"), F.lit(0))
-    has_pos = F.coalesce(F.col("has_instore"), F.lit(0))
     out = r.join(q, "omni_lookup_id", "left").join(lists, "omni_lookup_id", "left")
-    return out.select(
-        "omni_lookup_id", *[F.col(f"best.{c}").alias(c) for c in IDENTITY_FIELDS],
-        has_onl.alias("has_online_activity"), has_pos.alias("has_instore_activity"),
-        F.when((has_onl == 1) & (has_pos == 1), "Omnichannel").when(has_onl == 1, "Online only")
-        .when(has_pos == 1, "In-store only").otherwise("Unknown").alias("channel_segment"),
-        "total_online_orders", "total_online_spent_gbp",
-        F.when(F.col("has_instore") == 1, F.col("_n_sales")).alias("total_instore_transactions"),
-        "total_instore_spent_gbp",
-        (F.coalesce("total_online_spent_gbp", F.lit(0)) + F.coalesce("total_instore_spent_gbp", F.lit(0)))
-        .alias("total_lifetime_spent_gbp"),
-        F.when(F.col("online_tags").like("%wholesale%"), F.lit(WHOLESALE_FLAG))
-        .when(F.col("is_staff") == 1, F.lit(STAFF_FLAG)).alias("segment_flag"),
-        "match_confidence", "matched_source_record_ids", "n_source_records")
+    return out.select("omni_lookup_id", *[F.col(f"best.{c}").alias(c) for c in IDENTITY_FIELDS],
+                      *_activity_columns(),
+                      "match_confidence", "matched_source_record_ids", "n_source_records")
 
 
 def best_identity(st: Staged, ids: DataFrame, field_level: bool = False) -> DataFrame:
@@ -329,19 +336,7 @@ def channel_activity(st: Staged, ids: DataFrame) -> DataFrame:
     """Q7: per customer (every id, including return-only ones): activity
     flags, channel segment, order and spend totals, segment flag."""
     r = _rollup(record_detail(st).join(ids, "record_id"))
-    has_onl = F.coalesce(F.col("has_online"), F.lit(0))
-    has_pos = F.coalesce(F.col("has_instore"), F.lit(0))
-    return r.select(
-        "omni_lookup_id", has_onl.alias("has_online_activity"), has_pos.alias("has_instore_activity"),
-        F.when((has_onl == 1) & (has_pos == 1), "Omnichannel").when(has_onl == 1, "Online only")
-        .when(has_pos == 1, "In-store only").otherwise("Unknown").alias("channel_segment"),
-        "total_online_orders", "total_online_spent_gbp",
-        F.when(F.col("has_instore") == 1, F.col("_n_sales")).alias("total_instore_transactions"),
-        "total_instore_spent_gbp",
-        (F.coalesce("total_online_spent_gbp", F.lit(0)) + F.coalesce("total_instore_spent_gbp", F.lit(0)))
-        .alias("total_lifetime_spent_gbp"),
-        F.when(F.col("online_tags").like("%wholesale%"), F.lit(WHOLESALE_FLAG))
-        .when(F.col("is_staff") == 1, F.lit(STAFF_FLAG)).alias("segment_flag"))
+    return r.select("omni_lookup_id", *_activity_columns())
 
 
 # --------------------------------------------------------------------------- Q9, Q10

@@ -23,7 +23,6 @@ def query(name: str):
             return round_doubles(fn(spark, sf_dir))
         run.__name__ = name
         run.__doc__ = fn.__doc__
-        run.__wrapped__ = fn
         QUERIES[name] = run
         return run
     return deco
@@ -108,7 +107,8 @@ def q_segment_rules(spark, sf_dir):
 
 @query("segment_rules_counts")
 def q_segment_rules_counts(spark, sf_dir):
-    return segmentation.segment_counts(q_segment_rules.__wrapped__(spark, sf_dir))
+    return segmentation.segment_counts(
+        segmentation.rule_segments(B.rule_customers(spark, sf_dir), young_below=30, high_value_from=5000))
 
 
 @query("segment_rfm")
@@ -118,7 +118,7 @@ def q_segment_rfm(spark, sf_dir):
 
 @query("segment_rfm_counts")
 def q_segment_rfm_counts(spark, sf_dir):
-    return segmentation.segment_counts(q_segment_rfm.__wrapped__(spark, sf_dir))
+    return segmentation.segment_counts(segmentation.rfm_segments(B.rfm_customers(spark, sf_dir), **RFM_CUTS))
 
 
 @query("segment_kmeans")
