@@ -113,7 +113,7 @@ def ramp_compression(ramp_df: DataFrame, compression: float = 0.5, ramp_months:
     spark = ramp_df.sparkSession
     src = F.bround(F.least(F.col("m") / F.lit(compression), F.lit(float(max_month))), 0).cast("long")
     grid = spark.range(1, ramp_months + 1).select(F.col("id").alias("m")).select("m", src.alias("month"))
-    looked = (grid.join(F.broadcast(bm), "month", "left"))
+    looked = grid.join(bm, "month", "left")
     looked = attach_scalars(looked, ss)
     rev = F.coalesce(F.col("avg_revenue"), F.col("steady_state"))
     gap = F.when(F.col("steady_state").isNotNull(), F.greatest(F.col("steady_state") - rev, F.lit(0.0)))
