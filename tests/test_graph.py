@@ -72,3 +72,24 @@ def test_random_graphs_match_union_find(spark):
         assert _cc(spark, list(reversed(names)), shuffled) == expected
 
     check()
+
+
+def test_million_record_hot_key_no_pair_blowup(spark):
+    """10^6 records, a third sharing one placeholder phone, the rest in
+    e-mail pairs: star edges stay linear and components converge within
+    the round cap."""
+    from meridian.operators import identity as idn
+    n = 1_000_000
+    rec = spark.range(n).select(
+        F.format_string("R%07d", "id").alias("record_id"), F.lit("pos").alias("source_system"),
+        F.when(F.col("id") % 3 != 0, F.format_string("e%d", (F.col("id") / 2).cast("long"))).alias("email_norm"),
+        F.when(F.col("id") % 3 == 0, F.lit("0000")).alias("phone_norm"),
+        F.lit(None).cast("string").alias("loyalty_id_norm"))
+    e = idn.star_edges(rec, hot_rows=10_000).checkpoint()
+    # 333,333 links to the phone hub + one link per e-mail pair
+    n_pairs = sum(1 for k in range(n // 2) if (2 * k) % 3 and (2 * k + 1) % 3)
+    assert e.count() == (n // 3) + n_pairs
+    comp = idn.components(rec, edges=e, hot_rows=10_000)
+    roots = comp.groupBy("component_root").count()
+    assert roots.where(F.col("component_root") == "R0000000").collect()[0]["count"] == n // 3 + 1
+    assert roots.count() == n - e.count()
