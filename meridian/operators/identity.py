@@ -152,7 +152,7 @@ def key_rows(records: DataFrame) -> DataFrame:
             .where(F.col("value").isNotNull()))
 
 
-def star_edges(records: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+def star_edges(records: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS, distinct: bool = True) -> DataFrame:
     """Q2: ``(record_id_a, record_id_b)``, a < b: each record linked to the
     smallest record id sharing one of its keys (the kind is part of the key,
     so an e-mail never matches a phone). Linear in the number of records,
@@ -161,9 +161,11 @@ def star_edges(records: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFram
     hubs = kr.groupBy("kind", "value").agg(F.min("record_id").alias("hub"))
     # hot key values (hot hubs) are found from a sample of the key rows
     linked = hot_split_join(kr, hubs, ["kind", "value"], hot_rows=hot_rows)
-    return (linked.where(F.col("record_id") != F.col("hub"))
-            .select(F.col("hub").alias("record_id_a"), F.col("record_id").alias("record_id_b"))
-            .distinct())
+    out = (linked.where(F.col("record_id") != F.col("hub"))
+           .select(F.col("hub").alias("record_id_a"), F.col("record_id").alias("record_id_b")))
+    # the same pair can come from two key kinds; the graph step de-duplicates
+    # on its own, so callers feeding it skip this shuffle
+    return out.distinct() if distinct else out
 
 
 # --------------------------------------------------------------------------- Q3, Q4 components and ids
@@ -171,7 +173,7 @@ def components(records: DataFrame, edges: DataFrame | None = None,
                hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Q3: ``(record_id, component_root)``: root = smallest reachable id.
     Every record gets a root, including records with no shared key."""
-    edges = edges if edges is not None else star_edges(records, hot_rows)
+    edges = edges if edges is not None else star_edges(records, hot_rows, distinct=False)
     cc = connected_components(records.select(F.col("record_id").alias("node")),
                               edges.select(F.col("record_id_a").alias("a"), F.col("record_id_b").alias("b")),
                               hot_rows=hot_rows)
