@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from meridian.functions.common import attach_scalars, safe_div
 
+# Ramp period, steady-state months and the last observed month.
 RAMP_MONTHS = 4
 STEADY_STATE_MONTHS = (4, 5, 6)
 MAX_MONTH = 6

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from meridian.functions.common import safe_div
 from meridian.functions.stats import relative_lift, unpooled_t
 
+# Arm labels (transition keys are "<previous> -> <current>").
 CONTROL, TREATMENT = "Control", "Treatment"
 TRANSITIONS = (f"{CONTROL} -> {TREATMENT}", f"{TREATMENT} -> {CONTROL}")
 
