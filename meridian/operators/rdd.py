@@ -59,7 +59,8 @@ def _estimates(df: DataFrame, pairs: Sequence[tuple[float, float]], running: str
     for i, (c, b) in enumerate(pairs):
         inside = (x >= F.lit(c - b)) & (x < F.lit(c + b))
         below, above = inside & (x < F.lit(c)), inside & (x >= F.lit(c))
-        aggs += [F.count(F.when(below, y)).alias(f"nb{i}"), F.count(F.when(above, y)).alias(f"na{i}"),
+        # n counts rows in the window (a missing outcome still counts); means skip it
+        aggs += [F.count(F.when(below, F.lit(1))).alias(f"nb{i}"), F.count(F.when(above, F.lit(1))).alias(f"na{i}"),
                  F.avg(F.when(below, y)).alias(f"mb{i}"), F.avg(F.when(above, y)).alias(f"ma{i}")]
         rows.append(F.struct(F.lit(float(c)).alias("cutoff"), F.lit(float(b)).alias("bandwidth"),
                              F.col(f"nb{i}").alias("n_below"), F.col(f"na{i}").alias("n_above"),

@@ -22,8 +22,11 @@ TRANSITIONS = (f"{CONTROL} -> {TREATMENT}", f"{TREATMENT} -> {CONTROL}")
 def _two_arm(df: DataFrame, value: str, arm: str, control: str, treatment: str, unit: str) -> DataFrame:
     aggs = []
     for tag, name in (("ctrl", control), ("trt", treatment)):
-        v = F.when(F.col(arm) == name, F.col(value))
-        aggs += [F.avg(v).alias(f"{tag}_mean"), F.count(v).alias(f"n_{tag}"), F.var_samp(v).alias(f"_v_{tag}")]
+        on = F.col(arm) == name
+        v = F.when(on, F.col(value))
+        # n is the number of rows of the arm; mean and variance skip missing values
+        aggs += [F.avg(v).alias(f"{tag}_mean"), F.count(F.when(on, F.lit(1))).alias(f"n_{tag}"),
+                 F.var_samp(v).alias(f"_v_{tag}")]
     m = df.agg(*aggs)
     t = unpooled_t(F.col("n_ctrl"), F.col("ctrl_mean"), F.col("_v_ctrl"),
                    F.col("n_trt"), F.col("trt_mean"), F.col("_v_trt"))

@@ -57,3 +57,9 @@ def test_estimate_empty_window(spark):
     df = spark.createDataFrame([(1, 5.0)], "points_score long, annual_spend double")
     r = one(rdd.discontinuity_estimate(df, bandwidth=10, cutoff=10000))
     assert (r.n_below, r.n_above, r.estimate) == (0, 0, None)
+
+
+def test_missing_outcome_counts_as_row(spark):
+    df = spark.createDataFrame([(9990, None), (9995, 10.0), (10005, 20.0)], "points_score long, annual_spend double")
+    r = one(rdd.discontinuity_estimate(df, bandwidth=100, cutoff=10000))
+    assert (r.n_below, r.n_above, r.below_mean, r.estimate) == (2, 1, 10.0, 10.0)
