@@ -97,7 +97,9 @@ def zone_level_lift(df_washed: DataFrame, control: str = CONTROL, treatment: str
     b = block_means(df_washed, **cols)
     c = F.when(F.col("assignment") == control, F.col("block_mean"))
     t = F.when(F.col("assignment") == treatment, F.col("block_mean"))
-    z = b.groupBy("zone").agg(F.count(c).alias("control_blocks"), F.count(t).alias("treatment_blocks"),
+    is_c, is_t = F.col("assignment") == control, F.col("assignment") == treatment
+    z = b.groupBy("zone").agg(F.count(F.when(is_c, F.lit(1))).alias("control_blocks"),
+                              F.count(F.when(is_t, F.lit(1))).alias("treatment_blocks"),
                               F.avg(c).alias("_c"), F.avg(t).alias("_t"))
     return z.select("zone", "control_blocks", "treatment_blocks",
                     F.round("_c", digits).alias("avg_wait_control"),
