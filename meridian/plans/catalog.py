@@ -167,6 +167,11 @@ def q_switchback_washout(spark, sf_dir):
     return switchback.washout_summary(_sb(spark, sf_dir), SB_WASHOUT)
 
 
+@query("switchback_washed")
+def q_switchback_washed(spark, sf_dir):
+    return switchback.apply_washout(_sb(spark, sf_dir), SB_WASHOUT)
+
+
 @query("interval_preagg")
 def q_interval_preagg(spark, sf_dir):
     return switchback.interval_preagg(_sb(spark, sf_dir), interval_minutes=5)
