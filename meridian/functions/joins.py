@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 DEFAULT_HOT_ROWS = 1_000_000
 DEFAULT_MAX_BROADCAST_KEYS = 200_000
 DEFAULT_SAMPLE_ROWS = 200_000
-DEFAULT_SAMPLE_FRACTION = 0.01
+DEFAULT_SAMPLE_FRACTION = 0.001
 SAMPLE_SEED = 20141
 
 
