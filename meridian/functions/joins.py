@@ -62,13 +62,13 @@ def hot_split_join(big: DataFrame, dim: DataFrame, on: Sequence[str], weight: st
     dim_cols = dim.drop(weight) if weight else dim
     if hot_rows is None or (big_rows is not None and big_rows <= hot_rows):
         return big.join(dim_cols, on, how)
-    hot = _hot_keys(big, dim, on, weight, hot_rows, big_rows)
+    # materialise the (small) hot set first: the count and every task,
+    # including recomputed ones, then see exactly the same keys
+    hot = _hot_keys(big, dim, on, weight, hot_rows, big_rows).checkpoint(eager=True)
     n_hot = hot.count()
     if n_hot == 0 or n_hot > max_broadcast_keys:
         return big.join(dim_cols, on, how)
-    # materialise the (small) hot set so every task, including recomputed
-    # ones, routes rows by the same keys
-    hot_keys = F.broadcast(hot.checkpoint(eager=True))
+    hot_keys = F.broadcast(hot)
     hot_dim = dim_cols.join(hot_keys, on, "left_semi")          # <= n_hot rows
     big_hot = big.join(hot_keys, on, "left_semi")
     big_cold = big.join(hot_keys, on, "left_anti")
