@@ -341,6 +341,14 @@ def channel_activity(st: Staged, ids: DataFrame) -> DataFrame:
     return r.select("omni_lookup_id", *_activity_columns())
 
 
+def customer_ids(st: Staged, ids: DataFrame) -> DataFrame:
+    """The customers that get a ``customer_360`` row: those with at least one
+    CRM, online or POS-sale record (return-only customers have none)."""
+    eligible = (st.crm.select("record_id").unionByName(st.online.select("record_id"))
+                .unionByName(st.pos.where(F.col("transaction_type") == "Sale").select("record_id")))
+    return ids.join(eligible, "record_id", "left_semi").select("omni_lookup_id").distinct()
+
+
 # --------------------------------------------------------------------------- Q9, Q10
 def id_crosswalk(ids: DataFrame, customers: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Q9: ``(omni_lookup_id, loyalty_id, online_customer_id,

@@ -288,15 +288,13 @@ def q_customer_360(spark, sf_dir):
 @query("id_crosswalk")
 def q_id_crosswalk(spark, sf_dir):
     st, ids = _resolved(spark, sf_dir)
-    c360 = identity.customer_360(st, ids).select("omni_lookup_id").checkpoint(eager=True)
-    return identity.id_crosswalk(ids, c360)
+    return identity.id_crosswalk(ids, identity.customer_ids(st, ids))
 
 
 @query("identity_completeness")
 def q_identity_completeness(spark, sf_dir):
     st, ids = _resolved(spark, sf_dir)
-    c360 = identity.customer_360(st, ids).select("omni_lookup_id").checkpoint(eager=True)
-    return identity.completeness(st, ids, c360)
+    return identity.completeness(st, ids, identity.customer_ids(st, ids))
 
 
 FLAGSHIP = "customer_360"

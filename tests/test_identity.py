@@ -208,3 +208,9 @@ def test_hot_key_report(spark):
                                 "phone_norm string, loyalty_id_norm string")
     rows = [tuple(r) for r in idn.hot_key_report(rec, min_records=3).collect()]
     assert rows == [("phone_norm", "0000", 5)]
+
+
+def test_customer_ids_equal_customer_360_ids(resolved):
+    st, ids, c360 = resolved
+    a = {r[0] for r in idn.customer_ids(st, ids).collect()}
+    assert a == {r.omni_lookup_id for r in c360.collect()}
