@@ -74,3 +74,54 @@ def test_retention_and_decline(spark, seed):
             break
     r = cohort.vintage_decline(df, as_of="2026-07").collect()[0]
     assert ((r.started_at, r.streak) if r.confirmed else None) == found
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_carryover_and_block_lift(spark, seed):
+    from meridian.operators import switchback as sb
+    rnd = random.Random(seed)
+    rows = []
+    for z in ("A", "B"):
+        blocks = sorted(rnd.sample(range(40), 25))          # gaps: adjacency = next present block
+        for b in blocks:
+            arm = rnd.choice(["Control", "Treatment"])
+            for m in range(0, 60, 5):
+                if rnd.random() < 0.8:
+                    rows.append((z, b, arm, m, rnd.choice([None, round(rnd.uniform(1, 9), 2)])))
+    df = spark.createDataFrame(rows, "zone string, block_id long, assignment string, "
+                                     "minutes_into_block long, wait_time_min double")
+    # brute force, following the definition block by block
+    res = {"Control -> Treatment": [], "Treatment -> Control": []}
+    for z in ("A", "B"):
+        zr = [r for r in rows if r[0] == z]
+        ids = sorted({r[1] for r in zr})
+        for prev, cur in zip(ids, ids[1:]):
+            pb = sorted((r for r in zr if r[1] == prev), key=lambda r: r[3])
+            cb = sorted((r for r in zr if r[1] == cur), key=lambda r: r[3])
+            if pb[0][2] == cb[0][2]:
+                continue
+            tail = [r[4] for r in pb if r[3] >= 50 and r[4] is not None]
+            head = [r[4] for r in cb if r[3] < 10 and r[4] is not None]
+            res[f"{pb[0][2]} -> {cb[0][2]}"].append((sum(tail) / len(tail) if tail else None,
+                                                     sum(head) / len(head) if head else None))
+    got = {r.transition: r for r in sb.carryover_diagnostic(df).collect()}
+    for k, recs in res.items():
+        tails = [t for t, _ in recs if t is not None]
+        heads = [h for _, h in recs if h is not None]
+        assert got[k].n_transitions == len(recs)
+        if tails:
+            assert got[k].prev_block_last_10min == pytest.approx(round(sum(tails) / len(tails), 2), abs=0.0051)
+        if heads:
+            assert got[k].new_block_first_10min == pytest.approx(round(sum(heads) / len(heads), 2), abs=0.0051)
+    # block-level lift on washed rows
+    washed = [r for r in rows if r[3] >= 15]
+    keys = sorted({(r[0], r[1], r[2]) for r in washed})
+    means = {}
+    for key in keys:
+        vals = [r[4] for r in washed if (r[0], r[1], r[2]) == key and r[4] is not None]
+        if vals:
+            means[key] = sum(vals) / len(vals)
+    c = [v for k, v in means.items() if k[2] == "Control"]
+    t = [v for k, v in means.items() if k[2] == "Treatment"]
+    r = sb.block_level_lift(sb.apply_washout(df, 15)).collect()[0]
+    assert r.ctrl_mean == pytest.approx(sum(c) / len(c)) and r.trt_mean == pytest.approx(sum(t) / len(t))
