@@ -125,3 +125,21 @@ def test_carryover_and_block_lift(spark, seed):
     t = [v for k, v in means.items() if k[2] == "Treatment"]
     r = sb.block_level_lift(sb.apply_washout(df, 15)).collect()[0]
     assert r.ctrl_mean == pytest.approx(sum(c) / len(c)) and r.trt_mean == pytest.approx(sum(t) / len(t))
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+@pytest.mark.parametrize("compression", [0.5, 0.75, 0.3, 0.4])
+def test_ramp_shortfall_and_compression(spark, seed, compression):
+    from meridian.operators import cac
+    rnd = random.Random(seed)
+    rows = [(f"H{h}", m, round(rnd.uniform(0, 60 * m), 2)) for h in range(30) for m in range(1, 7)
+            if rnd.random() < 0.9]
+    df = spark.createDataFrame(rows, "host_id string, month_since_signup long, monthly_revenue double")
+    by_month = {m: [r for _, mm, r in rows if mm == m] for m in range(1, 7)}
+    avg = {m: sum(v) / len(v) for m, v in by_month.items() if v}
+    steady = sum(avg[m] for m in (4, 5, 6)) / 3
+    shortfall = sum(max(steady - avg[m], 0) for m in range(1, 5))
+    compressed = sum(max(steady - avg.get(round(min(m / compression, 6)), steady), 0) for m in range(1, 5))
+    r = cac.ramp_compression(df, compression=compression).collect()[0]
+    assert r.original_shortfall == pytest.approx(shortfall)
+    assert r.compressed_shortfall == pytest.approx(compressed)
