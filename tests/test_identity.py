@@ -214,3 +214,21 @@ def test_customer_ids_equal_customer_360_ids(resolved):
     st, ids, c360 = resolved
     a = {r[0] for r in idn.customer_ids(st, ids).collect()}
     assert a == {r.omni_lookup_id for r in c360.collect()}
+
+
+def test_bucketed_tables_join_without_shuffle(spark, resolved):
+    from meridian.sources.io import save_bucketed_table
+    st, ids, _ = resolved
+    names = ("meridian_test_ids_b", "meridian_test_records_b")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        a = save_bucketed_table(ids, names[0], ["record_id"], 4)
+        b = save_bucketed_table(idn.all_records(st), names[1], ["record_id"], 4)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        j = b.join(a, "record_id")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and j.count() == 34
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        for n in names:
+            spark.sql(f"DROP TABLE IF EXISTS {n}")
