@@ -10,6 +10,7 @@ runs on aggregated rows (one per test), never on the raw data.
 from __future__ import annotations
 
 import math
+import sys
 
 import pandas as pd
 from pyspark.sql import Column
@@ -18,6 +19,15 @@ from pyspark.sql import types as T
 
 from meridian.functions.common import safe_div
 
+# The p-value UDF below is the only Python that runs inside executors. Ship
+# this module's functions with the task (pickled by value) so workers need
+# no installed copy of the package.
+try:
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(sys.modules[__name__])
+except (ImportError, AttributeError, ValueError):  # pragma: no cover - older cloudpickle
+    pass
+
 
 def pooled_t(n1: Column, m1: Column, v1: Column, n2: Column, m2: Column, v2: Column) -> Column:
     """Equal-variance two-sample t of (m2 - m1) with sample variances v1, v2."""
