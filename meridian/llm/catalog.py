@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.llm import quality
+from meridian.llm import bpe, quality, sharding, toolcalls, urlfilter
 from meridian.llm.common import load
 
+BYTE_BPE = "byte_bpe_50k.json"
+
+
+def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.hilbert_shards(load(spark, sf_dir, "documents")).select(
+        F.col("_id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "curve")
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(bpe.encode(load(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE)))
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(load(spark, sf_dir, "pages")).withColumnRenamed("_id", "page_id")
+
 
 def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.line_quality(load(spark, sf_dir, "documents")).select(
@@ -15,5 +32,20 @@ def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_repeat_words", "removed_words", "base_failed", "kept")
 
 
-QUERIES = {"op9_line_quality": op9_line_quality}
-ORACLE = {"op9_line_quality": quality.ORACLE}
+def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = toolcalls.chat_calls(load(spark, sf_dir, "conversations"))
+    return toolcalls.link(calls, results, toolcalls.CHAT_SCHEMAS)
+
+
+QUERIES = {
+    "op2_hilbert_shards": op2_hilbert_shards,
+    "op7_bpe": op7_bpe,
+    "op8_url_filter": op8_url_filter,
+    "op9_line_quality": op9_line_quality,
+    "op10_tool_calls": op10_tool_calls,
+}
+ORACLE = {
+    "op8_url_filter": urlfilter.ORACLE,
+    "op9_line_quality": quality.ORACLE,
+    "op10_tool_calls": toolcalls.ORACLE,
+}
