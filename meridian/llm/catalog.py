@@ -6,12 +6,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.llm import bpe, quality, sharding, toolcalls, urlfilter
+from meridian.llm import bpe, ngram_join, quality, sharding, toolcalls, urlfilter
 from meridian.llm.common import load
 
 BYTE_BPE = "byte_bpe_50k.json"
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.components(load(spark, sf_dir, "documents")).withColumnRenamed("_id", "doc_id")
+
+
 def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.hilbert_shards(load(spark, sf_dir, "documents")).select(
         F.col("_id").alias("doc_id"), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -38,6 +42,7 @@ def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_hilbert_shards": op2_hilbert_shards,
     "op7_bpe": op7_bpe,
     "op8_url_filter": op8_url_filter,
@@ -45,6 +50,7 @@ QUERIES = {
     "op10_tool_calls": op10_tool_calls,
 }
 ORACLE = {
+    "op1_ngram_join": ngram_join.ORACLE,
     "op8_url_filter": urlfilter.ORACLE,
     "op9_line_quality": quality.ORACLE,
     "op10_tool_calls": toolcalls.ORACLE,

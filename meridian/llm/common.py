@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import sys
 import uuid
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,6 +40,18 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int):
+    """Arrow batches of so many rows, for wide rows in jobs that run inside."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def utf8(col: Column | str) -> Column:
     """Text as UTF-8 bytes; null counts as empty."""
     c = F.col(col) if isinstance(col, str) else col
