@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.llm import bpe, ngram_join, quality, sharding, toolcalls, urlfilter
+from meridian.llm import bpe, html_text, ngram_join, quality, sharding, toolcalls, toxicity, urlfilter
 from meridian.llm.common import load
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -22,6 +22,17 @@ def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"), "curve")
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(load(spark, sf_dir, "pages")).withColumnRenamed("_id", "page_id")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, load(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        F.col("_id").alias("doc_id"), toxicity.held_out("_id").alias("held_out"), "score", "predicted")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(load(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE)))
 
@@ -44,6 +55,8 @@ def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_hilbert_shards": op2_hilbert_shards,
+    "op3_html_text": op3_html_text,
+    "op4_toxicity": op4_toxicity,
     "op7_bpe": op7_bpe,
     "op8_url_filter": op8_url_filter,
     "op9_line_quality": op9_line_quality,
