@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.llm import bpe, html_text, ngram_join, quality, sharding, toolcalls, toxicity, urlfilter
+from meridian.llm import bpe, decontaminate, html_text, ngram_join, quality, sharding, toolcalls, toxicity, urlfilter
 from meridian.llm.common import load
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -33,6 +33,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_id").alias("doc_id"), toxicity.held_out("_id").alias("held_out"), "score", "predicted")
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark")).withColumnRenamed("_id", "doc_id")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(load(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE)))
 
@@ -57,6 +61,7 @@ QUERIES = {
     "op2_hilbert_shards": op2_hilbert_shards,
     "op3_html_text": op3_html_text,
     "op4_toxicity": op4_toxicity,
+    "op6_decontaminate": op6_decontaminate,
     "op7_bpe": op7_bpe,
     "op8_url_filter": op8_url_filter,
     "op9_line_quality": op9_line_quality,
