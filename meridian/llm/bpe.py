@@ -5,8 +5,8 @@
    A scan task groups its documents into blocks of bounded size; a block has
    its own list of distinct words, and each document becomes a sequence of
    word numbers.
-2. Encode: the blocks' words meet by word, and each distinct word is encoded
-   once, by the tokenizers library.
+2. Encode: the blocks' words meet by hash buckets of words, packed, and each
+   distinct word is encoded once, by the tokenizers library.
 3. Join back: the ids go to their blocks by block key, and replace the word
    numbers by position.
 4. Decode: each id is looked up in the id-to-piece table, whose size the
@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 
 from meridian.llm.common import ship, utf8
 
-BLOCK_BYTES = 16 << 20   # text bytes of a block
+BLOCK_BYTES = 32 << 20   # text bytes of a block
 CHUNK_WORDS = 1 << 18    # words whose ids are put together at once
 
 # The code points of Unicode's White_Space property
@@ -112,34 +112,55 @@ def _key(ids: pa.ChunkedArray, texts: list[bytes]) -> int:
     return h.intdigest() - (1 << 63)
 
 
-def _word_lists(tokenizer_json: str, limit: int):
+def _pack(values: np.ndarray) -> bytes:
+    """Compressed unsigned 32-bit values, like bytes together."""
+    planes = np.ascontiguousarray(values, dtype="<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(planes)
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
+
+
+def _word_lists(tokenizer_json: str, limit: int, buckets: int):
+    """A block's distinct words, one row for each hash bucket of words: their
+    numbers (as steps), byte lengths and bytes."""
     def run(batches):
-        split = WordSplitter(tokenizer_json).words
+        split, pack = WordSplitter(tokenizer_json).words, zstandard.ZstdCompressor(level=1)
         for ids, texts in _blocks(batches, limit):
             seen: dict[str, None] = {}
             for t in texts:
                 seen.update(dict.fromkeys(split(t.decode("utf-8"))))
-            n = len(seen)
-            if n:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, _key(ids, texts))), pa.array(np.arange(n, dtype=np.int32)),
-                     pa.array(list(seen), pa.string())], names=["block", "number", "word"])
+            if not seen:
+                continue
+            key, words = _key(ids, texts), [w.encode() for w in seen]
+            del seen
+            bucket = np.array([xxhash.xxh32_intdigest(w) for w in words], np.int64) % buckets
+            order = np.argsort(bucket, kind="stable")
+            found, first = np.unique(bucket[order], return_index=True)
+            rows = []
+            for part in np.split(order, first[1:]):
+                own = [words[i] for i in part]
+                rows.append((_pack(np.diff(part, prepend=0)), _pack(np.array([len(w) for w in own])), pack.compress(b"".join(own))))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(rows), key)), pa.array(found.astype(np.int32)),
+                 *(pa.array(c, pa.binary()) for c in zip(*rows))], names=["block", "bucket", "steps", "lengths", "words"])
     return run
 
 
 def _word_numbers(tokenizer_json: str, limit: int, id_type: pa.DataType):
     def run(batches):
-        split, pack = WordSplitter(tokenizer_json).words, zstandard.ZstdCompressor(level=1)
+        split = WordSplitter(tokenizer_json).words
         for ids, texts in _blocks(batches, limit):
             seen: dict[str, int] = {}
             put = seen.setdefault
             parts = [np.array([put(w, len(seen)) for w in split(t.decode("utf-8"))], dtype=np.uint32) for t in texts]
             numbers = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
-            planes = numbers.view(np.uint8).reshape(-1, 4).T.tobytes()  # like bytes together pack better
             yield pa.RecordBatch.from_arrays(
                 [pa.array([_key(ids, texts)], pa.int64()), pa.array([ids.to_pylist()], pa.list_(id_type)),
                  pa.array([[len(p) for p in parts]], pa.list_(pa.int64())),
-                 pa.array([pack.compress(planes)], pa.binary())], names=["block", "ids", "words", "numbers"])
+                 pa.array([_pack(numbers)], pa.binary())], names=["block", "ids", "words", "numbers"])
     return run
 
 
@@ -150,20 +171,24 @@ def _encode_words(tokenizer_json: str):
         tok = Tokenizer.from_str(tokenizer_json)
         tok.no_truncation()
         tok.no_padding()
-        last, last_ids = None, b""  # a word's rows follow each other, also from batch to batch
+        bucket, known = None, {}  # a bucket's rows follow each other, also from batch to batch
         for batch in batches:
-            runs = pc.run_end_encode(batch.column("word"))
-            words, ends = runs.values.to_pylist(), runs.run_ends.to_numpy()
-            coded = [np.array(e.ids, dtype="<u4").tobytes()
-                     for e in tok.encode_batch(words[words[:1] == [last]:], add_special_tokens=False)]
-            if words and words[0] == last:
-                coded.insert(0, last_ids)
-            if words:
-                last, last_ids = words[-1], coded[-1]
-            which = np.repeat(np.arange(len(words)), np.diff(ends, prepend=0))
+            out = []
+            for row in batch.select(["bucket", "lengths", "words"]).to_pylist():
+                if row["bucket"] != bucket:
+                    bucket, known = row["bucket"], {}
+                text = zstandard.ZstdDecompressor().decompress(row["words"])
+                ends = np.cumsum(_unpack(row["lengths"]), dtype=np.int64).tolist()
+                words = [text[i:j] for i, j in zip([0, *ends], ends)]
+                new = [w for w in words if w not in known]
+                coded = tok.encode_batch([w.decode("utf-8") for w in new], add_special_tokens=False)
+                known.update(zip(new, (e.ids for e in coded)))
+                ids = [known[w] for w in words]
+                out.append((_pack(np.array([len(x) for x in ids])), _pack(np.array([i for x in ids for i in x]))))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("block"), batch.column("number"), pa.array(coded, pa.binary()).take(pa.array(which))],
-                names=["block", "number", "piece_ids"])
+                [batch.column("block"), batch.column("steps"), *(pa.array(c, pa.binary()) for c in zip(*out))] if out else
+                [batch.column("block"), batch.column("steps"), pa.array([], pa.binary()), pa.array([], pa.binary())],
+                names=["block", "steps", "sizes", "ids"])
     return run
 
 
@@ -173,19 +198,20 @@ def _join_back(tokenizer_json: str, id_type: pa.DataType, decode: bool):
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         pieces = id_to_piece(tokenizer_json) if decode else []
-        number = right.column("number").to_numpy()
-        coded = right.column("piece_ids").combine_chunks()
-        order = np.unique(number, return_index=True)[1]  # a repeated block repeats its words
+        # a repeated block repeats its rows
+        rows = sorted({(r["steps"], r["sizes"], r["ids"]) for r in right.select(["steps", "sizes", "ids"]).to_pylist()})
+        join = lambda parts, kind: np.concatenate(parts).astype(kind) if parts else np.zeros(0, kind)
+        number = join([np.cumsum(_unpack(r[0]), dtype=np.int64) for r in rows], np.int64)
+        size = join([_unpack(r[1]) for r in rows], np.int64)
+        pool = join([_unpack(r[2]) for r in rows], np.uint32)
+        order = np.argsort(number)
         if not np.array_equal(number[order], np.arange(len(order))):
             raise RuntimeError("a block's words and their ids do not match")
-        coded = coded.take(pa.array(order))
-        size = pc.binary_length(coded).to_numpy(zero_copy_only=False).astype(np.int64) // 4
-        start = np.concatenate([[0], np.cumsum(size)[:-1]]) if len(size) else size
-        pool = np.frombuffer(b"".join(coded.to_pylist()), dtype="<u4")
+        start = (np.cumsum(size) - size)[order]
+        size = size[order]
         doc_ids, out_ids, out_text = [], [], []
         for row in left.select(["ids", "words", "numbers"]).to_pylist():
-            planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["numbers"]), np.uint8)
-            numbers = np.ascontiguousarray(planes.reshape(4, -1).T).view(np.uint32).ravel()
+            numbers = _unpack(row["numbers"])
             if len(numbers) and int(numbers.max()) >= len(order):
                 raise RuntimeError("a block's words and their ids do not match")
             at = 0
@@ -208,7 +234,7 @@ def _join_back(tokenizer_json: str, id_type: pa.DataType, decode: bool):
 
 
 def encode(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: str = "text",
-           decode: bool = True, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+           decode: bool = True, block_bytes: int = BLOCK_BYTES, buckets: int | None = None) -> DataFrame:
     """Per row of ``docs``: ``_id``, ``ids`` (binary, little-endian unsigned
     32-bit) and, with ``decode``, ``decoded``, the text that the ids give."""
     with open(tokenizer_path, encoding="utf-8") as f:
@@ -216,9 +242,11 @@ def encode(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: s
     src = docs.select(F.col(doc_id).alias("_id"), utf8(text).alias("_utf8"))
     kind = src.schema["_id"].dataType
     id_type = src.limit(0).toArrow().schema.field("_id").type
-    words = src.mapInArrow(_word_lists(spec, block_bytes), "block long, number int, word string")
-    coded = (words.repartition("word").sortWithinPartitions("word")
-             .mapInArrow(_encode_words(spec), "block long, number int, piece_ids binary"))
+    n = buckets or max(64, 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    words = src.mapInArrow(_word_lists(spec, block_bytes, n),
+                           "block long, bucket int, steps binary, lengths binary, words binary")
+    coded = (words.repartition("bucket").sortWithinPartitions("bucket")
+             .mapInArrow(_encode_words(spec), "block long, steps binary, sizes binary, ids binary"))
     numbers = src.mapInArrow(_word_numbers(spec, block_bytes, id_type), T.StructType([
         T.StructField("block", T.LongType()), T.StructField("ids", T.ArrayType(kind)),
         T.StructField("words", T.ArrayType(T.LongType())), T.StructField("numbers", T.BinaryType())]))
