@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.llm import bpe, decontaminate, html_text, ngram_join, quality, sharding, toolcalls, toxicity, urlfilter
-from meridian.llm.common import load
+from meridian.llm import bpe, decontaminate, html_text, ngram_join, quality, sharding, token_file, toolcalls, toxicity, urlfilter
+from meridian.llm.common import load, shared_path
 
 BYTE_BPE = "byte_bpe_50k.json"
+WORD_BPE = "word_bpe_49k.json"
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,6 +34,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_id").alias("doc_id"), toxicity.held_out("_id").alias("held_out"), "score", "predicted")
 
 
+def op5_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "tokens")
+    token_file.write(load(spark, sf_dir, "documents"), path, public_tokenizers.path(WORD_BPE))
+    return token_file.read_index(spark, path)
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark")).withColumnRenamed("_id", "doc_id")
 
@@ -61,6 +68,7 @@ QUERIES = {
     "op2_hilbert_shards": op2_hilbert_shards,
     "op3_html_text": op3_html_text,
     "op4_toxicity": op4_toxicity,
+    "op5_token_file": op5_token_file,
     "op6_decontaminate": op6_decontaminate,
     "op7_bpe": op7_bpe,
     "op8_url_filter": op8_url_filter,

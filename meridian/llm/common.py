@@ -52,6 +52,18 @@ def batch_rows(spark: SparkSession, rows: int):
         spark.conf.set(key, before)
 
 
+MAX_BROADCAST_KEYS = 1_000_000
+
+
+def without(docs: DataFrame, gone: DataFrame, condition: Column) -> DataFrame:
+    """The rows of ``docs`` that meet none of ``gone``, a few narrow columns.
+    Up to ``MAX_BROADCAST_KEYS`` rows of it are sent to every task; more are
+    joined by a shuffle."""
+    gone = staged(gone, "gone")
+    small = gone.count() <= MAX_BROADCAST_KEYS
+    return docs.join(F.broadcast(gone) if small else gone, condition, "left_anti")
+
+
 def utf8(col: Column | str) -> Column:
     """Text as UTF-8 bytes; null counts as empty."""
     c = F.col(col) if isinstance(col, str) else col

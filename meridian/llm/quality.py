@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meridian.llm.common import ship, staged, utf8
+from meridian.llm.common import ship, staged, utf8, without
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 10            # fewer words fail
@@ -144,12 +144,11 @@ def line_quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ho
 
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose document is kept, with their columns."""
+    """The rows of ``docs`` whose document (id and host) is kept, with their columns."""
     verdict = line_quality(docs, **options)
-    bad = verdict.where(~F.col("kept")).select("_id", "_host", "text_hash").distinct()
-    h = docs.select("*", F.col("doc_id").alias("_k"), F.coalesce(F.col("source").cast("string"), F.lit("")).alias("_h"))
-    return (h.join(bad, F.col("_k").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_host")), "left_anti")
-            .select(*docs.columns))
+    bad = verdict.where(~F.col("kept")).select("_id", "_host").distinct()
+    host = F.coalesce(F.col("source").cast("string"), F.lit(""))
+    return without(docs, bad, F.col("doc_id").eqNullSafe(F.col("_id")) & (host == F.col("_host")))
 
 
 ship(__name__)
