@@ -6,19 +6,19 @@ rows into one shuffle partition. ``hot_split_join`` joins those rows
 map-side against a broadcast of the (few) hot dimension rows and sends only
 the remaining cold rows through the shuffle.
 
-Finding the hot keys never costs a second pass over a large aggregate:
+How hot keys are found:
 
 * with ``weight`` (a per-key row count already present on a materialised
-  ``dim``) the hot keys are read off ``dim`` exactly;
+  ``dim``) they are read off ``dim`` exactly;
 * otherwise they are estimated from a seeded sample of ``big`` (a key with
-  ``hot_rows`` rows shows up about ``hot_rows * fraction`` times). The
-  estimate only decides the routing; every row is joined either way, so a
-  missed borderline key just stays on the shuffled path.
+  ``hot_rows`` rows shows up about ``hot_rows * fraction`` times), which reads
+  ``big`` once more: callers pass a materialised ``big``. The estimate only
+  decides the routing; every row is joined either way, so a missed borderline
+  key just stays on the shuffled path.
 
-The hot set is bounded by construction (at most ``rows / hot_rows`` keys
-can be hot). It is materialised (so a recomputed task sees the same set)
-and counted before it is broadcast; above ``max_broadcast_keys`` the plain
-shuffle join is used, with AQE's skew-join splitting as the safety net.
+The hot set is materialised (so a recomputed task sees the same set) and
+bounded: above ``max_broadcast_keys`` the hottest keys up to that number are
+split, the others stay on the shuffled path, where AQE splits skewed partitions.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from meridian.session import checkpointed
+
 DEFAULT_HOT_ROWS = 1_000_000
 DEFAULT_MAX_BROADCAST_KEYS = 200_000
 DEFAULT_SAMPLE_ROWS = 200_000
@@ -36,14 +38,15 @@ SAMPLE_SEED = 20141
 
 
 def _hot_keys(big: DataFrame, dim: DataFrame, on: list[str], weight: str | None, hot_rows: int,
-              big_rows: int | None) -> DataFrame:
+              big_rows: int | None, limit: int = DEFAULT_MAX_BROADCAST_KEYS) -> DataFrame:
     if weight is not None:
-        return dim.where(F.col(weight) > hot_rows).select(*on)
-    frac = min(1.0, DEFAULT_SAMPLE_ROWS / big_rows) if big_rows else DEFAULT_SAMPLE_FRACTION
-    floor = max(2.0, 0.5 * hot_rows * frac)
-    return (big.select(*on).sample(fraction=frac, seed=SAMPLE_SEED)
-            .groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") >= floor).select(*on))
+        found = dim.where(F.col(weight) > hot_rows).select(*on, F.col(weight).alias("_n"))
+    else:
+        frac = min(1.0, DEFAULT_SAMPLE_ROWS / big_rows) if big_rows else DEFAULT_SAMPLE_FRACTION
+        floor = max(2.0, 0.5 * hot_rows * frac)
+        found = (big.select(*on).sample(fraction=frac, seed=SAMPLE_SEED)
+                 .groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= floor))
+    return found.orderBy(F.desc("_n"), *on).limit(limit).select(*on)
 
 
 def hot_split_join(big: DataFrame, dim: DataFrame, on: Sequence[str], weight: str | None = None,
@@ -51,7 +54,7 @@ def hot_split_join(big: DataFrame, dim: DataFrame, on: Sequence[str], weight: st
                    max_broadcast_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
                    how: str = "inner", big_rows: int | None = None) -> DataFrame:
     """Join ``big`` to ``dim`` (one row per key) on ``on``; ``how`` is
-    ``inner`` or ``left``.
+    ``inner``, ``left``, ``left_semi`` or ``left_anti``.
 
     ``weight``, when given, is a column of ``dim`` holding how many ``big``
     rows carry the key; it is dropped from the result. When the row count of
@@ -64,9 +67,8 @@ def hot_split_join(big: DataFrame, dim: DataFrame, on: Sequence[str], weight: st
         return big.join(dim_cols, on, how)
     # materialise the (small) hot set first: the count and every task,
     # including recomputed ones, then see exactly the same keys
-    hot = _hot_keys(big, dim, on, weight, hot_rows, big_rows).checkpoint(eager=True)
-    n_hot = hot.count()
-    if n_hot == 0 or n_hot > max_broadcast_keys:
+    hot = checkpointed(_hot_keys(big, dim, on, weight, hot_rows, big_rows, max_broadcast_keys))
+    if hot.isEmpty():
         return big.join(dim_cols, on, how)
     hot_keys = F.broadcast(hot)
     hot_dim = dim_cols.join(hot_keys, on, "left_semi")          # <= n_hot rows

@@ -15,7 +15,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.session import ensure_checkpoint_dir
+from meridian.session import checkpointed
 
 
 @dataclass
@@ -31,15 +31,14 @@ def dense_rank_values(df: DataFrame, col: str, rank_col: str = "rank",
     """Dense rank of the distinct values of ``col``; with ``count_col`` each
     value also carries how many rows of ``df`` hold it."""
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # map-side de-duplication first: a value held by a third of the rows
     # collapses before the shuffle
-    vals = (df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_cnt"))
-            .repartitionByRange(n_parts, col).sortWithinPartitions(col)
-            .select(col, "_cnt", F.spark_partition_id().alias("_pid"),
-                    F.monotonically_increasing_id().alias("_mid"))
-            .checkpoint(eager=True))
+    vals = checkpointed(
+        df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_cnt"))
+        .repartitionByRange(n_parts, col).sortWithinPartitions(col)
+        .select(col, "_cnt", F.spark_partition_id().alias("_pid"),
+                F.monotonically_increasing_id().alias("_mid")))
     per_part = vals.groupBy("_pid").agg(F.count(F.lit(1)).alias("n"), F.sum("_cnt").alias("rows")).collect()
     sizes = {r["_pid"]: r["n"] for r in per_part}
     n_rows = sum(int(r["rows"]) for r in per_part)

@@ -36,9 +36,13 @@ def cohort_counts(df: DataFrame, max_tenure: int, first_cohort: str | None = Non
         d = d.where(F.col("cohort") >= first_cohort)
     if last_cohort:
         d = d.where(F.col("cohort") <= last_cohort)
-    churned = lambda t: F.count(F.when(F.col("_off").isNotNull() & (F.col("_off") <= t), F.lit(1)))
-    return d.groupBy("cohort").agg(F.count(F.lit(1)).alias("n"),
-                                   *[churned(t).alias(f"churned_{t}") for t in range(max_tenure + 1)])
+    # one count per cohort and whole month of churn, then sums over these few rows
+    last = max_tenure + 1
+    month = F.when(F.col("_off").isNull(), last).otherwise(F.least(F.greatest(F.ceil("_off"), F.lit(0)), F.lit(last)))
+    seen = d.groupBy("cohort", month.cast("int").alias("_m")).agg(F.count(F.lit(1)).alias("_k"))
+    churned = lambda t: F.coalesce(F.sum(F.when(F.col("_m") <= t, F.col("_k"))), F.lit(0))
+    return seen.groupBy("cohort").agg(F.sum("_k").alias("n"),
+                                      *[churned(t).alias(f"churned_{t}") for t in range(max_tenure + 1)])
 
 
 def retention_long(df: DataFrame, as_of: str, max_tenure: int, **kw) -> DataFrame:

@@ -68,8 +68,11 @@ def cuped_ttest(df: DataFrame, x: str = "x_pre_sessions", y: str = "y_post_sessi
     """Q18: rows ``variant in (raw, adjusted)`` with control/treatment mean,
     effect, sample variances, pooled t and (optionally) the two-sided p."""
     if missing_x == "no_adjust":
-        # the one-scan shortcut needs complete rows; rows without x keep y there
-        raise NotImplementedError("cuped_ttest supports missing_x='drop'; use cuped_adjusted + arm_ttest")
+        # the one-scan shortcut needs complete rows; rows without x keep their y
+        adjusted = cuped_adjusted(df, x, y, missing_x)
+        return (arm_ttest(adjusted, y, arm, control, treatment, with_p).withColumn("variant", F.lit("raw"))
+                .unionByName(arm_ttest(adjusted, "y_adjusted", arm, control, treatment, with_p)
+                             .withColumn("variant", F.lit("adjusted"))))
     base = _complete(df, x, y, missing_x)
     xc, yc = F.col(x).cast("double"), F.col(y).cast("double")
     aggs = [F.avg(xc).alias("xbar"), safe_div(F.covar_pop(xc, yc), F.var_pop(xc)).alias("theta")]

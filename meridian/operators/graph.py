@@ -25,9 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meridian.functions.joins import DEFAULT_HOT_ROWS, hot_split_join
-from meridian.session import ensure_checkpoint_dir
+from meridian.session import checkpointed
 
-MAX_ROUNDS = 60
 
 
 def _orient(edges: DataFrame) -> DataFrame:
@@ -75,21 +74,19 @@ def _star_check(e: DataFrame) -> tuple[bool, int]:
     return r["bad"] == 0, int(r["n"])
 
 
-def star_edges_to_labels(edges: DataFrame, max_rounds: int = MAX_ROUNDS,
+def star_edges_to_labels(edges: DataFrame, max_rounds: int | None = None,
                          hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Converge ``edges(a, b)`` to stars; returns ``(node, root)`` for every
     node that appears in an edge (isolated nodes are their own root)."""
-    spark = edges.sparkSession
-    ensure_checkpoint_dir(spark)
-    e = _orient(edges).checkpoint(eager=True)
+    e = checkpointed(_orient(edges))
     rounds = 0
     done, n = _star_check(e)
     while not done:
-        if rounds == max_rounds:
+        if max_rounds is not None and rounds == max_rounds:
             raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
         # large-star output has at most 2n edges; both steps run as one plan
         # (the shared large-star exchange is reused) and one checkpoint
-        e = _small_star(_large_star(e, hot_rows, n), hot_rows, 2 * n).checkpoint(eager=True)
+        e = checkpointed(_small_star(_large_star(e, hot_rows, n), hot_rows, 2 * n))
         rounds += 1
         done, n = _star_check(e)
     roots = e.select(F.col("parent").alias("node")).distinct()
@@ -98,7 +95,7 @@ def star_edges_to_labels(edges: DataFrame, max_rounds: int = MAX_ROUNDS,
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node",
-                         max_rounds: int = MAX_ROUNDS, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                         max_rounds: int | None = None, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """``(node, root)`` for every row of ``nodes``: root = smallest node id
     reachable from it (itself when it has no edge)."""
     labels = star_edges_to_labels(edges, max_rounds, hot_rows)

@@ -31,6 +31,7 @@ from meridian.functions.common import attach_scalars
 from meridian.functions.joins import DEFAULT_HOT_ROWS, hot_split_join
 from meridian.functions.ranking import dense_rank_values
 from meridian.operators.graph import connected_components
+from meridian.session import checkpointed
 
 # Record-id prefixes, source names and priorities, flag texts.
 PREFIX = {"crm": "CRM-", "online": "ONLINE-", "pos": "POS-"}
@@ -42,10 +43,8 @@ STAFF_FLAG = "Staff purchase"
 REVIEW_FLAG = "Review: conflicting contact details across matched records"
 OK_FLAG = "OK"
 KEY_KINDS = ("loyalty_id_norm", "email_norm", "phone_norm")
-# a customer's audit list of record ids is built only up to this many
-# records; larger components leave it NULL (every record id is still in
-# the record-level crosswalk).
-DEFAULT_LIST_LIMIT = 10_000
+CHANNEL_BOTH, CHANNEL_ONLINE = "Omnichannel", "Online only"
+CHANNEL_STORE, CHANNEL_NONE = "In-store only", "Unknown"
 
 
 # --------------------------------------------------------------------------- Q1 normalise
@@ -95,22 +94,26 @@ def stage_pos(pos: DataFrame) -> DataFrame:
     """POS records; a return inherits the normalised keys and the name of a
     sale with the same order reference (raw contact fields stay as they are).
 
-    When several sales share a reference, the return inherits from the one
-    with the smallest record id: one row per return, so the return amount is
-    counted once and a hot reference cannot fan out into sales x returns
-    rows. ``completeness`` reports how many returns had several candidates.
+    A return is one row, so its amount counts once: it inherits from the sale
+    with the smallest record id. It still *links* all sales of its receipt
+    that hold a key it lacks: ``link_kinds`` names these keys, and
+    ``receipt_rows`` ties them through the receipt. ``completeness`` reports
+    how many returns had several sales.
     """
     raw = pos.select(
         F.concat(F.lit(PREFIX["pos"]), F.col("transaction_id")).alias("record_id"),
         F.lit("pos").alias("source_system"), *_keys(), "first_name", "last_name", *_raw(),
         "transaction_type", "staff_discount", "amount_gbp", "order_reference")
     inherit = ("email_norm", "phone_norm", "loyalty_id_norm", "first_name", "last_name")
+    is_return, has_ref = F.col("transaction_type") == "Return", F.col("order_reference").isNotNull()
     # one row per order reference (partial aggregation, skew-safe)
-    sales = (raw.where(F.col("transaction_type") == "Sale")
+    sales = (raw.where((F.col("transaction_type") == "Sale") & has_ref)
              .groupBy("order_reference")
-             .agg(F.min(F.struct("record_id", *inherit)).alias("s"),
-                  F.count(F.lit(1)).alias("n_sales")))
-    ret = raw.where(F.col("transaction_type") == "Return").join(sales, "order_reference", "left")
+             .agg(F.min(F.struct("record_id", *inherit)).alias("s"), F.count(F.lit(1)).alias("n_sales"),
+                  *[F.max(F.col(k).isNotNull()).alias(f"_has_{k}") for k in KEY_KINDS]))
+    ret = raw.where(is_return & has_ref).join(sales, "order_reference", "left")
+    lacking = F.array_compact(F.array(*[
+        F.when((F.col("n_sales") > 1) & F.col(k).isNull() & F.col(f"_has_{k}"), F.lit(k)) for k in KEY_KINDS]))
     fixed = ret.select(
         "record_id", "source_system",
         F.coalesce("email_norm", "s.email_norm").alias("email_norm"),
@@ -119,10 +122,31 @@ def stage_pos(pos: DataFrame) -> DataFrame:
         F.coalesce(F.nullif("first_name", F.lit("")), "s.first_name").alias("first_name"),
         F.coalesce(F.nullif("last_name", F.lit("")), "s.last_name").alias("last_name"),
         "raw_email", "raw_phone", "raw_loyalty_id", "transaction_type", "staff_discount",
-        "amount_gbp", "order_reference", F.coalesce("n_sales", F.lit(0)).alias("matched_sales"))
-    return (raw.where(F.col("transaction_type") != "Return").select(*POS_COLS)
-            .withColumn("matched_sales", F.lit(None).cast("long"))
-            .unionByName(fixed))
+        "amount_gbp", "order_reference", F.coalesce("n_sales", F.lit(0)).alias("matched_sales"),
+        lacking.alias("link_kinds"))
+    none = F.lit(None).cast("array<string>").alias("link_kinds")
+    # returns without a reference match nothing and never enter the join
+    alone = raw.where(is_return & ~has_ref).select(
+        *[c for c in POS_COLS if c not in ("first_name", "last_name")],
+        F.nullif("first_name", F.lit("")).alias("first_name"), F.nullif("last_name", F.lit("")).alias("last_name"),
+        F.lit(0).cast("long").alias("matched_sales"), none)
+    return (raw.where(F.col("transaction_type") != "Return")
+            .select(*POS_COLS, F.lit(None).cast("long").alias("matched_sales"), none)
+            .unionByName(fixed).unionByName(alone))
+
+
+def receipt_rows(pos: DataFrame) -> DataFrame:
+    """``(kind, value, record_id)`` tying a return to every sale of its
+    receipt that holds a key the return lacks: one row per return or sale and
+    key kind, valued by the receipt, so the links stay linear."""
+    need = (pos.where(F.size("link_kinds") > 0)
+            .select("order_reference", F.explode("link_kinds").alias("kind"), "record_id"))
+    held = F.array_compact(F.array(*[F.when(F.col(k).isNotNull(), F.lit(k)) for k in KEY_KINDS]))
+    sales = (pos.where(F.col("transaction_type") == "Sale")
+             .select("order_reference", F.explode(held).alias("kind"), "record_id")
+             .join(need.select("order_reference", "kind").distinct(), ["order_reference", "kind"], "left_semi"))
+    return need.unionByName(sales).select(F.concat(F.lit("receipt "), "kind").alias("kind"),
+                                          F.col("order_reference").alias("value"), "record_id")
 
 
 @dataclass
@@ -136,6 +160,12 @@ def stage(crm: DataFrame, online: DataFrame, pos: DataFrame) -> Staged:
     return Staged(stage_crm(crm), stage_online(online), stage_pos(pos))
 
 
+def stored(st: Staged) -> Staged:
+    """The staged channels written once: the graph and every roll-up read
+    these instead of aggregating and repairing the base tables again."""
+    return Staged(checkpointed(st.crm), checkpointed(st.online), checkpointed(st.pos))
+
+
 def all_records(st: Staged) -> DataFrame:
     """Q1: one row per record ``(record_id, source_system, email_norm,
     phone_norm, loyalty_id_norm)``."""
@@ -144,20 +174,25 @@ def all_records(st: Staged) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- Q2 edges
-def key_rows(records: DataFrame) -> DataFrame:
-    """(kind, value, record_id) for every non-null key of every record."""
+def key_rows(records: DataFrame, id_col: str = "record_id") -> DataFrame:
+    """(kind, value, record_id) for every non-null key of every record;
+    ``id_col`` names the column that identifies it."""
     kv = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("value")) for k in KEY_KINDS]))
-    return (records.select("record_id", kv.alias("kv"))
+    return (records.select(F.col(id_col).alias("record_id"), kv.alias("kv"))
             .select(F.col("kv.kind").alias("kind"), F.col("kv.value").alias("value"), "record_id")
             .where(F.col("value").isNotNull()))
 
 
-def star_edges(records: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS, distinct: bool = True) -> DataFrame:
+def star_edges(records: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS, distinct: bool = True,
+               receipts: DataFrame | None = None, id_col: str = "record_id") -> DataFrame:
     """Q2: ``(record_id_a, record_id_b)``, a < b: each record linked to the
     smallest record id sharing one of its keys (the kind is part of the key,
     so an e-mail never matches a phone). Linear in the number of records,
-    and it yields the same components as linking every pair."""
-    kr = key_rows(records)
+    and it yields the same components as linking every pair. ``receipts``:
+    further key rows (``receipt_rows``)."""
+    kr = key_rows(records, id_col)
+    if receipts is not None:
+        kr = kr.unionByName(receipts)
     hubs = kr.groupBy("kind", "value").agg(F.min("record_id").alias("hub"))
     # hot key values (hot hubs) are found from a sample of the key rows
     linked = hot_split_join(kr, hubs, ["kind", "value"], hot_rows=hot_rows)
@@ -170,29 +205,42 @@ def star_edges(records: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS, distinct: b
 
 # --------------------------------------------------------------------------- Q3, Q4 components and ids
 def components(records: DataFrame, edges: DataFrame | None = None,
-               hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+               hot_rows: int = DEFAULT_HOT_ROWS, receipts: DataFrame | None = None) -> DataFrame:
     """Q3: ``(record_id, component_root)``: root = smallest reachable id.
-    Every record gets a root, including records with no shared key."""
-    edges = edges if edges is not None else star_edges(records, hot_rows, distinct=False)
-    cc = connected_components(records.select(F.col("record_id").alias("node")),
-                              edges.select(F.col("record_id_a").alias("a"), F.col("record_id_b").alias("b")),
+    Every record gets a root, including records with no shared key.
+
+    The rounds run on dense ranks of the record ids (longs in the same
+    order), which aggregate by hash and shuffle eight bytes; the roots are
+    turned back into ids once at the end."""
+    rank = checkpointed(dense_rank_values(records, "record_id", "_node").df)
+    if edges is None:
+        numbered = checkpointed(records.join(rank, "record_id"))
+        tied = None if receipts is None else receipts.join(rank, "record_id").drop("record_id").withColumnRenamed("_node", "record_id")
+        pairs = star_edges(numbered, hot_rows, distinct=False, receipts=tied, id_col="_node")
+    else:
+        a = rank.select(F.col("record_id").alias("record_id_a"), F.col("_node").alias("_a"))
+        b = rank.select(F.col("record_id").alias("record_id_b"), F.col("_node").alias("_b"))
+        pairs = (edges.join(a, "record_id_a").join(b, "record_id_b")
+                 .select(F.col("_a").alias("record_id_a"), F.col("_b").alias("record_id_b")))
+    cc = connected_components(rank.select(F.col("_node").alias("node")),
+                              pairs.select(F.col("record_id_a").alias("a"), F.col("record_id_b").alias("b")),
                               hot_rows=hot_rows)
-    return cc.select(F.col("node").alias("record_id"), F.col("root").alias("component_root"))
+    own = rank.select(F.col("_node").alias("node"), "record_id")
+    roots = rank.select(F.col("_node").alias("root"), F.col("record_id").alias("component_root"))
+    # few records share most roots, but one root may be that of a third of all
+    named = hot_split_join(cc.join(own, "node"), roots, ["root"], hot_rows=hot_rows)
+    return named.select("record_id", "component_root")
 
 
-def lookup_ids(canonical: DataFrame, width: int | None = None,
-               hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
-    """Q4: ``(record_id, omni_lookup_id)``: ``OID-`` + zero-padded dense rank
-    of the component root. The width grows past 5 digits instead of
-    truncating (which would silently merge customers)."""
+def lookup_ids(canonical: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """Q4: ``(record_id, omni_lookup_id)``: ``OID-`` + dense rank of the
+    component root, padded to five digits; longer ranks keep their digits, so
+    no id depends on the number of customers."""
     rk = dense_rank_values(canonical, "component_root", "_rank", count_col="_size")
-    ranked, n = rk.df, rk.n_values
-    w = width or max(MIN_ID_WIDTH, len(str(n)))
-    if len(str(n)) > w:
-        raise ValueError(f"{n} customers do not fit in {w} digits")
-    ids = ranked.select("component_root", "_size",
-                        F.concat(F.lit(ID_PREFIX), F.lpad(F.col("_rank").cast("string"), w, "0"))
-                        .alias("omni_lookup_id"))
+    digits = F.col("_rank").cast("string")
+    ids = rk.df.select("component_root", "_size", F.concat(
+        F.lit(ID_PREFIX), F.repeat(F.lit("0"), F.greatest(F.lit(0), F.lit(MIN_ID_WIDTH) - F.length(digits))), digits)
+        .alias("omni_lookup_id"))
     # a giant component's records all carry one root: split that key off
     return (hot_split_join(canonical, ids, ["component_root"], "_size", hot_rows=hot_rows, big_rows=rk.n_rows)
             .select("record_id", "omni_lookup_id"))
@@ -256,7 +304,10 @@ def _rollup(detail_ids: DataFrame) -> DataFrame:
         F.count(F.when(is_pos & (F.col("transaction_type") == "Sale"), F.lit(1))).alias("_n_sales"),
         F.sum(F.when(is_pos, F.col("amount_gbp"))).alias("total_instore_spent_gbp"),
         F.max(F.when(is_pos, F.when(F.col("staff_discount") == "Yes", 1).otherwise(0))).alias("is_staff"),
-        F.count(F.lit(1)).alias("n_source_records"))
+        F.count(F.lit(1)).alias("n_source_records"),
+        # "more than one distinct value" needs no set: the least differs from the greatest
+        (F.coalesce(F.min("email_norm") != F.max("email_norm"), F.lit(False))
+         | F.coalesce(F.min("phone_norm") != F.max("phone_norm"), F.lit(False))).alias("_conflict"))
 
 
 def _activity_columns() -> list[Column]:
@@ -266,8 +317,8 @@ def _activity_columns() -> list[Column]:
     has_pos = F.coalesce(F.col("has_instore"), F.lit(0))
     return [
         has_onl.alias("has_online_activity"), has_pos.alias("has_instore_activity"),
-        F.when((has_onl == 1) & (has_pos == 1), "Omnichannel").when(has_onl == 1, "Online only")
-        .when(has_pos == 1, "In-store only").otherwise("Unknown").alias("channel_segment"),
+        F.when((has_onl == 1) & (has_pos == 1), CHANNEL_BOTH).when(has_onl == 1, CHANNEL_ONLINE)
+        .when(has_pos == 1, CHANNEL_STORE).otherwise(CHANNEL_NONE).alias("channel_segment"),
         F.col("total_online_orders"), F.col("total_online_spent_gbp"),
         F.when(F.col("has_instore") == 1, F.col("_n_sales")).alias("total_instore_transactions"),
         F.col("total_instore_spent_gbp"),
@@ -278,33 +329,33 @@ def _activity_columns() -> list[Column]:
     ]
 
 
-def _record_lists(ids: DataFrame, counts: DataFrame, list_limit: int) -> DataFrame:
-    """Sorted ``'; '``-joined record ids (from ``(omni_lookup_id, record_id)``
-    rows) for customers with at most ``list_limit`` records: a bounded
-    per-group collection."""
-    small = counts.where(F.col("n_source_records") <= list_limit).select("omni_lookup_id")
-    return (ids.join(small, "omni_lookup_id", "left_semi")
-            .groupBy("omni_lookup_id")
-            .agg(F.array_join(F.sort_array(F.collect_list("record_id")), "; ")
-                 .alias("matched_source_record_ids")))
-
-
-def customer_360(st: Staged, ids: DataFrame, list_limit: int = DEFAULT_LIST_LIMIT) -> DataFrame:
+def customer_360(st: Staged, ids: DataFrame) -> DataFrame:
     """Q8: one row per customer that has at least one CRM, online or POS-sale
     record, with the highest-priority source's identity fields (whole row of
     the best record, ties broken by record id), channel activity, spend,
-    flags, match confidence and the audit list of merged record ids."""
-    # one join of the records with their customer id feeds every roll-up
-    # (the shuffle is shared by the three aggregates below)
-    detail_ids = record_detail(st).join(ids, "record_id")
-    r = _rollup(detail_ids).where(F.col("best").isNotNull())
-    q = match_quality(detail_ids).select("omni_lookup_id", "match_confidence")
-    lists = _record_lists(detail_ids.select("omni_lookup_id", "record_id"),
-                          r.select("omni_lookup_id", "n_source_records"), list_limit)
-    out = r.join(q, "omni_lookup_id", "left").join(lists, "omni_lookup_id", "left")
-    return out.select("omni_lookup_id", *[F.col(f"best.{c}").alias(c) for c in IDENTITY_FIELDS],
-                      *_activity_columns(),
-                      "match_confidence", "matched_source_record_ids", "n_source_records")
+    flags, match confidence and the number of merged records, all from one
+    aggregate. The records themselves are the rows of ``customer_records``."""
+    r = _rollup(record_detail(st).join(ids, "record_id")).where(F.col("best").isNotNull())
+    return r.select("omni_lookup_id", *[F.col(f"best.{c}").alias(c) for c in IDENTITY_FIELDS],
+                    *_activity_columns(),
+                    F.when(F.col("_conflict"), F.lit(REVIEW_FLAG)).otherwise(F.lit(OK_FLAG)).alias("match_confidence"),
+                    "n_source_records")
+
+
+def _source_of(rid: Column) -> tuple[Column, Column]:
+    """The source system and native id that a record id names."""
+    system, native = None, None
+    for src, pre in PREFIX.items():
+        hit, rest = rid.startswith(pre), F.substr(rid, F.lit(len(pre) + 1))
+        system = F.when(hit, src) if system is None else system.when(hit, src)
+        native = F.when(hit, rest) if native is None else native.when(hit, rest)
+    return system, native
+
+
+def customer_records(ids: DataFrame) -> DataFrame:
+    """The audit trail: ``(omni_lookup_id, source_system, record_id)`` for
+    every merged record of every customer."""
+    return ids.select("omni_lookup_id", _source_of(F.col("record_id"))[0].alias("source_system"), "record_id")
 
 
 def best_identity(st: Staged, ids: DataFrame, field_level: bool = False) -> DataFrame:
@@ -357,14 +408,8 @@ def id_crosswalk(ids: DataFrame, customers: DataFrame, hot_rows: int = DEFAULT_H
     everything after the source prefix. Built from the
     materialised record -> id map, restricted to customers present in
     ``customers`` (the stored customer_360)."""
-    rid = F.col("record_id")
-    system, native = None, None
-    for src, pre in PREFIX.items():
-        hit = rid.startswith(pre)
-        rest = F.expr(f"substring(record_id, {len(pre) + 1})")
-        system = F.when(hit, src) if system is None else system.when(hit, src)
-        native = F.when(hit, rest) if native is None else native.when(hit, rest)
-    tagged = (ids.join(customers.select("omni_lookup_id"), "omni_lookup_id", "left_semi")
+    system, native = _source_of(F.col("record_id"))
+    tagged = (hot_split_join(ids, customers.select("omni_lookup_id"), ["omni_lookup_id"], hot_rows=hot_rows, how="left_semi")
               .select("omni_lookup_id", system.alias("source_system"), native.alias("native_id")))
     is_pos = F.col("source_system") == "pos"
     scalars = tagged.groupBy("omni_lookup_id").agg(
@@ -396,7 +441,7 @@ def completeness(st: Staged, ids: DataFrame, customers: DataFrame) -> DataFrame:
     rets = st.pos.where(F.col("transaction_type") == "Return").agg(
         F.count(F.when(F.col("matched_sales") == 0, 1)).alias("returns_without_sale"),
         F.count(F.when(F.col("matched_sales") > 1, 1)).alias("returns_with_several_sales"))
-    orphan = (ids.join(customers.select("omni_lookup_id"), "omni_lookup_id", "left_anti")
+    orphan = (hot_split_join(ids, customers.select("omni_lookup_id"), ["omni_lookup_id"], how="left_anti")
               .agg(F.count(F.lit(1)).alias("records_without_customer_row")))
     srcs = records.agg(
         F.count(F.when(F.col("source_system") == "online", 1)).alias("online_rows"),
@@ -414,33 +459,19 @@ def resolve(crm: DataFrame, online: DataFrame, pos: DataFrame,
             hot_rows: int = DEFAULT_HOT_ROWS) -> tuple[Staged, DataFrame]:
     """Stage the channels and build the materialised ``record -> customer
     id`` map (checkpointed: it feeds every roll-up)."""
-    st = stage(crm, online, pos)
-    # the repaired POS table (a join) feeds the graph and every roll-up:
-    # write it once instead of recomputing the repair for each consumer
-    st = Staged(st.crm, st.online, st.pos.checkpoint(eager=True))
-    ids = lookup_ids(components(all_records(st), hot_rows=hot_rows), hot_rows=hot_rows).checkpoint(eager=True)
+    st = stored(stage(crm, online, pos))
+    ids = checkpointed(lookup_ids(components(all_records(st), hot_rows=hot_rows, receipts=receipt_rows(st.pos)),
+                                  hot_rows=hot_rows))
     return st, ids
 
 
-def materialise_customer_views(st: Staged, ids: DataFrame, path: str,
-                               list_limit: int = DEFAULT_LIST_LIMIT) -> tuple[DataFrame, DataFrame]:
+def materialise_customer_views(st: Staged, ids: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
     """Write ``customer_360`` and the record -> id map as Parquet under
     ``path`` (shared storage), then build the crosswalk from the stored
     tables instead of re-running the matching. Returns ``(customer_360,
     crosswalk)`` read back from storage."""
     from meridian.sources.io import materialise
-    c360 = materialise(customer_360(st, ids, list_limit), f"{path}/customer_360")
+    c360 = materialise(customer_360(st, ids), f"{path}/customer_360")
     stored_ids = materialise(ids, f"{path}/record_to_customer")
     cw = materialise(id_crosswalk(stored_ids, c360), f"{path}/id_crosswalk")
     return c360, cw
-
-
-def crosswalk_from_lists(c360: DataFrame) -> DataFrame:
-    """Crosswalk from a stored customer table alone: split the audit list
-    into one row per record id (lateral split + explode + trim), tag each by
-    its prefix, pivot CRM/online ids by conditional max and left-join the POS
-    ids. Equals ``id_crosswalk`` for customers whose list was built."""
-    exploded = (c360.where(F.col("matched_source_record_ids").isNotNull())
-                .select("omni_lookup_id", F.explode(F.split("matched_source_record_ids", ";")).alias("_id"))
-                .select("omni_lookup_id", F.trim("_id").alias("record_id")))
-    return id_crosswalk(exploded, c360)

@@ -66,7 +66,9 @@ def _estimates(df: DataFrame, pairs: Sequence[tuple[float, float]], running: str
                              F.col(f"nb{i}").alias("n_below"), F.col(f"na{i}").alias("n_above"),
                              F.col(f"mb{i}").alias("below_mean"), F.col(f"ma{i}").alias("above_mean"),
                              (F.col(f"ma{i}") - F.col(f"mb{i}")).alias("estimate")))
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+    # the hull of all windows is a plain range, which reaches the scan
+    hull = df.where((x >= F.lit(min(c - b for c, b in pairs))) & (x < F.lit(max(c + b for c, b in pairs))))
+    return hull.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
 def discontinuity_estimate(df: DataFrame, bandwidth: float = 1000, cutoff: float = DEFAULT_CUTOFF,
@@ -114,7 +116,7 @@ def density_check(df: DataFrame, bin_width: float = 200, cutoff: float = DEFAULT
                      F.lit(f"{int(lo + i * bin_width)}-{int(lo + (i + 1) * bin_width) - 1}").alias("bin_label"),
                      F.col(f"c{i}").alias("count"),
                      F.lit(i == just_below).alias("is_just_below")) for i in range(nbins)]
-    return (df.agg(*counts)
+    return (df.where(in_range).agg(*counts)
             .select(F.array(*rows).alias("_bins"), ratio.alias("ratio"),
                     F.coalesce(ratio > F.lit(flag_ratio), F.lit(False)).alias("suspicious"))
             .select(F.inline("_bins"), "ratio", "suspicious"))

@@ -12,7 +12,9 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Segment names.
+from meridian.session import checkpointed
+
+# Segment names; the classifiers' cuts are their parameters' defaults.
 RULE_LABELS = {
     ("young", "high"): "Young High-Value",
     ("young", "low"): "Young Low-Value",
@@ -71,42 +73,45 @@ def segment_counts(df: DataFrame, segment: str = "segment") -> DataFrame:
 
 
 def kmeans_segments(df: DataFrame, features: Sequence[str] = ("annual_spend", "purchase_frequency"),
-                    k: int = 3, labels: Sequence[str] = KMEANS_LABELS, seeds: Sequence[int] = (42, 43, 44),
-                    order_by: str | None = None, max_iter: int = 50) -> DataFrame:
-    """Q39: standardise features, fit K-means with several seeds (keeping the
-    lowest training cost), and name clusters by ascending mean of
-    ``order_by`` (default: the first feature). Raw cluster ids are dropped."""
+                    k: int = 3, labels: Sequence[str] = KMEANS_LABELS, seeds: Sequence[int] = tuple(range(42, 52)),
+                    order_by: str | None = None, max_iter: int = 300) -> DataFrame:
+    """Q39: standardise features, fit K-means from ten starts until the
+    centres stand still (keeping the lowest training cost), and name clusters
+    by ascending mean of ``order_by`` (default: the first feature). Rows with
+    a missing feature keep a NULL segment. Raw cluster ids are dropped."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.feature import StandardScaler, VectorAssembler
 
     if len(labels) != k:
         raise ValueError(f"need exactly {k} labels, got {len(labels)}")
     order_by = order_by or features[0]
-    assembled = VectorAssembler(inputCols=list(features), outputCol="_raw",
-                                handleInvalid="skip").transform(df)
+    whole = F.lit(True)
+    for f in features:
+        whole = whole & F.col(f).isNotNull() & ~F.isnan(F.col(f).cast("double"))
+    # written once to the shared folder: every start and the result read it,
+    # and nothing stays cached in executors
+    rows = checkpointed(df.withColumn("_whole", whole))
+    assembled = VectorAssembler(inputCols=list(features), outputCol="_raw").transform(rows.where("_whole"))
     scaler = StandardScaler(inputCol="_raw", outputCol="_features", withMean=True, withStd=True)
-    # every restart iterates over the same scaled features: keep them cached
-    # (recomputable from lineage if an executor is lost)
-    scaled = scaler.fit(assembled).transform(assembled).persist()
+    scaled = scaler.fit(assembled).transform(assembled)
 
     def fit(seed: int):
         model = KMeans(k=k, seed=seed, featuresCol="_features", predictionCol="_cluster",
-                       maxIter=max_iter).fit(scaled)
+                       maxIter=max_iter, tol=0.0).fit(scaled)
         return model.summary.trainingCost, seed, model
 
-    # restarts are independent distributed fits: fill the cache once, then
-    # submit them concurrently
-    scaled.count()
+    # starts are independent distributed fits
     with ThreadPoolExecutor(max_workers=len(seeds)) as pool:
         fits = list(pool.map(fit, seeds))
     best = min(fits, key=lambda f: (f[0], f[1]))
     pred = best[2].transform(scaled)
-    scaled.unpersist()
     # k rows: rank clusters by the mean of the ordering column
     means = pred.groupBy("_cluster").agg(F.avg(order_by).alias("_m"))
     ranked = means.select("_cluster", F.row_number().over(Window.orderBy("_m", "_cluster")).alias("_r"))
     name = None
     for i, lab in enumerate(labels, start=1):
         name = F.when(F.col("_r") == i, lab) if name is None else name.when(F.col("_r") == i, lab)
-    return (pred.join(F.broadcast(ranked.select("_cluster", name.alias("segment"))), "_cluster")
-            .drop("_raw", "_features", "_cluster"))
+    named = (pred.join(F.broadcast(ranked.select("_cluster", name.alias("segment"))), "_cluster")
+             .drop("_raw", "_features", "_cluster", "_whole"))
+    missing = rows.where(~F.col("_whole")).drop("_whole").withColumn("segment", F.lit(None).cast("string"))
+    return named.unionByName(missing)

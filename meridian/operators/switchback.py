@@ -114,10 +114,16 @@ def block_transitions(df: DataFrame, head_minutes: int = 10, tail_minutes: int =
     """One row per block with its first-row assignment, head and tail means,
     and the previous block (next lower block id present in the zone)."""
     m = F.col(minute)
-    blocks = df.groupBy(F.col(zone).alias("zone"), F.col(block).alias("block_id")).agg(
-        F.min_by(F.col(arm), m).alias("assignment"),
-        F.avg(F.when(m < head_minutes, F.col(value))).alias("head_mean"),
-        F.avg(F.when(m >= block_minutes - tail_minutes, F.col(value))).alias("tail_mean"))
+    head, tail = F.when(m < head_minutes, F.col(value)), F.when(m >= block_minutes - tail_minutes, F.col(value))
+    # two levels: raw rows are reduced to one per (block, arm) by plain sums,
+    # which hash; the first arm (ties: the smaller name) is picked among these
+    arms = df.groupBy(F.col(zone).alias("zone"), F.col(block).alias("block_id"), F.col(arm).alias("_arm")).agg(
+        F.min(m).alias("_first"), F.sum(head).alias("_hs"), F.count(head).alias("_hn"),
+        F.sum(tail).alias("_ts"), F.count(tail).alias("_tn"))
+    blocks = arms.groupBy("zone", "block_id").agg(
+        F.min(F.struct("_first", "_arm"))["_arm"].alias("assignment"),
+        safe_div(F.sum("_hs"), F.sum("_hn")).alias("head_mean"),
+        safe_div(F.sum("_ts"), F.sum("_tn")).alias("tail_mean"))
     w = Window.partitionBy("zone").orderBy("block_id")
     return blocks.select(
         "zone", "block_id", "assignment", "head_mean", "tail_mean",

@@ -81,7 +81,7 @@ def online(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pos(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order is a till transaction: every 40th order is the return of
     the previous order's receipt (blank identity, negated amount), all others
-    are sales. Which identity fields a sale captured depends on the order key
+    are sales; on every other such receipt the order before it is a sale too. Which identity fields a sale captured depends on the order key
     (phone, loyalty id, or neither); every 25th loyalty capture is mistyped as
     the next customer's id, which joins neighbouring customers."""
     o = _t(spark, sf_dir, "orders")
@@ -104,7 +104,8 @@ def pos(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(k % 60 == 5, F.lit("Yes")).otherwise(F.lit("No")).alias("staff_discount"),
         F.when(sale, F.lit("Sale")).otherwise(F.lit("Return")).alias("transaction_type"),
         F.when(sale, F.col("o_totalprice")).otherwise(-F.col("o_totalprice")).alias("amount_gbp"),
-        F.concat(F.lit("RCT-"), F.when(ret, k - 1).otherwise(k).cast("string")).alias("order_reference"))
+        F.concat(F.lit("RCT-"), F.when(ret, k - 1).when(k % 80 == 38, k + 1).otherwise(k).cast("string"))
+        .alias("order_reference"))
 
 
 # --------------------------------------------------------------------------- cohort (B4)
@@ -149,6 +150,13 @@ def cuped_users(spark: SparkSession, sf_dir: str) -> DataFrame:
         "x_pre_sessions", "y_post_sessions")
 
 
+def cuped_users_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same users; those without a value before the split, and every
+    seventh, have no covariate."""
+    return cuped_users(spark, sf_dir).withColumn(
+        "x_pre_sessions", F.when(F.col("x_pre_sessions") != 0, F.when(F.col("user").cast("long") % 7 != 0, F.col("x_pre_sessions"))))
+
+
 # --------------------------------------------------------------------------- switchback (B6)
 def switchback_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events as a (zone, day-block, minute) panel; 1440-minute blocks."""

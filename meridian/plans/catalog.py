@@ -127,6 +127,11 @@ def q_segment_kmeans(spark, sf_dir):
         "customer_id", "annual_spend", "purchase_frequency", "segment")
 
 
+@query("segment_kmeans_counts")
+def q_segment_kmeans_counts(spark, sf_dir):
+    return segmentation.segment_counts(segmentation.kmeans_segments(B.kmeans_customers(spark, sf_dir)))
+
+
 # --------------------------------------------------------------------------- CUPED (B5)
 @query("cuped_theta")
 def q_cuped_theta(spark, sf_dir):
@@ -157,6 +162,11 @@ def _sb(spark, sf_dir):
     return B.switchback_intervals(spark, sf_dir).drop("ts")
 
 
+@query("cuped_ttest_no_adjust")
+def q_cuped_ttest_no_adjust(spark, sf_dir):
+    return cuped.cuped_ttest(B.cuped_users_sparse(spark, sf_dir), missing_x="no_adjust", with_p=False)
+
+
 @query("switchback_naive")
 def q_switchback_naive(spark, sf_dir):
     return switchback.naive_pooled_lift(_sb(spark, sf_dir))
@@ -248,12 +258,14 @@ def q_identity_normalise(spark, sf_dir):
 
 @query("identity_edges")
 def q_identity_edges(spark, sf_dir):
-    return identity.star_edges(identity.all_records(_staged(spark, sf_dir)))
+    st = identity.stored(_staged(spark, sf_dir))
+    return identity.star_edges(identity.all_records(st), receipts=identity.receipt_rows(st.pos))
 
 
 @query("identity_components")
 def q_identity_components(spark, sf_dir):
-    return identity.components(identity.all_records(_staged(spark, sf_dir)))
+    st = identity.stored(_staged(spark, sf_dir))
+    return identity.components(identity.all_records(st), receipts=identity.receipt_rows(st.pos))
 
 
 @query("identity_ids")
@@ -285,6 +297,11 @@ def q_customer_360(spark, sf_dir):
     return identity.customer_360(st, ids)
 
 
+@query("customer_records")
+def q_customer_records(spark, sf_dir):
+    return identity.customer_records(_resolved(spark, sf_dir)[1])
+
+
 @query("id_crosswalk")
 def q_id_crosswalk(spark, sf_dir):
     st, ids = _resolved(spark, sf_dir)

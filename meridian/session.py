@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime re-planning: coalesce small shuffle partitions, split skewed join
 # partitions, and let AQE switch to broadcast when a side is small at runtime.
@@ -81,3 +81,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError(
         "spark.checkpoint.dir is not set; iterative operators need a shared, "
         "reliable checkpoint directory on a cluster")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the reliable checkpoint directory (set first if a
+    local session has none), its lineage cut."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

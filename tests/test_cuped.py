@@ -57,3 +57,26 @@ def test_pvalue_function():
     assert t_two_sided_p(0.0, 10) == pytest.approx(1.0)
     assert t_two_sided_p(2.228138851986, 10) == pytest.approx(0.05, rel=1e-8)
     assert math.isnan(t_two_sided_p(1.0, 0))
+
+
+def test_pvalue_small_tails_and_few_degrees():
+    # closed forms: one degree (Cauchy) and two degrees
+    assert t_two_sided_p(3.0, 1) == pytest.approx(1 - 2 / math.pi * math.atan(3.0), rel=1e-12)
+    assert t_two_sided_p(5.0, 2) == pytest.approx(1 - 5 / math.sqrt(27), rel=1e-11)
+    assert t_two_sided_p(40.0, 2) == pytest.approx(1 - 40 / math.sqrt(1602), rel=1e-9)
+    assert t_two_sided_p(1.959963984540054, 1e9) == pytest.approx(0.05, rel=1e-6)
+
+
+def test_ttest_without_adjustment_of_missing_x(spark):
+    rows = [("Treatment" if i % 2 else "Control", None if i % 5 == 0 else float(i % 7), float(i % 7) + i % 2 + i % 3) for i in range(40)]
+    df = spark.createDataFrame(rows, "arm string, x_pre_sessions double, y_post_sessions double")
+    got = {r.variant: r for r in cuped.cuped_ttest(df, missing_x="no_adjust").collect()}
+    known = [(x, y) for _, x, y in rows if x is not None]
+    xm, ym = (sum(v) / len(known) for v in zip(*known))
+    theta = sum((x - xm) * (y - ym) for x, y in known) / sum((x - xm) ** 2 for x, _ in known)
+    adj = {a: [y - (theta * (x - xm) if x is not None else 0) for b, x, y in rows if b == a] for a in ("Control", "Treatment")}
+    mean = {a: sum(v) / len(v) for a, v in adj.items()}
+    assert got["adjusted"].control_mean == pytest.approx(mean["Control"])
+    assert got["adjusted"].effect == pytest.approx(mean["Treatment"] - mean["Control"])
+    assert got["raw"].control_mean == pytest.approx(sum(y for a, _, y in rows if a == "Control") / 20)
+    assert set(got["raw"].asDict()) == set(cuped.cuped_ttest(df).columns)

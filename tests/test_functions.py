@@ -53,3 +53,15 @@ def test_interval_preagg_by_time(spark):
         "zone string, assignment string, ts string, wait_time_min double").withColumn("ts", F.to_timestamp("ts"))
     rows = interval_preagg_by_time(df).orderBy("interval_start").collect()
     assert [(r.wait_time_min, r.n_events) for r in rows] == [(2.0, 2), (5.0, 1)]
+
+
+def test_hottest_keys_are_split_above_the_limit(spark):
+    from meridian.functions.joins import _hot_keys, hot_split_join
+    big = spark.range(6_000).select(F.when(F.col("id") < 3_000, -1).when(F.col("id") < 5_000, -2).otherwise(-3).alias("k"), "id")
+    dim = spark.createDataFrame([(-1, 3_000), (-2, 2_000), (-3, 1_000)], "k long, w long")
+    assert [r.k for r in _hot_keys(big, dim, ["k"], "w", 500, None, 2).collect()] == [-1, -2]
+    for how, n in (("inner", 6_000), ("left", 6_000), ("left_semi", 6_000), ("left_anti", 0)):
+        out = hot_split_join(big, dim, ["k"], "w", hot_rows=500, max_broadcast_keys=2, how=how)
+        assert out.count() == n, how
+    gone = hot_split_join(big, dim.where("k = -1"), ["k"], hot_rows=500, big_rows=6_000, how="left_anti")
+    assert gone.count() == 3_000

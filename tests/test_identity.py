@@ -28,10 +28,18 @@ def test_conflicting_contacts_flagged(resolved):
     assert review == {("OID-00005", "Jane", "Smith"), ("OID-00008", "Ryan", "Cooper")}
 
 
-def test_return_nets_to_zero_and_audit_list(resolved):
-    r = one(resolved[2].where(F.col("last_name") == "O'Connor"))
+def test_return_nets_to_zero_and_audit_rows(resolved):
+    st, ids, c360 = resolved
+    r = one(c360.where(F.col("last_name") == "O'Connor"))
     assert float(r.total_instore_spent_gbp) == 0.0
-    assert r.matched_source_record_ids == "CRM-L10004; ONLINE-7451200812; POS-T20003; POS-T20004"
+    trail = idn.customer_records(ids)
+    own = sorted(tuple(x) for x in trail.where(F.col("omni_lookup_id") == r.omni_lookup_id)
+                 .select("source_system", "record_id").collect())
+    assert own == [("crm", "CRM-L10004"), ("online", "ONLINE-7451200812"), ("pos", "POS-T20003"), ("pos", "POS-T20004")]
+    # every record of every customer is there
+    assert trail.count() == 34
+    n = {x.omni_lookup_id: x["count"] for x in trail.groupBy("omni_lookup_id").count().collect()}
+    assert all(n[x.omni_lookup_id] == x.n_source_records for x in c360.collect())
 
 
 def test_single_source_customers_keep_ids(resolved):
@@ -81,21 +89,54 @@ def test_orphan_return_and_multi_sale(spark):
     st, ids = idn.resolve(crm, online, pos)
     c360 = idn.customer_360(st, ids)
     r = one(idn.completeness(st, ids, c360))
-    # T3 has two candidate sales: it inherits from T1 only (one row, amount
-    # counted once); T4 has no sale: own id, no customer row
+    # T3 has two sales: it is one row (amount counted once) and links both, as
+    # it lacks the e-mail that each of them has; T4 has no sale: own id, no customer row
     assert r.returns_with_several_sales == 1 and r.returns_without_sale == 1
     assert r.records_without_customer_row == 1 and r.all_record_rows == 4
-    # T1 + T3 (sale and its return net to 0) and T2 (no shared key) are customers
-    spend = sorted(float(x.total_instore_spent_gbp) for x in c360.collect())
-    assert spend == [0.0, 5.0]
+    assert [float(x.total_instore_spent_gbp) for x in c360.collect()] == [5.0]
+
+
+POS_SCHEMA = ("transaction_id string, store_location string, transaction_date date, first_name string, "
+              "last_name string, email string, phone string, loyalty_id string, staff_discount string, "
+              "transaction_type string, amount_gbp double, order_reference string")
+
+
+def _pos_roots(spark, rows):
+    st = idn.stored(idn.stage(spark.createDataFrame([], idn_crm_schema()), spark.createDataFrame([], idn_online_schema()),
+                              spark.createDataFrame(rows, POS_SCHEMA)))
+    cc = idn.components(idn.all_records(st), receipts=idn.receipt_rows(st.pos))
+    return {r.record_id: r.component_root for r in cc.collect()}
+
+
+def test_receipt_links_only_keys_that_a_return_lacks(spark):
+    sale = lambda t, email, phone, ref: (t, "S", None, "A", "B", email, phone, None, "No", "Sale", 1.0, ref)
+    back = lambda t, email, phone, ref: (t, "S", None, "", "", email, phone, None, "No", "Return", -1.0, ref)
+    rows = [sale("T1", "a@x", None, "R1"), sale("T2", "b@x", "07", "R1"), back("T3", "c@x", "", "R1"),   # lacks the phone only
+            sale("T4", "d@x", None, "R2"), sale("T5", "e@x", None, "R2"),                                # no return
+            sale("T6", None, None, "R3"), sale("T7", None, None, "R3"), back("T8", "", "", "R3"), back("T9", "", "", "R3"),
+            sale("T10", "f@x", None, None), back("T11", "", "", None)]                                   # no receipt
+    roots = _pos_roots(spark, rows)
+    same = lambda a, b: roots[f"POS-{a}"] == roots[f"POS-{b}"]
+    assert same("T2", "T3") and not same("T1", "T2") and not same("T4", "T5")
+    assert len({roots[f"POS-T{i}"] for i in (6, 7, 8, 9, 10, 11)}) == 6
+
+
+def test_customer_with_many_records_keeps_all(spark):
+    rows = [(f"T{i:05d}", "S", None, "A", "B", "one@x", None, None, "No", "Sale", 1.0, f"R{i}") for i in range(10_500)]
+    st, ids = idn.resolve(spark.createDataFrame([], idn_crm_schema()), spark.createDataFrame([], idn_online_schema()),
+                          spark.createDataFrame(rows, POS_SCHEMA))
+    assert idn.customer_records(ids).count() == 10_500
+    c360 = idn.customer_360(st, ids)
+    assert one(c360).n_source_records == 10_500
+    assert idn.id_crosswalk(ids, c360, hot_rows=100).count() == 10_500
 
 
 def test_id_width_grows_past_five_digits(spark):
     canon = spark.range(100_001).select(F.format_string("R%07d", "id").alias("record_id"),
                                          F.format_string("R%07d", "id").alias("component_root"))
     ids = idn.lookup_ids(canon)
-    top = ids.agg(F.max("omni_lookup_id")).collect()[0][0]
-    assert top == "OID-100001" and ids.select("omni_lookup_id").distinct().count() == 100_001
+    named = {r.record_id: r.omni_lookup_id for r in ids.collect()}
+    assert named["R0100000"] == "OID-100001" and named["R0000000"] == "OID-00001" and len(set(named.values())) == 100_001
 
 
 def idn_crm_schema():
@@ -118,13 +159,6 @@ def test_materialised_views_and_csv_sink(spark, resolved, tmp_path):
     assert back.count() == 16
 
 
-def test_crosswalk_from_lists_equals_map(resolved):
-    st, ids, c360 = resolved
-    a = {tuple(r) for r in idn.crosswalk_from_lists(c360).collect()}
-    b = {tuple(r) for r in idn.id_crosswalk(ids, c360).collect()}
-    assert a == b and len(a) > 16
-
-
 def test_save_table_sink(spark, resolved):
     from meridian.sources.io import save_table
     name = "meridian_test_customer_360"

@@ -12,13 +12,13 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
 
 
 def test_no_forbidden_operators(spark):
-    import __spark_entry__ as E
+    from meridian.plans.catalog import QUERIES
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         bad = {}
-        for name, fn in E.queries().items():
-            if name == "segment_kmeans":
+        for name, fn in QUERIES.items():
+            if name.startswith("segment_kmeans"):
                 continue
             plan = fn(spark, SF)._jdf.queryExecution().executedPlan().toString()
             hits = [op for op in FORBIDDEN if op in plan]
@@ -31,3 +31,23 @@ def test_no_forbidden_operators(spark):
         assert not bad, bad
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@pytest.mark.parametrize("name", ["rdd_estimate", "rdd_density_check", "rdd_placebo", "rdd_bandwidth_sensitivity"])
+def test_rdd_windows_reach_the_scan(spark, name):
+    from meridian.plans.catalog import QUERIES
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    pushed = [p for p in re.findall(r"PushedFilters: \[([^\]]*)\]", plan) if "c_acctbal" in p]
+    assert pushed and "GreaterThanOrEqual(c_acctbal" in pushed[0] and "LessThan" in pushed[0], plan
+
+
+@pytest.mark.parametrize("name", ["carryover_diagnostic", "carryover_curve"])
+def test_carryover_sorts_no_raw_events(spark, name):
+    from meridian.plans.catalog import QUERIES
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    lines = plan.split("\n")
+    # a sort-based aggregate may only stand above the per-block rows, never on the scan's own rows
+    for i, line in enumerate(lines):
+        if "SortAggregate" in line and "partial" in line:
+            below = "\n".join(lines[i + 1:i + 6])
+            assert "FileScan" not in below, plan

@@ -29,3 +29,47 @@ def test_entry_loaded_by_path_from_elsewhere():
     out = subprocess.run([sys.executable, "-c", SCRIPT], cwd=tempfile.mkdtemp(prefix="meridian-cwd-"),
                          env=env, capture_output=True, text=True, timeout=600)
     assert "OK" in out.stdout, out.stderr[-2000:]
+
+
+CLEAN = f"""
+import sys
+sys.path.insert(0, {ROOT!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master('local[4]').config('spark.ui.enabled', 'false').config(
+    'spark.sql.shuffle.partitions', '4').getOrCreate()
+assert spark.sparkContext.getCheckpointDir() is None
+import __spark_entry__ as E
+print('ROWS', E.entry(spark).count())
+"""
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables absent")
+def test_entry_runs_without_any_spark_settings():
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    env["SPARK_CONF_DIR"] = tempfile.mkdtemp(prefix="meridian-conf-")
+    out = subprocess.run([sys.executable, "-c", CLEAN], cwd=tempfile.mkdtemp(prefix="meridian-cwd-"),
+                         env=env, capture_output=True, text=True, timeout=600)
+    assert "ROWS" in out.stdout, out.stderr[-2000:]
+
+
+def test_cluster_without_shared_folder_is_refused():
+    from meridian.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session())

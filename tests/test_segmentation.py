@@ -41,3 +41,14 @@ def test_kmeans_label_count_must_match_k(fx):
     import pytest
     with pytest.raises(ValueError):
         seg.kmeans_segments(fx("kmeans_customers"), k=2)
+
+
+def test_kmeans_keeps_rows_with_missing_features(spark, fx):
+    df = fx("kmeans_customers")
+    extra = df.limit(2).selectExpr("concat('X', customer_id) as customer_id", *[
+        f"cast(null as {t}) as {c}" if c == "annual_spend" else c for c, t in df.dtypes if c != "customer_id"])
+    out = seg.kmeans_segments(df.unionByName(extra, allowMissingColumns=True), seeds=(42, 43))
+    assert out.count() == df.count() + 2
+    assert out.where("segment is null").count() == 2
+    counts = {r.segment: r["count"] for r in seg.segment_counts(out).collect()}
+    assert counts[None] == 2 and sum(counts.values()) == df.count() + 2
