@@ -39,11 +39,11 @@ from pyspark.sql import types as T
 
 from meridian.llm.common import ship
 
-MAX_TOXIC = 1_500       # training documents of each class at most
-MAX_CLEAN = 3_500
+MAX_TOXIC = 800         # training documents of each class at most
+MAX_CLEAN = 1_600
 LANDMARKS = 64
 PLAIN = 8               # of these: frequent words
-CANDIDATES = 240
+CANDIDATES = 160
 WITNESSES = 2           # sentences of a toxic document that it is trained on
 WORST = 3               # sentences that decide on a document
 SPAN = 6                # characters that it may span
