@@ -16,13 +16,20 @@ from pyspark.sql import functions as F
 from meridian.sources.io import read_table
 
 # Fixed values of the bindings (shared with the SQL oracle text).
-DATA_END_MONTH = "2001-08-01"       # last month present in orders
-RECENCY_AS_OF = "2001-08-02"
 CUPED_SPLIT_TS = "2024-01-16"
 EVENTS_DAY0 = "2024-01-01"
 CHURN_GAP_MONTHS = 12
 
 
+def orders_range(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+    """First and last month (``yyyy-MM``) and the last day of ``orders``: one
+    aggregate over its dates, one row to the driver."""
+    day = F.to_date("o_orderdate")
+    r = _t(spark, sf_dir, "orders").agg(F.min(day).alias("lo"), F.max(day).alias("hi")).collect()[0]
+    lo, hi = str(r["lo"] or "1970-01-01"), str(r["hi"] or "1970-01-01")
+    return lo[:7], hi[:7], hi
+
+
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, sf_dir, name)
 
@@ -125,7 +132,7 @@ def host_cohort_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     + 1) of the first month followed by >= 12 inactive months; NULL if none."""
     m = customer_active_months(spark, sf_dir)
     w = Window.partitionBy("custkey").orderBy("month")
-    nxt = F.coalesce(F.lead("month").over(w), F.to_date(F.lit(DATA_END_MONTH)))
+    nxt = F.coalesce(F.lead("month").over(w), F.to_date(F.lit(orders_range(spark, sf_dir)[1] + "-01")))
     gaps = m.select("custkey", "month",
                     F.months_between(nxt, F.col("month")).cast("int").alias("gap"))
     per = gaps.groupBy("custkey").agg(
@@ -240,7 +247,8 @@ def rfm_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("o_totalprice").alias("monetary"))
     return agg.select(
         F.col("o_custkey").cast("string").alias("customer_id"),
-        F.datediff(F.to_date(F.lit(RECENCY_AS_OF)), F.to_date("last")).cast("long").alias("recency_days"),
+        (F.datediff(F.to_date(F.lit(orders_range(spark, sf_dir)[2])), F.to_date("last")) + 1)
+        .cast("long").alias("recency_days"),
         "frequency", "monetary")
 
 

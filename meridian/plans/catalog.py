@@ -210,35 +210,37 @@ def q_carryover_curve(spark, sf_dir):
 # --------------------------------------------------------------------------- cohort (B4)
 # every signup cohort in the data; observation ends at the last data month
 COHORT: dict = {}
-AS_OF = "2001-08"
-DATA_START = "1995-01"
+
+
+def _months(spark, sf_dir) -> tuple[str, str]:
+    return B.orders_range(spark, sf_dir)[:2]
 
 
 @query("retention_matrix")
 def q_retention_matrix(spark, sf_dir):
-    return cohort.retention_matrix(B.host_cohort_events(spark, sf_dir), AS_OF, max_tenure=12, **COHORT)
+    return cohort.retention_matrix(B.host_cohort_events(spark, sf_dir), _months(spark, sf_dir)[1], max_tenure=12, **COHORT)
 
 
 @query("retention_at_tenure")
 def q_retention_at_tenure(spark, sf_dir):
-    return cohort.retention_at_tenure(B.host_cohort_events(spark, sf_dir), AS_OF, tenure=1, **COHORT)
+    return cohort.retention_at_tenure(B.host_cohort_events(spark, sf_dir), _months(spark, sf_dir)[1], tenure=1, **COHORT)
 
 
 @query("blended_active_rate")
 def q_blended_active_rate(spark, sf_dir):
-    return cohort.blended_active_rate(B.host_cohort_events(spark, sf_dir), first_cohort=DATA_START,
-                                      as_of=AS_OF, **COHORT)
+    first, last = _months(spark, sf_dir)
+    return cohort.blended_active_rate(B.host_cohort_events(spark, sf_dir), first_cohort=first, as_of=last, **COHORT)
 
 
 @query("vintage_decline")
 def q_vintage_decline(spark, sf_dir):
-    return cohort.vintage_decline(B.host_cohort_events(spark, sf_dir), AS_OF, tenure=1,
+    return cohort.vintage_decline(B.host_cohort_events(spark, sf_dir), _months(spark, sf_dir)[1], tenure=1,
                                   min_consecutive=3, drop_threshold=1.0, **COHORT)
 
 
 @query("mix_shift_projection")
 def q_mix_shift_projection(spark, sf_dir):
-    return cohort.mix_shift_projection(B.host_cohort_events(spark, sf_dir), AS_OF,
+    return cohort.mix_shift_projection(B.host_cohort_events(spark, sf_dir), _months(spark, sf_dir)[1],
                                        recovered_rate=96, new_cohort_size=800, **COHORT)
 
 
