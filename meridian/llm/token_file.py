@@ -43,7 +43,8 @@ from meridian.llm.common import batch_rows, ship, staged, utf8
 BLOCK = 2048
 LANES = 1024
 END_ID = 2
-WORD_CACHE = 300_000
+WORD_CACHE = 800_000
+LINES = 200                     # words encoded in one call
 SLOTS_1, SLOTS_2 = 2048, 4096   # of a block's order-1 and order-2 predictions
 CONFIDENT = 15
 RATE = 6                        # learning: a shift of the error
@@ -53,7 +54,7 @@ _TOP, _WORD, _LOW32 = _U(1 << 48), _U(16), _U((1 << 32) - 1)
 _FULL = _U((1 << 48) - 1)
 _LEAST = _U(1 << 32)
 # probabilities (of 65536) for log odds in steps of 1/256
-_SQUASH = np.clip(np.rint(65536 / (1 + np.exp(-(np.arange(4096) - 2048) / 256.0))), 32, 65504).astype(np.int64)
+_SQUASH = np.clip(np.rint(65536 / (1 + np.exp(-(np.arange(4096) - 2048) / 256.0))), 32, 65504).astype(np.uint64)
 
 FIELDS = ("part int, row long, first_id long, first_doc long, continues boolean, n_ids long, "
           "frequencies binary, lengths array<int>, checks array<long>, payloads array<binary>, counts array<long>")
@@ -64,8 +65,8 @@ class _Mixer:
 
     def __init__(self, n: int):
         self.n = n
-        self.id1, self.id2 = np.zeros(n * SLOTS_1, np.int32), np.zeros(n * SLOTS_2, np.int32)
-        self.sure1, self.sure2 = np.zeros(n * SLOTS_1, np.int8), np.zeros(n * SLOTS_2, np.int8)
+        # predictions: 16 x id + confidence
+        self.next1, self.next2 = np.zeros(n * SLOTS_1, np.int32), np.zeros(n * SLOTS_2, np.int32)
         self.odds_2 = np.tile(np.arange(-3, 5, 0.5) * 2048, n).astype(np.int32)         # by order-2 confidence
         self.odds_21 = np.zeros(n * 32, np.int32)                                       # by order-1 confidence, agreement
         self.odds_20 = np.zeros(n, np.int32)
@@ -77,42 +78,48 @@ class _Mixer:
     def look(self, k: int) -> None:
         """Predictions of the first ``k`` lanes."""
         lane, last1, last2 = self.lane[:k], self.last1[:k], self.last2[:k]
-        self.at1 = lane * SLOTS_1 + ((last1 * 40503) >> 5 & (SLOTS_1 - 1))
-        self.at2 = lane * SLOTS_2 + ((last1 * 40503 + last2 * 30011) >> 4 & (SLOTS_2 - 1))
-        self.p1, self.p2 = self.id1[self.at1], self.id2[self.at2]
-        self.c1, self.c2 = self.sure1[self.at1], self.sure2[self.at2]
+        mixed = last1 * 40503
+        self.at1 = lane * SLOTS_1 + (mixed >> 5 & (SLOTS_1 - 1))
+        self.at2 = lane * SLOTS_2 + (mixed + last2 * 30011 >> 4 & (SLOTS_2 - 1))
+        self.e1, self.e2 = self.next1.take(self.at1), self.next2.take(self.at2)
+        self.p1, self.p2 = self.e1 >> 4, self.e2 >> 4
+        self.c1, self.c2 = self.e1 & 15, self.e2 & 15
         self.x2 = lane * 16 + self.c2
         self.x21 = lane * 32 + self.c1 * 2 + (self.p1 == self.p2)
-        odds = self.odds_2[self.x2] + self.odds_21[self.x21] + self.odds_20[:k]
-        self.chance2 = _SQUASH[np.clip(odds >> 4, -2047, 2047) + 2048]
+        self.o2, self.o21 = self.odds_2.take(self.x2), self.odds_21.take(self.x21)
+        self.chance2 = _chance(self.o2 + self.o21 + self.odds_20[:k])
 
     def look1(self, who: np.ndarray) -> None:
         """The order-1 event of the lanes ``who``."""
-        self.x1 = who * 16 + self.c1[who]
-        odds = self.odds_1[self.x1] + self.odds_10[who]
-        self.chance1 = _SQUASH[np.clip(odds >> 4, -2047, 2047) + 2048]
+        self.x1 = who * 16 + self.c1.take(who)
+        self.o1 = self.odds_1.take(self.x1)
+        self.chance1 = _chance(self.o1 + self.odds_10.take(who))
 
     def learn2(self, hit: np.ndarray, k: int) -> None:
-        err = ((hit.astype(np.int64) << 16) - self.chance2 >> RATE).astype(np.int32)
-        self.odds_2[self.x2] += err
-        self.odds_21[self.x21] += err
+        err = (hit * np.int64(65536) - self.chance2.view(np.int64) >> RATE).astype(np.int32)
+        self.odds_2[self.x2] = self.o2 + err
+        self.odds_21[self.x21] = self.o21 + err
         self.odds_20[:k] += err >> 2
 
     def learn1(self, hit: np.ndarray, who: np.ndarray) -> None:
-        err = ((hit.astype(np.int64) << 16) - self.chance1 >> RATE).astype(np.int32)
-        self.odds_1[self.x1] += err
+        err = (hit * np.int64(65536) - self.chance1.view(np.int64) >> RATE).astype(np.int32)
+        self.odds_1[self.x1] = self.o1 + err
         self.odds_10[who] += err >> 2
 
     def follow(self, ids: np.ndarray, k: int) -> None:
-        """Take the ids that came."""
-        for table, sure, at, p, c in ((self.id1, self.sure1, self.at1, self.p1, self.c1), (self.id2, self.sure2, self.at2, self.p2, self.c2)):
-            hit = ids == p
-            sure[at] = np.where(hit, np.minimum(c + 1, CONFIDENT), np.maximum(c >> 1, 1 * (c < 2)))
-            table[at] = np.where(hit | (c > 1), p, ids)
+        """Take the ids that came: a prediction that holds gains confidence,
+        one that fails loses half, and at the end its place."""
+        fresh = ids * 16 + 1
+        for table, at, e, p, c in ((self.next1, self.at1, self.e1, self.p1, self.c1), (self.next2, self.at2, self.e2, self.p2, self.c2)):
+            table[at] = np.where(ids == p, e + (c < CONFIDENT), np.where(c > 1, e - c + (c >> 1), fresh))
         self.last2[:k] = self.last1[:k]
         self.last1[:k] = ids
 
 
+def _chance(odds: np.ndarray) -> np.ndarray:
+    return _SQUASH.take((odds >> 4) + 2048, mode="clip")
+
+
 def frequencies(ids: np.ndarray) -> np.ndarray:
     """Order-0 shares of 65536 for each id up to the greatest; at least one for
     an id that occurs."""
@@ -139,9 +146,10 @@ def encode_blocks(blocks: list[np.ndarray]) -> tuple[np.ndarray, list[bytes]]:
     low, size = np.zeros(n, _U), np.full(n, _FULL)
     out, used = np.zeros((n, 3 * longest + 8), np.uint32), np.zeros(n, np.int64)
 
-    def settle(who):
+    def settle(who, all_of=None):
         """Carry, then send out the leading 16 bits of narrow lanes."""
-        over = who[low[who] >= _TOP]
+        pick = (lambda test: np.flatnonzero(test)) if all_of else (lambda test: who[test])
+        over = pick(low[who] >= _TOP)
         if len(over):
             low[over] &= _FULL
             at = used[over] - 1
@@ -151,18 +159,19 @@ def encode_blocks(blocks: list[np.ndarray]) -> tuple[np.ndarray, list[bytes]]:
                 over, at = over[more], at[more]
                 out[over, at] = 0
                 at = at - 1
-        thin = who[size[who] < _LEAST]
+        thin = pick(size[who] < _LEAST)
         if len(thin):
             out[thin, used[thin]] = (low[thin] >> _U(32)).astype(np.uint32)
             used[thin] += 1
             low[thin] = (low[thin] & _LOW32) << _WORD
             size[thin] <<= _WORD
 
-    def event(who, chance, hit):
-        part = (size[who] >> _WORD) * chance.astype(_U)
+    def event(who, chance, hit, all_of=None):
+        whole = size[who]
+        part = (whole >> _WORD) * chance
         low[who] += np.where(hit, _U(0), part)
-        size[who] = np.where(hit, part, size[who] - part)
-        settle(who)
+        size[who] = np.where(hit, part, whole - part)
+        settle(who, all_of)
 
     lanes = mix.lane
     for t in range(longest):
@@ -170,7 +179,7 @@ def encode_blocks(blocks: list[np.ndarray]) -> tuple[np.ndarray, list[bytes]]:
         x = ids[t, :k]
         mix.look(k)
         hit = x == mix.p2
-        event(lanes[:k], mix.chance2, hit)
+        event(slice(0, k), mix.chance2, hit, k)
         mix.learn2(hit, k)
         miss = np.flatnonzero(~hit)
         ask = miss[mix.p1[miss] != mix.p2[miss]]
@@ -212,26 +221,27 @@ def decode_blocks(share: np.ndarray, payloads: list[bytes], lengths: list[int])
     size, used = np.full(n, _FULL), np.full(n, 3)
     out = np.zeros((longest, n), np.int32)
 
-    def settle(who):
-        thin = who[size[who] < _LEAST]
+    def settle(who, all_of=None):
+        thin = np.flatnonzero(size[who] < _LEAST) if all_of else who[size[who] < _LEAST]
         if len(thin):
             code[thin] = code[thin] << _WORD | words[thin, used[thin]]
             used[thin] += 1
             size[thin] <<= _WORD
 
-    def event(who, chance):
-        part = (size[who] >> _WORD) * chance.astype(_U)
+    def event(who, chance, all_of=None):
+        whole = size[who]
+        part = (whole >> _WORD) * chance
         hit = code[who] < part
         code[who] -= np.where(hit, _U(0), part)
-        size[who] = np.where(hit, part, size[who] - part)
-        settle(who)
+        size[who] = np.where(hit, part, whole - part)
+        settle(who, all_of)
         return hit
 
     lanes = mix.lane
     for t in range(longest):
         k = n if length[-1] > t else int(np.searchsorted(-length, -t))
         mix.look(k)
-        hit = event(lanes[:k], mix.chance2)
+        hit = event(slice(0, k), mix.chance2, k)
         mix.learn2(hit, k)
         x = mix.p2.copy()
         miss = np.flatnonzero(~hit)
@@ -273,6 +283,22 @@ class _WordIds:
         self.number: dict[bytes, int] = {}
         self.pool, self.start, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each word has, and the ids. Words are encoded many at
+        a time, one a line; an id belongs to the line that it starts in."""
+        sizes, out = [], []
+        for at in range(0, len(words), 64 * LINES):
+            parts = [words[i:i + LINES] for i in range(at, min(at + 64 * LINES, len(words)), LINES)]
+            for part, e in zip(parts, self.tok.encode_batch(["\n".join(p) for p in parts], add_special_tokens=False)):
+                length = np.array([len(w) + 1 for w in part])
+                first = np.array([a for a, _ in e.offsets], np.int64)
+                line = np.searchsorted(np.cumsum(length) - length, first, side="right") - 1
+                if len(line) and (np.diff(line) < 0).any():
+                    raise RuntimeError("ids out of the order of their words")
+                sizes.append(np.bincount(line, minlength=len(part)))
+                out.append(np.array(e.ids, np.int32))
+        return np.concatenate(sizes).astype(np.int64), np.concatenate(out)
+
     def ids(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of each text."""
         if len(self.number) > WORD_CACHE:
@@ -281,11 +307,10 @@ class _WordIds:
         rows = [np.array([put(w, len(self.number)) for w in t.split()], np.int64) for t in texts]
         new = list(self.number)[known:]
         if new:
-            got = [e.ids for e in self.tok.encode_batch([w.decode("utf-8") for w in new], add_special_tokens=False)]
-            size = np.array([len(x) for x in got], np.int64)
+            size, got = self.encode([w.decode("utf-8") for w in new])
             self.start = np.concatenate([self.start, len(self.pool) + np.cumsum(size) - size])
             self.size = np.concatenate([self.size, size])
-            self.pool = np.concatenate([self.pool, np.array([i for x in got for i in x], np.int32)])
+            self.pool = np.concatenate([self.pool, got])
         out = []
         for row in rows:
             k = self.size[row]
@@ -324,8 +349,8 @@ def _write_batches(tokenizer_json: str, end_id: int):
         for batch in batches:
             id_type = batch.column("_id").type
             names, texts = batch.column("_id").to_pylist(), batch.column("_utf8")
-            for at in range(0, len(names), 64):
-                for name, got in zip(names[at:at + 64], words.ids(texts.slice(at, 64).to_pylist())):
+            for at in range(0, len(names), 256):
+                for name, got in zip(names[at:at + 256], words.ids(texts.slice(at, 256).to_pylist())):
                     got = np.append(got, np.int32(end_id))
                     while len(got):
                         take = got[:full - held]
