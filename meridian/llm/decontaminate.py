@@ -15,7 +15,7 @@ behind the number of passages; a benchmark over ``MAX_ITEMS`` items is checked
 in rounds of that many. Both only bound what a task holds.
 
 Defined results: null and empty documents and items match nothing; an item
-with fewer than ``SHORT`` words must appear whole and in order; repeated rows
+with fewer than ``SHORT`` words must appear word for word; repeated rows
 and items give the same result each; other columns are kept or not used.
 """
 
@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from meridian.llm.common import ship, utf8
 
 PASSAGE = 64          # words of a passage at most
-SIZES = (16, 32, 64)  # window lengths; a passage is sought in the next longer
+SIZES = (4, 8, 16, 32, 64)  # window lengths; a passage is sought in the next longer
 COSINE = 0.4          # of a candidate
 COPY = 0.8            # share of a passage in the longest common subsequence
 PARAPHRASE = 0.6      # the same, if the answer is there
@@ -44,6 +44,7 @@ OVERSAMPLE = 16
 MAX_ITEMS = 10_000
 CHUNK = 1024          # terms whose sums travel together
 SEED = 7
+WORD_CACHE = 400_000
 _EDGES = b" .,;:!?\"'()[]{}<>|#*%$&-_/\\"
 _STOPS = (b".", b"!", b"?")
 
@@ -215,22 +216,50 @@ def build_blocks(src: DataFrame, items: list[tuple[int, bytes]]) -> tuple[list[B
 def _is_leak(p: Passage, region: list[bytes]) -> float:
     """The passage's share in the longest common subsequence, 0 if it isn't a leak."""
     n = len(p.words)
+    if n < SHORT:
+        return float(any(region[i:i + n] == p.words for i in range(len(region) - n + 1)))
     share = common_subsequence(p.words, region) / n
-    if share >= (COPY if n >= SHORT else 1.0):
+    if share >= COPY:
         return share
-    if n >= SHORT and share >= PARAPHRASE and p.answer and common_subsequence(p.answer, region) >= ANSWER * len(p.answer):
+    if share >= PARAPHRASE and p.answer and common_subsequence(p.answer, region) >= ANSWER * len(p.answer):
         return share
     return 0.0
 
 
-def find_leaks(words: list[bytes], terms: np.ndarray, block: Block, other: float) -> dict[int, float]:
+class _Words(dict):
+    """Numbers of raw words, with the words they stand for and their terms in
+    each block; -1 where a block has no such term."""
+
+    def __init__(self, places: list[dict[bytes, int]]):
+        super().__init__()
+        self.places, self.words, self.new = places, [], []
+        self.terms = np.zeros((0, len(places)), np.int32)
+
+    def __missing__(self, raw: bytes) -> int:
+        word = raw.strip(_EDGES)
+        self.words.append(word)
+        self.new.append([p.get(word, -1) if word else -2 for p in self.places])
+        k = self[raw] = len(self.words) - 1
+        return k
+
+    def terms_of(self, numbers: np.ndarray) -> np.ndarray:
+        if self.new:
+            end = len(self.words)
+            if end > len(self.terms):  # room for half as many again
+                self.terms = np.concatenate([self.terms, np.zeros((end // 2 + len(self.new), len(self.places)), np.int32)])
+            self.terms[end - len(self.new):end] = self.new
+            self.new = []
+        return self.terms[numbers]
+
+
+def find_leaks(numbers: np.ndarray, vocabulary: list[bytes], terms: np.ndarray, block: Block, other: float) -> dict[int, float]:
     """Item -> share, of the items found in a document. ``terms``: the block's
-    term of each word, or -1."""
+    term of each word, or -1; ``numbers``: its word's place in ``vocabulary``."""
     known = terms >= 0
     weight = np.where(known, block.idf[terms], np.float32(other)).astype(np.float64)
     inside = np.concatenate([[0.0], np.cumsum(np.where(known, weight * weight, 0.0))])
     whole = np.concatenate([[0.0], np.cumsum(weight * weight)])
-    n, out = len(words), {}
+    n, out = len(numbers), {}
     for size, own in block.by_size.items():
         starts = np.arange(0, max(1, n - size // 2), size // 2)
         ends = np.minimum(starts + size, n)
@@ -245,7 +274,7 @@ def find_leaks(words: list[bytes], terms: np.ndarray, block: Block, other: float
             for i in own[cosine >= COSINE].tolist():
                 p = block.passages[i]
                 if out.get(p.item, 0.0) < 1.0:
-                    share = _is_leak(p, words[max(0, a - size // 2):b + size // 2])
+                    share = _is_leak(p, [vocabulary[w] for w in numbers[max(0, a - size // 2):b + size // 2]])
                     if share:
                         out[p.item] = max(share, out.get(p.item, 0.0))
     return out
@@ -254,27 +283,22 @@ def find_leaks(words: list[bytes], terms: np.ndarray, block: Block, other: float
 def _search(blocks: list[Block], where: dict[bytes, list[tuple[int, int]]], other: float):
     def run(batches):
         places = [{w: i for w, at in where.items() for b, i in at if b == k} for k in range(len(blocks))]
-        known: dict[bytes, tuple] = {}
+        known = _Words(places)
         for batch in batches:
             items, shares = [], []
             for text in batch.column("_utf8").to_pylist():
-                words, rows = [], []
-                for raw in text.lower().split():
-                    got = known.get(raw)
-                    if got is None:
-                        if len(known) > 500_000:
-                            known.clear()
-                        w = raw.strip(_EDGES)
-                        got = known[raw] = (w, tuple(p.get(w, -1) for p in places))
-                    if got[0]:
-                        words.append(got[0])
-                        rows.append(got[1])
+                if len(known) > WORD_CACHE:
+                    known = _Words(places)
+                numbers = np.array([known[raw] for raw in text.lower().split()], np.int64)
                 found: dict[int, float] = {}
-                if words:
-                    terms = np.array(rows, np.int64).reshape(len(words), len(blocks))
+                terms = known.terms_of(numbers)
+                if (terms >= 0).any():
+                    real = terms[:, 0] > -2  # not punctuation alone
+                    numbers, terms = numbers[real], terms[real]
                     for k, block in enumerate(blocks):
-                        if (terms[:, k] >= 0).any():
-                            for item, share in find_leaks(words, terms[:, k], block, other).items():
+                        own = terms[:, k]
+                        if (own >= 0).any():
+                            for item, share in find_leaks(numbers, known.words, own, block, other).items():
                                 found[item] = max(share, found.get(item, 0.0))
                 items.append(sorted(found))
                 shares.append(max(found.values(), default=0.0))
