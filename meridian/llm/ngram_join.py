@@ -14,8 +14,9 @@ At scale:
 * Shingles that recur within a scan task are counted and the most frequent
   (a bounded number) go last in every document. Any order gives the same
   links; this one keeps common passages out of the short lists.
-* A short list is merged around its most central member first, instead of all
-  its pairs. Links join nodes into components, and pairs inside a component
+* Short lists with the same members are merged into one, which counts as many.
+* A list is tested around a few members first, the most central and some by
+  hash, instead of in all its pairs. Links join nodes into components, and pairs inside a component
   need no test, as only components are returned. What is left of the lists
   across components is tested in full, so no link is lost.
 
@@ -34,15 +35,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import batch_rows, ship, staged, utf8
+from meridian.llm.common import batch_rows, ship, staged, utf8, without
 from meridian.operators.graph import star_edges_to_labels
 
 COUNT_CHUNK = 4_000_000    # shingles counted at once in a task
-FREQUENT_IN_CHUNK = 8      # documents of a chunk that make a shingle frequent
-MAX_FREQUENT = 500_000     # frequent shingles that have a rank of their own
+FREQUENT_IN_CHUNK = 2      # documents of a chunk that make a shingle frequent
+MAX_FREQUENT = 1_000_000    # frequent shingles that have a rank of their own
 MAX_WANTED = 2_000_000     # node keys sent to every task; beyond, they are joined
 WORD_CACHE = 1_000_000
-PAIRS_PER_POSTING = 4      # pairs left for the last, full merge: so many per short-list entry
+HUBS = 4                   # members of a list that a round tests with all others
+PAIRS_PER_ENTRY = 2        # pairs left for the last, full merge: so many per short-list entry,
+MOST_PAIRS = 200_000       # or in all
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _FINAL = np.uint64(0xD6E8FEB86659FD93)
@@ -196,27 +199,24 @@ def _probe(pct: int):
     return run
 
 
-class _Prober:
-    """Tests candidate pairs against whole sets, which are built for the nodes
-    that have candidates and kept in the shared folder."""
-
-    def __init__(self, src: DataFrame, nodes: DataFrame, words: int, pct: int):
-        self.pct = pct
-        n = nodes.count()
-        wanted = None
-        if n <= MAX_WANTED:
-            wanted = np.sort(nodes.toArrow().column(0).to_numpy().astype(np.int64))
-        sets = src.mapInArrow(_whole_sets(words, wanted), "node long, members binary")
-        if wanted is None:
-            sets = sets.join(nodes, "node", "left_semi")
-        self.sets = staged(sets.groupBy("node").agg(F.first("members").alias("members")), "sets")
-
-    def links(self, pairs: DataFrame) -> DataFrame:
-        a = self.sets.select(F.col("node").alias("a"), F.col("members").alias("set_a"))
-        b = self.sets.select(F.col("node").alias("b"), F.col("members").alias("set_b"))
-        with batch_rows(pairs.sparkSession, 400):
-            return staged(pairs.join(b, "b").join(a, "a").select("a", "b", "set_a", "set_b")
-                          .mapInArrow(_probe(self.pct), "a long, b long"), "links")
+def _links(src: DataFrame, pairs: DataFrame, words: int, pct: int) -> DataFrame:
+    """The pairs (a, b) that are links. Whole sets are built for their nodes
+    only."""
+    pairs = staged(pairs, "pairs")
+    nodes = staged(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "nodes")
+    wanted = None
+    if nodes.count() <= MAX_WANTED:
+        wanted = np.sort(nodes.toArrow().column(0).to_numpy().astype(np.int64))
+    sets = src.mapInArrow(_whole_sets(words, wanted), "node long, members binary")
+    if wanted is None:
+        sets = sets.join(nodes, "node", "left_semi")
+    # not written: the shuffle by node serves both joins, which need it anyway
+    sets = sets.groupBy("node").agg(F.first("members").alias("members"))
+    a = sets.select(F.col("node").alias("a"), F.col("members").alias("set_a"))
+    b = sets.select(F.col("node").alias("b"), F.col("members").alias("set_b"))
+    with batch_rows(pairs.sparkSession, 400):
+        return staged(pairs.join(b, "b").join(a, "a").select("a", "b", "set_a", "set_b")
+                      .mapInArrow(_probe(pct), "a long, b long"), "links")
 
 
 def _near_size(pct: int):
@@ -224,42 +224,70 @@ def _near_size(pct: int):
     return small * 100 >= big * pct
 
 
-def _around_hubs(lists: DataFrame, order, pct: int) -> DataFrame:
-    """Pairs of every list's first member by ``order`` with its other members
-    of other components."""
-    hubs = lists.groupBy("shingle").agg(F.max(F.struct(order.alias("o"), "node", "n", "label")).alias("h")).select(
-        "shingle", F.col("h.node").alias("hub"), F.col("h.n").alias("hub_n"), F.col("h.label").alias("hub_label"))
-    return (lists.join(hubs, "shingle").where((F.col("label") != F.col("hub_label")) & _near_size(pct))
-            .select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
+def _merged(entries: DataFrame) -> DataFrame:
+    """The short lists that several nodes share, lists with the same members
+    merged: ``list``, ``node``, ``n``, ``m`` (lists merged), ``pos`` (the
+    node's last position in these)."""
+    shared = (entries.groupBy("shingle").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
+              .where(F.col("lo") != F.col("hi")).select("shingle"))
+    # nodes that several tasks have seen come once more from each of them
+    lists = staged(entries.join(shared, "shingle", "left_semi").distinct(), "lists")
+    members = lists.groupBy("shingle").agg(F.count(F.lit(1)).alias("k"), F.bit_xor(F.xxhash64("node")).alias("x"),
+                                           F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"))
+    return (lists.join(members, "shingle").groupBy(F.xxhash64("k", "x", "y").alias("list"), "x", "y", "node")
+            .agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("m"), F.max("pos").alias("pos"))
+            .drop("x", "y"))
+
+
+def _around_hubs(lists: DataFrame, seed: int, pct: int) -> DataFrame:
+    """Pairs of a few members of every list (the most central at first, and
+    some by hash) with its other members of other components."""
+    orders = [F.col("w") if seed == 0 else F.xxhash64("node", F.lit(-seed))]
+    orders += [F.xxhash64("node", F.lit(seed * HUBS + i)) for i in range(1, HUBS)]
+    hubs = lists.groupBy("list").agg(*[F.max(F.struct(o.alias("o"), "node", "n", "label")).alias(f"h{i}") for i, o in enumerate(orders)])
+    hubs = hubs.select("list", F.explode(F.array_distinct(F.array(*[
+        F.struct(F.col(f"h{i}.node").alias("hub"), F.col(f"h{i}.n").alias("hub_n"), F.col(f"h{i}.label").alias("hub_label"))
+        for i in range(HUBS)]))).alias("h")).select("list", "h.*")
+    met = lists.join(hubs, "list").where((F.col("label") != F.col("hub_label")) & _near_size(pct))
+    pairs = met.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
+    # all lists that hold both: pairs across components are in lists across components
+    own = lists.select(F.col("node").alias("a"), "list", "n", "m", "pos")
+    other = lists.select(F.col("node").alias("b"), "list", F.col("n").alias("hub_n"), F.col("pos").alias("hub_pos"))
+    return _can_reach(pairs.join(own, "a").join(other, ["b", "list"]), pct)
 
 
 def _all_pairs(lists: DataFrame, pct: int) -> DataFrame:
-    """The pairs of each list across components that can reach T: their common
-    short-list shingles plus all that follows the last of them."""
-    other = lists.select("shingle", F.col("node").alias("hub"), F.col("n").alias("hub_n"),
+    """The pairs of each list across components that can reach T."""
+    other = lists.select("list", F.col("node").alias("b"), F.col("n").alias("hub_n"),
                          F.col("label").alias("hub_label"), F.col("pos").alias("hub_pos"))
-    met = (lists.join(other, "shingle")
-           .where((F.col("node") < F.col("hub")) & (F.col("label") != F.col("hub_label")) & _near_size(pct))
-           .groupBy("node", "hub").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"), F.first("hub_n").alias("hub_n"),
-                                       F.max("pos").alias("pos"), F.max("hub_pos").alias("hub_pos")))
+    met = (lists.withColumnRenamed("node", "a").join(other, "list")
+           .where((F.col("a") < F.col("b")) & (F.col("label") != F.col("hub_label")) & _near_size(pct)))
+    return _can_reach(met, pct)
+
+
+def _can_reach(met: DataFrame, pct: int) -> DataFrame:
+    """The pairs (a, b) whose overlap may reach T: their common short-list
+    shingles (a row of ``met`` for each list), plus all that follows the last
+    of these in either document."""
+    met = met.groupBy("a", "b").agg(F.sum("m").alias("c"), F.max("n").alias("n"), F.max("hub_n").alias("hub_n"),
+                                    F.max("pos").alias("pos"), F.max("hub_pos").alias("hub_pos"))
     most = F.col("c") + F.least(F.col("n") - 1 - F.col("pos"), F.col("hub_n") - 1 - F.col("hub_pos"))
-    return met.where(most * (100 + pct) >= (F.col("n") + F.col("hub_n")) * pct).select(
-        F.col("node").alias("a"), F.col("hub").alias("b"))
+    return met.where(most * (100 + pct) >= (F.col("n") + F.col("hub_n")) * pct).select("a", "b")
 
 
 def _labelled(lists: DataFrame, labels: DataFrame) -> DataFrame:
     """The lists that still reach across components, with the nodes' labels."""
     now = (lists.drop("label").join(labels.withColumnRenamed("root", "label"), "node", "left")
            .withColumn("label", F.coalesce("label", "node")))
-    several = (now.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-               .where(F.col("lo") != F.col("hi")).select("shingle"))
-    return staged(now.join(several, "shingle", "left_semi"), "lists")
+    several = (now.groupBy("list").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+               .where(F.col("lo") != F.col("hi")).select("list"))
+    return staged(now.join(several, "list", "left_semi"), "lists")
 
 
 def _pairs_left(lists: DataFrame) -> tuple[int, int]:
     """Pairs across components that the lists hold, and their entries."""
-    per = (lists.groupBy("shingle", "label").agg(F.count(F.lit(1)).cast("double").alias("c"))
-           .groupBy("shingle").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q")))
+    per = (lists.groupBy("list", "label").agg(F.count(F.lit(1)).cast("double").alias("c"))
+           .groupBy("list").agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q")))
     r = per.agg(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2).alias("pairs"), F.sum("s").alias("entries")).collect()[0]
     return int(r["pairs"] or 0), int(r["entries"] or 0)
 
@@ -280,33 +308,23 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", word
     rank[np.lexsort((hashes, counts))] = np.arange(len(hashes), dtype=np.int32)
     entries = staged(src.mapInArrow(_short_lists(words, pct, hashes[by_hash].astype(np.int64), rank[by_hash]),
                                     "shingle long, node long, n long, pos long"), "entries")
-    # nodes that several tasks have seen come once more from each of them
-    shared = (entries.groupBy("shingle").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-              .where(F.col("lo") != F.col("hi")).select("shingle"))
-    short = entries.join(shared, "shingle", "left_semi").distinct()
-    lists = staged(short, "lists")
-    length = lists.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
-    central = lists.join(length, "shingle").groupBy("node").agg(F.sum("df").alias("w"))
+    lists = staged(_merged(entries), "lists")
+    length = lists.groupBy("list").agg(F.count(F.lit(1)).alias("df"))
+    central = lists.join(length, "list").groupBy("node").agg(F.sum(F.col("df") * F.col("m")).alias("w"))
     lists = staged(lists.join(central, "node").withColumn("label", F.col("node")), "lists")
-    prober = _Prober(src, lists.select("node").distinct(), words, pct)
 
-    links = prober.links(_around_hubs(lists, F.col("w"), pct))
-    labels = star_edges_to_labels(links)
-    lists = _labelled(lists, labels)
+    links, seed = None, 0
     left, n = _pairs_left(lists)
-    seed = 0
-    while left > max(1_000_000, PAIRS_PER_POSTING * n):
-        seed += 1
-        more = prober.links(_around_hubs(lists, F.xxhash64("node", F.lit(seed)), pct))
-        links = links.unionByName(more)
-        labels = star_edges_to_labels(links)
-        lists = _labelled(lists, labels)
-        before, (left, n) = left, _pairs_left(lists)
-        if left * 10 > before * 9:  # these lists hold few links: test them as they are
+    while left and (seed == 0 or left > max(MOST_PAIRS, PAIRS_PER_ENTRY * n)):
+        more = _links(src, _around_hubs(lists, seed, pct), words, pct)
+        links = more if links is None else links.unionByName(more)
+        lists = _labelled(lists, star_edges_to_labels(links))
+        before, (left, n), seed = left, _pairs_left(lists), seed + 1
+        if seed > 1 and left * 10 > before * 9:  # these lists hold few links: test them as they are
             break
     if left:
-        links = links.unionByName(prober.links(_all_pairs(lists, pct)))
-        labels = star_edges_to_labels(links)
+        links = links.unionByName(_links(src, _all_pairs(lists, pct), words, pct))
+    labels = star_edges_to_labels(links if links is not None else lists.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0))
     classes = rows.where(F.col("n_shingles") > 0).groupBy("node").agg(F.min("_id").alias("least"))
     rooted = staged(classes.join(labels, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least"), "rooted")
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
@@ -322,7 +340,7 @@ def keep_first(docs: DataFrame, words: int = 5, pct: int = 80) -> DataFrame:
     found = staged(components(docs, words=words, pct=pct), "components")
     full = found.where(F.col("n_shingles") > 0)
     gone = full.where(~F.col("_id").eqNullSafe(F.col("component_id"))).select("_id").distinct()
-    kept = docs.join(gone, docs["doc_id"] == gone["_id"], "left_anti")
+    kept = without(docs, gone, F.col("doc_id") == F.col("_id"))
     repeated = full.groupBy("_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     if repeated.isEmpty():
         return kept
