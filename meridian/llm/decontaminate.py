@@ -3,12 +3,19 @@
 Benchmark items are cut into passages of up to ``PASSAGE`` words. Their TF-IDF
 matrix, with document frequencies counted over all documents, is factorised
 by a distributed randomised SVD; every passage is a point in the latent space.
-A document is read in overlapping windows as long as the passages they are
-compared with; each is projected into the same space, and its cosine with the
-passages gives candidates. A candidate is a leak when the longest common
-subsequence of words of passage and window region covers enough of the
-passage, or somewhat less of it (a paraphrase) if it covers the item's answer,
-its last sentence, in full measure.
+A document is read in overlapping regions, twice as long as the window of the
+passages they are compared with; each is projected into the same space, and
+its product with a passage there is the weight of the passage that it holds.
+Words that the passage doesn't have add nothing, so it doesn't matter what
+stands around a copy. A candidate is a leak when the longest common
+subsequence of words of passage and region covers enough of the passage, or
+somewhat less of it (a paraphrase) if it covers the item's answer, its last
+sentence, in full measure.
+
+No leak is lost before the subsequence is computed: a passage of n words that
+needs m in order shares m words with the region. So the region holds at least
+the weight of the m lightest words, and ``hits`` of the passage's
+``n - m + hits`` rarest words. Regions that hold fewer aren't projected.
 
 Passages are factorised in blocks of ``BLOCK`` so that the rank never falls
 behind the number of passages; a benchmark over ``MAX_ITEMS`` items is checked
@@ -33,11 +40,13 @@ from meridian.llm.common import ship, utf8
 
 PASSAGE = 64          # words of a passage at most
 SIZES = (4, 8, 16, 32, 64)  # window lengths; a passage is sought in the next longer
-COSINE = 0.4          # of a candidate
+SLACK = 2e-3          # of a region's weight, for rounding and lost directions of the latent space
 COPY = 0.8            # share of a passage in the longest common subsequence
 PARAPHRASE = 0.6      # the same, if the answer is there
 ANSWER = 0.8          # share of the answer in it
 SHORT = 8
+HITS_PCT = 35         # of the words needed, sought among the rarest; any share loses nothing
+STRETCH = 16_384      # words of a document searched at once
 BLOCK = 256
 RANK = 256
 OVERSAMPLE = 16
@@ -97,7 +106,22 @@ class Block:
     idf: np.ndarray                 # of each term
     basis: np.ndarray               # terms x rank
     points: np.ndarray              # passages x rank, of unit length in the whole space
-    by_size: dict[int, np.ndarray]  # window length -> passages
+    size: np.ndarray                # of each passage: its window length,
+    floor: np.ndarray               # the weight a region must hold,
+    hits: np.ndarray                # and how many of its rarest words
+    most: np.ndarray                # of each term: its greatest count in a passage,
+    start: np.ndarray               # and the passages that have it among their rarest words,
+    length: np.ndarray              # ``length`` of ``members`` from ``start``
+    members: np.ndarray
+
+
+def words_needed(p: Passage) -> int:
+    """The least common subsequence that can make the passage a leak."""
+    n = len(p.words)
+    if n < SHORT:
+        return n
+    least = PARAPHRASE if p.answer else COPY
+    return next(k for k in range(n + 1) if k / n >= least)
 
 
 def passages_of(items: list[tuple[int, bytes]]) -> list[Passage]:
@@ -184,9 +208,8 @@ def randomised_svd(rows: DataFrame, terms: int, rank: int, seed: int = SEED) ->
     return last @ vectors[:, keep], np.sqrt(values[keep])
 
 
-def build_blocks(src: DataFrame, items: list[tuple[int, bytes]]) -> tuple[list[Block], dict[bytes, list[tuple[int, int]]], float]:
-    """Blocks of the items' passages; where each word is (block, term); the
-    weight of words that no item has."""
+def build_blocks(src: DataFrame, items: list[tuple[int, bytes]]) -> tuple[list[Block], dict[bytes, list[tuple[int, int]]]]:
+    """Blocks of the items' passages; where each word is (block, term)."""
     spark = src.sparkSession
     passages = sorted(passages_of(items), key=lambda p: (p.item, p.words))
     vocabulary = {w: i for i, w in enumerate(sorted({w for p in passages for w in p.words}))}
@@ -197,20 +220,32 @@ def build_blocks(src: DataFrame, items: list[tuple[int, bytes]]) -> tuple[list[B
         part = passages[at:at + BLOCK]
         terms = {w: i for i, w in enumerate(sorted({w for p in part for w in p.words}))}
         idf = np.array([idf_all[vocabulary[w]] for w in terms])
-        sparse = []
-        for p in part:
-            ids, tf = np.unique([terms[w] for w in p.words], return_counts=True)
+        sparse, floor, hits = [], [], []
+        most = np.zeros(len(terms), np.int64)
+        rarest: list[list[int]] = [[] for _ in terms]
+        for k, p in enumerate(part):
+            own = np.array([terms[w] for w in p.words])
+            ids, tf = np.unique(own, return_counts=True)
             weight = tf * idf[ids]
-            sparse.append((ids.tolist(), (weight / np.linalg.norm(weight)).tolist()))
+            weight /= np.linalg.norm(weight)
+            sparse.append((ids.tolist(), weight.tolist()))
+            most[ids] = np.maximum(most[ids], tf)
+            need = words_needed(p)
+            floor.append(np.sort(np.repeat(weight * idf[ids], tf))[:need].sum())
+            hits.append(-(-need * HITS_PCT // 100))
+            for i in set(own[np.argsort(-idf[own], kind="stable")][:len(own) - need + hits[-1]].tolist()):
+                rarest[i].append(k)
         rows = spark.createDataFrame(sparse, "ids array<int>, weights array<double>")
         basis, _ = randomised_svd(rows, len(terms), min(RANK, len(part)))
         points = np.array([np.array(w) @ basis[i] for i, w in sparse])
         size = np.array([next((s for s in SIZES if len(p.words) <= s), SIZES[-1]) for p in part])
-        blocks.append(Block(part, idf.astype(np.float32), basis.astype(np.float32), points.astype(np.float32),
-                            {s: np.flatnonzero(size == s) for s in SIZES if (size == s).any()}))
+        length = np.array([*map(len, rarest), 0])  # the last: of a word that no passage has
+        blocks.append(Block(part, idf.astype(np.float32), basis.astype(np.float32), points.astype(np.float32), size,
+                            np.array(floor), np.array(hits), most, np.cumsum(length) - length, length,
+                            np.array([k for x in rarest for k in x], np.int64)))
         for w, i in terms.items():
             where.setdefault(w, []).append((at // BLOCK, i))
-    return blocks, where, float(np.log(n + 1) + 0.05)
+    return blocks, where
 
 
 def _is_leak(p: Passage, region: list[bytes]) -> float:
@@ -252,35 +287,62 @@ class _Words(dict):
         return self.terms[numbers]
 
 
-def find_leaks(numbers: np.ndarray, vocabulary: list[bytes], terms: np.ndarray, block: Block, other: float) -> dict[int, float]:
+def find_leaks(numbers: np.ndarray, vocabulary: list[bytes], terms: np.ndarray, block: Block) -> dict[int, float]:
     """Item -> share, of the items found in a document. ``terms``: the block's
     term of each word, or -1; ``numbers``: its word's place in ``vocabulary``."""
-    known = terms >= 0
-    weight = np.where(known, block.idf[terms], np.float32(other)).astype(np.float64)
-    inside = np.concatenate([[0.0], np.cumsum(np.where(known, weight * weight, 0.0))])
-    whole = np.concatenate([[0.0], np.cumsum(weight * weight)])
-    n, out = len(numbers), {}
-    for size, own in block.by_size.items():
-        starts = np.arange(0, max(1, n - size // 2), size // 2)
-        ends = np.minimum(starts + size, n)
-        norm = whole[ends] - whole[starts]
-        # what no item has can't be projected; words that repeat leave some room
-        near = np.flatnonzero(inside[ends] - inside[starts] >= 0.6 * COSINE * COSINE * norm)
-        for k in near.tolist():
-            a, b = int(starts[k]), int(ends[k])
-            at = np.flatnonzero(known[a:b]) + a
-            point = weight[at].astype(np.float32) @ block.basis[terms[at]]
-            cosine = block.points[own] @ point / np.sqrt(norm[k])
-            for i in own[cosine >= COSINE].tolist():
+    out: dict[int, float] = {}
+    # the stretches overlap by the longest region, and start where regions do
+    for at in range(0, max(1, len(numbers)), STRETCH):
+        end = at + STRETCH + 2 * SIZES[-1]
+        _find_in_stretch(numbers[at:end], vocabulary, terms[at:end], block, out)
+    return out
+
+
+def _find_in_stretch(numbers: np.ndarray, vocabulary: list[bytes], terms: np.ndarray, block: Block, out: dict[int, float]) -> None:
+    n = len(numbers)
+    # every word with the passages that have it among their rarest words
+    length = block.length[terms]
+    some = np.flatnonzero(length)
+    length = length[some]
+    at = np.repeat(some, length)
+    shift = block.start[terms[some]] - (np.cumsum(length) - length)
+    passage = block.members[np.repeat(shift, length) + np.arange(len(at))]
+    enough = (np.bincount(passage, minlength=len(block.passages)) >= block.hits)[passage]
+    at, passage = at[enough], passage[enough]
+    if not len(at):
+        return
+    sizes = block.size[passage]
+    for size in SIZES:
+        here = sizes == size
+        if not here.any():
+            continue
+        half = size // 2
+        which, row = np.unique(passage[here], return_inverse=True)
+        windows = len(range(0, max(1, n - half), half))
+        # hits by half a window; a region is four halves: the window, and half of it on either side
+        width = windows + 3
+        grid = np.bincount(row * width + at[here] // half + 1, minlength=len(which) * width).reshape(-1, width)
+        region = grid[:, :-3] + grid[:, 1:-2] + grid[:, 2:-1] + grid[:, 3:]
+        found, where = np.nonzero((region >= block.hits[which][:, None]).T)
+        for k in np.unique(found).tolist():
+            a, b = max(0, (k - 1) * half), min(n, (k + 3) * half)
+            part = np.sort(terms[a:b])
+            part = part[np.searchsorted(part, 0):]
+            first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+            own, tf = part[first], np.concatenate([first[1:], [len(part)]]) - first
+            weight = (np.minimum(tf, block.most[own]) * block.idf[own]).astype(np.float32)
+            point = weight @ block.basis[own]
+            near = which[where[found == k]]
+            held = block.points[near] @ point
+            for i in near[held >= block.floor[near] - SLACK * np.sqrt(weight @ weight)].tolist():
                 p = block.passages[i]
                 if out.get(p.item, 0.0) < 1.0:
-                    share = _is_leak(p, [vocabulary[w] for w in numbers[max(0, a - size // 2):b + size // 2]])
+                    share = _is_leak(p, [vocabulary[w] for w in numbers[a:b]])
                     if share:
                         out[p.item] = max(share, out.get(p.item, 0.0))
-    return out
 
 
-def _search(blocks: list[Block], where: dict[bytes, list[tuple[int, int]]], other: float):
+def _search(blocks: list[Block], where: dict[bytes, list[tuple[int, int]]]):
     def run(batches):
         places = [{w: i for w, at in where.items() for b, i in at if b == k} for k in range(len(blocks))]
         known = _Words(places)
@@ -298,7 +360,7 @@ def _search(blocks: list[Block], where: dict[bytes, list[tuple[int, int]]], othe
                     for k, block in enumerate(blocks):
                         own = terms[:, k]
                         if (own >= 0).any():
-                            for item, share in find_leaks(numbers, known.words, own, block, other).items():
+                            for item, share in find_leaks(numbers, known.words, own, block).items():
                                 found[item] = max(share, found.get(item, 0.0))
                 items.append(sorted(found))
                 shares.append(max(found.values(), default=0.0))
@@ -317,15 +379,15 @@ def _checked(docs: DataFrame, benchmark: DataFrame, text: str) -> DataFrame:
     for r in range(rounds):
         items = sorted({(x["item_id"], bytes(x["t"])) for x in
                         bench.where(F.pmod(F.xxhash64("item_id"), F.lit(rounds)) == r).toLocalIterator()})
-        blocks, where, other = build_blocks(src.select("_utf8"), items)
+        blocks, where = build_blocks(src.select("_utf8"), items)
         if not blocks:
             continue
         schema = T.StructType([*docs.schema.fields, T.StructField("_items", T.ArrayType(T.LongType())), T.StructField("_share", T.DoubleType())])
         if rounds == 1:
-            return src.mapInArrow(_search(blocks, where, other), schema)
+            return src.mapInArrow(_search(blocks, where), schema)
         step = out.withColumnsRenamed({"_items": "_i", "_share": "_s"}).withColumn("_utf8", utf8(text))
         wide = T.StructType([*[f for f in step.schema.fields if f.name != "_utf8"], *schema.fields[-2:]])
-        out = step.mapInArrow(_search(blocks, where, other), wide).select(
+        out = step.mapInArrow(_search(blocks, where), wide).select(
             *docs.columns, F.array_sort(F.array_union("_i", "_items")).alias("_items"), F.greatest("_s", "_share").alias("_share"))
     return out
 

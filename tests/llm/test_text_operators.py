@@ -243,6 +243,49 @@ def test_decontamination_in_rounds_and_blocks(spark, make_docs, monkeypatch):
     assert got == {i: sorted([i, (i + 1) % 11]) for i in range(11)} | {11: []}
 
 
+def brute_leaks(text, passages):
+    """Every region of every passage's window length by the subsequence alone."""
+    words, found = decontaminate.words_of(text.encode()), {}
+    for p in passages:
+        size = next((s for s in decontaminate.SIZES if len(p.words) <= s), decontaminate.SIZES[-1])
+        for at in range(0, max(1, len(words) - size // 2), size // 2):
+            share = decontaminate._is_leak(p, words[max(0, at - size // 2):min(at + size, len(words)) + size // 2])
+            if share:
+                found[p.item] = max(share, found.get(p.item, 0.0))
+    return found
+
+
+@pytest.mark.parametrize("scale", [1, 1_000_000])
+def test_decontamination_recall_is_that_of_the_subsequence(spark, make_docs, monkeypatch, scale):
+    # the larger the corpus, the heavier the words that no item has
+    real = decontaminate.document_frequencies
+    monkeypatch.setattr(decontaminate, "document_frequencies", lambda *a: (real(*a)[0], real(*a)[1] * scale))
+    monkeypatch.setattr(decontaminate, "BLOCK", 16)
+    monkeypatch.setattr(decontaminate, "STRETCH", 128, raising=False)
+    rnd = random.Random(21)
+    items = []
+    for n in [6, 9, 9, 17, 17, 33, 33, 33, 50, 64, 65, 90] * 2:  # just over a window, mostly
+        w = [rnd.choice(WORDS) if rnd.random() < 0.6 else f"{rnd.choice(WORDS)}{rnd.randrange(40)}" for _ in range(n)]
+        items.append(" ".join(w[:-4]) + ". " + " ".join(w[-4:]) + ".")
+    texts = []
+    for x in items * 2:
+        w = x.split()
+        for k in rnd.sample(range(len(w)), rnd.choice([0, 0, len(w) // 6, len(w) // 3])):
+            w[k] = f"zz{rnd.randrange(99)}"
+        if rnd.random() < 0.4:
+            for _ in range(len(w) // 4):
+                w.insert(rnd.randrange(len(w)), f"yy{rnd.randrange(99)}")
+        around = [f"xx{rnd.randrange(999)}" if rnd.random() < 0.7 else rnd.choice(WORDS) for _ in range(rnd.randrange(300))]
+        cut = rnd.randrange(len(around) + 1)
+        texts.append(" ".join(around[:cut] + w + around[cut:]))
+    passages = decontaminate.passages_of([(i, x.encode()) for i, x in enumerate(items)])
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {r._id: (r.item_ids, r.share) for r in decontaminate.leaks(make_docs(texts), bench).collect()}
+    exp = [brute_leaks(x, passages) for x in texts]
+    assert got == {i: (sorted(e), max(e.values(), default=0.0)) for i, e in enumerate(exp)}
+    assert 24 <= sum(map(bool, exp)) < len(texts)
+
+
 def test_common_subsequence_matches_brute_force():
     rnd = random.Random(3)
     for _ in range(60):
