@@ -3,13 +3,14 @@
 Each text is measured once. Its lines are normalised (A-Z lower-cased, digits
 as 0, runs of white space as one space) and hashed; per host, the distinct
 texts that carry a line are counted. Lines above the host's limit count as
-boilerplate. A document is rejected when its base measures fail, or when too
-little of it is left without its boilerplate.
+boilerplate and are removed from the text. A document is rejected when its base
+measures fail, or when too little of it is left without its boilerplate.
 
 Defined results: a null or blank text has no words and fails the base rules; a
 null host is a host of its own; exact copies count as one document for the
 line counts, so copying a page does not make its lines boilerplate; repeated
-rows get the same verdict each; other columns are kept as they are.
+rows get the same verdict each; texts that share an id, or have none, are judged
+each on its own; other columns are kept as they are.
 """
 
 from __future__ import annotations
@@ -17,11 +18,11 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meridian.llm.common import ship, staged, utf8, without
+from meridian.llm.common import MAX_BROADCAST_KEYS, ship, staged, utf8, without
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 10            # fewer words fail
@@ -36,7 +37,7 @@ _DIGITS = bytes.maketrans(b"123456789", b"000000000")
 MEASURES = T.StructType([
     T.StructField("n_words", T.LongType()), T.StructField("word_chars", T.LongType()),
     T.StructField("n_symbols", T.LongType()), T.StructField("n_dup_lines", T.LongType()),
-    T.StructField("n_repeat_words", T.LongType()), T.StructField("text_hash", T.LongType()),
+    T.StructField("n_repeat_words", T.LongType()),
     T.StructField("line_hash", T.ArrayType(T.LongType())),
     T.StructField("line_words", T.ArrayType(T.LongType())),
 ])
@@ -70,6 +71,17 @@ def repeated_words(words: list[bytes], window: int = 5) -> int:
     return int((np.cumsum(edges[:-1]) > 0).sum())
 
 
+def line_key(words: list[bytes]) -> int:
+    """The hash of the normalised line of these words."""
+    return xxhash.xxh3_64_intdigest(b" ".join(words).lower().translate(_DIGITS)) - (1 << 63)
+
+
+def without_lines(text: str, hashes: list[int]) -> str:
+    """The text without the lines of these hashes; all others stay as they are."""
+    gone = set(hashes)
+    return b"\n".join(x for x in text.encode().split(b"\n") if not ((w := x.split()) and line_key(w) in gone)).decode()
+
+
 def measure(text: bytes) -> tuple:
     lines = [x for x in text.split(b"\n") if x.strip()]
     split = [x.split() for x in lines]
@@ -78,30 +90,33 @@ def measure(text: bytes) -> tuple:
     symbols = len(joined) - len(joined.translate(None, SYMBOLS))
     hashes: dict[int, int] = {}
     for x in split:
-        key = xxhash.xxh3_64_intdigest(b" ".join(x).lower().translate(_DIGITS)) - (1 << 63)
+        key = line_key(x)
         hashes[key] = hashes.get(key, 0) + len(x)
     return (len(words), len(joined.decode("utf-8")), symbols, len(lines) - len(set(lines)),
-            repeated_words(words), xxhash.xxh3_64_intdigest(text) - (1 << 63),
-            list(hashes), list(hashes.values()))
+            repeated_words(words), list(hashes), list(hashes.values()))
 
 
 def _measure_batches(batches):
-    types = [pa.int64()] * 6 + [pa.list_(pa.int64())] * 2
+    types = [pa.int64()] * 5 + [pa.list_(pa.int64())] * 2
     for batch in batches:
         rows = [measure(x) for x in batch.column("_utf8").to_pylist()]
-        cols = list(zip(*rows)) if rows else [()] * 8
+        cols = list(zip(*rows)) if rows else [()] * 7
         new = [pa.array(c, t) for c, t in zip(cols, types)]
         keep = [n for n in batch.schema.names if n != "_utf8"]
         yield pa.RecordBatch.from_arrays([batch.column(n) for n in keep] + new,
                                          names=[*keep, *MEASURES.names])
 
 
+def _host(host: str) -> Column:
+    return F.coalesce(F.col(host).cast("string"), F.lit(""))
+
+
 def measures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
              host: str = "source") -> DataFrame:
-    """One row per document: ``_id``, ``_host``, the base measures, and the
-    hash and word count of each distinct normalised line."""
+    """One row per document: ``_id``, ``_host``, ``text_hash``, the base
+    measures, and the hash and word count of each distinct normalised line."""
     src = docs.select(F.col(doc_id).alias("_id"),
-                      F.coalesce(F.col(host).cast("string"), F.lit("")).alias("_host"),
+                      _host(host).alias("_host"), F.xxhash64(utf8(text)).alias("text_hash"),
                       utf8(text).alias("_utf8"))
     schema = T.StructType([f for f in src.schema.fields if f.name != "_utf8"] + MEASURES.fields)
     return src.mapInArrow(_measure_batches, schema)
@@ -112,6 +127,13 @@ def line_quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ho
                  min_left_pct: int = MIN_LEFT_PCT) -> DataFrame:
     """Per row of ``docs``: ``_id``, ``_host``, ``text_hash``, measures,
     ``removed_words`` (words of boilerplate lines), ``base_failed``, ``kept``."""
+    return _judged(docs, doc_id, text, host, min_line_docs, max_line_pct, min_left_pct).drop("removed_lines")
+
+
+def _judged(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source",
+            min_line_docs: int = MIN_LINE_DOCS, max_line_pct: int = MAX_LINE_PCT,
+            min_left_pct: int = MIN_LEFT_PCT) -> DataFrame:
+    """``line_quality`` with ``removed_lines``, the hashes of the boilerplate lines."""
     m = staged(measures(docs, doc_id, text, host), "quality")
     hosts = m.groupBy("_host").agg(F.count_distinct("text_hash").alias("host_docs"))
     lines = m.select("_id", "_host", "text_hash", F.inline(F.arrays_zip(F.col("line_hash").alias("line"), F.col("line_words").alias("w"))))
@@ -127,9 +149,9 @@ def line_quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ho
     removed = (salted.join(common, ["_host", "line", "salt"])
                .select("_id", "_host", "text_hash", "line", "w")
                .distinct()  # repeated rows of a document
-               .groupBy("_id", "_host", "text_hash").agg(F.sum("w").alias("removed")))
+               .groupBy("_id", "_host", "text_hash").agg(F.sum("w").alias("removed"), F.collect_list("line").alias("removed_lines")))
     r = removed.select(F.col("_id").alias("r_id"), F.col("_host").alias("r_host"),
-                       F.col("text_hash").alias("r_hash"), "removed")
+                       F.col("text_hash").alias("r_hash"), "removed", "removed_lines")
     out = m.drop("line_hash", "line_words").join(
         r, F.col("_id").eqNullSafe(F.col("r_id")) & (F.col("_host") == F.col("r_host"))
         & (F.col("text_hash") == F.col("r_hash")), "left")
@@ -140,15 +162,33 @@ def line_quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ho
     depleted = (left < MIN_WORDS) | (left * 100 < F.col("n_words") * min_left_pct)
     return out.select("_id", "_host", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                       "n_repeat_words", gone.alias("removed_words"), failed.alias("base_failed"),
-                      (~failed & ~depleted).alias("kept"))
+                      (~failed & ~depleted).alias("kept"), "removed_lines")
+
+
+@F.arrow_udf(T.StringType())
+def _without_lines(texts: pa.Array, hashes: pa.Array) -> pa.Array:
+    return pa.array([None if t is None else without_lines(t, h) for t, h in zip(texts.to_pylist(), hashes.to_pylist())], pa.string())
 
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose document (id and host) is kept, with their columns."""
-    verdict = line_quality(docs, **options)
-    bad = verdict.where(~F.col("kept")).select("_id", "_host").distinct()
-    host = F.coalesce(F.col("source").cast("string"), F.lit(""))
-    return without(docs, bad, F.col("doc_id").eqNullSafe(F.col("_id")) & (host == F.col("_host")))
+    """The rows of ``docs`` whose text is kept (by id, host and text), with
+    their columns: ``text`` without its boilerplate lines, and ``n_chars``, if
+    there, of what is left of a text that lost some."""
+    verdict = _judged(docs, **options).select("_id", "_host", F.col("text_hash").alias("_hash"), "kept", "removed_lines").distinct()
+    verdict = staged(verdict.where(~F.col("kept") | F.col("removed_lines").isNotNull()), "verdicts")
+    of_row = F.col("doc_id").eqNullSafe(F.col("_id")) & (_host("source") == F.col("_host")) & (F.xxhash64(utf8("text")) == F.col("_hash"))
+    good = without(docs, verdict.where(~F.col("kept")).drop("kept", "removed_lines"), of_row)
+    cut = verdict.where("kept").select("_id", "_host", "_hash", F.col("removed_lines").alias("_lines"))
+    if cut.isEmpty():
+        return good
+    small = cut.agg(F.sum(F.size("_lines") + 4)).collect()[0][0] <= MAX_BROADCAST_KEYS
+    met = good.join(F.broadcast(cut) if small else cut, of_row, "left")
+    # a text that loses nothing isn't sent to Python
+    met = met.withColumn("_left", _without_lines(F.when(F.col("_lines").isNotNull(), F.col("text")), "_lines"))
+    out = {"text": F.coalesce("_left", "text")}
+    if "n_chars" in docs.columns:
+        out["n_chars"] = F.when(F.col("_left").isNotNull(), F.length("_left")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return met.select(*[out[c].alias(c) if c in out else F.col(c) for c in docs.columns])
 
 
 ship(__name__)

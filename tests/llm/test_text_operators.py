@@ -56,6 +56,23 @@ def test_quality_counts_documents_per_host(spark, make_docs):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == set(range(30))
 
 
+def test_quality_removes_the_lines_above_the_limit(spark, make_docs):
+    rnd = random.Random(31)
+    common = prose(rnd, 12)
+    own = [prose(rnd, 30) for _ in range(20)]
+    texts = [f"  {common.upper()}\n\n{x} \n{common}  \n" for x in own[:12]]  # in other letters and spaces, twice
+    texts += [f"{x}\n" for x in own[12:]] + [common + "\né " + own[0], None]
+    kept = quality.keep_good(make_docs(texts), min_line_docs=5)
+    got = {r.doc_id: r for r in kept.collect()}
+    assert set(got) == set(range(21)) and kept.columns == make_docs(["x"]).columns
+    assert kept.schema == make_docs(["x"]).schema
+    assert all(got[i].text == f"\n{own[i]} \n" for i in range(12))
+    assert all(got[i].text == texts[i] for i in range(12, 20)) and got[20].text == "é " + own[0]
+    assert all(r.n_chars == len(r.text) for r in got.values())
+    removed = {r._id: r.removed_words for r in quality.line_quality(make_docs(texts), min_line_docs=5).collect()}
+    assert all(len((texts[i] or "").split()) - len(got[i].text.split()) == removed[i] for i in got)
+
+
 def test_quality_repeated_rows_and_empty_table(spark, make_docs):
     text = prose(random.Random(3), 50)
     docs = make_docs([text, text, None], ids=[7, 7, None])
