@@ -87,8 +87,8 @@ def _key(s: np.ndarray) -> int:
 
 
 def _describe(words: int):
-    """Rows (document id, set size, set key), and rows (null, count, shingle)
-    marked ``frequent``."""
+    """Rows (document id, text hash, set size, set key), and rows (null, null,
+    count, shingle) marked ``frequent``."""
     def run(batches):
         cache, seen = _WordHash(), set()
         pending, size, id_type = [], 0, None
@@ -97,8 +97,8 @@ def _describe(words: int):
             hashes, counts = np.unique(np.concatenate(pending), return_counts=True)
             top = counts >= FREQUENT_IN_CHUNK
             return pa.RecordBatch.from_arrays(
-                [pa.nulls(int(top.sum()), id_type), pa.array(counts[top].astype(np.int64)), pa.array(hashes[top]),
-                 pa.array(np.ones(int(top.sum()), bool))], names=["_id", "n", "key", "frequent"])
+                [pa.nulls(int(top.sum()), id_type), pa.nulls(int(top.sum()), pa.int64()), pa.array(counts[top].astype(np.int64)),
+                 pa.array(hashes[top]), pa.array(np.ones(int(top.sum()), bool))], names=["_id", "text_hash", "n", "key", "frequent"])
 
         for batch in batches:
             id_type = batch.column("_id").type
@@ -117,8 +117,8 @@ def _describe(words: int):
                     pending, size = [], 0
                     seen.clear()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_id"), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()),
-                 pa.array(np.zeros(len(keys), bool))], names=["_id", "n", "key", "frequent"])
+                [batch.column("_id"), batch.column("text_hash"), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()),
+                 pa.array(np.zeros(len(keys), bool))], names=["_id", "text_hash", "n", "key", "frequent"])
         if pending:
             yield frequent()
     return run
@@ -296,10 +296,17 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", word
                pct: int = 90) -> DataFrame:
     """Per row of ``docs``: ``_id``, ``n_shingles`` and ``component_id``, the
     smallest id that links of similarity ``pct`` percent or more reach."""
-    src = docs.select(F.col(doc_id).alias("_id"), utf8(text).alias("_utf8"))
-    described = staged(src.mapInArrow(_describe(words), src.select("_id").schema.add("n", "long").add("key", "long")
+    return _joined(docs, doc_id, text, words, pct).select("_id", "n_shingles", "component_id")
+
+
+def _joined(docs: DataFrame, doc_id: str, text: str, words: int, pct: int) -> DataFrame:
+    """``components`` with ``text_hash`` and ``first``: whether the row has the
+    text and id that stand for its component, those of the smallest id (null
+    only if all are) and, of the texts that have it, the smallest key and hash."""
+    src = docs.select(F.col(doc_id).alias("_id"), F.xxhash64(utf8(text)).alias("text_hash"), utf8(text).alias("_utf8"))
+    described = staged(src.mapInArrow(_describe(words), src.select("_id").schema.add("text_hash", "long").add("n", "long").add("key", "long")
                                       .add("frequent", "boolean")), "sets")
-    rows = described.where(~F.col("frequent")).select("_id", F.col("n").alias("n_shingles"), F.col("key").alias("node"))
+    rows = described.where(~F.col("frequent")).select("_id", "text_hash", F.col("n").alias("n_shingles"), F.col("key").alias("node"))
     top = (described.where("frequent").groupBy("key").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "key").limit(MAX_FREQUENT).toArrow())
     hashes, counts = top.column("key").to_numpy(), top.column("n").to_numpy()
@@ -325,26 +332,32 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", word
     if left:
         links = links.unionByName(_links(src, _all_pairs(lists, pct), words, pct))
     labels = star_edges_to_labels(links if links is not None else lists.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0))
-    classes = rows.where(F.col("n_shingles") > 0).groupBy("node").agg(F.min("_id").alias("least"))
+    nulls_last = F.col("_id").isNull().alias("none")
+    classes = rows.where(F.col("n_shingles") > 0).groupBy("node").agg(F.min(F.struct(nulls_last, "_id", "node", "text_hash")).alias("least"))
     rooted = staged(classes.join(labels, "node", "left").select("node", F.coalesce("root", "node").alias("root"), "least"), "rooted")
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    found = rooted.join(least, "root").select("node", "component_id")
+    least = rooted.groupBy("root").agg(F.min("least").alias("best"))
+    found = rooted.join(least, "root").select("node", "best")
+    first = (F.col("node") == F.col("best.node")) & F.col("_id").eqNullSafe(F.col("best._id")) & (F.col("text_hash") == F.col("best.text_hash"))
+    full = F.col("n_shingles") > 0
     return rows.join(found, "node", "left").select(
-        "_id", "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("_id")).alias("component_id"))
+        "_id", "text_hash", "n_shingles", F.when(full, F.col("best._id")).otherwise(F.col("_id")).alias("component_id"),
+        F.when(full, first).otherwise(True).alias("first"))
 
 
 def keep_first(docs: DataFrame, words: int = 5, pct: int = 80) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the
-    document with the smallest id stays, and one of its repeated rows."""
-    found = staged(components(docs, words=words, pct=pct), "components")
-    full = found.where(F.col("n_shingles") > 0)
-    gone = full.where(~F.col("_id").eqNullSafe(F.col("component_id"))).select("_id").distinct()
-    kept = without(docs, gone, F.col("doc_id") == F.col("_id"))
-    repeated = full.groupBy("_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    document with the smallest id stays, and one of its repeated rows. A
+    verdict holds for an id and its text; rows without words all stay."""
+    found = staged(_joined(docs, "doc_id", "text", words, pct), "components")
+    full = found.where(F.col("n_shingles") > 0).select("_id", F.col("text_hash").alias("_hash"), "first")
+    of_row = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(utf8("text")) == F.col("_hash"))
+    kept = without(docs, full.where(~F.col("first")).drop("first").distinct(), of_row)
+    repeated = full.where("first").groupBy("_id", "_hash").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).drop("n")
+    repeated = staged(repeated, "repeated")
     if repeated.isEmpty():
         return kept
-    return kept.dropDuplicates(["doc_id"])
+    one = kept.join(repeated, of_row, "left_semi").dropDuplicates(["doc_id", "text"])
+    return without(kept, repeated, of_row).unionByName(one)
 
 
 ship(__name__)

@@ -154,6 +154,27 @@ def test_join_of_repeated_null_and_no_rows(spark, make_docs):
     assert ngram_join.components(docs.limit(0)).count() == 0
 
 
+def test_verdicts_reach_only_their_own_text(spark, make_docs):
+    rnd = random.Random(41)
+    a, b, c, d, e, f = (prose(rnd, 40) for _ in range(6))
+    texts = [a, b, c, c, d, d + " more", e, e + " more", f, f, "", "", f.upper()]
+    ids = [None, None, 7, 7, 8, 9, None, 9, 4, 5, 6, 6, 4]
+    kept = ngram_join.keep_first(make_docs(texts, ids=ids))
+    left = sorted((str(r.doc_id), r.text) for r in kept.collect())
+    # 9 goes as a near copy of 8, but not the other text that has the id 9
+    four = [x for x in left if x[0] == "4"]
+    assert len(four) == 1 and four[0][1].lower() == f
+    assert [x for x in left if x[0] != "4"] == sorted([("None", a), ("None", b), ("7", c), ("8", d), ("9", e + " more"), ("6", ""), ("6", "")])
+    # the same rows stay when another row is not repeated
+    rows = [i for i in range(len(texts)) if i != 3]
+    fewer = ngram_join.keep_first(make_docs([texts[i] for i in rows], ids=[ids[i] for i in rows]))
+    assert sorted((str(r.doc_id), r.text) for r in fewer.collect()) == left
+    nulls = ngram_join.keep_first(make_docs([a, a + " more", b, b], ids=[None] * 4))
+    assert sorted(r.text in (b,) for r in nulls.collect()) == [False, True]
+    good = quality.keep_good(make_docs([a, "bad", b, "bad"], ids=[None, None, 3, 3]))
+    assert sorted(r.text for r in good.collect()) == sorted([a, b])
+
+
 # ------------------------------------------------------------------ toxicity
 def toxic_corpus(rnd, n):
     bad = ["grumbloid", "snotface", "zerkhead"]
