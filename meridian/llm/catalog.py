@@ -60,7 +60,7 @@ def op9_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     calls, results = toolcalls.chat_calls(load(spark, sf_dir, "conversations"))
-    return toolcalls.link(calls, results, toolcalls.CHAT_SCHEMAS)
+    return toolcalls.link(calls, results, toolcalls.CHAT_SCHEMAS).unionByName(toolcalls.refused_calls(calls))
 
 
 QUERIES = {

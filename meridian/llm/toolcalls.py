@@ -1,6 +1,6 @@
 """Tool-call linking for chat records, DataFrame functions only.
 
-Calls and results are joined by identifier. Calls are ordered so that each
+Calls and results are joined by conversation and identifier. Calls are ordered so that each
 comes after the calls it depends on: a conversation whose dependencies all
 point backwards is in order by position; one with a dependency that points
 forwards is put in order by rounds that release the calls whose dependencies
@@ -14,8 +14,9 @@ name); ``unknown_tool``; ``missing_dependency``; ``cycle``; ``no_result``;
 result without a call, a row of its own). The first that holds, in the order
 ``cycle missing_dependency unknown_tool invalid_arguments several_results
 no_result ok``, is given. Rows equal in every column count once; of calls
-that share an identifier the first by position is used. Null identifiers
-meet nothing.
+that share conversation and identifier the first by position is used. Null
+identifiers meet nothing; null conversations are one. ``refused_calls`` gives
+the calls that are not used: ``repeated_call`` and ``no_identifier``.
 """
 
 from __future__ import annotations
@@ -29,6 +30,7 @@ from meridian.llm.common import ship, staged
 TYPES = {"string": "^STRING$", "integer": r"^(BIGINT|DECIMAL\(\d+,0\))$", "number": r"^(BIGINT|DOUBLE|DECIMAL.*)$",
          "boolean": "^BOOLEAN$", "array": "^ARRAY<.*", "object": "^OBJECT<.*"}
 
+CALL_COLUMNS = ["conv_id", "call_id", "position", "name", "arguments", "depends_on"]
 Schemas = dict[str, dict[str, tuple[str, bool]]]  # tool -> key -> (type, required)
 
 
@@ -50,6 +52,32 @@ def arguments_valid(name: Column, parsed: Column, schemas: Schemas) -> Column:
     return out
 
 
+def _conversation(conv_id: Column) -> Column:
+    """Different for each conversation, and for none."""
+    conv = conv_id.cast("string")
+    return F.coalesce(F.concat(F.length(conv).cast("string"), F.lit(":"), conv), F.lit("-"))
+
+
+def _key(conv_id: Column, call_id: Column) -> Column:
+    """Different for each conversation and identifier; null without identifier."""
+    return F.concat(_conversation(conv_id), F.lit(" "), call_id)
+
+
+def _first_calls(calls: DataFrame) -> DataFrame:
+    """The calls used: ``_key`` and, in ``c``, the columns; ``n`` rows share the key."""
+    keyed = calls.select(*CALL_COLUMNS, _key(F.col("conv_id"), F.col("call_id")).alias("_key"))
+    return keyed.where(F.col("_key").isNotNull()).groupBy("_key").agg(
+        F.min(F.struct("position", "conv_id", "call_id", "name", "arguments", "depends_on")).alias("c"), F.count(F.lit(1)).alias("n"))
+
+
+def _record(args: Column, result: Column) -> Column:
+    """The canonical JSON of a call."""
+    record = F.struct(F.coalesce(args, F.parse_json(F.lit("null"))).alias("arguments"), F.col("call_id").alias("call"),
+                      F.sort_array(F.array_distinct(F.coalesce("depends_on", F.array().cast("array<string>")))).alias("depends_on"),
+                      "name", result.alias("result"))
+    return F.to_json(record, {"ignoreNullFields": "false"})
+
+
 def order_calls(calls: DataFrame, deps: DataFrame) -> DataFrame:
     """``calls`` (``conv_id``, ``call_id``, ``position``, ...) with
     ``order_key`` (null in or behind a cycle). ``deps``: ``call_id``,
@@ -84,20 +112,18 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
     ``calls``: ``conv_id``, ``call_id``, ``position``, ``name``, ``arguments``
     (JSON), ``depends_on`` (array of call ids). ``results``: ``conv_id``,
     ``call_id``, ``position``, ``content``."""
-    cols = ["conv_id", "call_id", "position", "name", "arguments", "depends_on"]
-    one = calls.select(*cols).where(F.col("call_id").isNotNull()).groupBy("call_id").agg(
-        F.min(F.struct("position", "conv_id", "name", "arguments", "depends_on")).alias("c"))
-    known = staged(one.select(F.col("c.conv_id"), "call_id", F.col("c.position"), F.col("c.name"),
-                              F.col("c.arguments"), F.col("c.depends_on")), "calls")
-    wanted = known.select("call_id", F.col("conv_id").alias("_conv"),
-                          F.explode(F.array_distinct("depends_on")).alias("dep_id"))
-    have = known.select(F.col("call_id").alias("_dep"), F.col("conv_id").alias("_dep_conv"))
-    met = wanted.join(have, (F.col("dep_id") == F.col("_dep")) & F.col("_conv").eqNullSafe(F.col("_dep_conv")), "left")
+    # inside, conv_id and call_id are keys that are never null
+    known = staged(_first_calls(calls).select(
+        _conversation(F.col("c.conv_id")).alias("conv_id"), F.col("_key").alias("call_id"), F.col("c.position"), F.col("c.name"),
+        F.col("c.arguments"), F.col("c.depends_on"), F.col("c.conv_id").alias("_conv_id"), F.col("c.call_id").alias("_call_id")), "calls")
+    wanted = known.select("call_id", "_conv_id", F.explode(F.array_distinct("depends_on")).alias("_wanted"))
+    wanted = wanted.select("call_id", _key(F.col("_conv_id"), F.col("_wanted")).alias("dep_id"))
+    met = wanted.join(known.select(F.col("call_id").alias("_dep")), F.col("dep_id") == F.col("_dep"), "left")
     missing = (met.where(F.col("_dep").isNull()).select("call_id").distinct().withColumn("_missing", F.lit(True)))
     deps = met.where(F.col("_dep").isNotNull()).select("call_id", "dep_id")
     ordered = order_calls(known, deps).join(missing, "call_id", "left")
-    got = results.select("conv_id", "call_id", "position", "content").distinct()
-    first = got.where(F.col("call_id").isNotNull()).groupBy("call_id").agg(
+    got = results.select("conv_id", "call_id", "position", "content").distinct().withColumn("_key", _key(F.col("conv_id"), F.col("call_id")))
+    first = got.where(F.col("_key").isNotNull()).groupBy(F.col("_key").alias("call_id")).agg(
         F.count(F.lit(1)).alias("_n"), F.min(F.struct("position", "content")).alias("_r"))
     parsed = ordered.join(first, "call_id", "left").withColumn("_args", F.try_parse_json("arguments"))
     valid = arguments_valid(F.col("name"), F.col("_args"), schemas)
@@ -105,12 +131,10 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
     status = (F.when(F.col("order_key").isNull() & F.col("position").isNotNull(), "cycle").when(F.col("_missing"), "missing_dependency")
               .when(~known_tool, "unknown_tool").when(~F.coalesce(valid, F.lit(False)), "invalid_arguments")
               .when(F.col("_n") > 1, "several_results").when(F.col("_n").isNull(), "no_result").otherwise("ok"))
-    record = F.struct(F.coalesce(F.col("_args"), F.parse_json(F.lit("null"))).alias("arguments"), F.col("call_id").alias("call"),
-                      F.sort_array(F.array_distinct(F.coalesce("depends_on", F.array().cast("array<string>")))).alias("depends_on"),
-                      "name", F.col("_r.content").alias("result"))
-    linked = parsed.select("conv_id", "call_id", "order_key", "name", status.alias("status"),
-                           F.to_json(record, {"ignoreNullFields": "false"}).alias("canonical"))
-    orphans = got.join(known.select("call_id"), "call_id", "left_anti").select(
+    linked = parsed.select(F.col("_conv_id").alias("conv_id"), F.col("_call_id").alias("call_id"), "order_key", "name", "depends_on",
+                           status.alias("status"), "_args", F.col("_r.content").alias("_content")).select(
+        "conv_id", "call_id", "order_key", "name", "status", _record(F.col("_args"), F.col("_content")).alias("canonical"))
+    orphans = got.join(known.select(F.col("call_id").alias("_key")), "_key", "left_anti").select(
         "conv_id", "call_id", F.col("position").alias("order_key"), F.lit(None).cast("string").alias("name"),
         F.lit("orphan_result").alias("status"),
         F.to_json(F.struct(F.col("call_id").alias("call"), F.col("content").alias("result")),
@@ -118,9 +142,26 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
     return linked.unionByName(orphans)
 
 
+def refused_calls(calls: DataFrame) -> DataFrame:
+    """The calls that ``link`` doesn't use, as rows like its own, each with its
+    position as ``order_key`` and no result: a call without an identifier
+    (``no_identifier``), and those after the first of a conversation's
+    identifier (``repeated_call``)."""
+    several = staged(_first_calls(calls).where(F.col("n") > 1).select(F.col("_key").alias("_used"), "c"), "repeated")
+    rows = calls.select(*CALL_COLUMNS)
+    unnamed = rows.where(F.col("call_id").isNull()).distinct().withColumn("status", F.lit("no_identifier"))
+    again = (rows.join(several, _key(F.col("conv_id"), F.col("call_id")) == F.col("_used"))
+             .where(~F.struct("position", "conv_id", "call_id", "name", "arguments", "depends_on").eqNullSafe(F.col("c")))
+             .select(*CALL_COLUMNS).distinct().withColumn("status", F.lit("repeated_call")))
+    return unnamed.unionByName(again).select(
+        "conv_id", "call_id", F.col("position").alias("order_key"), "name", "status",
+        _record(F.try_parse_json("arguments"), F.lit(None).cast("string")).alias("canonical"))
+
+
 # The conversations table as calls and results: user and system turns call a
 # tool with their turn and text, each depending on the call one or else two
-# turns before; an assistant turn is the result of the turn before it.
+# turns before; an assistant turn is the result of the turn before it. A turn
+# of any other role calls a tool of its role's name, which no schema has.
 CHAT_SCHEMAS: Schemas = {"answer": {"text": ("string", True), "turn": ("integer", True)},
                          "configure": {"text": ("string", True), "turn": ("integer", True)}}
 
@@ -129,11 +170,11 @@ def chat_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     def ident(shift: int) -> Column:
         return F.concat(F.lit("c"), F.col("conv_id").cast("string"), F.lit("-"), (F.col("turn") - shift).cast("string"))
 
-    asks = conversations.where(F.col("role").isin("user", "system"))
-    ids = asks.select(ident(0).alias("id")).distinct()
+    asks = conversations.where(~F.coalesce(F.col("role") == "assistant", F.lit(False)))
+    ids = asks.where(F.col("role").isin("user", "system")).select(ident(0).alias("id")).distinct()
     near, far = ids.select(F.col("id").alias("_near")), ids.select(F.col("id").alias("_far"))
     calls = (asks.select("conv_id", ident(0).alias("call_id"), F.col("turn").alias("position"),
-                         F.when(F.col("role") == "user", "answer").otherwise("configure").alias("name"),
+                         F.when(F.col("role") == "user", "answer").when(F.col("role") == "system", "configure").otherwise(F.col("role")).alias("name"),
                          F.to_json(F.struct("turn", "text")).alias("arguments"), ident(1).alias("_1"), ident(2).alias("_2"))
              .join(near, F.col("_1") == F.col("_near"), "left").join(far, F.col("_2") == F.col("_far"), "left")
              .withColumn("depends_on", F.array_compact(F.array(F.coalesce("_near", "_far"))))

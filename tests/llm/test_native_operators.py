@@ -109,6 +109,37 @@ def test_topological_order_with_forward_edges_and_cycles(spark):
     assert toolcalls.link(spark.createDataFrame([], CALLS), spark.createDataFrame([], RESULTS), SCHEMAS).count() == 0
 
 
+def test_conversations_keep_their_own_calls(spark):
+    rows = [(c, i, p, "list", '{"items": []}', d) for c in (1, 2, None) for i, p, d in (("call_1", 0, []), ("call_2", 1, ["call_1"]))]
+    rows += [(3, "a", 0, "list", '{"items": []}', ["b"]), (3, "b", 1, "list", '{"items": []}', []), (None, "x", 2, "list", "{}", ["y"]), (None, "y", 3, "list", "{}", ["x"]),
+             (4, "z", 0, "list", '{"items": []}', ["call_1"]), (1, "call_1", 7, "list", '{"items": [7]}', []), (1, "call_1", 7, "list", '{"items": [7]}', []),
+             (1, None, 8, "list", '{"items": []}', []), (None, None, 9, "list", '{"items": []}', [])]
+    calls = spark.createDataFrame(rows, CALLS)
+    results = spark.createDataFrame([(c, "call_1", 1, f"of {c}") for c in (1, 2, None, 4)] + [(2, "call_2", 2, "two")], RESULTS)
+    got = toolcalls.link(calls, results, SCHEMAS).collect()
+    by = {(r.conv_id, r.call_id): r for r in got}
+    assert len(got) == len(by) == 12
+    for c in (1, 2, None):
+        assert by[c, "call_1"].status == "ok" and json.loads(by[c, "call_1"].canonical)["result"] == f"of {c}"
+        assert by[c, "call_1"].order_key < by[c, "call_2"].order_key
+    assert by[2, "call_2"].status == "ok" and by[1, "call_2"].status == by[None, "call_2"].status == "no_result"
+    assert by[4, "call_1"].status == "orphan_result" and by[4, "z"].status == "missing_dependency"
+    assert by[3, "b"].order_key < by[3, "a"].order_key and by[None, "x"].status == by[None, "y"].status == "cycle"
+    refused = toolcalls.refused_calls(calls)
+    assert refused.columns == toolcalls.link(calls, results, SCHEMAS).columns
+    assert sorted((str(r.conv_id), str(r.call_id), r.order_key, r.status) for r in refused.collect()) == [
+        ("1", "None", 8, "no_identifier"), ("1", "call_1", 7, "repeated_call"), ("None", "None", 9, "no_identifier")]
+
+
+def test_every_turn_has_a_row(spark, tmp_path):
+    from meridian.llm.catalog import op10_tool_calls
+    rows = [(1, 0, "user", "a"), (1, 0, "user", "b"), (1, 1, "assistant", "c"), (None, 0, "user", "d"), (None, 0, "system", "e"), (2, None, "user", "f"),
+            (2, 0, "tool", "g"), (2, 1, "assistant", "h"), (2, 2, None, "i"), (2, 3, "user", "j")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = Counter((r.status, json.loads(r.canonical)["result"]) for r in op10_tool_calls(spark, str(tmp_path)).collect())
+    assert got == {("ok", "c"): 1, ("repeated_call", None): 1, ("no_identifier", None): 3, ("unknown_tool", "h"): 1, ("unknown_tool", None): 1, ("no_result", None): 1}
+
+
 # ------------------------------------------------------------------ HTML
 def test_html_main_text_and_odd_pages(spark):
     page = ("<html><head><title>T</title><style>p{}</style></head><body><header><h1>Site</h1></header><nav><a href='/'>Home</a></nav>"
