@@ -18,7 +18,7 @@ from meridian.llm.common import load, staged
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.keep_good(docs)
+    return quality.keep_good(docs, max_line_docs=quality.MAX_LINE_DOCS)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

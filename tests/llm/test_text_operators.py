@@ -73,6 +73,21 @@ def test_quality_removes_the_lines_above_the_limit(spark, make_docs):
     assert all(len((texts[i] or "").split()) - len(got[i].text.split()) == removed[i] for i in got)
 
 
+def test_quality_limit_does_not_grow_with_the_host(spark, make_docs):
+    import corpus_pipeline
+    rnd = random.Random(51)
+    common, rarer = prose(rnd, 12), prose(rnd, 12)
+    texts = [f"{prose(rnd, 20)} {i}" for i in range(3000)]
+    lines = [f"{common}\n{x}" if i < 101 else f"{rarer}\n{x}" if i < 201 else x for i, x in enumerate(texts)]
+    docs = make_docs(lines)
+    got = {r.doc_id: r.text for r in corpus_pipeline.quality_rules(spark, docs, "").collect()}
+    assert all(got[i] == texts[i] for i in range(101))       # in 101 documents, 3.4 percent
+    assert all(got[i] == lines[i] for i in range(101, 3000) if i in got) and len(got) > 2900
+    share = quality.line_quality(docs).where("removed_words > 0")
+    assert share.count() == 0                                # the share alone, as in the SQL
+    assert quality.line_quality(docs, max_line_docs=99).where("removed_words > 0").count() == 201
+
+
 def test_quality_repeated_rows_and_empty_table(spark, make_docs):
     text = prose(random.Random(3), 50)
     docs = make_docs([text, text, None], ids=[7, 7, None])
