@@ -3,9 +3,9 @@ import sys
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
-FIX = os.path.join(ROOT, "tests", "fixtures")
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from helpers import FIX  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -31,9 +31,3 @@ def fx(spark):
     def read(name):
         return read_csv(spark, os.path.join(FIX, files[name]), name)
     return read
-
-
-def one(df):
-    rows = df.collect()
-    assert len(rows) == 1, rows
-    return rows[0]

@@ -1,4 +1,4 @@
-from conftest import one
+from helpers import one
 from meridian.operators import cac
 
 
@@ -36,7 +36,7 @@ def test_missing_steady_month_is_null(fx):
 
 def test_two_table_load(spark):
     import os
-    from conftest import FIX
+    from helpers import FIX
     from meridian.sources.io import read_cac_inputs
     spend, ramp = read_cac_inputs(spark, os.path.join(FIX, "marketing_spend_acquisitions.csv"),
                                   os.path.join(FIX, "host_ramp_productivity.csv"))

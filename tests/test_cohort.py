@@ -1,6 +1,6 @@
 import pytest
 
-from conftest import one
+from helpers import one
 from meridian.operators import cohort
 
 COHORTS = ["2026-01", "2026-02", "2026-03", "2026-04", "2026-05", "2026-06"]

@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import one
+from helpers import one
 from meridian.functions.stats import t_two_sided_p
 from meridian.operators import cuped
 

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import one
+from helpers import one
 from meridian.operators import identity as idn
 
 

@@ -1,6 +1,7 @@
 """The entry module works when loaded by path from another directory, and
 the one Python UDF runs on workers that have no copy of the package."""
 import os
+import shutil
 import subprocess
 import sys
 import tempfile
@@ -73,3 +74,29 @@ def test_cluster_without_shared_folder_is_refused():
 
     with pytest.raises(RuntimeError):
         ensure_checkpoint_dir(Session())
+
+
+ALONE = """
+import sys
+sys.path.insert(0, sys.argv[1])
+import __spark_entry__ as entry
+names = set(entry.queries())
+assert len(names) > 40 and names >= set(entry.oracle_sql()), names
+assert not any(n.startswith('op') or n == 'pipeline' for n in names), names
+print('ALONE')
+"""
+
+
+@pytest.mark.parametrize("pipeline_file", [True, False])
+def test_the_rest_stands_without_the_optional_subpackage(pipeline_file):
+    """A copy of the repository without the optional folders: the entry file
+    imports, and every remaining test module is collected."""
+    copy = os.path.join(tempfile.mkdtemp(prefix="meridian-alone-"), "repo")
+    leave = {"llm", ".git", "__pycache__", ".pytest_cache"} | (set() if pipeline_file else {"corpus_pipeline.py"})
+    shutil.copytree(ROOT, copy, ignore=lambda _, names: leave & set(names))
+    run = [sys.executable, "-c", ALONE, copy]
+    out = subprocess.run(run, cwd=copy, capture_output=True, text=True, timeout=300)
+    assert "ALONE" in out.stdout, out.stderr[-2000:]
+    run = [sys.executable, "-m", "pytest", "--collect-only", "-q", "tests"]
+    out = subprocess.run(run, cwd=copy, capture_output=True, text=True, timeout=300)
+    assert out.returncode == 0 and "error" not in out.stdout.lower(), out.stdout[-2000:]

@@ -2,7 +2,7 @@ import os
 
 import pandas as pd
 
-from conftest import FIX
+from helpers import FIX
 from meridian.operators import segmentation as seg
 
 
