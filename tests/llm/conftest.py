@@ -1,24 +1,9 @@
-import os
-import sys
-
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-sys.path.insert(0, ROOT)
-SF = "/root/testdata/sf0.001"
-
-
-@pytest.fixture(scope="session")
-def spark():
-    from meridian.session import build_session
-    s = build_session(master="local[4]", shuffle_partitions=4, app_name="meridian-llm-tests")
-    yield s
-    s.stop()
-
-
-DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+from llm_helpers import DOCS
 
 
+# the session fixture ``spark`` is that of the folder above: one per run
 @pytest.fixture(scope="session")
 def make_docs(spark):
     """Documents with two more columns, named like internal ones."""

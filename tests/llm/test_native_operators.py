@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF
+from llm_helpers import SF
 from meridian.llm import html_text, sharding, toolcalls, urlfilter
 
 
