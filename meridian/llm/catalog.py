@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.llm import bpe, collocations, decontaminate, html_text, ngram_join, quality, sharding, token_file, toolcalls, toxicity, urlfilter
+from meridian.llm import bpe, collocations, decontaminate, html_text, ngram_join, quality, sharding, spelling, token_file, toolcalls, toxicity, urlfilter
 from meridian.llm.common import load, shared_path
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -63,6 +63,10 @@ def op10_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toolcalls.link(calls, results, toolcalls.CHAT_SCHEMAS).unionByName(toolcalls.refused_calls(calls))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(load(spark, sf_dir, "documents"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(load(spark, sf_dir, "documents"))
 
@@ -78,6 +82,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_line_quality": op9_line_quality,
     "op10_tool_calls": op10_tool_calls,
+    "op11_spelling_variants": op11_spelling_variants,
     "op13_collocations": op13_collocations,
 }
 ORACLE = {
@@ -85,5 +90,6 @@ ORACLE = {
     "op8_url_filter": urlfilter.ORACLE,
     "op9_line_quality": quality.ORACLE,
     "op10_tool_calls": toolcalls.ORACLE,
+    "op11_spelling_variants": spelling.ORACLE,
     "op13_collocations": collocations.ORACLE,
 }
