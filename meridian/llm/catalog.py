@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meridian.llm import bpe, collocations, decontaminate, html_text, ngram_join, quality, sharding, spelling, token_file, toolcalls, toxicity, urlfilter
+from meridian.llm import ann, bpe, collocations, decontaminate, html_text, ngram_join, quality, sharding, spelling, token_file, toolcalls, toxicity, urlfilter
 from meridian.llm.common import load, shared_path
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -67,6 +67,11 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(load(spark, sf_dir, "documents"))
 
 
+def op12_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = load(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(load(spark, sf_dir, "documents"))
 
@@ -83,6 +88,7 @@ QUERIES = {
     "op9_line_quality": op9_line_quality,
     "op10_tool_calls": op10_tool_calls,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_nearest_vectors": op12_nearest_vectors,
     "op13_collocations": op13_collocations,
 }
 ORACLE = {
