@@ -23,6 +23,8 @@ Scale choices:
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +34,7 @@ from meridian.functions.joins import DEFAULT_HOT_ROWS, hot_split_join
 from meridian.functions.ranking import dense_rank_values
 from meridian.operators.graph import connected_components
 from meridian.session import checkpointed
+from meridian.sources.store import Store
 
 # Record-id prefixes, source names and priorities, flag texts.
 PREFIX = {"crm": "CRM-", "online": "ONLINE-", "pos": "POS-"}
@@ -45,6 +48,10 @@ OK_FLAG = "OK"
 KEY_KINDS = ("loyalty_id_norm", "email_norm", "phone_norm")
 CHANNEL_BOTH, CHANNEL_ONLINE = "Omnichannel", "Online only"
 CHANNEL_STORE, CHANNEL_NONE = "In-store only", "Unknown"
+LIST_SEPARATOR = "; "
+
+RECORDS_PER_CHUNK = 10          # of a customer's record list, a row each
+LISTED_RECORDS = 1000           # in the list of the customer_360 row itself
 
 
 # --------------------------------------------------------------------------- Q1 normalise
@@ -276,6 +283,11 @@ IDENTITY_FIELDS = ["first_name", "last_name", "email", "phone", "loyalty_id", "a
                    "postcode", "country", "signup_channel", "email_consent", "sms_consent"]
 
 
+def detail_with_ids(st: Staged, ids: DataFrame) -> DataFrame:
+    """``record_detail`` with the customer of each record."""
+    return record_detail(st).join(ids, "record_id")
+
+
 def match_quality(records: DataFrame, ids: DataFrame | None = None) -> DataFrame:
     """Q5: distinct normalised e-mails / phones per customer and the flag.
     ``records`` already carrying ``omni_lookup_id`` are used as they are."""
@@ -329,17 +341,24 @@ def _activity_columns() -> list[Column]:
     ]
 
 
-def customer_360(st: Staged, ids: DataFrame) -> DataFrame:
+def customer_360(st: Staged | None, ids: DataFrame | None, detail: DataFrame | None = None,
+                 lists: DataFrame | None = None) -> DataFrame:
     """Q8: one row per customer that has at least one CRM, online or POS-sale
     record, with the highest-priority source's identity fields (whole row of
     the best record, ties broken by record id), channel activity, spend,
     flags, match confidence and the number of merged records, all from one
-    aggregate. The records themselves are the rows of ``customer_records``."""
-    r = _rollup(record_detail(st).join(ids, "record_id")).where(F.col("best").isNotNull())
-    return r.select("omni_lookup_id", *[F.col(f"best.{c}").alias(c) for c in IDENTITY_FIELDS],
-                    *_activity_columns(),
-                    F.when(F.col("_conflict"), F.lit(REVIEW_FLAG)).otherwise(F.lit(OK_FLAG)).alias("match_confidence"),
-                    "n_source_records")
+    aggregate. The records themselves are the rows of ``customer_records``.
+
+    ``detail``: stored ``detail_with_ids``. With ``lists`` (``record_lists``)
+    a row also has ``matched_source_record_ids``, the list of its first
+    ``LISTED_RECORDS`` records; a longer list goes on in ``lists``."""
+    detail = detail_with_ids(st, ids) if detail is None else detail
+    r = _rollup(detail).where(F.col("best").isNotNull())
+    out = r.select("omni_lookup_id", *[F.col(f"best.{c}").alias(c) for c in IDENTITY_FIELDS],
+                   *_activity_columns(),
+                   F.when(F.col("_conflict"), F.lit(REVIEW_FLAG)).otherwise(F.lit(OK_FLAG)).alias("match_confidence"),
+                   "n_source_records")
+    return out if lists is None else out.join(joined_lists(lists), "omni_lookup_id", "left")
 
 
 def _source_of(rid: Column) -> tuple[Column, Column]:
@@ -358,14 +377,77 @@ def customer_records(ids: DataFrame) -> DataFrame:
     return ids.select("omni_lookup_id", _source_of(F.col("record_id"))[0].alias("source_system"), "record_id")
 
 
-def best_identity(st: Staged, ids: DataFrame, field_level: bool = False) -> DataFrame:
+def record_lists(ids: DataFrame, chunk: int = RECORDS_PER_CHUNK, num_partitions: int | None = None,
+                 hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+    """Each customer's record ids in order, ``chunk`` of them a row:
+    ``(omni_lookup_id, chunk_no, record_ids, n_records)``.
+
+    A record's place among its customer's comes from a rank in two levels:
+    all records are sorted by range partitions of (customer, record id), which
+    cut a giant customer as well, and numbered within; the sizes of the
+    partitions before (one number each) make that a number over all, and the
+    smallest number of a customer is taken off. So no customer's records meet
+    in one task: only those of a chunk are gathered."""
+    spark = ids.sparkSession
+    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = checkpointed(
+        ids.select("omni_lookup_id", "record_id").repartitionByRange(n_parts, "omni_lookup_id", "record_id")
+        .sortWithinPartitions("omni_lookup_id", "record_id")
+        .select("*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid")))
+    sizes = sorted((r["_pid"], r["count"]) for r in placed.groupBy("_pid").count().collect())
+    before = [0, *accumulate(n for _, n in sizes)]
+    offsets = spark.createDataFrame([(p, off) for (p, _), off in zip(sizes, before)], "_pid int, _off long")
+    place = F.col("_off") + F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
+    numbered = placed.join(F.broadcast(offsets), "_pid").select("omni_lookup_id", "record_id", place.alias("_place"))
+    first = numbered.groupBy("omni_lookup_id").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    total = before[-1]
+    own = hot_split_join(numbered, first, ["omni_lookup_id"], "_n", hot_rows=hot_rows, big_rows=total)
+    at = F.col("_place") - F.col("_first")
+    listed = F.array_sort(F.collect_list(F.struct("_place", "record_id")))
+    return (own.groupBy("omni_lookup_id", F.floor(at / chunk).alias("chunk_no"))
+            .agg(F.array_join(listed.getField("record_id"), LIST_SEPARATOR).alias("record_ids"),
+                 F.count(F.lit(1)).alias("n_records")))
+
+
+def joined_lists(lists: DataFrame, records: int = LISTED_RECORDS, chunk: int = RECORDS_PER_CHUNK) -> DataFrame:
+    """``(omni_lookup_id, matched_source_record_ids)``: the first chunks of
+    each customer's list as one, of at most ``records`` ids."""
+    first = F.array_sort(F.collect_list(F.struct("chunk_no", "record_ids")))
+    return (lists.where(F.col("chunk_no") < records // chunk).groupBy("omni_lookup_id")
+            .agg(F.array_join(first.getField("record_ids"), LIST_SEPARATOR).alias("matched_source_record_ids")))
+
+
+def split_lists(lists: DataFrame) -> DataFrame:
+    """The stored lists back as rows, ``(omni_lookup_id, record_id)``: one per
+    item, trimmed; empty items are none."""
+    return (lists.select("omni_lookup_id", F.explode(F.split("record_ids", LIST_SEPARATOR.strip())).alias("item"))
+            .select("omni_lookup_id", F.trim("item").alias("record_id")).where(F.col("record_id") != ""))
+
+
+def list_check(lists: DataFrame, ids: DataFrame) -> DataFrame:
+    """One row that holds lists against the record -> customer map they were
+    made of: customers, chunks and items, customers whose items are not as
+    many as their records, and items that are no record of their customer."""
+    items = split_lists(lists)
+    per = (items.groupBy("omni_lookup_id").agg(F.count(F.lit(1)).alias("listed"))
+           .join(ids.groupBy("omni_lookup_id").agg(F.count(F.lit(1)).alias("held")), "omni_lookup_id", "full"))
+    counts = per.agg(F.count(F.lit(1)).alias("customers"), F.coalesce(F.sum("listed"), F.lit(0)).alias("items"),
+                     F.count(F.when(~F.col("listed").eqNullSafe(F.col("held")), 1)).alias("customers_with_other_count"))
+    strange = items.join(ids, ["record_id", "omni_lookup_id"], "left_anti").agg(F.count(F.lit(1)).alias("unknown_items"))
+    out = attach_scalars(counts, lists.agg(F.count(F.lit(1)).alias("chunks"), F.max("n_records").alias("longest_chunk")))
+    return attach_scalars(out, strange)
+
+
+def best_identity(st: Staged | None, ids: DataFrame | None, field_level: bool = False,
+                  detail: DataFrame | None = None) -> DataFrame:
     """Q6: ``(omni_lookup_id, source_priority, record_id, identity fields)``.
 
     Default: the whole row of the best record (lowest priority, then record
     id), so a missing CRM e-mail stays missing. ``field_level=True`` fills
     each field from the best record that has it instead (``source_priority``
     and ``record_id`` then describe the best record overall)."""
-    d = record_detail(st).join(ids, "record_id").where(F.col("source_priority").isNotNull())
+    detail = detail_with_ids(st, ids) if detail is None else detail
+    d = detail.where(F.col("source_priority").isNotNull())
     if not field_level:
         b = (d.groupBy("omni_lookup_id")
              .agg(F.min(F.struct("source_priority", "record_id", *IDENTITY_FIELDS)).alias("best")))
@@ -385,10 +467,10 @@ def hot_key_report(records: DataFrame, min_records: int = 1000) -> DataFrame:
             .where(F.col("n_records") >= min_records))
 
 
-def channel_activity(st: Staged, ids: DataFrame) -> DataFrame:
+def channel_activity(st: Staged | None, ids: DataFrame | None, detail: DataFrame | None = None) -> DataFrame:
     """Q7: per customer (every id, including return-only ones): activity
     flags, channel segment, order and spend totals, segment flag."""
-    r = _rollup(record_detail(st).join(ids, "record_id"))
+    r = _rollup(detail_with_ids(st, ids) if detail is None else detail)
     return r.select("omni_lookup_id", *_activity_columns())
 
 
@@ -465,6 +547,46 @@ def resolve(crm: DataFrame, online: DataFrame, pos: DataFrame,
     return st, ids
 
 
+class Views:
+    """The resolution of three channels and what is derived from it, each
+    table worked out once and read back from a ``Store``: by a later query of
+    the session or, with a ``root``, of any session. Inputs are recognised by
+    their files; changed ones are resolved anew."""
+
+    def __init__(self, crm: DataFrame, online: DataFrame, pos: DataFrame, hot_rows: int = DEFAULT_HOT_ROWS,
+                 root: str | None = None) -> None:
+        self.store = Store(crm, online, pos, salt="identity", root=root)
+        self._raw, self._hot = stage(crm, online, pos), hot_rows
+
+    @cached_property
+    def staged(self) -> Staged:
+        raw, table = self._raw, self.store.table
+        return Staged(table("crm", lambda: raw.crm), table("online", lambda: raw.online), table("pos", lambda: raw.pos))
+
+    @cached_property
+    def components(self) -> DataFrame:
+        return self.store.table("components", lambda: components(
+            all_records(self.staged), hot_rows=self._hot, receipts=receipt_rows(self.staged.pos)))
+
+    @cached_property
+    def ids(self) -> DataFrame:
+        return self.store.table("ids", lambda: lookup_ids(self.components, self._hot))
+
+    @cached_property
+    def detail(self) -> DataFrame:
+        """Every record with its customer and what the roll-ups need."""
+        return self.store.table("detail", lambda: detail_with_ids(self.staged, self.ids))
+
+    @cached_property
+    def lists(self) -> DataFrame:
+        return self.store.table("lists", lambda: record_lists(self.ids, hot_rows=self._hot))
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        """The stored customer_360, with its record lists."""
+        return self.store.table("customer_360", lambda: customer_360(None, None, self.detail, self.lists))
+
+
 def materialise_customer_views(st: Staged, ids: DataFrame, path: str) -> tuple[DataFrame, DataFrame]:
     """Write ``customer_360`` and the record -> id map as Parquet under
     ``path`` (shared storage), then build the crosswalk from the stored

@@ -249,8 +249,10 @@ def _staged(spark, sf_dir):
     return identity.stage(B.crm(spark, sf_dir), B.online(spark, sf_dir), B.pos(spark, sf_dir))
 
 
-def _resolved(spark, sf_dir):
-    return identity.resolve(B.crm(spark, sf_dir), B.online(spark, sf_dir), B.pos(spark, sf_dir))
+def _views(spark, sf_dir) -> identity.Views:
+    """The first query that needs a table of the resolution stores it, all
+    others of the session read it."""
+    return identity.Views(B.crm(spark, sf_dir), B.online(spark, sf_dir), B.pos(spark, sf_dir))
 
 
 @query("identity_normalise")
@@ -260,60 +262,73 @@ def q_identity_normalise(spark, sf_dir):
 
 @query("identity_edges")
 def q_identity_edges(spark, sf_dir):
-    st = identity.stored(_staged(spark, sf_dir))
+    st = _views(spark, sf_dir).staged
     return identity.star_edges(identity.all_records(st), receipts=identity.receipt_rows(st.pos))
 
 
 @query("identity_components")
 def q_identity_components(spark, sf_dir):
-    st = identity.stored(_staged(spark, sf_dir))
-    return identity.components(identity.all_records(st), receipts=identity.receipt_rows(st.pos))
+    return _views(spark, sf_dir).components
 
 
 @query("identity_ids")
 def q_identity_ids(spark, sf_dir):
-    return _resolved(spark, sf_dir)[1]
+    return _views(spark, sf_dir).ids
 
 
 @query("match_quality")
 def q_match_quality(spark, sf_dir):
-    st, ids = _resolved(spark, sf_dir)
-    return identity.match_quality(identity.all_records(st), ids)
+    return identity.match_quality(_views(spark, sf_dir).detail)
 
 
 @query("best_identity")
 def q_best_identity(spark, sf_dir):
-    st, ids = _resolved(spark, sf_dir)
-    return identity.best_identity(st, ids)
+    return identity.best_identity(None, None, detail=_views(spark, sf_dir).detail)
 
 
 @query("channel_activity")
 def q_channel_activity(spark, sf_dir):
-    st, ids = _resolved(spark, sf_dir)
-    return identity.channel_activity(st, ids)
+    return identity.channel_activity(None, None, detail=_views(spark, sf_dir).detail)
 
 
 @query("customer_360")
 def q_customer_360(spark, sf_dir):
-    st, ids = _resolved(spark, sf_dir)
-    return identity.customer_360(st, ids)
+    return _views(spark, sf_dir).customers
 
 
 @query("customer_records")
 def q_customer_records(spark, sf_dir):
-    return identity.customer_records(_resolved(spark, sf_dir)[1])
+    return identity.customer_records(_views(spark, sf_dir).ids)
+
+
+@query("customer_record_lists")
+def q_customer_record_lists(spark, sf_dir):
+    return _views(spark, sf_dir).lists
+
+
+@query("record_list_check")
+def q_record_list_check(spark, sf_dir):
+    v = _views(spark, sf_dir)
+    return identity.list_check(v.lists, v.ids)
 
 
 @query("id_crosswalk")
 def q_id_crosswalk(spark, sf_dir):
-    st, ids = _resolved(spark, sf_dir)
-    return identity.id_crosswalk(ids, identity.customer_ids(st, ids))
+    v = _views(spark, sf_dir)
+    return identity.id_crosswalk(v.ids, v.customers)
+
+
+@query("id_crosswalk_from_lists")
+def q_id_crosswalk_from_lists(spark, sf_dir):
+    """The crosswalk from nothing but the stored views: lists split back."""
+    v = _views(spark, sf_dir)
+    return identity.id_crosswalk(identity.split_lists(v.lists), v.customers)
 
 
 @query("identity_completeness")
 def q_identity_completeness(spark, sf_dir):
-    st, ids = _resolved(spark, sf_dir)
-    return identity.completeness(st, ids, identity.customer_ids(st, ids))
+    v = _views(spark, sf_dir)
+    return identity.completeness(v.staged, v.ids, v.customers)
 
 
 FLAGSHIP = "customer_360"
