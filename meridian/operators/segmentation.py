@@ -1,13 +1,18 @@
 """Customer segmentation: rule-based 2x2, RFM scoring and K-means (Q37-Q39).
 
 The rule and RFM classifiers are native ``CASE WHEN`` chains (codegen, no
-Python per row). K-means uses MLlib on standardised features.
+Python per row). K-means runs as aggregates of the rows from starts that the
+data fix (``exact_kmeans_segments``), so its result can be restated in SQL, or in
+MLlib from several random starts (``kmeans_segments``). ``cluster_counts`` helps
+to choose how many clusters to look for.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -115,3 +120,165 @@ def kmeans_segments(df: DataFrame, features: Sequence[str] = ("annual_spend", "p
              .drop("_raw", "_features", "_cluster", "_whole"))
     missing = rows.where(~F.col("_whole")).drop("_whole").withColumn("segment", F.lit(None).cast("string"))
     return named.unionByName(missing)
+
+
+# --------------------------------------------------------------------------- exact k-means (M2), choice of k (M4)
+START_BINS = 1000
+EXACT = "decimal(24,6)"        # features are summed in it, so sums don't depend on the order of rows
+
+
+@dataclass
+class Clusters:
+    """Centres of k clusters in the features' own units, by ascending first
+    centre coordinate of ``order_by``; ``scale`` holds each feature's standard
+    deviation (1 for a constant one)."""
+    centres: list[tuple[float, ...]]
+    scale: list[float]
+    sizes: list[int]
+    rounds: int
+
+
+def _whole(features: Sequence[str]) -> Column:
+    whole = F.lit(True)
+    for f in features:
+        whole = whole & F.col(f).isNotNull() & ~F.isnan(F.col(f).cast("double"))
+    return whole
+
+
+def _nearest(features: Sequence[str], centres: Sequence[Sequence[float]], scale: Sequence[float]) -> Column:
+    """``(d, c)``: the least squared distance to a centre, in units of
+    ``scale``, and the number of that centre, the first of several."""
+    def distance(centre: Column, number: Column) -> Column:
+        steps = [(F.col(f).cast("double") - centre[i]) / F.lit(float(s)) for i, (f, s) in enumerate(zip(features, scale))]
+        return F.struct(sum((x * x for x in steps[1:]), steps[0] * steps[0]).alias("d"), number.alias("c"))
+
+    known = F.array(*[F.array(*[F.lit(float(v)) for v in centre]) for centre in centres])
+    return F.array_min(F.transform(known, distance))
+
+
+def fit_kmeans(rows: DataFrame, features: Sequence[str], ks: Sequence[int], order_by: str) -> dict[int, Clusters]:
+    """Lloyd's rounds for every k at once, each one aggregate of ``rows``
+    (which have all features), until no centre moves.
+
+    The start is fixed by the data: ``order_by`` is cut into ``START_BINS`` bins
+    of one width, whose counts cut it into k cells of about equal size, and a
+    cell's mean is a centre. Sums are exact, so a round that leaves all of them
+    as they were is a fixed point, and the result does not depend on the
+    partitioning. Only k sums a feature reach the driver."""
+    stats = rows.agg(F.count(F.lit(1)).alias("n"), F.min(F.col(order_by).cast("double")).alias("lo"),
+                     F.max(F.col(order_by).cast("double")).alias("hi"),
+                     *[F.stddev_pop(F.col(f).cast("double")).alias(f"s{i}") for i, f in enumerate(features)]).collect()[0]
+    if not stats["n"]:
+        return {}
+    scale = [stats[f"s{i}"] or 1.0 for i in range(len(features))]
+    sums = [F.sum(F.col(f).cast(EXACT)).alias(f"x{i}") for i, f in enumerate(features)]
+    width = stats["hi"] - stats["lo"]
+    at = F.floor((F.col(order_by).cast("double") - F.lit(stats["lo"])) * START_BINS / F.lit(width)) if width else F.lit(0)
+    bins = rows.groupBy(F.least(F.lit(START_BINS - 1), at).cast("int").alias("bin")).agg(
+        F.count(F.lit(1)).alias("n"), *sums).orderBy("bin").collect()                     # at most START_BINS rows
+
+    def centre(rs) -> tuple[float, ...]:
+        n = sum(r["n"] for r in rs)
+        return tuple(float(sum(r[f"x{i}"] for r in rs)) / n for i in range(len(features)))
+
+    now: dict[int, list[tuple[float, ...]]] = {}
+    for k in ks:
+        before = [0, *accumulate(r["n"] for r in bins)]
+        cells: dict[int, list] = {}
+        for r, b in zip(bins, before):
+            cells.setdefault((2 * b + r["n"]) * k // (2 * stats["n"]), []).append(r)
+        now[k] = [centre(rs) for _, rs in sorted(cells.items())]       # a cell without rows gives no centre
+    done: dict[int, Clusters] = {}
+    seen: dict[int, dict] = {}
+    rounds = 0
+    while len(done) < len(now):
+        rounds += 1
+        open_ks = [k for k in now if k not in done]
+        each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), _nearest(features, now[k], scale).c.alias("c"))
+                                   for k in open_ks]))
+        got: dict[int, dict] = {k: {} for k in open_ks}
+        for r in rows.select(*features, each.alias("to")).groupBy("to.k", "to.c").agg(
+                F.count(F.lit(1)).alias("n"), *sums).collect():
+            got[r["k"]][r["c"]] = r
+        for k in open_ks:
+            state = {c: tuple(r[f] for f in ("n", *(f"x{i}" for i in range(len(features))))) for c, r in got[k].items()}
+            now[k] = [centre([got[k][c]]) if c in got[k] else old for c, old in enumerate(now[k])]
+            if seen.get(k) == state:
+                done[k] = Clusters(now[k], scale, [state.get(c, (0,))[0] for c in range(len(now[k]))], rounds)
+            seen[k] = state
+    return done
+
+
+def exact_kmeans_segments(df: DataFrame, features: Sequence[str] = ("annual_spend", "purchase_frequency"),
+                          k: int = 3, labels: Sequence[str] = KMEANS_LABELS, order_by: str | None = None) -> DataFrame:
+    """Q39 from a start that the data fix: rows + ``segment``, clusters named by
+    ascending mean of ``order_by`` (default: the first feature). Rows with a
+    missing feature keep a NULL segment."""
+    if len(labels) != k:
+        raise ValueError(f"need exactly {k} labels, got {len(labels)}")
+    order_by = order_by or features[0]
+    rows = checkpointed(df.withColumn("_whole", _whole(features)))
+    fitted = fit_kmeans(rows.where("_whole"), features, [k], order_by).get(k)
+    if fitted is None:
+        return rows.drop("_whole").withColumn("segment", F.lit(None).cast("string"))
+    at = list(features).index(order_by)
+    order = sorted(range(len(fitted.centres)), key=lambda c: (fitted.centres[c][at], c))
+    name = F.lit(None).cast("string")
+    for label, c in zip(labels, order):
+        name = F.when(F.col("_cluster") == c, label).otherwise(name)
+    cluster = F.when(F.col("_whole"), _nearest(features, fitted.centres, fitted.scale).c)
+    return rows.withColumn("_cluster", cluster).withColumn("segment", name).drop("_cluster", "_whole")
+
+
+def cluster_counts(df: DataFrame, features: Sequence[str] = ("annual_spend", "purchase_frequency"),
+                   ks: Sequence[int] = tuple(range(2, 9)), order_by: str | None = None) -> DataFrame:
+    """M4: one row per k, to choose from: ``(k, inertia, silhouette, bend)``.
+
+    ``inertia`` is the sum of squared distances to the centres in standardised
+    units, ``bend`` its second difference (large where the curve has its elbow;
+    NULL at both ends), ``silhouette`` the mean over all rows. A row's mean
+    squared distance to a cluster follows from the cluster's count, sum vector
+    and sum of squared lengths, so one scan gives the moments of all clusters of
+    all k, a second one the sums, and no two rows are ever paired."""
+    order_by = order_by or features[0]
+    rows = checkpointed(df.select(*features).where(_whole(features)))
+    fits = fit_kmeans(rows, features, ks, order_by)
+    schema = "k int, inertia double, silhouette double, bend double"
+    if not fits:
+        return df.sparkSession.createDataFrame([], schema)
+    scale = next(iter(fits.values())).scale
+    z = [F.col(f).cast("double") / F.lit(s) for f, s in zip(features, scale)]
+    length2 = sum((x * x for x in z[1:]), z[0] * z[0])
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), _nearest(features, c.centres, scale).c.alias("c"))
+                               for k, c in fits.items()])).alias("to")
+    moments: dict[int, dict[int, tuple]] = {k: {} for k in fits}
+    per = rows.select(each, length2.alias("q"), *[x.alias(f"z{i}") for i, x in enumerate(z)]).groupBy("to.k", "to.c").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("q").alias("q"), *[F.sum(f"z{i}").alias(f"z{i}") for i in range(len(z))])
+    for r in per.collect():                                                        # a row per cluster
+        moments[r["k"]][r["c"]] = (r["n"], r["q"] / r["n"], [r[f"z{i}"] / r["n"] for i in range(len(z))])
+
+    def silhouette(k: int, own: Column) -> Column:
+        """From the mean squared distances to the rows of each cluster; 0 in a
+        cluster of one row, or beside no other."""
+        known = F.array(*[F.struct(F.lit(c).alias("c"), F.lit(n).alias("n"), F.lit(q).alias("q"),
+                                   F.array(*[F.lit(v) for v in mean]).alias("mean"))
+                          for c, (n, q, mean) in sorted(moments[k].items())])
+
+        def to(m: Column) -> Column:
+            dot = sum((x * m["mean"][i + 1] for i, x in enumerate(z[1:])), z[0] * m["mean"][0])
+            return F.greatest(F.lit(0.0), length2 - 2 * dot + m["q"])
+
+        # the row itself left out of its own cluster
+        mine = F.transform(F.filter(known, lambda m: (m["c"] == own) & (m["n"] > 1)), lambda m: to(m) * m["n"] / (m["n"] - 1))
+        a, b = F.array_min(mine), F.array_min(F.transform(F.filter(known, lambda m: m["c"] != own), to))
+        return F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.lit(0.0))
+
+    # a column for each k's nearest centre, each used twice
+    near = rows.select("*", *[_nearest(features, fit.centres, scale).alias(f"_{k}") for k, fit in fits.items()])
+    sums = [x for k in fits for x in (F.sum(f"_{k}.d").alias(f"i{k}"), F.avg(silhouette(k, F.col(f"_{k}.c"))).alias(f"s{k}"))]
+    got = near.agg(*sums).collect()[0]
+    out = []
+    for k in sorted(fits):
+        bend = got[f"i{k - 1}"] - 2 * got[f"i{k}"] + got[f"i{k + 1}"] if k - 1 in fits and k + 1 in fits else None
+        out.append((k, got[f"i{k}"], got[f"s{k}"], bend))
+    return df.sparkSession.createDataFrame(out, schema)

@@ -123,15 +123,26 @@ def q_segment_rfm_counts(spark, sf_dir):
 
 @query("segment_kmeans")
 def q_segment_kmeans(spark, sf_dir):
-    return segmentation.kmeans_segments(B.kmeans_customers(spark, sf_dir)).select(
+    return segmentation.exact_kmeans_segments(B.kmeans_customers(spark, sf_dir)).select(
         "customer_id", "annual_spend", "purchase_frequency", "segment")
 
 
 @query("segment_kmeans_counts")
 def q_segment_kmeans_counts(spark, sf_dir):
+    return segmentation.segment_counts(segmentation.exact_kmeans_segments(B.kmeans_customers(spark, sf_dir)))
+
+
+@query("segment_kmeans_starts")
+def q_segment_kmeans_starts(spark, sf_dir):
+    """The fit from ten random starts (MLlib), which has no counterpart in SQL."""
     return segmentation.segment_counts(segmentation.kmeans_segments(B.kmeans_customers(spark, sf_dir)))
 
 
+@query("segment_kmeans_choice")
+def q_segment_kmeans_choice(spark, sf_dir):
+    return segmentation.cluster_counts(B.kmeans_customers(spark, sf_dir), ks=tuple(range(2, 9)))
+
+
 # --------------------------------------------------------------------------- CUPED (B5)
 @query("cuped_theta")
 def q_cuped_theta(spark, sf_dir):
