@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -142,21 +143,61 @@ def test_components_match_brute_force(spark, make_docs, words, pct):
     assert got == {i: (sizes[i], roots[i]) for i in range(len(texts))}
 
 
-def test_components_around_hubs_lose_no_link(spark, make_docs, monkeypatch):
-    # force the rounds around hubs, and the full merge of what they leave
-    real = ngram_join._pairs_left
-    calls = []
-
-    def many(lists):
-        left, n = real(lists)
-        calls.append(left)
-        return (left + 10**9 if left and len(calls) < 3 else left), n
-
-    monkeypatch.setattr(ngram_join, "_pairs_left", many)
-    texts = near_copies(random.Random(11))
+def large_group(rnd, members, edits):
+    """Copies of one text with so many changed words each: similarities lie about the bound."""
+    base = [f"w{i}" for i in range(200)]
+    out = []
+    for _ in range(members):
+        copy = list(base)
+        for _ in range(rnd.choice(edits)):
+            copy[rnd.randrange(len(copy))] = f"x{rnd.randrange(40)}"
+        out.append(" ".join(copy))
+    return out
+
+
+@pytest.mark.parametrize("sizes", [{"TILE": 7, "FEW": 2, "SOME": 4}, {"TILE": 10_000, "FEW": 3, "SOME": 10_000},
+                                   {"FEW": 1, "SOME": 1, "HELD_BACK": 1, "SKETCH_BITS": (64, 64)}, {}])
+def test_forests_of_tiles_lose_no_link(spark, make_docs, monkeypatch, sizes):
+    """A large group about the similarity among other texts, in tiles of any size."""
+    for name, value in sizes.items():
+        monkeypatch.setattr(ngram_join, name, value)
+    rnd = random.Random(11)
+    texts = near_copies(rnd) + large_group(rnd, 60, [3, 4, 5]) + large_group(rnd, 30, [0, 1, 7])
     _, roots = brute_components(texts, 3, 90)
     got = {r._id: r.component_id for r in ngram_join.components(make_docs(texts)).collect()}
-    assert got == dict(enumerate(roots)) and len(calls) >= 2
+    assert got == dict(enumerate(roots)) and len(set(roots)) > 20
+
+
+def test_shingles_of_joined_and_very_long_texts():
+    """Equal words give equal hashes wherever they stand: texts joined in
+    pieces, long texts cut, words longer than a piece."""
+    long_word = "z" * (3 << 20)
+    texts = ["a b c d", "", "A  b\tC\nd", " x", "a b", "éa b c d", "a b c d" * 3, None, ("q r s t u " * 300_000) + " end",
+             f" {long_word} p {long_word} p q", "q r s t u q"]
+    column = pa.array([(t or "").encode() for t in texts], pa.binary())
+    sets = [set(s.tolist()) for s in ngram_join.shingle_sets(column, 3)]
+    whole = [{tuple(w[i:i + 3]) for i in range(max(1, len(w) - 2))} if w else set()
+             for w in ([x.decode() for x in (t or "").encode().lower().split()] for t in texts)]
+    assert [len(s) for s in sets] == [len(s) for s in whole]
+    for a in range(len(texts)):
+        for b in range(len(texts)):
+            assert len(sets[a] & sets[b]) == len(whole[a] & whole[b]), (a, b)
+    part = [set(s.tolist()) for s in ngram_join.shingle_sets(column.slice(4, 5), 3)]
+    assert part == sets[4:9]
+
+
+def test_sketches_never_exclude_a_link():
+    rnd = random.Random(3)
+    for _ in range(300):
+        n = rnd.choice([1, 3, 40, 300, 9000])
+        x = {rnd.getrandbits(63) for _ in range(n)}
+        y = set(rnd.sample(sorted(x), max(1, int(n * rnd.uniform(.8, 1))))) | {rnd.getrandbits(63) for _ in range(rnd.randrange(1 + n // 8))}
+        sets = [np.array(sorted(s), np.int64) for s in (x, y)]
+        m = ngram_join._Members(np.arange(2), np.array([len(x), len(y)]), np.arange(2), np.zeros(2, int),
+                                [ngram_join.odd_sketch(s) for s in sets], 80)
+        ok, d = m.left(np.array([0]), np.array([1]))
+        if 100 * len(x & y) >= 80 * len(x | y):
+            assert ok[0] and d[0] <= len(x ^ y)
 
 
 def test_join_of_repeated_null_and_no_rows(spark, make_docs):
