@@ -4,16 +4,21 @@ All operators are single-scan aggregates. Parameter sweeps (placebo cutoffs,
 bandwidths) and the density histogram are one global aggregate holding a
 conditional count/mean per parameter (or bin), unpivoted afterwards: the data
 is read once for the whole sweep instead of once per parameter, and nothing
-but one row per partition is shuffled.
+but one row per partition is shuffled. For thousands of (cutoff, bandwidth) pairs
+``sweep`` takes differences of prefix sums instead.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
+from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meridian.session import checkpointed
+
 # Default band edges and labels for the points-score case study.
 DEFAULT_BAND_EDGES = [7000, 8000, 9000, 9500, 10000, 10500, 11000, 12000, 15000]
 DEFAULT_BAND_LABELS = ["7000-7999", "8000-8999", "9000-9499", "9500-9999",
@@ -120,3 +125,66 @@ def density_check(df: DataFrame, bin_width: float = 200, cutoff: float = DEFAULT
             .select(F.array(*rows).alias("_bins"), ratio.alias("ratio"),
                     F.coalesce(ratio > F.lit(flag_ratio), F.lit(False)).alias("suspicious"))
             .select(F.inline("_bins"), "ratio", "suspicious"))
+
+
+# --------------------------------------------------------------------------- any number of windows
+EXACT = "decimal(28,12)"        # outcomes are summed in it, so differences of sums lose nothing
+
+
+def prefix_moments(df: DataFrame, points: DataFrame, running: str = "points_score",
+                   outcome: str = "annual_spend", num_partitions: int | None = None) -> DataFrame:
+    """``(x, n, ny, sy)`` for each distinct ``x`` of ``points``: rows of ``df``
+    below it, those of them with an outcome, and the sum of these.
+
+    Rows are first summed per running value. Values and points are then sorted
+    together by range partitions and summed up within each; the totals of the
+    partitions before (one row each) are added. So no point is looked up or
+    joined, and no task holds more than a partition. Rows without a running
+    value are in no window; an outcome that is NaN counts as missing."""
+    spark = df.sparkSession
+    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    x, y = F.col(running).cast("double"), F.col(outcome).cast("double")
+    y = F.when(~F.isnan(y), y).cast(EXACT)
+    sums = ["n", "ny", "sy"]
+    values = (df.where(x.isNotNull() & ~F.isnan(x)).groupBy(x.alias("x"))
+              .agg(F.count(F.lit(1)).alias("n"), F.count(y).alias("ny"),
+                   F.coalesce(F.sum(y), F.lit(0)).cast("decimal(38,12)").alias("sy")).withColumn("_point", F.lit(1)))
+    # a point comes before the values that equal it: windows are half-open
+    ends = points.select(F.col("x").cast("double").alias("x")).distinct().select(
+        "x", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("ny"), F.lit(0).cast("decimal(38,12)").alias("sy"),
+        F.lit(0).alias("_point"))
+    placed = checkpointed(values.unionByName(ends).repartitionByRange(n_parts, "x", "_point")
+                          .withColumn("_pid", F.spark_partition_id()))
+    totals = sorted(tuple(r) for r in placed.groupBy("_pid").agg(*[F.sum(c).alias(c) for c in sums]).collect())
+    before = accumulate([(0, 0, Decimal(0)), *(t[1:] for t in totals)], lambda a, b: tuple(u + v for u, v in zip(a, b)))
+    offsets = spark.createDataFrame([(t[0], *b) for t, b in zip(totals, before)],
+                                    "_pid int, _n long, _ny long, _sy decimal(38,12)")
+    so_far = Window.partitionBy("_pid").orderBy("x", "_point").rowsBetween(Window.unboundedPreceding, 0)
+    summed = placed.select("x", "_point", "_pid", *[F.sum(c).over(so_far).cast(placed.schema[c].dataType).alias(c) for c in sums])
+    return (summed.where(F.col("_point") == 0).join(F.broadcast(offsets), "_pid")
+            .select("x", *[(F.col(c) + F.col(f"_{c}")).alias(c) for c in sums]))
+
+
+def sweep(df: DataFrame, pairs: DataFrame, running: str = "points_score", outcome: str = "annual_spend",
+          num_partitions: int | None = None) -> DataFrame:
+    """The Q27 estimate for every row of ``pairs(cutoff, bandwidth)``, however
+    many, from one pass over ``df``: each side of a window is a difference of two
+    prefix sums. Equal to ``placebo_cutoffs`` and ``bandwidth_sensitivity``."""
+    pairs = pairs.select(F.col("cutoff").cast("double").alias("cutoff"), F.col("bandwidth").cast("double").alias("bandwidth"))
+    c, b = F.col("cutoff"), F.col("bandwidth")
+    at = checkpointed(prefix_moments(df, pairs.select(F.explode(F.array(c - b, c, c + b)).alias("x")), running, outcome,
+                                     num_partitions))
+
+    def end(name: str, x: Column, rows: DataFrame) -> DataFrame:
+        known = at.select(F.col("x").alias("_x"), F.struct("n", "ny", "sy").alias(name))
+        return rows.withColumn("_x", x).join(known, "_x").drop("_x")
+
+    met = end("hi", c + b, end("mid", c, end("lo", c - b, pairs)))
+
+    def side(a: str, z: str) -> tuple[Column, Column]:
+        mean = F.try_divide((F.col(f"{z}.sy") - F.col(f"{a}.sy")).cast("double"), F.col(f"{z}.ny") - F.col(f"{a}.ny"))
+        return F.col(f"{z}.n") - F.col(f"{a}.n"), mean
+
+    (n_below, below), (n_above, above) = side("lo", "mid"), side("mid", "hi")
+    return met.select("cutoff", "bandwidth", n_below.alias("n_below"), n_above.alias("n_above"), below.alias("below_mean"),
+                      above.alias("above_mean"), (above - below).alias("estimate"))

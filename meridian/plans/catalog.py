@@ -64,6 +64,15 @@ def q_rdd_bandwidth_sensitivity(spark, sf_dir):
                                      bandwidths=(250, 500, 1000, 1500, 2000), cutoff=RDD_CUTOFF)
 
 
+@query("rdd_sweep")
+def q_rdd_sweep(spark, sf_dir):
+    """Ten thousand windows: a hundred cutoffs by a hundred bandwidths; money
+    to the cent, as half-way cases of six digits turn up among so many means."""
+    grid = spark.range(10_000).selectExpr("cast(50 * (id div 100) as double) as cutoff",
+                                          "cast(20 * (id % 100) + 20 as double) as bandwidth")
+    return round_doubles(rdd.sweep(B.rdd_customers(spark, sf_dir), grid), 2)
+
+
 # --------------------------------------------------------------------------- CAC (B8, B9)
 @query("nominal_cac")
 def q_nominal_cac(spark, sf_dir):

@@ -63,3 +63,45 @@ def test_missing_outcome_counts_as_row(spark):
     df = spark.createDataFrame([(9990, None), (9995, 10.0), (10005, 20.0)], "points_score long, annual_spend double")
     r = one(rdd.discontinuity_estimate(df, bandwidth=100, cutoff=10000))
     assert (r.n_below, r.n_above, r.below_mean, r.estimate) == (2, 1, 10.0, 10.0)
+
+
+def test_sweep_equals_the_conditional_aggregates(spark, fx):
+    df = fx("rdd")
+    pairs = [(c, 500.0) for c in (8000, 9000, 11500, 12000)] + [(10000, b) for b in (250, 500, 1000, 1500, 2000)]
+    want = {(r.cutoff, r.bandwidth): r for r in rdd.placebo_cutoffs(df).unionByName(rdd.bandwidth_sensitivity(df)).collect()}
+    got = rdd.sweep(df, spark.createDataFrame([(float(c), float(b)) for c, b in pairs], "cutoff double, bandwidth double"),
+                    num_partitions=5)
+    rows = got.collect()
+    assert len(rows) == 9
+    for r in rows:
+        w = want[(r.cutoff, r.bandwidth)]
+        assert (r.n_below, r.n_above) == (w.n_below, w.n_above)
+        assert abs(r.estimate - w.estimate) < 1e-9 and abs(r.below_mean - w.below_mean) < 1e-9
+
+
+def test_sweep_of_ten_thousand_windows_and_missing_values(spark):
+    import random
+    rnd = random.Random(8)
+    data = [(float(rnd.randrange(0, 60)) if rnd.random() > .05 else None, round(rnd.gauss(0, 9), 3) if rnd.random() > .1 else None)
+            for _ in range(400)]
+    grid = [(float(c), b / 4) for c in range(-20, 80) for b in range(1, 101)]
+    got = {(r.cutoff, r.bandwidth): r for r in rdd.sweep(
+        spark.createDataFrame(data, "points_score double, annual_spend double"),
+        spark.createDataFrame(grid, "cutoff double, bandwidth double"), num_partitions=7).collect()}
+    assert len(got) == len(grid)
+    for c, b in grid[::37]:
+        below = [y for x, y in data if x is not None and c - b <= x < c]
+        above = [y for x, y in data if x is not None and c <= x < c + b]
+        r = got[(c, b)]
+        assert (r.n_below, r.n_above) == (len(below), len(above))
+        for side, mean in ((below, r.below_mean), (above, r.above_mean)):
+            ys = [y for y in side if y is not None]
+            assert mean is None if not ys else abs(mean - sum(ys) / len(ys)) < 1e-9
+
+
+def test_sweep_of_no_rows(spark):
+    none = spark.createDataFrame([], "points_score double, annual_spend double")
+    pairs = spark.createDataFrame([(1.0, 2.0)], "cutoff double, bandwidth double")
+    r = rdd.sweep(none, pairs).collect()
+    assert [(x.n_below, x.n_above, x.estimate) for x in r] == [(0, 0, None)]
+    assert rdd.sweep(none, pairs.limit(0)).count() == 0
