@@ -28,8 +28,8 @@ SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 10            # fewer words fail
 MAX_REPEAT_PCT = 20       # more words (percent) in repeated 5-word windows fail
 MIN_LINE_DOCS = 10        # a line in at most so many documents of a host is never boilerplate
-MAX_LINE_PCT = 5          # nor is one in at most so many percent of them
-MAX_LINE_DOCS = 100       # of a corpus of any size: a line in more documents of a host is boilerplate whatever their share
+MAX_LINE_PCT = 5          # of a small host, nor is one in at most so many percent of them
+MAX_LINE_DOCS = 100       # a line in more documents of a host is boilerplate whatever their share
 MIN_LEFT_PCT = 25         # a document keeps at least so many percent of its words
 SALTS = 16
 
@@ -125,16 +125,17 @@ def measures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def line_quality(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source",
                  min_line_docs: int = MIN_LINE_DOCS, max_line_pct: int = MAX_LINE_PCT,
-                 min_left_pct: int = MIN_LEFT_PCT, max_line_docs: int | None = None) -> DataFrame:
+                 min_left_pct: int = MIN_LEFT_PCT, max_line_docs: int = MAX_LINE_DOCS) -> DataFrame:
     """Per row of ``docs``: ``_id``, ``_host``, ``text_hash``, measures,
     ``removed_words`` (words of boilerplate lines), ``base_failed``, ``kept``.
-    ``max_line_docs``: no share of a host lets a line be in more documents."""
+    ``max_line_docs``: a line in more documents of a host is boilerplate
+    whatever their share, so the limit does not grow with the host."""
     return _judged(docs, doc_id, text, host, min_line_docs, max_line_pct, min_left_pct, max_line_docs).drop("removed_lines")
 
 
 def _judged(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source",
             min_line_docs: int = MIN_LINE_DOCS, max_line_pct: int = MAX_LINE_PCT,
-            min_left_pct: int = MIN_LEFT_PCT, max_line_docs: int | None = None) -> DataFrame:
+            min_left_pct: int = MIN_LEFT_PCT, max_line_docs: int = MAX_LINE_DOCS) -> DataFrame:
     """``line_quality`` with ``removed_lines``, the hashes of the boilerplate lines."""
     m = staged(measures(docs, doc_id, text, host), "quality")
     hosts = m.groupBy("_host").agg(F.count_distinct("text_hash").alias("host_docs"))
@@ -144,9 +145,7 @@ def _judged(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: s
               .where(F.col("docs") > min_line_docs))
     # a boilerplate line is in more than min_line_docs documents of its host, so
     # this side is small; its rows are repeated for each salt of the hot side
-    above = F.col("docs") * 100 > F.col("host_docs") * max_line_pct
-    if max_line_docs is not None:
-        above = above | (F.col("docs") > max_line_docs)
+    above = (F.col("docs") * 100 > F.col("host_docs") * max_line_pct) | (F.col("docs") > max_line_docs)
     common = (counts.join(hosts, "_host")
               .where(above)
               .select("_host", "line", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")))
@@ -221,7 +220,7 @@ line AS (
 hosts AS (SELECT host, count(DISTINCT t) AS host_docs FROM d GROUP BY host),
 common AS (
   SELECT host, norm FROM (SELECT host, norm, count(DISTINCT t) AS docs FROM line GROUP BY ALL) JOIN hosts USING (host)
-  WHERE docs > 10 AND docs * 100 > host_docs * 5),
+  WHERE docs > 10 AND (docs * 100 > host_docs * 5 OR docs > 100)),
 gone AS (SELECT doc_id, host, t, sum(n) AS removed FROM line JOIN common USING (host, norm) GROUP BY ALL),
 m AS (
   SELECT w.doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,

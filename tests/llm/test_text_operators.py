@@ -84,9 +84,10 @@ def test_quality_limit_does_not_grow_with_the_host(spark, make_docs):
     got = {r.doc_id: r.text for r in corpus_pipeline.quality_rules(spark, docs, "").collect()}
     assert all(got[i] == texts[i] for i in range(101))       # in 101 documents, 3.4 percent
     assert all(got[i] == lines[i] for i in range(101, 3000) if i in got) and len(got) > 2900
-    share = quality.line_quality(docs).where("removed_words > 0")
-    assert share.count() == 0                                # the share alone, as in the SQL
+    assert quality.line_quality(docs).where("removed_words > 0").count() == 101          # one rule, in the query as well
     assert quality.line_quality(docs, max_line_docs=99).where("removed_words > 0").count() == 201
+    share = quality.line_quality(docs, max_line_docs=10**9).where("removed_words > 0")
+    assert share.count() == 0
 
 
 def test_quality_repeated_rows_and_empty_table(spark, make_docs):
