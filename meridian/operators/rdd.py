@@ -169,7 +169,8 @@ def sweep(df: DataFrame, pairs: DataFrame, running: str = "points_score", outcom
           num_partitions: int | None = None) -> DataFrame:
     """The Q27 estimate for every row of ``pairs(cutoff, bandwidth)``, however
     many, from one pass over ``df``: each side of a window is a difference of two
-    prefix sums. Equal to ``placebo_cutoffs`` and ``bandwidth_sensitivity``."""
+    prefix sums. Equal to ``placebo_cutoffs`` and ``bandwidth_sensitivity``, with
+    the exact sums of outcomes (``sum_below``, ``sum_above``) beside the means."""
     pairs = pairs.select(F.col("cutoff").cast("double").alias("cutoff"), F.col("bandwidth").cast("double").alias("bandwidth"))
     c, b = F.col("cutoff"), F.col("bandwidth")
     at = checkpointed(prefix_moments(df, pairs.select(F.explode(F.array(c - b, c, c + b)).alias("x")), running, outcome,
@@ -181,10 +182,11 @@ def sweep(df: DataFrame, pairs: DataFrame, running: str = "points_score", outcom
 
     met = end("hi", c + b, end("mid", c, end("lo", c - b, pairs)))
 
-    def side(a: str, z: str) -> tuple[Column, Column]:
-        mean = F.try_divide((F.col(f"{z}.sy") - F.col(f"{a}.sy")).cast("double"), F.col(f"{z}.ny") - F.col(f"{a}.ny"))
-        return F.col(f"{z}.n") - F.col(f"{a}.n"), mean
+    def side(a: str, z: str) -> tuple[Column, Column, Column]:
+        total = (F.col(f"{z}.sy") - F.col(f"{a}.sy")).cast("double")
+        return F.col(f"{z}.n") - F.col(f"{a}.n"), total, F.try_divide(total, F.col(f"{z}.ny") - F.col(f"{a}.ny"))
 
-    (n_below, below), (n_above, above) = side("lo", "mid"), side("mid", "hi")
+    (n_below, sum_below, below), (n_above, sum_above, above) = side("lo", "mid"), side("mid", "hi")
     return met.select("cutoff", "bandwidth", n_below.alias("n_below"), n_above.alias("n_above"), below.alias("below_mean"),
-                      above.alias("above_mean"), (above - below).alias("estimate"))
+                      above.alias("above_mean"), (above - below).alias("estimate"), sum_below.alias("sum_below"),
+                      sum_above.alias("sum_above"))

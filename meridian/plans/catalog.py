@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from meridian.functions.common import round_doubles
 from meridian.operators import cac, cohort, cuped, identity, rdd, segmentation, switchback
@@ -66,11 +67,13 @@ def q_rdd_bandwidth_sensitivity(spark, sf_dir):
 
 @query("rdd_sweep")
 def q_rdd_sweep(spark, sf_dir):
-    """Ten thousand windows: a hundred cutoffs by a hundred bandwidths; money
-    to the cent, as half-way cases of six digits turn up among so many means."""
+    """Ten thousand windows: a hundred cutoffs by a hundred bandwidths. Counts
+    and sums to the cent, which are exact; means of so many windows hold
+    half-way cases of any number of digits."""
     grid = spark.range(10_000).selectExpr("cast(50 * (id div 100) as double) as cutoff",
                                           "cast(20 * (id % 100) + 20 as double) as bandwidth")
-    return round_doubles(rdd.sweep(B.rdd_customers(spark, sf_dir), grid), 2)
+    cents = B.rdd_customers(spark, sf_dir).withColumn("annual_spend", F.round("annual_spend", 2))
+    return rdd.sweep(cents, grid).select("cutoff", "bandwidth", "n_below", "n_above", "sum_below", "sum_above")
 
 
 # --------------------------------------------------------------------------- CAC (B8, B9)
