@@ -54,7 +54,7 @@ TILE = 4_096               # members of a list that meet in one task
 FEW = 8                    # members of a list whose pairs are all given
 SOME = 256                 # members of a list whose pairs are compared at once
 HELD_BACK = 2              # rounds of spanning forests before all pairs left are tested
-SKETCH_BITS = (64, 4_096)  # least and most; about half a bit an element between
+SKETCH_BITS = (64, 4_096)  # least and most
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _FINAL = np.uint64(0xD6E8FEB86659FD93)
@@ -150,7 +150,7 @@ def _key(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
 
 
-def _describe(words: int):
+def _describe(words: int, pct: int):
     """Rows (document id, text hash, set size, set key, sketch), and rows (null,
     null, count, shingle, null) marked ``frequent``."""
     def run(batches):
@@ -172,7 +172,7 @@ def _describe(words: int):
                 key = _key(s)
                 sizes.append(len(s))
                 keys.append(key)
-                sketches.append(odd_sketch(s))
+                sketches.append(odd_sketch(s, pct))
                 if key not in seen:
                     seen.add(key)
                     pending.append(s)
@@ -220,9 +220,11 @@ def _short_lists(words: int, pct: int, frequent: np.ndarray, rank: np.ndarray):
     return run
 
 
-def odd_sketch(s: np.ndarray) -> bytes:
-    """One bit a hash class: whether the set has an odd number of elements there."""
-    bits = min(max(SKETCH_BITS[0], 1 << max(0, (len(s) - 1) // 2).bit_length()), SKETCH_BITS[1])
+def odd_sketch(s: np.ndarray, pct: int = 90) -> bytes:
+    """One bit a hash class: whether the set has an odd number of elements
+    there. Wider where links may differ in more elements: half a bit an element
+    or more at 90 percent, two or more at 80."""
+    bits = min(max(SKETCH_BITS[0], 1 << (max(0, len(s) - 1) * (100 - pct)**2 // 200).bit_length()), SKETCH_BITS[1])
     odd = np.bincount((s.view(np.uint64) >> np.uint64(24)).astype(np.int64) & (bits - 1), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -514,7 +516,7 @@ def _joined(docs: DataFrame, doc_id: str, text: str, words: int, pct: int) -> Da
     src = docs.select(F.col(doc_id).alias("_id"), F.xxhash64(utf8(text)).alias("text_hash"), utf8(text).alias("_utf8"))
     spark = docs.sparkSession
     with batch_rows(spark, 1000):
-        described = staged(src.mapInArrow(_describe(words), src.select("_id").schema.add("text_hash", "long").add("n", "long").add("key", "long")
+        described = staged(src.mapInArrow(_describe(words, pct), src.select("_id").schema.add("text_hash", "long").add("n", "long").add("key", "long")
                                           .add("frequent", "boolean").add("sketch", "binary")), "sets")
     rows = described.where(~F.col("frequent")).select("_id", "text_hash", F.col("n").alias("n_shingles"), F.col("key").alias("node"))
     top = (described.where("frequent").groupBy("key").agg(F.sum("n").alias("n"))

@@ -195,7 +195,7 @@ def test_sketches_never_exclude_a_link():
         y = set(rnd.sample(sorted(x), max(1, int(n * rnd.uniform(.8, 1))))) | {rnd.getrandbits(63) for _ in range(rnd.randrange(1 + n // 8))}
         sets = [np.array(sorted(s), np.int64) for s in (x, y)]
         m = ngram_join._Members(np.arange(2), np.array([len(x), len(y)]), np.arange(2), np.zeros(2, int),
-                                [ngram_join.odd_sketch(s) for s in sets], 80)
+                                [ngram_join.odd_sketch(s, 80) for s in sets], 80)
         ok, d = m.left(np.array([0]), np.array([1]))
         if 100 * len(x & y) >= 80 * len(x | y):
             assert ok[0] and d[0] <= len(x ^ y)
