@@ -190,3 +190,22 @@ def sweep(df: DataFrame, pairs: DataFrame, running: str = "points_score", outcom
     return met.select("cutoff", "bandwidth", n_below.alias("n_below"), n_above.alias("n_above"), below.alias("below_mean"),
                       above.alias("above_mean"), (above - below).alias("estimate"), sum_below.alias("sum_below"),
                       sum_above.alias("sum_above"))
+
+
+def band_table_summary(df: DataFrame, bands: DataFrame, running: str = "points_score", outcome: str = "annual_spend",
+                       num_partitions: int | None = None) -> DataFrame:
+    """Q26 for a table of half-open bands ``(lo, hi, ...)`` of any length, which
+    may overlap: ``n`` (rows with an outcome), ``total`` and ``avg`` beside the
+    columns of ``bands``, from one pass over ``df``; bands without rows have a count of
+    zero. Bands whose ends are null or NaN, or ``lo >= hi``, are left out."""
+    lo, hi = F.col("lo").cast("double"), F.col("hi").cast("double")
+    bands = bands.where((lo < hi) & ~F.isnan(lo) & ~F.isnan(hi))
+    at = checkpointed(prefix_moments(df, bands.select(F.explode(F.array(lo, hi)).alias("x")), running, outcome, num_partitions))
+
+    def end(name: str) -> DataFrame:
+        return at.select(F.col("x").alias(f"_{name}"), F.struct("ny", "sy").alias(f"_at_{name}"))
+
+    met = bands.withColumns({"_lo": lo, "_hi": hi}).join(end("lo"), "_lo").join(end("hi"), "_hi")
+    n = F.col("_at_hi.ny") - F.col("_at_lo.ny")
+    total = (F.col("_at_hi.sy") - F.col("_at_lo.sy")).cast("double")
+    return met.select(*bands.columns, n.alias("n"), total.alias("total"), F.try_divide(total, n).alias("avg"))

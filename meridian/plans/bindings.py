@@ -194,6 +194,16 @@ def rdd_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("c_acctbal") >= 5000, F.lit("Gold")).otherwise(F.lit("Silver")).alias("status"))
 
 
+def orders_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order as text, as a file without types has it: each 97th price
+    can't be read, each 89th day isn't in the calendar."""
+    k = F.col("o_orderkey")
+    text = [F.col(c).cast("string").alias(c) for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")]
+    return _t(spark, sf_dir, "orders").select(
+        *text, F.when(k % 97 == 0, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"),
+        F.when(k % 89 == 0, F.lit("1997-02-30")).otherwise(F.to_date("o_orderdate").cast("string")).alias("o_orderdate"))
+
+
 # --------------------------------------------------------------------------- CAC (B8, B9)
 GUEST_SEGMENTS = ("BUILDING", "AUTOMOBILE")
 

@@ -11,8 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meridian.functions.common import round_doubles
+from meridian.functions.intervals import match_bands
 from meridian.operators import cac, cohort, cuped, identity, rdd, segmentation, switchback
 from meridian.plans import bindings as B
+from meridian.sources import infer
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -76,6 +78,47 @@ def q_rdd_sweep(spark, sf_dir):
     return rdd.sweep(cents, grid).select("cutoff", "bandwidth", "n_below", "n_above", "sum_below", "sum_above")
 
 
+def _band_table(spark):
+    """Ten thousand overlapping bands over the whole running variable."""
+    return spark.range(10_000).selectExpr("id as band_id", "cast(id * 11 div 10 - 1000 as double) as lo",
+                                          "cast(id * 11 div 10 - 1000 + shiftleft(1, cast(id % 5 as int)) as double) as hi")
+
+
+@query("rdd_band_rows")
+def q_rdd_band_rows(spark, sf_dir):
+    """Every customer with each of the bands that hold it."""
+    return match_bands(B.rdd_customers(spark, sf_dir).select("customer_id", "points_score"), _band_table(spark), "points_score")
+
+
+@query("rdd_band_table")
+def q_rdd_band_table(spark, sf_dir):
+    cents = B.rdd_customers(spark, sf_dir).withColumn("annual_spend", F.round("annual_spend", 2))
+    return rdd.band_table_summary(cents, _band_table(spark)).select("band_id", "lo", "hi", "n", "total")
+
+
+# --------------------------------------------------------------------------- types found in text (S1, S2)
+REJECT_SHARE = 0.05
+
+
+@query("text_types")
+def q_text_types(spark, sf_dir):
+    """What each column of the orders holds when read as text, the type it gets
+    and how many cells don't fit that."""
+    raw = B.orders_text(spark, sf_dir)
+    profile = infer.column_profile(raw).withColumn("type", infer.chosen(REJECT_SHARE))
+    typed = infer.typed_with_rejects(raw, infer.choose_types(profile, REJECT_SHARE))
+    return (profile.join(infer.reject_counts(typed), "column", "left")
+            .withColumn("n_rejected", F.coalesce("n_rejected", F.lit(0).cast("long"))))
+
+
+@query("text_rejects")
+def q_text_rejects(spark, sf_dir):
+    """The orders with a cell that doesn't fit, and the columns in question."""
+    raw = B.orders_text(spark, sf_dir)
+    typed = infer.typed_with_rejects(raw, infer.choose_types(infer.column_profile(raw), REJECT_SHARE))
+    return typed.rejects.select("o_orderkey", F.array_join("_rejected", ";").alias("rejected"))
+
+
 # --------------------------------------------------------------------------- CAC (B8, B9)
 @query("nominal_cac")
 def q_nominal_cac(spark, sf_dir):
