@@ -14,6 +14,11 @@ that is already star-shaped needs no round at all. Labels are the
 minimum node id of the component, which is what the identity operators need
 (string ids compare in binary order).
 
+With ``contract``, every task first replaces the edges it holds, in runs of a
+bounded number, by stars around the smallest node of their local components
+(numpy on Arrow batches): the same components from fewer edges, with what was a
+path within a task gone before the first shuffle, and again in each round.
+
 Each round's edge set is checkpointed to the reliable checkpoint directory,
 which cuts the lineage and survives executor loss. Joins on a node id go
 through ``hot_split_join`` so a hub with a huge degree is joined map-side.
@@ -21,12 +26,67 @@ through ``hot_split_join`` so a hub with a huge degree is joined map-side.
 
 from __future__ import annotations
 
+import sys
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meridian.functions.joins import DEFAULT_HOT_ROWS, hot_split_join
 from meridian.session import checkpointed
 
+LOCAL_EDGES = 1_000_000        # edges that a task contracts at once
+
+
+def local_roots(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(nodes, roots)`` of the edges a-b: the distinct nodes, each with the
+    smallest of its component. Roots with a smaller neighbour hook on to the
+    least one, then all paths are halved until they are stars."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    at = at.reshape(2, -1)
+    root = np.arange(len(nodes))
+    while True:
+        ends = root[at]
+        low, high = ends.min(0), ends.max(0)
+        apart = low != high
+        if not apart.any():
+            return nodes, nodes[root]
+        at, low, high = at[:, apart], low[apart], high[apart]
+        np.minimum.at(root, high, low)
+        while (root[root] != root).any():
+            root = root[root]
+
+
+def _contract(batches):
+    held, n = [], 0
+
+    def stars():
+        t = pa.Table.from_batches(held)
+        nodes, roots = local_roots(t.column("a").to_numpy(), t.column("b").to_numpy())
+        other = nodes != roots
+        kind = t.schema.field("a").type
+        return pa.RecordBatch.from_arrays([pa.array(nodes[other], kind), pa.array(roots[other], kind)], names=["a", "b"])
+
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= LOCAL_EDGES:
+            yield stars()
+            held, n = [], 0
+    if n:
+        yield stars()
+
+
+def contracted(edges: DataFrame) -> DataFrame:
+    """``edges(a, b)`` with each task's edges replaced by stars around the
+    smallest nodes; the components stay the same. Null ends and loops go."""
+    pairs = edges.where(F.col("a") != F.col("b")).select("a", "b")
+    if not isinstance(pairs.schema["a"].dataType, (T.LongType, T.IntegerType, T.StringType)):
+        raise TypeError(f"nodes of type {pairs.schema['a'].dataType.simpleString()}")
+    return pairs.mapInArrow(_contract, pairs.schema)
 
 
 def _orient(edges: DataFrame) -> DataFrame:
@@ -48,7 +108,7 @@ def _large_star(e: DataFrame, hot_rows: int, n_edges: int) -> DataFrame:
     return _orient(out.select(F.col("v").alias("a"), F.col("m").alias("b")))
 
 
-def _small_star(e: DataFrame, hot_rows: int, n_edges: int) -> DataFrame:
+def _small_star(e: DataFrame, hot_rows: int, n_edges: int, contract: bool = False) -> DataFrame:
     # u = child, v = smaller neighbour; m(u) = smallest neighbour of u
     mins = e.groupBy(F.col("child").alias("u")).agg(F.min("parent").alias("m"))
     j = hot_split_join(e.select(F.col("child").alias("u"), F.col("parent").alias("v")),
@@ -56,7 +116,7 @@ def _small_star(e: DataFrame, hot_rows: int, n_edges: int) -> DataFrame:
     # all of N(u) and u itself are re-pointed to m(u)
     moved = j.select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(
         j.select(F.col("u").alias("a"), F.col("m").alias("b")))
-    return _orient(moved)
+    return _orient(contracted(moved) if contract else moved)
 
 
 def _star_check(e: DataFrame) -> tuple[bool, int]:
@@ -75,10 +135,11 @@ def _star_check(e: DataFrame) -> tuple[bool, int]:
 
 
 def star_edges_to_labels(edges: DataFrame, max_rounds: int | None = None,
-                         hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                         hot_rows: int = DEFAULT_HOT_ROWS, contract: bool = False) -> DataFrame:
     """Converge ``edges(a, b)`` to stars; returns ``(node, root)`` for every
-    node that appears in an edge (isolated nodes are their own root)."""
-    e = checkpointed(_orient(edges))
+    node that appears in an edge (isolated nodes are their own root).
+    ``contract``: nodes (integers or strings) are merged within tasks first."""
+    e = checkpointed(_orient(contracted(edges) if contract else edges))
     rounds = 0
     done, n = _star_check(e)
     while not done:
@@ -86,7 +147,7 @@ def star_edges_to_labels(edges: DataFrame, max_rounds: int | None = None,
             raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
         # large-star output has at most 2n edges; both steps run as one plan
         # (the shared large-star exchange is reused) and one checkpoint
-        e = checkpointed(_small_star(_large_star(e, hot_rows, n), hot_rows, 2 * n))
+        e = checkpointed(_small_star(_large_star(e, hot_rows, n), hot_rows, 2 * n, contract))
         rounds += 1
         done, n = _star_check(e)
     roots = e.select(F.col("parent").alias("node")).distinct()
@@ -95,10 +156,15 @@ def star_edges_to_labels(edges: DataFrame, max_rounds: int | None = None,
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node",
-                         max_rounds: int | None = None, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                         max_rounds: int | None = None, hot_rows: int = DEFAULT_HOT_ROWS,
+                         contract: bool = False) -> DataFrame:
     """``(node, root)`` for every row of ``nodes``: root = smallest node id
     reachable from it (itself when it has no edge)."""
-    labels = star_edges_to_labels(edges, max_rounds, hot_rows)
+    labels = star_edges_to_labels(edges, max_rounds, hot_rows, contract)
     n = nodes.select(F.col(node).alias("node")).distinct()
     return (n.join(labels, "node", "left")
             .select(F.col("node").alias(node), F.coalesce("root", "node").alias("root")))
+
+
+# executors need no installed copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

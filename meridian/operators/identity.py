@@ -231,7 +231,7 @@ def components(records: DataFrame, edges: DataFrame | None = None,
                  .select(F.col("_a").alias("record_id_a"), F.col("_b").alias("record_id_b")))
     cc = connected_components(rank.select(F.col("_node").alias("node")),
                               pairs.select(F.col("record_id_a").alias("a"), F.col("record_id_b").alias("b")),
-                              hot_rows=hot_rows)
+                              hot_rows=hot_rows, contract=True)
     own = rank.select(F.col("_node").alias("node"), "record_id")
     roots = rank.select(F.col("_node").alias("root"), F.col("record_id").alias("component_root"))
     # few records share most roots, but one root may be that of a third of all

@@ -1,3 +1,6 @@
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from meridian.operators.graph import connected_components
@@ -93,3 +96,57 @@ def test_million_record_hot_key_no_pair_blowup(spark):
     roots = comp.groupBy("component_root").count()
     assert roots.where(F.col("component_root") == "R0000000").collect()[0]["count"] == n // 3 + 1
     assert roots.count() == n - e.count()
+
+
+# --------------------------------------------------------------------------- contraction within tasks
+def _rounds(monkeypatch, run):
+    """What ``run`` returns, and how many edge tables were checkpointed for it."""
+    from meridian.operators import graph
+    seen, real = [], graph.checkpointed
+    monkeypatch.setattr(graph, "checkpointed", lambda df: seen.append(1) or real(df))
+    return run(), len(seen)
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_contraction_gives_the_same_roots(spark, kind):
+    r = random.Random(11)
+    edges = [(r.randint(0, 400), r.randint(0, 400)) for _ in range(300)] + [(7, 7)] * 3 + [(400, 0)] * 200
+    e = spark.createDataFrame([*edges, (None, 5), (5, None)], "a long, b long")
+    n = spark.range(401).select(F.col("id").alias("node"))
+    if kind == "string":
+        e, n = e.select(*[F.format_string("é%03d", c).alias(c) if c else c for c in ("a", "b")]).where("a <> 'énull' and b <> 'énull'"), \
+            n.select(F.format_string("é%03d", "node").alias("node"))
+    plain = {x.node: x.root for x in connected_components(n, e).collect()}
+    got = {x.node: x.root for x in connected_components(n, e.repartition(5), contract=True).collect()}
+    assert got == plain and len(got) == 401
+
+
+def test_local_roots_of_odd_shapes():
+    import numpy as np
+
+    from meridian.operators.graph import local_roots
+    chain = np.random.default_rng(1).permutation(5_000)
+    nodes, roots = local_roots(chain[:-1], chain[1:])
+    assert len(nodes) == 5_000 and (roots == 0).all()
+    nodes, roots = local_roots(np.full(999, 999), np.arange(999))
+    assert (roots == 0).all()
+    nodes, roots = local_roots(np.zeros(0, np.int64), np.zeros(0, np.int64))
+    assert len(nodes) == len(roots) == 0
+
+
+def test_contraction_of_a_chain_takes_half_the_rounds(spark, monkeypatch):
+    n = 600
+    e = spark.range(n - 1).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).repartition(8, "a")
+    nodes = spark.range(n).select(F.col("id").alias("node"))
+    plain, many = _rounds(monkeypatch, lambda: connected_components(nodes, e))
+    got, few = _rounds(monkeypatch, lambda: connected_components(nodes, e, contract=True))
+    assert got.where("root <> 0").isEmpty() and got.count() == n
+    assert 2 * few <= many, (few, many)
+
+
+def test_contraction_in_bounded_runs(spark, monkeypatch):
+    from meridian.operators import graph
+    monkeypatch.setattr(graph, "LOCAL_EDGES", 3)
+    e = spark.createDataFrame([(i, i + 1) for i in range(50)], "a long, b long")
+    assert graph.star_edges_to_labels(e, contract=True).where("root <> 0").isEmpty()
+    assert graph.star_edges_to_labels(e.limit(0), contract=True).isEmpty()
