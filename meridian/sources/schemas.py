@@ -1,7 +1,7 @@
 """Explicit schemas for the CSV inputs the operators were designed around.
 
-Schemas are DDL strings accepted by ``DataFrameReader.schema``. Schema
-inference is never used: it turns phone numbers and numeric customer
+Schemas are DDL strings accepted by ``DataFrameReader.schema``. The reader's
+own inference is never used (``infer.py`` has one that keeps codes as text): it turns phone numbers and numeric customer
 ids into ``bigint`` and loses the leading ``+`` / ``0``.
 """
 
