@@ -266,3 +266,19 @@ def test_bucketed_tables_join_without_shuffle(spark, resolved):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         for n in names:
             spark.sql(f"DROP TABLE IF EXISTS {n}")
+
+
+def test_single_value_records_stay_out_of_the_graph(spark, monkeypatch):
+    # 3,000 tills of one value each; two records tie a phone to an e-mail, one id comes twice
+    rows = [(f"P{i:05d}", None, f"p{i % 30}", None) for i in range(3_000)]
+    rows += [("Q1", "e1", "p1", None), ("Q2", "e1", "p2", None), ("Q3", None, "p7", None), ("Q3", None, None, "L7"),
+             ("Q4", None, None, "L7"), ("Q5", None, None, None), (None, "e1", "p9", None)]
+    rec = spark.createDataFrame([(r, "pos", e, p, l) for r, e, p, l in rows],
+                                "record_id string, source_system string, email_norm string, "
+                                "phone_norm string, loyalty_id_norm string")
+    seen, real = [], idn.connected_components
+    monkeypatch.setattr(idn, "connected_components", lambda n, e, **k: seen.append(n.count()) or real(n, e, **k))
+    got = {r.record_id: r.component_root for r in idn.components(rec).collect()}
+    assert seen == [5]          # e1, p1, p2; p7, L7
+    assert got == _union_find([r for r in rows if r[0]])
+    assert got["P00002"] == "P00001" and got["Q4"] == "P00007" and got["Q5"] == "Q5"
