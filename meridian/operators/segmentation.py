@@ -9,11 +9,16 @@ to choose how many clusters to look for.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from decimal import Context, Decimal
 from itertools import accumulate
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -125,6 +130,7 @@ def kmeans_segments(df: DataFrame, features: Sequence[str] = ("annual_spend", "p
 # --------------------------------------------------------------------------- exact k-means (M2), choice of k (M4)
 START_BINS = 1000
 EXACT = "decimal(24,6)"        # features are summed in it, so sums don't depend on the order of rows
+EXACTLY = Context(prec=60)
 
 
 @dataclass
@@ -156,9 +162,67 @@ def _nearest(features: Sequence[str], centres: Sequence[Sequence[float]], scale:
     return F.array_min(F.transform(known, distance))
 
 
+PARTS = ("high", "low", "rest")     # of a feature in EXACT: its whole part in units of 2^32, below that, and millionths
+
+
+def _packed(feature: str, i: int) -> list[Column]:
+    """A feature as it is compared, a double, and as it is summed, in three
+    longs, so that a round adds integers and not decimals."""
+    exact = F.col(feature).cast(EXACT)
+    whole = F.floor(exact).cast("long")
+    rest = ((exact - F.floor(exact)) * 1_000_000).cast("long")
+    return [F.col(feature).cast("double").alias(f"v{i}"), F.shiftright(whole, 32).alias(f"x{i}_high"),
+            whole.bitwiseAND(F.lit((1 << 32) - 1)).alias(f"x{i}_low"), rest.alias(f"x{i}_rest")]
+
+
+def _unpacked(high: Decimal, low: Decimal, rest: Decimal) -> Decimal:
+    """The sum of a feature from those of its parts."""
+    return EXACTLY.scaleb(Decimal((int(high) << 32) + int(low)) * 1_000_000 + Decimal(int(rest)), -6)
+
+
+def _cluster_sums(centres: dict[int, list[tuple[float, ...]]], scale: list[float]):
+    """Counts and sums of each cluster of each k over a task's rows: the
+    arithmetic of ``_nearest`` on arrays."""
+    def run(batches):
+        total: dict[tuple[int, int], list[int]] = {}
+        d = len(scale)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1 << 20):      # sums of parts of fewer than 2^21 rows are exact in doubles
+                part = batch.slice(at, 1 << 20)
+                v = [part.column(f"v{i}").to_numpy() for i in range(d)]
+                sums = [part.column(f"x{i}_{p}").to_numpy().astype(np.float64) for i in range(d) for p in PARTS]
+                known: dict[tuple[float, ...], np.ndarray] = {}
+                for k, own in centres.items():
+                    best = np.zeros(part.num_rows, np.int64)
+                    least = None
+                    for c, centre in enumerate(own):
+                        far = known.get(centre)
+                        if far is None:
+                            for i in range(d):
+                                step = (v[i] - centre[i]) / scale[i]
+                                far = step * step if i == 0 else far + step * step
+                            known[centre] = far
+                        if least is None:
+                            least = far.copy()
+                        else:
+                            best[far < least] = c
+                            np.minimum(least, far, out=least)
+                    n = np.bincount(best, minlength=len(own))
+                    per = [np.bincount(best, w, len(own)) for w in sums]
+                    for c in np.flatnonzero(n).tolist():
+                        held = total.setdefault((k, c), [0] * (1 + len(sums)))
+                        for j, x in enumerate([n, *per]):
+                            held[j] += int(x[c])
+        names = ["k", "c", "n", *(f"x{i}_{p}" for i in range(d) for p in PARTS)]
+        cols = list(zip(*[(k, c, *held) for (k, c), held in total.items()])) or [()] * len(names)
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int32() if j < 2 else pa.int64()) for j, x in enumerate(cols)], names=names)
+    return run
+
+
 def fit_kmeans(rows: DataFrame, features: Sequence[str], ks: Sequence[int], order_by: str) -> dict[int, Clusters]:
     """Lloyd's rounds for every k at once, each one aggregate of ``rows``
-    (which have all features), until no centre moves.
+    (which have all features), until no centre moves. A task adds up its rows
+    on arrays; the rows are written once, as numbers ready to be added.
 
     The start is fixed by the data: ``order_by`` is cut into ``START_BINS`` bins
     of one width, whose counts cut it into k cells of about equal size, and a
@@ -191,15 +255,16 @@ def fit_kmeans(rows: DataFrame, features: Sequence[str], ks: Sequence[int], orde
     done: dict[int, Clusters] = {}
     seen: dict[int, dict] = {}
     rounds = 0
+    packed = checkpointed(rows.select(*[x for i, f in enumerate(features) for x in _packed(f, i)]))
+    parts = [f"x{i}_{p}" for i in range(len(features)) for p in PARTS]
+    schema = f"k int, c int, n long, {', '.join(f'{p} long' for p in parts)}"
     while len(done) < len(now):
         rounds += 1
         open_ks = [k for k in now if k not in done]
-        each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), _nearest(features, now[k], scale).c.alias("c"))
-                                   for k in open_ks]))
         got: dict[int, dict] = {k: {} for k in open_ks}
-        for r in rows.select(*features, each.alias("to")).groupBy("to.k", "to.c").agg(
-                F.count(F.lit(1)).alias("n"), *sums).collect():
-            got[r["k"]][r["c"]] = r
+        each = packed.mapInArrow(_cluster_sums({k: now[k] for k in open_ks}, scale), schema)
+        for r in each.groupBy("k", "c").agg(F.sum("n").alias("n"), *[F.sum(F.col(p).cast("decimal(20,0)")).alias(p) for p in parts]).collect():
+            got[r["k"]][r["c"]] = {"n": r["n"], **{f"x{i}": _unpacked(*[r[f"x{i}_{p}"] for p in PARTS]) for i in range(len(features))}}
         for k in open_ks:
             state = {c: tuple(r[f] for f in ("n", *(f"x{i}" for i in range(len(features))))) for c, r in got[k].items()}
             now[k] = [centre([got[k][c]]) if c in got[k] else old for c, old in enumerate(now[k])]
@@ -282,3 +347,7 @@ def cluster_counts(df: DataFrame, features: Sequence[str] = ("annual_spend", "pu
         bend = got[f"i{k - 1}"] - 2 * got[f"i{k}"] + got[f"i{k + 1}"] if k - 1 in fits and k + 1 in fits else None
         out.append((k, got[f"i{k}"], got[f"s{k}"], bend))
     return df.sparkSession.createDataFrame(out, schema)
+
+
+# executors need no installed copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -130,3 +130,27 @@ def test_kmeans_of_few_equal_and_no_rows(spark):
     none = spark.createDataFrame([], schema)
     assert seg.exact_kmeans_segments(none).count() == 0 and seg.cluster_counts(none).count() == 0
     assert [r.silhouette for r in seg.cluster_counts(one, ks=(2, 3)).collect()] == [0.0, 0.0]
+
+
+def test_a_round_adds_numbers_written_once(spark):
+    """Sums of a task's rows on arrays equal those in SQL, the rows' decimals
+    are made once and not in every round."""
+    from pyspark.sql import functions as F
+    pts = [(-1e12 + 0.123456, 3.0), (7.0000005, 3.0), (-0.0000004, 8.5), (2.5e11, -4.25)] + random_points(3, 200)
+    f = ["annual_spend", "purchase_frequency"]
+    df = spark.createDataFrame(pts, f"{f[0]} double, {f[1]} double").repartition(3)
+    centres, scale = {2: [(0.0, 1.0), (5.0, 9.0)], 3: [(0.0, 1.0), (0.0, 1.0), (1e11, 2.0)]}, [1.5, 0.25]
+    packed = df.select(*[x for i, c in enumerate(f) for x in seg._packed(c, i)])
+    parts = [f"x{i}_{p}" for i in range(2) for p in seg.PARTS]
+    got = {}
+    for r in packed.mapInArrow(seg._cluster_sums(centres, scale), f"k int, c int, n long, {', '.join(f'{p} long' for p in parts)}").collect():
+        got.setdefault((r.k, r.c), []).append(r)
+    for k, own in centres.items():
+        want = df.groupBy(seg._nearest(f, own, scale).c.alias("c")).agg(
+            F.count(F.lit(1)).alias("n"), *[F.sum(F.col(c).cast(seg.EXACT)).alias(f"x{i}") for i, c in enumerate(f)]).collect()
+        assert {c for kk, c in got if kk == k} == {r.c for r in want}
+        for r in want:
+            rows = got[k, r.c]
+            assert sum(x.n for x in rows) == r.n
+            for i in range(2):
+                assert seg._unpacked(*[sum(x[f"x{i}_{p}"] for x in rows) for p in seg.PARTS]) == r[f"x{i}"]
