@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 
 from meridian.llm.common import ship, utf8
 
-BLOCK_BYTES = 32 << 20   # text bytes of a block
+BLOCK_BYTES = 8 << 20    # text bytes of a block
 CHUNK_WORDS = 1 << 18    # words whose ids are put together at once
 
 # The code points of Unicode's White_Space property
@@ -195,15 +195,19 @@ def _encode_words(tokenizer_json: str):
 def _join_back(tokenizer_json: str, id_type: pa.DataType, decode: bool):
     names = ["_id", "ids"] + ["decoded"] * decode
     types = [id_type, pa.binary()] + [pa.string()] * decode
+    table: list[list[bytes]] = []   # read once a task
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        pieces = id_to_piece(tokenizer_json) if decode else []
+        if not table:
+            table.append(id_to_piece(tokenizer_json) if decode else [])
+        pieces = table[0]
         # a repeated block repeats its rows
         rows = sorted({(r["steps"], r["sizes"], r["ids"]) for r in right.select(["steps", "sizes", "ids"]).to_pylist()})
         join = lambda parts, kind: np.concatenate(parts).astype(kind) if parts else np.zeros(0, kind)
         number = join([np.cumsum(_unpack(r[0]), dtype=np.int64) for r in rows], np.int64)
         size = join([_unpack(r[1]) for r in rows], np.int64)
         pool = join([_unpack(r[2]) for r in rows], np.uint32)
+        del rows, right
         order = np.argsort(number)
         if not np.array_equal(number[order], np.arange(len(order))):
             raise RuntimeError("a block's words and their ids do not match")

@@ -463,3 +463,23 @@ def test_token_file_of_no_rows_and_damage(spark, make_docs, tmp_path):
     bad.write.parquet(str(tmp_path / "b"))
     with pytest.raises(Exception, match="damaged"):
         token_file.read_index(spark, str(tmp_path / "b")).count()
+
+
+def test_bpe_blocks_are_small_and_the_pieces_read_once(monkeypatch):
+    import public_tokenizers
+
+    from meridian.llm import bpe
+    import numpy as np
+    import pyarrow as pa
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        spec = f.read()
+    assert bpe.BLOCK_BYTES <= 8 << 20
+    reads, real = [], bpe.id_to_piece
+    monkeypatch.setattr(bpe, "id_to_piece", lambda s: reads.append(1) or real(s))
+    join = bpe._join_back(spec, pa.int64(), True)
+    a = next(i for i, p in enumerate(real(spec)) if p == b"a")
+    for _ in range(3):
+        left = pa.table({"ids": [[1]], "words": [[2]], "numbers": [bpe._pack(np.array([0, 0]))]})
+        right = pa.table({"steps": [bpe._pack(np.array([0]))], "sizes": [bpe._pack(np.array([1]))], "ids": [bpe._pack(np.array([a]))]})
+        assert join(left, right).column("decoded").to_pylist() == ["aa"]
+    assert len(reads) == 1
