@@ -53,6 +53,7 @@ START = "^"             # stands before every word
 THRESHOLD = 0.7
 CACHE_WORDS = 200_000   # words whose similarities a task keeps
 CHUNK_WORDS = 1 << 16
+MAX_PLACES = 1 << 22    # of a table of three characters each; beyond it they are searched
 
 _EDGES = " .,;:!?\"'()[]{}<>|#*%$&-_/\\«»“”‘’…¡¿"
 _SPACED = re.compile(r"(?<!\w)\w(?:[\s.\-_*]{1,2}\w){2,}(?!\w)")
@@ -97,6 +98,18 @@ class Landmarks:
         order = np.argsort(keys)
         self.keys = keys[order]
         self.weights = np.array(list(weight.values()), np.float32).reshape(-1, len(words))[order]
+        # the characters' numbers from 1, 0 for others, and the place of each three, -1 for none
+        letters = np.unique([self.keys >> 42, self.keys >> 21 & 0x1FFFFF, self.keys & 0x1FFFFF])
+        self.letter = np.zeros(int(letters.max(initial=0)) + 2, np.int32)     # the last: of all characters beyond
+        self.letter[letters] = np.arange(1, len(letters) + 1)
+        self.base = len(letters) + 1
+        self.place = np.zeros(0, np.int32)
+        if self.base ** 3 <= MAX_PLACES:
+            self.place = np.full(self.base ** 3, -1, np.int32)
+            self.place[self._number(self.keys >> 42, self.keys >> 21 & 0x1FFFFF, self.keys & 0x1FFFFF)] = np.arange(len(self.keys))
+
+    def _number(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+        return (self.letter[a] * self.base + self.letter[b]) * self.base + self.letter[c]
 
     def similarities(self, words: list[str]) -> np.ndarray:
         """Normalised kernel values, one row per word and one column per landmark."""
@@ -112,18 +125,23 @@ class Landmarks:
             for at in range(0, len(rows), step):
                 part = rows[at:at + step]
                 text = "".join(START + words[n] for n in part)
-                code = np.frombuffer(text.encode("utf-32-le"), np.int32).reshape(-1, length).astype(np.int64)
+                code = np.frombuffer(text.encode("utf-32-le"), np.int32).reshape(-1, length)
                 got = np.zeros((len(part), len(self.words)), np.float32)
-                known = np.isin(code, np.unique([self.keys >> 42, self.keys >> 21 & 0x1FFFFF, self.keys & 0x1FFFFF]))
+                letter = np.ascontiguousarray(self.letter[np.minimum(code, len(self.letter) - 1)].T)
                 for i, j, k, w in _spans(length):
-                    here = np.flatnonzero(known[:, i] & known[:, j] & known[:, k])
-                    if not len(here):
-                        continue
-                    c = code[here]
-                    key = (c[:, i] << 42) | (c[:, j] << 21) | c[:, k]
-                    place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-                    hit = self.keys[place] == key
-                    got[here[hit]] += np.float32(w) / norm * self.weights[place[hit]]
+                    if len(self.place):
+                        place = self.place[(letter[i] * self.base + letter[j]) * self.base + letter[k]]
+                        here = np.flatnonzero(place >= 0)
+                        place = place[here]
+                    else:
+                        here = np.flatnonzero((letter[i] > 0) & (letter[j] > 0) & (letter[k] > 0))
+                        c = code[here].astype(np.int64)
+                        key = (c[:, i] << 42) | (c[:, j] << 21) | c[:, k]
+                        place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                        hit = self.keys[place] == key
+                        here, place = here[hit], place[hit]
+                    if len(here):
+                        got[here] += np.float32(w) / norm * self.weights[place]
                 out[part] = got ** POWER
         return out
 
@@ -174,24 +192,36 @@ def worst_sentences(values: np.ndarray, doc_of: np.ndarray, docs: int, floor: fl
     return out
 
 
-class _Features:
-    """The similarities of words, each word once."""
+class _Numbers(dict):
+    """Numbers of raw words; two that stand for one word have its number."""
 
-    def __init__(self, marks: Landmarks):
-        self.marks, self.number, self.new = marks, {}, []
-        self.table = np.zeros((0, len(marks.words)), np.float32)
+    def __init__(self):
+        super().__init__()
+        self.row: dict[str, int] = {}
+        self.new: list[str] = []
 
-    def put(self, raw: str) -> int:
-        k = self.number.get(raw)
+    def __missing__(self, raw: str) -> int:
+        word = word_of(raw)
+        k = self.row.get(word)
         if k is None:
-            k = self.number[raw] = len(self.number)
-            self.new.append(word_of(raw))
+            k = self.row[word] = len(self.row)
+            self.new.append(word)
+        self[raw] = k
         return k
 
+
+class _Features:
+    """The similarities of words, each word once, however it is written."""
+
+    def __init__(self, marks: Landmarks):
+        self.marks, self.number = marks, _Numbers()
+        self.table = np.zeros((0, len(marks.words)), np.float32)
+
     def update(self) -> None:
-        if self.new:
-            self.table = np.concatenate([self.table, self.marks.similarities(self.new)])
-            self.new = []
+        if self.number.new:
+            got = self.marks.similarities(self.number.new)
+            self.table = np.concatenate([self.table, got]) if len(self.table) else got
+            self.number.new = []
 
     def of_groups(self, words: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """The greatest similarities among the words of each group (a sentence
@@ -223,7 +253,7 @@ def _choose(docs: list[set[str]], toxic: np.ndarray) -> list[str]:
     if not ranked:
         return plain
     feats = _Features(Landmarks(ranked))
-    words = np.array([feats.put(w) for d in docs for w in (d or {""})])
+    words = np.array([feats.number[w] for d in docs for w in (d or {""})])
     feats.update()
     x = feats.of_groups(words, np.array([max(1, len(d)) for d in docs]))
     # how far the classes lie apart, for each candidate
@@ -241,7 +271,8 @@ def _choose(docs: list[set[str]], toxic: np.ndarray) -> list[str]:
 def _svm(x: np.ndarray, y: np.ndarray, ridge: float = 1e-4, rounds: int = 150) -> tuple[np.ndarray, float]:
     """Linear SVM with squared hinge loss, both classes with equal weight, by
     accelerated gradient steps."""
-    z = np.hstack([x, np.ones((len(x), 1))]).astype(np.float64)
+    z = np.hstack([x, np.ones((len(x), 1))]).astype(np.float64, copy=False)
+    del x
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
     reach = 2 * float(np.linalg.eigvalsh((z * weight[:, None]).T @ z)[-1]) + ridge
     w = v = np.zeros(z.shape[1])
@@ -275,15 +306,18 @@ def fit_texts(texts: list[str], toxic: np.ndarray) -> Model | None:
     toxic = np.asarray(toxic, bool)
     if not toxic.any() or toxic.all():
         return None
-    docs = [tokens(t) for t in texts]
-    chosen = _choose([{word_of(raw) for s in d for raw in s} for d in docs], toxic)
+    held: dict[str, str] = {}       # each raw word once
+    docs = [[[held.setdefault(raw, raw) for raw in s] for s in tokens(t)] for t in texts]
+    word = {raw: word_of(raw) for raw in held}
+    chosen = _choose([{word[raw] for s in d for raw in s} for d in docs], toxic)
+    del held, word
     if not chosen:
         return None
     marks = Landmarks(chosen)
     feats = _Features(marks)
     doc_of = np.array([d for d, doc in enumerate(docs) for _ in doc])
     lengths = np.array([len(s) for doc in docs for s in doc])
-    words = np.array([feats.put(raw) for doc in docs for s in doc for raw in s])
+    words = np.array([feats.number[raw] for doc in docs for s in doc for raw in s])
     feats.update()
     sims = feats.of_groups(words, lengths)
     own = marks.similarities(chosen).astype(np.float64)
@@ -292,6 +326,7 @@ def fit_texts(texts: list[str], toxic: np.ndarray) -> Model | None:
     whiten = vectors[:, good] / np.sqrt(values[good])
     x = sims @ whiten
     level = sims[:, :max(1, len(chosen) - PLAIN)].max(axis=1)
+    del sims, feats, words
     negative = ~toxic[doc_of]
     weights, bias = np.zeros(x.shape[1]), 0.0
     for _ in range(4):
@@ -356,7 +391,7 @@ def _score_batches(model: Model):
                 for s in tokens(text.as_py() or ""):
                     doc_of.append(d)
                     lengths.append(len(s))
-                    words.extend([feats.put(raw) for raw in s])
+                    words.extend(map(feats.number.__getitem__, s))
                 if len(words) > 8 * CHUNK_WORDS:
                     flush()
             flush()

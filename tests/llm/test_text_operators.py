@@ -465,6 +465,25 @@ def test_token_file_of_no_rows_and_damage(spark, make_docs, tmp_path):
         token_file.read_index(spark, str(tmp_path / "b")).count()
 
 
+def test_similarities_by_table_and_by_search_are_equal(monkeypatch):
+    import numpy as np
+
+    from meridian.llm import toxicity
+    words = ["hateful", "häßlich", "idiot", "ab", "", "x", "idiotic", "hate\U0001F600ful", "zzzzz"]
+    by_table = toxicity.Landmarks(["hateful", "idiot", "häßlich"])
+    got = by_table.similarities(words)
+    monkeypatch.setattr(toxicity, "MAX_PLACES", 1)
+    by_search = toxicity.Landmarks(["hateful", "idiot", "häßlich"])
+    assert len(by_table.place) and not len(by_search.place)
+    assert np.array_equal(got, by_search.similarities(words))
+    assert got[0, 0] > 0.99 and got[6, 1] > got[0, 1] and not got[3:6].any() and not got[8].any()
+    assert not toxicity.Landmarks(["a"]).similarities(["word"]).any()
+    feats = toxicity._Features(by_table)
+    assert [feats.number[w] for w in ("idiot,", "idiot", "1d1ot", "word")] == [0, 0, 0, 1]
+    feats.update()
+    assert feats.table.shape == (2, 3)          # a word written in three ways has one row
+
+
 def test_bpe_blocks_are_small_and_the_pieces_read_once(monkeypatch):
     import public_tokenizers
 
