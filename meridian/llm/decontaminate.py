@@ -46,7 +46,8 @@ PARAPHRASE = 0.6      # the same, if the answer is there
 ANSWER = 0.8          # share of the answer in it
 SHORT = 8
 HITS_PCT = 35         # of the words needed, sought among the rarest; any share loses nothing
-STRETCH = 16_384      # words of a document searched at once
+STRETCH = 16_384      # words searched at once, of one document or several
+PIECES = 256          # documents searched at once
 BLOCK = 256
 RANK = 256
 OVERSAMPLE = 16
@@ -54,6 +55,7 @@ MAX_ITEMS = 10_000
 CHUNK = 1024          # terms whose sums travel together
 SEED = 7
 WORD_CACHE = 400_000
+OTHER, NO_WORD = -1, -2  # numbers of raw words outside the vocabulary
 _EDGES = b" .,;:!?\"'()[]{}<>|#*%$&-_/\\"
 _STOPS = (b".", b"!", b"?")
 
@@ -135,26 +137,33 @@ def passages_of(items: list[tuple[int, bytes]]) -> list[Passage]:
     return out
 
 
+class _Numbers(dict):
+    """The place in ``vocabulary`` of the word that each raw word stands for:
+    ``OTHER`` if it has no such word, ``NO_WORD`` for punctuation alone."""
+
+    def __init__(self, vocabulary: dict[bytes, int]):
+        super().__init__()
+        self.vocabulary = vocabulary
+
+    def __missing__(self, raw: bytes) -> int:
+        if len(self) >= WORD_CACHE:
+            self.clear()
+        word = raw.strip(_EDGES)
+        k = self[raw] = self.vocabulary.get(word, OTHER) if word else NO_WORD
+        return k
+
+
 def _term_counts(terms: dict[bytes, int]):
     """Documents with each term, summed over a task; term -1 counts documents."""
     def run(batches):
-        count, n = np.zeros(len(terms) + 1, np.int64), 0
-        number: dict[bytes, int] = {}
+        count, n, number = np.zeros(len(terms) - NO_WORD, np.int64), 0, _Numbers(terms).__getitem__
         for batch in batches:
+            seen: list[int] = []
             for text in batch.column("_utf8").to_pylist():
-                raw = set(text.lower().split())
-                found = set()
-                for w in raw:
-                    k = number.get(w)
-                    if k is None:
-                        if len(number) > 1_000_000:
-                            number.clear()
-                        k = number[w] = terms.get(w.strip(_EDGES), -1)
-                    found.add(k)
-                found.discard(-1)
-                if found:
-                    count[list(found)] += 1
-                n += 1
+                seen.extend({*map(number, text.lower().split())})
+            count += np.bincount(np.array(seen, np.int64) - NO_WORD, minlength=len(count))
+            n += batch.num_rows
+        count = count[-NO_WORD:]
         at = np.flatnonzero(count)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[at, -1].astype(np.int64)), pa.array(np.r_[count[at], n].astype(np.int64))],
                                          names=["term", "docs"])
@@ -261,111 +270,115 @@ def _is_leak(p: Passage, region: list[bytes]) -> float:
     return 0.0
 
 
-class _Words(dict):
-    """Numbers of raw words, with the words they stand for and their terms in
-    each block; -1 where a block has no such term."""
-
-    def __init__(self, places: list[dict[bytes, int]]):
-        super().__init__()
-        self.places, self.words, self.new = places, [], []
-        self.terms = np.zeros((0, len(places)), np.int32)
-
-    def __missing__(self, raw: bytes) -> int:
-        word = raw.strip(_EDGES)
-        self.words.append(word)
-        self.new.append([p.get(word, -1) if word else -2 for p in self.places])
-        k = self[raw] = len(self.words) - 1
-        return k
-
-    def terms_of(self, numbers: np.ndarray) -> np.ndarray:
-        if self.new:
-            end = len(self.words)
-            if end > len(self.terms):  # room for half as many again
-                self.terms = np.concatenate([self.terms, np.zeros((end // 2 + len(self.new), len(self.places)), np.int32)])
-            self.terms[end - len(self.new):end] = self.new
-            self.new = []
-        return self.terms[numbers]
-
-
-def find_leaks(numbers: np.ndarray, vocabulary: list[bytes], terms: np.ndarray, block: Block) -> dict[int, float]:
-    """Item -> share, of the items found in a document. ``terms``: the block's
-    term of each word, or -1; ``numbers``: its word's place in ``vocabulary``."""
-    out: dict[int, float] = {}
-    # the stretches overlap by the longest region, and start where regions do
-    for at in range(0, max(1, len(numbers)), STRETCH):
-        end = at + STRETCH + 2 * SIZES[-1]
-        _find_in_stretch(numbers[at:end], vocabulary, terms[at:end], block, out)
-    return out
-
-
-def _find_in_stretch(numbers: np.ndarray, vocabulary: list[bytes], terms: np.ndarray, block: Block, out: dict[int, float]) -> None:
-    n = len(numbers)
+class _Pieces:
+    """Documents, or stretches of long ones, searched together."""
+
+    def __init__(self):
+        self.numbers: list[np.ndarray] = []
+        self.rows: list[int] = []
+        self.held = 0
+
+    def add(self, row: int, numbers: np.ndarray):
+        """Takes a document's words; True whenever enough are held to search."""
+        # the stretches overlap by the longest region, and start where regions do
+        for at in range(0, len(numbers), STRETCH):
+            self.numbers.append(numbers[at:at + STRETCH + 2 * SIZES[-1]])
+            self.rows.append(row)
+            self.held += len(self.numbers[-1])
+            if self.held >= STRETCH or len(self.rows) >= PIECES:
+                yield True
+
+    def search(self, words: list[bytes], terms: np.ndarray, blocks: list[Block], out: list[dict[int, float]]) -> None:
+        """Adds to ``out`` (item -> share, by row) and lets the pieces go."""
+        if self.rows:
+            numbers, length = np.concatenate(self.numbers), np.array([*map(len, self.numbers)])
+            own = terms[numbers]
+            for k, block in enumerate(blocks):
+                find_leaks(numbers, length, [out[r] for r in self.rows], words, own[:, k], block)
+        self.__init__()
+
+
+def find_leaks(numbers: np.ndarray, length: np.ndarray, out: list[dict[int, float]], vocabulary: list[bytes],
+               terms: np.ndarray, block: Block) -> None:
+    """Adds item -> share, of the items found, to each piece's ``out``. The
+    pieces' words stand one after the other, ``length`` of each: ``numbers``,
+    their places in ``vocabulary``, and ``terms``, the block's or -1."""
+    piece_start, passages = np.cumsum(length) - length, len(block.passages)
     # every word with the passages that have it among their rarest words
-    length = block.length[terms]
-    some = np.flatnonzero(length)
-    length = length[some]
-    at = np.repeat(some, length)
-    shift = block.start[terms[some]] - (np.cumsum(length) - length)
-    passage = block.members[np.repeat(shift, length) + np.arange(len(at))]
-    enough = (np.bincount(passage, minlength=len(block.passages)) >= block.hits)[passage]
-    at, passage = at[enough], passage[enough]
+    times = block.length[terms]
+    some = np.flatnonzero(times)
+    times = times[some]
+    at = np.repeat(some, times)
+    passage = block.members[np.repeat(block.start[terms[some]] - (np.cumsum(times) - times), times) + np.arange(len(at))]
+    piece = np.repeat(np.arange(len(length)), length)[at]
+    pair = piece * passages + passage
+    enough = np.bincount(pair, minlength=len(length) * passages).reshape(-1, passages) >= block.hits
+    keep = enough.ravel()[pair]
+    at, pair = at[keep] - piece_start[piece[keep]], (np.cumsum(enough) - 1)[pair[keep]]
     if not len(at):
         return
-    sizes = block.size[passage]
-    for size in SIZES:
-        here = sizes == size
-        if not here.any():
-            continue
-        half = size // 2
-        which, row = np.unique(passage[here], return_inverse=True)
-        windows = len(range(0, max(1, n - half), half))
-        # hits by half a window; a region is four halves: the window, and half of it on either side
-        width = windows + 3
-        grid = np.bincount(row * width + at[here] // half + 1, minlength=len(which) * width).reshape(-1, width)
-        region = grid[:, :-3] + grid[:, 1:-2] + grid[:, 2:-1] + grid[:, 3:]
-        found, where = np.nonzero((region >= block.hits[which][:, None]).T)
-        for k in np.unique(found).tolist():
-            a, b = max(0, (k - 1) * half), min(n, (k + 3) * half)
-            part = np.sort(terms[a:b])
-            part = part[np.searchsorted(part, 0):]
-            first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-            own, tf = part[first], np.concatenate([first[1:], [len(part)]]) - first
-            weight = (np.minimum(tf, block.most[own]) * block.idf[own]).astype(np.float32)
-            point = weight @ block.basis[own]
-            near = which[where[found == k]]
-            held = block.points[near] @ point
-            for i in near[held >= block.floor[near] - SLACK * np.sqrt(weight @ weight)].tolist():
+    # hits by half a window, a row of them for each pair of piece and passage left; a region is four halves:
+    # the window, and half of it on either side
+    piece, passage = np.nonzero(enough)
+    half, n = block.size[passage] // 2, length[piece]
+    windows = np.maximum(1, -(-(n - half) // half))
+    ends = np.cumsum(windows + 3)
+    first = ends - windows - 3
+    grid = np.bincount(first[pair] + at // half[pair] + 1, minlength=ends[-1])
+    least = np.repeat(block.hits[passage], windows + 3)
+    for k in (1, 2, 3):  # these would reach into the next row
+        least[ends - k] = np.iinfo(least.dtype).max
+    found = np.flatnonzero(grid[:-3] + grid[1:-2] + grid[2:-1] + grid[3:] >= least[:-3])
+    if not len(found):
+        return
+    pair = np.searchsorted(first, found, side="right") - 1
+    piece, near, half, n, k = piece[pair], passage[pair], half[pair], n[pair], found - first[pair]
+    a, b = piece_start[piece] + np.maximum(0, (k - 1) * half), piece_start[piece] + np.minimum(n, (k + 3) * half)
+    order = np.lexsort((b, a))
+    a, b, piece, near = a[order], b[order], piece[order], near[order]
+    new = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+    a, b, piece = a[new], b[new], piece[new]
+    # the regions' terms, and how often each is there
+    size = b - a
+    term = terms[np.repeat(a - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+    held_by = np.repeat(np.arange(len(a)), size)[term >= 0]
+    held, tf = np.unique(held_by * len(block.idf) + term[term >= 0], return_counts=True)
+    own = held % len(block.idf)
+    weight = (np.minimum(tf, block.most[own]) * block.idf[own]).astype(np.float32)
+    cut = np.searchsorted(held, np.arange(len(a) + 1) * len(block.idf))
+    for r, (i, j, s, e) in enumerate(zip(cut.tolist(), cut[1:].tolist(), new.tolist(), [*new[1:].tolist(), len(near)])):
+        w, which = weight[i:j], near[s:e]
+        point = w @ block.basis[own[i:j]]
+        which = which[block.points[which] @ point >= block.floor[which] - SLACK * np.sqrt(w @ w)].tolist()
+        if which:
+            mine, region = out[piece[r]], [vocabulary[x] for x in numbers[a[r]:b[r]].tolist()]
+            for i in which:
                 p = block.passages[i]
-                if out.get(p.item, 0.0) < 1.0:
-                    share = _is_leak(p, [vocabulary[w] for w in numbers[a:b]])
+                if mine.get(p.item, 0.0) < 1.0:
+                    share = _is_leak(p, region)
                     if share:
-                        out[p.item] = max(share, out.get(p.item, 0.0))
+                        mine[p.item] = max(share, mine.get(p.item, 0.0))
 
 
 def _search(blocks: list[Block], where: dict[bytes, list[tuple[int, int]]]):
     def run(batches):
-        places = [{w: i for w, at in where.items() for b, i in at if b == k} for k in range(len(blocks))]
-        known = _Words(places)
+        terms = np.full((len(where) - NO_WORD, len(blocks)), -1, np.int32)  # the last rows: words of no passage
+        for i, at in enumerate(where.values()):
+            for b, t in at:
+                terms[i, b] = t
+        words = [*where] + [b""] * -NO_WORD  # no passage has an empty word
+        number = _Numbers({w: i for i, w in enumerate(where)}).__getitem__
         for batch in batches:
-            items, shares = [], []
-            for text in batch.column("_utf8").to_pylist():
-                if len(known) > WORD_CACHE:
-                    known = _Words(places)
-                numbers = np.array([known[raw] for raw in text.lower().split()], np.int64)
-                found: dict[int, float] = {}
-                terms = known.terms_of(numbers)
-                if (terms >= 0).any():
-                    real = terms[:, 0] > -2  # not punctuation alone
-                    numbers, terms = numbers[real], terms[real]
-                    for k, block in enumerate(blocks):
-                        own = terms[:, k]
-                        if (own >= 0).any():
-                            for item, share in find_leaks(numbers, known.words, own, block).items():
-                                found[item] = max(share, found.get(item, 0.0))
-                items.append(sorted(found))
-                shares.append(max(found.values(), default=0.0))
+            found: list[dict[int, float]] = [{} for _ in range(batch.num_rows)]
+            pieces = _Pieces()
+            for row, text in enumerate(batch.column("_utf8").to_pylist()):
+                numbers = np.array([*map(number, text.lower().split())], np.int64)
+                for _ in pieces.add(row, numbers[numbers > NO_WORD]):
+                    pieces.search(words, terms, blocks, found)
+            pieces.search(words, terms, blocks, found)
             keep = [n for n in batch.schema.names if n != "_utf8"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep), pa.array(items, pa.list_(pa.int64())), pa.array(shares, pa.float64())],
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in keep), pa.array([sorted(f) for f in found], pa.list_(pa.int64())),
+                                              pa.array([max(f.values(), default=0.0) for f in found], pa.float64())],
                                              names=[*keep, "_items", "_share"])
     return run
 

@@ -381,6 +381,29 @@ def test_decontamination_recall_is_that_of_the_subsequence(spark, make_docs, mon
     assert 24 <= sum(map(bool, exp)) < len(texts)
 
 
+def test_documents_are_searched_together_and_found_alone(spark, monkeypatch):
+    rnd = random.Random(23)
+    items = [" ".join(f"{rnd.choice(WORDS)}{rnd.randrange(50)}" for _ in range(n)) for n in (5, 12, 30, 60, 80)]
+    texts = [prose(rnd, rnd.randrange(40)) + " - " + items[i % 5] + " " + prose(rnd, rnd.randrange(60)) if i % 3 else prose(rnd, 30 * (i % 2))
+             for i in range(300)]
+    raw = [t.encode() for t in texts]
+    src = spark.createDataFrame(pa.table({"_utf8": pa.array(raw, pa.binary())}))
+    blocks, where = decontaminate.build_blocks(src, [(i, x.encode()) for i, x in enumerate(items)])
+    calls, real = [], decontaminate.find_leaks
+    monkeypatch.setattr(decontaminate, "find_leaks", lambda *a: calls.append(1) or real(*a))
+
+    def found():
+        calls.clear()
+        batch = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array(raw, pa.binary())], names=["_id", "_utf8"])
+        return [x for b in decontaminate._search(blocks, where)(iter([batch])) for x in zip(*(b.column(c).to_pylist() for c in b.schema.names))]
+
+    together = found()
+    assert len(calls) <= 4  # as many as the words need, not one a document
+    monkeypatch.setattr(decontaminate, "PIECES", 1)
+    assert found() == together
+    assert [x[1] for x in together] == [[i % 5] if i % 3 else [] for i in range(300)]
+
+
 def test_common_subsequence_matches_brute_force():
     rnd = random.Random(3)
     for _ in range(60):
