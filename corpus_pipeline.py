@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from meridian.llm import bpe, decontaminate, ngram_join, quality, toxicity
-from meridian.llm.common import load, staged
+from meridian.llm.common import WIDE_ROWS, batch_rows, load, staged
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +34,8 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.digests(bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json")))
+    with batch_rows(spark, WIDE_ROWS):
+        return staged(bpe.digests(bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"))), "digests")
 
 
 STAGES = [("quality rules", quality_rules), ("toxicity", drop_toxic), ("n-gram Jaccard join", drop_near_duplicates),

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meridian.llm.common import ship, utf8
+from meridian.llm.common import ship, tidy, utf8
 
 BLOCK_BYTES = 8 << 20    # text bytes of a block
 CHUNK_WORDS = 1 << 18    # words whose ids are put together at once
@@ -247,11 +247,11 @@ def encode(docs: DataFrame, tokenizer_path: str, doc_id: str = "doc_id", text: s
     kind = src.schema["_id"].dataType
     id_type = src.limit(0).toArrow().schema.field("_id").type
     n = buckets or max(64, 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    words = src.mapInArrow(_word_lists(spec, block_bytes, n),
+    words = src.mapInArrow(tidy(_word_lists(spec, block_bytes, n)),
                            "block long, bucket int, steps binary, lengths binary, words binary")
     coded = (words.repartition("bucket").sortWithinPartitions("bucket")
-             .mapInArrow(_encode_words(spec), "block long, steps binary, sizes binary, ids binary"))
-    numbers = src.mapInArrow(_word_numbers(spec, block_bytes, id_type), T.StructType([
+             .mapInArrow(tidy(_encode_words(spec)), "block long, steps binary, sizes binary, ids binary"))
+    numbers = src.mapInArrow(tidy(_word_numbers(spec, block_bytes, id_type)), T.StructType([
         T.StructField("block", T.LongType()), T.StructField("ids", T.ArrayType(kind)),
         T.StructField("words", T.ArrayType(T.LongType())), T.StructField("numbers", T.BinaryType())]))
     out = T.StructType([T.StructField("_id", kind), T.StructField("ids", T.BinaryType())]

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meridian.llm.common import ship, utf8
+from meridian.llm.common import WIDE_ROWS, batch_rows, ship, staged, tidy, utf8
 
 PASSAGE = 64          # words of a passage at most
 SIZES = (4, 8, 16, 32, 64)  # window lengths; a passage is sought in the next longer
@@ -172,8 +172,9 @@ def _term_counts(terms: dict[bytes, int]):
 
 def document_frequencies(src: DataFrame, terms: dict[bytes, int]) -> tuple[np.ndarray, int]:
     """Over all documents; one row per term reaches the driver."""
-    got = (src.mapInArrow(_term_counts(terms), "term long, docs long").groupBy("term")
-           .agg(F.sum("docs").alias("docs")).toArrow())
+    with batch_rows(src.sparkSession, WIDE_ROWS):
+        got = (src.mapInArrow(tidy(_term_counts(terms)), "term long, docs long").groupBy("term")
+               .agg(F.sum("docs").alias("docs")).toArrow())
     at, docs = got.column("term").to_numpy(), got.column("docs").to_numpy()
     out = np.zeros(len(terms), np.int64)
     out[at[at >= 0]] = docs[at >= 0]
@@ -397,10 +398,10 @@ def _checked(docs: DataFrame, benchmark: DataFrame, text: str) -> DataFrame:
             continue
         schema = T.StructType([*docs.schema.fields, T.StructField("_items", T.ArrayType(T.LongType())), T.StructField("_share", T.DoubleType())])
         if rounds == 1:
-            return src.mapInArrow(_search(blocks, where), schema)
+            return src.mapInArrow(tidy(_search(blocks, where)), schema)
         step = out.withColumnsRenamed({"_items": "_i", "_share": "_s"}).withColumn("_utf8", utf8(text))
         wide = T.StructType([*[f for f in step.schema.fields if f.name != "_utf8"], *schema.fields[-2:]])
-        out = step.mapInArrow(_search(blocks, where), wide).select(
+        out = step.mapInArrow(tidy(_search(blocks, where)), wide).select(
             *docs.columns, F.array_sort(F.array_union("_i", "_items")).alias("_items"), F.greatest("_s", "_share").alias("_share"))
     return out
 
@@ -415,7 +416,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item."""
-    return _checked(docs, benchmark, text).where(F.size("_items") == 0).select(*docs.columns)
+    with batch_rows(docs.sparkSession, WIDE_ROWS):
+        return staged(_checked(docs, benchmark, text).where(F.size("_items") == 0).select(*docs.columns), "unleaked")
 
 
 ship(__name__)

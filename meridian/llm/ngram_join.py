@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meridian.llm.common import batch_rows, ship, staged, utf8, without
+from meridian.llm.common import batch_rows, ship, staged, tidy, utf8, without
 from meridian.operators.graph import star_edges_to_labels
 
 COUNT_CHUNK = 4_000_000    # shingles counted at once in a task
@@ -478,7 +478,7 @@ def _pairs(blocks: DataFrame, labels: DataFrame | None, pct: int, hold: bool) ->
         now = (blocks.join(labels.withColumnRenamed("root", "label"), "node", "left")
                .withColumn("label", F.coalesce("label", "node")))
     return staged(now.repartition(*BLOCK).sortWithinPartitions(*BLOCK, "n")
-                  .mapInArrow(_merge_blocks(pct, hold), "list long, lo long, hi long, a long, b long, held boolean"), "pairs")
+                  .mapInArrow(tidy(_merge_blocks(pct, hold)), "list long, lo long, hi long, a long, b long, held boolean"), "pairs")
 
 
 def _sets(src: DataFrame, rows: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
@@ -487,9 +487,9 @@ def _sets(src: DataFrame, rows: DataFrame, nodes: DataFrame, words: int) -> Data
     one = (rows.join(nodes, "node", "left_semi").select("node", *of_row)
            .groupBy("node").agg(F.min(F.struct("text_hash", "id_hash")).alias("row")).select("row.*").distinct())
     with batch_rows(src.sparkSession, 500):
-        packed = src.select(*of_row, "_utf8").mapInArrow(_packed, "id_hash long, text_hash long, packed binary")
+        packed = src.select(*of_row, "_utf8").mapInArrow(tidy(_packed), "id_hash long, text_hash long, packed binary")
         return staged(packed.join(one, ["text_hash", "id_hash"], "left_semi").select("packed")
-                      .mapInArrow(_whole_sets(words), "node long, members binary"), "sets")
+                      .mapInArrow(tidy(_whole_sets(words)), "node long, members binary"), "sets")
 
 
 def _links(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
@@ -499,7 +499,7 @@ def _links(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
     b = sets.select(F.col("node").alias("b"), F.col("members").alias("set_b"))
     with batch_rows(pairs.sparkSession, 400):
         return staged(pairs.join(b, "b").join(a, "a").select("a", "b", "set_a", "set_b")
-                      .mapInArrow(_probe(pct), "a long, b long").distinct(), "links")
+                      .mapInArrow(tidy(_probe(pct)), "a long, b long").distinct(), "links")
 
 
 def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 3,
@@ -516,7 +516,7 @@ def _joined(docs: DataFrame, doc_id: str, text: str, words: int, pct: int) -> Da
     src = docs.select(F.col(doc_id).alias("_id"), F.xxhash64(utf8(text)).alias("text_hash"), utf8(text).alias("_utf8"))
     spark = docs.sparkSession
     with batch_rows(spark, 1000):
-        described = staged(src.mapInArrow(_describe(words, pct), src.select("_id").schema.add("text_hash", "long").add("n", "long").add("key", "long")
+        described = staged(src.mapInArrow(tidy(_describe(words, pct)), src.select("_id").schema.add("text_hash", "long").add("n", "long").add("key", "long")
                                           .add("frequent", "boolean").add("sketch", "binary")), "sets")
     rows = described.where(~F.col("frequent")).select("_id", "text_hash", F.col("n").alias("n_shingles"), F.col("key").alias("node"))
     top = (described.where("frequent").groupBy("key").agg(F.sum("n").alias("n"))
@@ -526,7 +526,7 @@ def _joined(docs: DataFrame, doc_id: str, text: str, words: int, pct: int) -> Da
     rank = np.empty(len(hashes), np.int32)
     rank[np.lexsort((hashes, counts))] = np.arange(len(hashes), dtype=np.int32)
     with batch_rows(spark, 1000):
-        entries = staged(src.mapInArrow(_short_lists(words, pct, hashes[by_hash].astype(np.int64), rank[by_hash]),
+        entries = staged(src.mapInArrow(tidy(_short_lists(words, pct, hashes[by_hash].astype(np.int64), rank[by_hash])),
                                         "shingle long, node long"), "entries")
     lists = staged(_merged(entries), "lists")
     sketches = (described.where(~F.col("frequent")).groupBy(F.col("key").alias("node"))

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meridian.llm.common import ship
+from meridian.llm.common import WIDE_ROWS, batch_rows, ship, staged, tidy
 
 MAX_TOXIC = 800         # training documents of each class at most
 MAX_CLEAN = 1_600
@@ -409,7 +409,7 @@ def score(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: st
         out = src.select("_id", F.lit(0.0).alias("score"))
     else:
         schema = T.StructType([src.schema["_id"], T.StructField("score", T.DoubleType())])
-        out = src.mapInArrow(_score_batches(model), schema)
+        out = src.mapInArrow(tidy(_score_batches(model)), schema)
     return out.select("_id", "score", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
 
 
@@ -419,9 +419,10 @@ def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     if model is None:
         return docs
     src = docs.withColumn("_text", F.col("text").cast("string"))
-    scored = src.mapInArrow(_score_batches(model), T.StructType(
+    scored = src.mapInArrow(tidy(_score_batches(model)), T.StructType(
         [*docs.schema.fields, T.StructField("score", T.DoubleType())]))
-    return scored.where(F.col("score") < threshold).select(*docs.columns)
+    with batch_rows(docs.sparkSession, WIDE_ROWS):
+        return staged(scored.where(F.col("score") < threshold).select(*docs.columns), "clean")
 
 
 ship(__name__)

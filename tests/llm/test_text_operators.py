@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from meridian.llm import bpe, decontaminate, ngram_join, quality, token_file, toxicity
+from meridian.llm import bpe, common, decontaminate, ngram_join, quality, token_file, toxicity
 
 WORDS = [a + b for a in "ka lo mi ru se ta vo ne pi du".split() for b in "ran sto lem nik bor tas vel gim".split()]
 ODD = [None, "", "   \n\t ", "one", "one two", "one two three", "É\u00a0x\u3000y", "a\x1cb", "<|endoftext|> end", "x" * 5000]
@@ -297,6 +297,45 @@ def test_subsequence_kernel_is_that_of_all_subsequences():
     assert np.allclose(got, exp, atol=1e-5)
 
 
+# ------------------------------------------------------------------ memory of the pipeline's stages
+def test_whole_texts_are_sent_in_small_batches(spark, make_docs, monkeypatch):
+    rows = spark.sparkContext.accumulator(0)   # the largest batch of a task, summed over tasks and runs
+
+    def watched(name, module):
+        real = getattr(module, name)
+
+        def make(*a):
+            run = real(*a)
+
+            def counted(batches):
+                most = [0]
+
+                def look():
+                    for b in batches:
+                        most[0] = max(most[0], b.num_rows)
+                        yield b
+                yield from run(look())
+                rows.add(max(0, most[0] - common.WIDE_ROWS))
+            return counted
+        monkeypatch.setattr(module, name, make)
+
+    watched("_search", decontaminate)
+    watched("_term_counts", decontaminate)
+    bench = spark.createDataFrame([(1, " ".join(WORDS[:20]))], "item_id long, text string")
+    docs = make_docs(["some plain words"] * 9000 + [" ".join(WORDS[:20])]).coalesce(1)
+    assert decontaminate.drop_leaks(docs, bench).count() == 9000
+    assert rows.value == 0
+
+
+def test_a_task_gives_its_memory_back(monkeypatch):
+    calls = []
+    monkeypatch.setattr(common, "give_back", lambda: calls.append(len(calls)))
+    assert list(common.tidy(lambda batches: (x + 1 for x in batches))(iter([1, 2]))) == [2, 3]
+    assert len(calls) == 2
+    monkeypatch.undo()
+    common.give_back()
+
+
 # ------------------------------------------------------------------ decontamination
 def test_decontamination_finds_copies_and_paraphrases(spark, make_docs):
     rnd = random.Random(8)
