@@ -6,14 +6,15 @@ ends every document with an end id, cuts the stream of ids into blocks of
 independently and carry a CRC-32 of their ids.
 
 A block's coder predicts each id from the last two ids (order 2) and from the
-last one (order 1), by what followed them before in the block. Whether the
-order-2 prediction holds is a binary event; its odds mix the confidence of
-order 2, that of order 1 and whether both agree, and the block's own hit rate,
-in the logistic domain, learning from every id. The same holds for order 1
-after a miss. An id that neither foresees is coded by its order-0 frequency
-among the row's ids, which the row carries. The events drive a range coder
-with carry. All arithmetic is on integers, so files read alike on every
-machine.
+last one (order 1), by what followed them before in the block. One event an id
+says which order foresaw it, if any. The odds of order 2 mix its confidence,
+that of order 1 and whether both agree, and the block's own hit rate, in the
+logistic domain, learning from every id; those of order 1 after a miss mix its
+confidence and hit rate alike. An id that neither foresees is coded by its
+order-0 frequency among the row's ids, which the row carries. Events and
+unforeseen ids drive a range coder with carry each; the two parts follow one
+another in the block's payload. All arithmetic is on integers, so files read
+alike on every machine.
 
 The blocks of a row are coded together, as lanes of array operations.
 
@@ -43,10 +44,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meridian.llm.common import batch_rows, ship, staged, utf8
+from meridian.llm.common import batch_rows, ship, staged, tidy, utf8
 
 BLOCK = 2048
-LANES = 2048
+LANES = 4096
+PAD = 16                        # lanes more in a row of memory, so that columns don't share cache sets
 END_ID = 2
 WORD_CACHE = 800_000
 LINES = 200                     # words encoded in one call
@@ -151,7 +153,9 @@ class _Mixer:
         self.c += held
         change = _CHANGE.take(self.c, mode="clip")
         self.e += change
-        np.copyto(self.e, ids * np.int32(16) + np.int32(1), where=change == _GONE)
+        fresh = ids * np.int32(16) + np.int32(1) - self.e
+        fresh *= change == _GONE
+        self.e += fresh
         self.table[self.at.reshape(-1)] = self.e.reshape(-1)
 
 
@@ -261,7 +265,7 @@ def encode_blocks(blocks: list[np.ndarray]) -> tuple[np.ndarray, list[bytes]]:
     share = frequencies(blocks)
     start = np.cumsum(share) - share
     n, longest = len(blocks), len(blocks[0])
-    ids = np.zeros((longest + 2, n), np.int32)  # after two zeros
+    ids = np.zeros((longest + 2, n + PAD), np.int32)[:, :n]  # after two zeros
     length = np.array([len(b) for b in blocks])
     for j, b in enumerate(blocks):
         ids[2:len(b) + 2, j] = b
@@ -285,6 +289,8 @@ def encode_blocks(blocks: list[np.ndarray]) -> tuple[np.ndarray, list[bytes]]:
         for i in range(m):
             k = active[t + i]
             events.put(first[i, :k], wide[i, :k])
+    heads = events.finish()
+    del mix, ids, events
     # lanes by falling number of ids missed
     missed = np.ascontiguousarray(missed.T)
     gone = [b[m[:len(b)]] for b, m in zip(blocks, missed)]
@@ -294,13 +300,14 @@ def encode_blocks(blocks: list[np.ndarray]) -> tuple[np.ndarray, list[bytes]]:
     lost = np.zeros((n, int(counts[0])), np.int32)
     for i, j in enumerate(order.tolist()):
         lost[i, :len(gone[j])] = gone[j]
+    del gone
     lost, rest = np.ascontiguousarray(lost.T), _Encoder(n, lost.shape[1])
     start, wide = start.astype(_U), share.astype(_U)
     for x, k in zip(lost, _active(counts)):
         rest.put(start.take(x[:k]), wide.take(x[:k]))
     tails = dict(zip(order.tolist(), zip(counts.tolist(), rest.finish())))
     out = []
-    for j, head in enumerate(events.finish()):
+    for j, head in enumerate(heads):
         m, tail = tails[j]
         out.append(np.array([len(head) // 3, m], "<u2").tobytes() + head + tail)
     return share, out
@@ -333,7 +340,7 @@ def decode_blocks(share: np.ndarray, payloads: list[bytes], lengths: list[int])
     ends = (4 + 3 * heads[:, 0]).tolist()
     lost, next_lost = _decode_missed(share, [p[end:] for p, end in zip(payloads, ends)], heads[:, 1])
     coder, mix = _Decoder([p[4:end] for p, end in zip(payloads, ends)]), _Mixer(n)
-    out = np.zeros((longest + 2, n), np.int32)  # after two zeros
+    out = np.zeros((longest + 2, n + PAD), np.int32)[:, :n]  # after two zeros
     for t, k in enumerate(_active(np.array(lengths))):
         mix.look(mix.slots(out[t + 1, :k], out[t, :k]))
         two, both = _shares(mix.chance[0], mix.chance[1], mix.agree)
@@ -341,14 +348,11 @@ def decode_blocks(share: np.ndarray, payloads: list[bytes], lengths: list[int])
         at = coder.code[:k]
         two, both = unit * two, unit * both
         hit, miss = at < two, at >= both
-        below = np.where(miss, both, two)
-        np.copyto(below, _U(0), where=hit)
         unit <<= _SHARE
         unit -= both
         both -= two
-        np.copyto(both, unit, where=miss)
-        np.copyto(both, two, where=hit)
-        coder.take(below, both)
+        # what lies below, and the size: of order 2, of order 1, of neither
+        coder.take(two * ~hit + both * miss, np.where(hit, two, np.where(miss, unit, both)))
         x = np.where(hit, mix.p[0], mix.p[1])
         who = miss.nonzero()[0]
         here = next_lost.take(who)
@@ -357,6 +361,7 @@ def decode_blocks(share: np.ndarray, payloads: list[bytes], lengths: list[int])
         next_lost[who] = here
         out[t + 2, :k] = x
         mix.follow(x, mix.p == x)
+    del mix, coder, lost
     ids = np.ascontiguousarray(out[2:].T)
     return np.concatenate([ids[j, :m] for j, m in enumerate(lengths)])
 
@@ -547,7 +552,9 @@ def _write_batches(tokenizer_json: str, end_id: int):
 
         def send(last_goes_on: bool):
             nonlocal row, first_id, first_doc, held, ids, counts, docs, continues
-            out = _pack_row(part, row, first_id, first_doc, continues, np.concatenate(ids), counts, docs, id_type)
+            whole = np.concatenate(ids)
+            ids = []
+            out = _pack_row(part, row, first_id, first_doc, continues, whole, counts, docs, id_type)
             row, first_id = row + 1, first_id + held
             first_doc += len(docs) - last_goes_on
             ids, counts, docs, continues, held = [], [], [], last_goes_on, 0
@@ -582,7 +589,7 @@ def write(docs: DataFrame, path: str, tokenizer_path: str, doc_id: str = "doc_id
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     schema = T.StructType([*T._parse_datatype_string(FIELDS).fields, T.StructField("doc_ids", T.ArrayType(src.schema["_id"].dataType))])
     with batch_rows(spark, 1000):
-        (src.repartitionByRange(n, "_id").sortWithinPartitions("_id").mapInArrow(_write_batches(spec, end_id), schema)
+        (src.repartitionByRange(n, "_id").sortWithinPartitions("_id").mapInArrow(tidy(_write_batches(spec, end_id)), schema)
          .write.option("compression", "none").option("parquet.block.size", 32 << 20).parquet(path))
 
 
@@ -633,7 +640,7 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
     schema = T.StructType([*T._parse_datatype_string("part int, doc long, row long").fields, T.StructField("doc_id", id_type),
                            *T._parse_datatype_string("first_id long, n long, crc long").fields])
     with batch_rows(spark, 1):
-        pieces = staged(file.mapInArrow(_read_batches, schema), "pieces")
+        pieces = staged(file.mapInArrow(tidy(_read_batches), schema), "pieces")
     whole = pieces.groupBy("part", "doc").agg(
         F.first("doc_id").alias("doc_id"), F.min("first_id").alias("first_id"), F.sum("n").alias("n_tokens"),
         F.transform(F.sort_array(F.collect_list(F.struct("row", "n", "crc"))), lambda p: F.struct(p["n"].alias("n"), p["crc"].alias("crc"))).alias("pieces"))

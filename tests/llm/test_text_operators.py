@@ -5,8 +5,8 @@ import random
 import zlib
 
 import numpy as np
-import pyarrow as pa
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -527,6 +527,55 @@ def test_token_file_of_no_rows_and_damage(spark, make_docs, tmp_path):
         token_file.read_index(spark, str(tmp_path / "b")).count()
 
 
+def test_words_are_cut_into_pieces_as_the_library_cuts():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok = Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as f:
+        words = token_file._WordIds(f.read())
+    rnd = random.Random(4)
+    bits = ["don't", "DON'T", "'S", "'", "l'\u00c9t\u00e9", "\u00bfQu\u00e9?", "\u00dfX\u00ff", "\u00d7", "\u00aa", "\u00b2", "\u00b5", "E\u0301", "H\u0331", "\u0130", "\u1e9e", "_", "a_b", "7", "42,5",
+            "!!!", "<|endoftext|>", "<|ENDOFTEXT|>", "\u00a0", "\u0085", "\x1c", "\u2028", "\u6f22\u5b57", "\U0001f600", "\x00", "</w>", " ", " ", "\n", "\t", "\x0b"]
+    texts = [*bits, "", " ", *("".join(rnd.choices(bits, k=rnd.randrange(1, 12))) for _ in range(3000)), prose(rnd, 300)]
+    for part in (texts, texts[::-1], [t for t in texts if token_file._COMMON(t or " ")]):
+        size, flat = words.ids(pa.array([t.encode() for t in part], pa.binary()), 2)
+        for t, got in zip(part, np.split(flat, np.cumsum(size)[:-1])):
+            assert got.tolist() == [*tok.encode(t, add_special_tokens=False).ids, 2], t
+
+
+def test_pieces_are_encoded_once(monkeypatch):
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        words = token_file._WordIds(f.read())
+    seen = []
+    encode = words.pieces.encode
+    monkeypatch.setattr(words.pieces, "encode", lambda p: seen.extend(p.to_pylist()) or encode(p))
+    monkeypatch.setattr(words, "encode_lines", lambda w: pytest.fail(f"whole lines: {w[:5]}"))
+    for text in (b"Word word, WORD! (word) \xc3\x89t\xc3\xa9", b"word.word word's \xc3\xa9t\xc3\xa9?"):
+        words.ids(pa.array([text], pa.binary()), 2)
+    assert sorted(seen) == sorted(["word", ",", "!", "(", ")", "\u00e9t\u00e9", ".", "'s", "?"])
+
+
+def test_coder_has_one_event_an_id():
+    rng = np.random.default_rng(5)
+    events = []
+    put = token_file._Encoder.put
+    blocks = [rng.integers(0, 40, 300).astype(np.int32) for _ in range(5)] + [np.array([3], np.int32)]
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(token_file._Encoder, "put", lambda self, a, b: events.append(len(a)) or put(self, a, b))
+        share, payloads = token_file.encode_blocks(blocks)
+    missed = sum(int(np.frombuffer(p, "<u2", 2)[1]) for p in payloads)
+    assert sum(events) == sum(map(len, blocks)) + missed
+    assert np.array_equal(token_file.decode_blocks(share, payloads, [len(b) for b in blocks]), np.concatenate(blocks))
+
+
+def test_batches_are_cut_and_joined_by_bytes(monkeypatch):
+    monkeypatch.setattr(token_file, "STRETCH", 10)
+    texts = [b"", b"12345", b"123456", b"", b"x" * 25, b"1", b"2", b"123456789", b""]
+    batches = [pa.record_batch([pa.array(range(a, b)), pa.array(texts[a:b], pa.binary())], names=["_id", "_utf8"]) for a, b in ((0, 2), (2, 2), (2, 7), (7, 9))]
+    got = [b.column("_id").to_pylist() for b in token_file._stretches(batches)]
+    assert [i for g in got for i in g] == list(range(9))
+    assert all(len(g) == 1 or sum(len(texts[i]) for i in g) <= 10 for g in got) and len(got) == 5
+
+
 def test_similarities_by_table_and_by_search_are_equal(monkeypatch):
     import numpy as np
 
