@@ -489,9 +489,9 @@ class _WordIds:
 
     def ids(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """How many ids each text has with the end id, and the ids."""
-        if len(self.words.known) > WORD_CACHE:
-            self.words.clear()
-            self.pieces.clear()
+        for pool in (self.words, self.pieces):
+            if len(pool.known) > WORD_CACHE:
+                pool.clear()
         lists = pc.ascii_split_whitespace(texts.cast(pa.string()))
         words, ends = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
         filled = pc.binary_length(words).to_numpy() > 0  # white space at either end leaves empty words
@@ -601,12 +601,12 @@ def _read_batches(batches):
             ids = decode_blocks(share, row["payloads"], row["lengths"]).astype("<u4")
             at = 0
             for m, check in zip(row["lengths"], row["checks"]):
-                if zlib.crc32(ids[at:at + m].tobytes()) != check:
+                if zlib.crc32(ids[at:at + m]) != check:
                     raise ValueError(f"a block of part {row['part']}, row {row['row']} is damaged")
                 at += m
             ends = np.cumsum(row["counts"])
             starts = ends - np.array(row["counts"])
-            crcs = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts.tolist(), ends.tolist())]
+            crcs = [zlib.crc32(ids[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
             n = len(crcs)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([row["part"]] * n, pa.int32()), pa.array(np.arange(n) + row["first_doc"]), pa.array([row["row"]] * n, pa.int64()),
